@@ -5,7 +5,8 @@ shingles among their first ``n - ceil(t n) + l`` each. A shingle that many docum
 so each document lengthens its prefix until the number of matches then required exceeds the number of hot shingles in it:
 some of the required matches must then be on cheap shingles, and only those are joined. Among the lengths that allow this,
 the one with the least estimated candidate cost is taken. Documents whose shingles are hot nearly throughout (large groups
-of near copies) have no such length; they are joined with each other on all shingles of the shortest prefix.
+of near copies, texts made of common lines) have no such length. They are joined with each other another way: their sets are
+split by hash into one part more than the sets of a link can have differences, so that one part at least is equal.
 
 Within a bucket of documents that share a join key, documents are first verified against one pivot each round. Only pairs
 that are then still in different components are formed in full, counted against the required number of matches and verified,
@@ -29,10 +30,14 @@ from .text import mix, shingle_sets
 HOT_DF, MOST_HOT = 32, 1 << 20
 #: Counts of shingles above this are told to the cost estimate (all others count as unshared), within the same bound.
 WARM_DF = 8
+#: Matches that any prefix may ask for, besides two fifths of the shortest prefix's length.
+EXTRA = 24
 #: Cost of verifying a candidate, in joined rows.
 VERIFY = 20
 #: A filter on node ids is broadcast up to this count (16 MB), and joined by a shuffle beyond it.
 MOST_IDS = 1 << 21
+#: Bytes of the sets of candidate pairs up to which they are broadcast rather than joined.
+MOST_SETS = 32 << 20
 PIVOT_ROUNDS = 3
 
 
@@ -42,9 +47,18 @@ def _need(n, pct: int):
 
 
 def _reach(n, pct: int, up: bool):
-    """Most extra matches that a prefix may ask for: a probing document stops at the lower value, an index holds the upper one."""
+    """Most matches that a prefix may ask for; documents that are joined on all their levels hold the upper value, which is no
+    less than the lower one of any document they may link with."""
     extra = (100 - pct) * n * (1000 if up else 10 * pct)
-    return 1 + (-(-extra // 250_000) if up else extra // 250_000)
+    return 1 + EXTRA + (-(-extra // 250_000) if up else extra // 250_000)
+
+
+def _classes(n: int, pct: int) -> list[int]:
+    """Bounds of size classes up to n's: linked sets are of the same class or of neighbouring ones."""
+    bounds = [1]
+    while len(bounds) < 3 or bounds[-3] <= n:
+        bounds.append(bounds[-1] * 100 // pct + 1)
+    return bounds
 
 
 def _name(s: np.ndarray) -> int:
@@ -75,7 +89,8 @@ def _prefixes(pct: int, k: int):
 
 
 def _keys(pct: int, known, bar: int):
-    """Rows (tok, node, n, lvl, l, h): the join keys of each node. l: matches asked for, of which h can be hot."""
+    """Rows (tok, node, n, lvl, l, h): the join keys of each node. l: matches asked for, of which h can be hot. A row of level 0
+    tells that the node is hot throughout."""
 
     def run(batches):
         hots, dfs = known.value
@@ -101,8 +116,7 @@ def _keys(pct: int, known, bar: int):
                     rows = toks[use], lvl[use]
                 else:
                     l, h = int(n) + 1, 0
-                    first = toks[:p0] ^ np.int64(0x5DEECE66D)  # a key space of their own
-                    rows = np.concatenate([toks[~is_hot], first]), np.concatenate([lvl[~is_hot], np.zeros(p0, np.int64)])
+                    rows = np.append(toks[~is_hot], node), np.append(lvl[~is_hot], 0)
                 m = len(rows[0])
                 for c, v in zip(out, (rows[0], np.full(m, node), np.full(m, n), rows[1], np.full(m, l), np.full(m, h))):
                     c.append(v)
@@ -113,6 +127,32 @@ def _keys(pct: int, known, bar: int):
     return run
 
 
+def _parts(pct: int):
+    """Rows like those of _keys, of level 0: the parts of a hot document's set, for its size class and the one below."""
+
+    def run(batches):
+        for batch in batches:
+            toks, nodes, sizes, groups, owns, sigs, ats = [], [], [], [], [], [], []
+            for node, raw in zip(batch.column("node").to_pylist(), batch.column("set")):
+                s = np.frombuffer(raw.as_buffer(), np.uint64)
+                bounds = _classes(len(s), pct)
+                own = len(bounds) - 3 - (bounds[-3] > len(s))
+                for g in range(max(0, own - 1), own + 1):
+                    parts = (100 - pct) * (bounds[g + 1] + bounds[g + 2] - 2) // (100 + pct) + 1
+                    at = ((s >> np.uint64(13)) % np.uint64(parts)).astype(np.int64)
+                    sums = np.zeros(parts, np.uint64)
+                    np.add.at(sums, at, mix(s + np.uint64(3)))
+                    sig = mix(sums + np.uint64(g * 1_000_003 + 1) * (np.arange(parts, dtype=np.uint64) * np.uint64(2) + np.uint64(1))).view(np.int64)
+                    toks.append(sig)
+                    sigs += [sig] * parts
+                    for c, v in zip((nodes, sizes, groups, owns, ats), (node, len(s), g, own, np.arange(parts))):
+                        c.append(np.broadcast_to(np.asarray(v, np.int64), parts))
+            cols = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in (toks, nodes, sizes, groups, owns, ats)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(sigs, pa.list_(pa.int64()))], ["tok", "node", "n", "grp", "own", "at", "sig"])
+
+    return run
+
+
 def _set_rows(k: int):
     def run(batches):
         for _, sets in _sets(batches, k):
@@ -122,15 +162,25 @@ def _set_rows(k: int):
     return run
 
 
-def _verified(pct: int):
+def _linked(x: bytes, y: bytes, pct: int) -> bool:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    z = np.concatenate([x, y])
+    z.sort(kind="stable")
+    both = int(np.count_nonzero(z[1:] == z[:-1]))
+    return 100 * both >= pct * (len(x) + len(y) - both)
+
+
+def _verified(pct: int, sets=None):
+    """Pairs that link; their sets are columns of the rows, or broadcast."""
+
     def run(batches):
+        known = sets.value if sets else None
         for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= pct * (len(x) + len(y) - both):
-                    keep.append(i)
+            if known:
+                both = ((known[a], known[b]) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+            else:
+                both = ((x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("set_a"), batch.column("set_b")))
+            keep = [i for i, (x, y) in enumerate(both) if _linked(x, y, pct)]
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return run
@@ -154,11 +204,6 @@ def components(edges: DataFrame) -> DataFrame:
             return comp
 
 
-def _salted(pairs: DataFrame, sets: DataFrame, key: str, name: str) -> DataFrame:
-    """pairs joined with the set of their node in column key. A skewed key is split by the engine: pairs are the streamed side."""
-    return pairs.join(sets.select(F.col("node").alias(key), F.col("set").alias(name)), key)
-
-
 class _Texts:
     """Sets of nodes, made again from the texts of one document of each node."""
 
@@ -180,8 +225,14 @@ def links(pairs: DataFrame, texts: _Texts, pct: int) -> DataFrame:
     if pairs.isEmpty():
         return pairs
     sets = save(texts.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), "sets")
-    found = _salted(_salted(pairs, sets, "b", "set_b"), sets, "a", "set_a")
-    found = save(found.select("a", "b", "set_a", "set_b").mapInArrow(_verified(pct), "a long, b long"), "links")
+    size = sets.agg(F.coalesce(F.sum(F.octet_length("set") + 100), F.lit(0))).first()[0]
+    if size <= MOST_SETS:
+        known = pairs.sparkSession.sparkContext.broadcast({r.node: bytes(r.set) for r in sets.toLocalIterator()})
+        found = pairs.repartition("a", "b").mapInArrow(_verified(pct, known), "a long, b long")
+    else:  # pairs are the streamed side of both joins: the engine splits the partition of a pivot with many pairs
+        a, b = (sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
+        found = pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(pct), "a long, b long")
+    found = save(found, "links")
     drop(pairs, sets)
     return found
 
@@ -211,10 +262,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     keyed = nodes.mapInArrow(_keys(pct, spark.sparkContext.broadcast(known), bar), "tok long, node long, n int, lvl int, l int, h int")
     # a cheap shingle has fewer than `bar` holders, so its bucket is small; keys of hot documents are counted by aggregation
     cheap = keyed.where("lvl > 0").withColumn("m", F.count("*").over(Window.partitionBy("tok"))).where("m > 1").drop("m")
-    dense = keyed.where("lvl = 0")
-    dense = dense.join(dense.groupBy("tok").agg(F.count("*").alias("m")).where("m > 1").select("tok"), "tok")
-    keys = save(cheap.unionByName(dense), "keys")
     texts = _Texts(docs, rows, k)
+    dense = texts.of(keyed.where("lvl = 0").select("node")).mapInArrow(_parts(pct), "tok long, node long, n long, grp long, own long, at long, sig array<long>")
+    dense = save(dense.withColumn("n", F.col("n").cast("int")).select("*", *[F.lit(0).alias(c) for c in ("lvl", "l", "h")]), "dense")
+    dense = dense.join(dense.groupBy("tok").agg(F.count("*").alias("m")).where("m > 1").select("tok"), "tok")
+    keys = save(cheap.unionByName(dense, allowMissingColumns=True), "keys")
 
     comp, found = None, None
     for turn in range(PIVOT_ROUNDS):
@@ -225,9 +277,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
         else:
             pivot = here.groupBy("tok").agg(F.max(F.struct("comp", "node", "n")).alias("p"), F.min("comp").alias("low")).where("low < p.comp")
             pairs = here.join(pivot, "tok").where("comp <> p.comp")
-        # near copies share most keys: rarer pairs are left to the exact round below
-        pairs = pairs.groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(F.max("n").alias("na"), F.max("p.n").alias("nb"), F.count("*").alias("m"))
-        pairs = pairs.where(F.col("m") * 300 >= F.least("na", "nb") * (100 - pct))
+        # near copies share many keys: rarer pairs are left to the exact round below
+        pairs = pairs.groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(F.max("n").alias("na"), F.max("p.n").alias("nb"), F.count_if(F.col("lvl") > 0).alias("m"), F.count_if(F.col("lvl") == 0).alias("dense"))
+        pairs = pairs.where((F.col("dense") > 0) | (F.col("m") * 300 >= F.least("na", "nb") * (100 - pct)))
         more = links(pairs, texts, pct)
         if more.isEmpty():
             break
@@ -237,9 +289,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     here = (keys if comp is None else keys.join(comp, "node", "left")).withColumn("comp", F.coalesce("comp", "node") if comp is not None else F.col("node"))
     split = here.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
     here = save(here.join(split, "tok"), "open")
-    x, y = (here.select("tok", *[F.col(c).alias(c + s) for c in ("node", "n", "lvl", "l", "h", "comp")]) for s in ("x", "y"))
+    x, y = (here.select("tok", *[F.col(c).alias(c + s) for c in ("node", "n", "lvl", "l", "h", "comp", "grp", "own", "at", "sig")]) for s in ("x", "y"))
     pairs = x.join(y, "tok").where("nodex < nodey and compx <> compy").where(100 * F.least("nx", "ny") >= pct * F.greatest("nx", "ny"))
-    pairs = pairs.where("(lvlx = 0) or (lvlx <= least(lx, ly) and lvly <= least(lx, ly))")
+    # parts of hot documents: once a pair, at the first equal part of the lower of their size classes
+    first = "grpx = least(ownx, owny) and not exists(slice(arrays_zip(sigx, sigy), 1, cast(atx as int)), z -> z.sigx = z.sigy)"
+    pairs = pairs.where(f"case when lvlx = 0 then {first} else lvlx <= least(lx, ly) and lvly <= least(lx, ly) end")
     pairs = pairs.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b")).agg(
         F.max("nx").alias("na"), F.max("ny").alias("nb"), F.count_if(F.col("lvlx") == 0).alias("dense"), F.count_if(F.col("lvlx") > 0).alias("m"),
         F.max(F.expr("case when lx > nx and ly > ny then 1 when lx <= ly then lx - hx else ly - hy end")).alias("asked"),
