@@ -29,11 +29,11 @@ from .text import mix, shingle_sets
 #: A shingle held by so many documents is hot. Doubled until at most MOST_HOT shingles are, which bounds the broadcast to 8 MB.
 HOT_DF, MOST_HOT = 32, 1 << 20
 #: Counts of shingles above this are told to the cost estimate (all others count as unshared), within the same bound.
-WARM_DF = 8
+WARM_DF = 4
 #: Matches that any prefix may ask for, besides two fifths of the shortest prefix's length.
 EXTRA = 24
-#: Cost of verifying a candidate, in joined rows.
-VERIFY = 20
+#: Cost of verifying a candidate, in joined rows: two sets travel for it.
+VERIFY = 400
 #: A filter on node ids is broadcast up to this count (16 MB), and joined by a shuffle beyond it.
 MOST_IDS = 1 << 21
 #: Bytes of the sets of candidate pairs up to which they are broadcast rather than joined.
