@@ -198,7 +198,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     model = F.struct(F.lit(round(b, 6)).alias("b"), F.array(*[F.lit(round(x, 6)) for x in w]).alias("w"))
     added = F.filter("more", lambda s: _score(model, s["cells"]) >= least)
     out = found.withColumn("added", F.when(F.size("more") > 0, added).otherwise(F.col("more")))
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE)]
+    def of_kind(i: int):
+        return lambda s: s["kind"] == i
+
+    counts = [F.size(F.filter("base", of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE)]
     return out.select(
         "doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"),

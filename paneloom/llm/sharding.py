@@ -28,7 +28,7 @@ def schedule(items: list[tuple[int, str]], shards: int) -> dict[str, int]:
 def shard(docs: DataFrame, shards: int = 40, overhead: int = 16, slot_rows: int = 5000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
-    Sizes of shards are near equal; rows with equal texts (null texts are one group) share a shard, so a group larger than a
+    Sizes of shards are near equal; rows with equal texts (a null text counts as empty) share a shard, so a group larger than a
     shard's part stays whole and makes its shard the largest. size: UTF-8 bytes of the text and `overhead`. slot: the row's place
     in its shard, without gaps. Repeated rows have slots of their own; null ids count as any other. Other columns are ignored.
     """
@@ -36,7 +36,7 @@ def shard(docs: DataFrame, shards: int = 40, overhead: int = 16, slot_rows: int
     text = F.col(text_col).cast("string")
     slim = docs.select(
         F.col(id_col).alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + overhead).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.coalesce(F.substring(F.sha2(text, 256), 1, 32), F.lit("null")).alias("grp"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32).alias("grp"),
     )
     slim = save(slim, "slim")
     groups = save(slim.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "groups")
