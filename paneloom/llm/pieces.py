@@ -12,6 +12,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ MARK = "▁"
 #: Words of the broadcast table, and the longest one in characters: it stays under 16 MB.
 TABLE, LONGEST = 1 << 16, 64
 #: Characters of texts whose rare words are looked up together.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -54,11 +55,12 @@ class Segmenter:
 
 def _counted(batches):
     for batch in batches:
-        found: Counter = Counter()
-        for text in batch.column(0):
-            found.update(keys_of(text.as_py() or ""))
-        words = [w for w in found if len(w) <= LONGEST]
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([found[w] for w in words], pa.int64())], ["word", "n"])
+        for part in _parts(batch.column(0)):
+            found: Counter = Counter()
+            for text in part:
+                found.update(keys_of(text))
+            words = [w for w in found if len(w) <= LONGEST]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([found[w] for w in words], pa.int64())], ["word", "n"])
 
 
 def _encoded(table, model_path: str, keep_ids: bool):
@@ -77,27 +79,35 @@ def _encoded(table, model_path: str, keep_ids: bool):
             return out
 
         for batch in batches:
-            part, size, done = [], 0, []
-            for text in batch.column("text"):
-                part.append(text.as_py() or "")
-                size += len(part[-1])
-                if size >= BATCH_CHARS:
-                    done += _digests(rows(part), keep_ids)
-                    part, size = [], 0
-            done += _digests(rows(part), keep_ids) if part else []
-            cols = list(zip(*done)) if done else [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())))][: 3 + keep_ids]],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + keep_ids],
-            )
+            at = 0
+            for part in _parts(batch.column("text")):
+                yield _digests(batch.column("doc_id").slice(at, len(part)), rows(part), keep_ids)
+                at += len(part)
 
     return run
 
 
-def _digests(rows, keep_ids: bool):
+def _parts(column: pa.Array):
+    """Runs of texts of about BATCH_CHARS characters, so that what is held at once does not depend on the batch."""
+    part, size = [], 0
+    for text in column:
+        part.append(text.as_py() or "")
+        size += len(part[-1])
+        if size >= BATCH_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _digests(doc_ids: pa.Array, rows: list[tuple[str, str]], keep_ids: bool) -> pa.RecordBatch:
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    for ids, text in rows:
-        yield ids.count(",") + 1 if ids else 0, sha(ids), sha(text), [int(i) for i in ids.split(",")] if keep_ids and ids else []
+    n = [ids.count(",") + 1 if ids else 0 for ids, _ in rows]
+    cols = [doc_ids, pa.array(n, pa.int64()), pa.array([sha(ids) for ids, _ in rows], pa.string()), pa.array([sha(text) for _, text in rows], pa.string())]
+    if keep_ids:
+        flat = np.fromstring(",".join(ids for ids, _ in rows if ids), np.int32, sep=",") if any(n) else np.zeros(0, np.int32)
+        cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat)))
+    return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + keep_ids])
 
 
 def encode(docs: DataFrame, model_path: str, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
