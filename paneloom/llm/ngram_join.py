@@ -12,6 +12,10 @@ Within a bucket of documents that share a join key, documents are first verified
 that are then still in different components are formed in full, counted against the required number of matches and verified,
 so a group of copies costs about its size and no link between components is lost.
 
+Before the sets of a candidate are fetched, small parity sketches of both are compared: every shingle flips one bit, so the
+bits in which two sketches differ are at most as many as the shingles that only one of the sets has. A pair with more such bits
+than a link may have differences is no link; this rejects most near misses and never a link.
+
 Copies with equal shingle sets are one node throughout. Sets are compared by 64-bit hashes of shingles, and a set is named
 by a 64-bit hash; both make an error only on a hash collision.
 """
@@ -39,6 +43,8 @@ MOST_IDS = 1 << 21
 #: Bytes of the sets of candidate pairs up to which they are broadcast rather than joined.
 MOST_SETS = 32 << 20
 PIVOT_ROUNDS = 3
+#: 64-bit words of a parity sketch. Sketches of so many nodes (16 MB) are broadcast; more are joined by a shuffle.
+SKETCH, MOST_SKETCHES = 8, 1 << 17
 
 
 def _need(n, pct: int):
@@ -65,6 +71,12 @@ def _name(s: np.ndarray) -> int:
     return int(np.array([mix(s + np.uint64(77)).sum() + np.uint64(len(s))], np.uint64).view(np.int64)[0])
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements at each of 64 * SKETCH places."""
+    odd = np.bincount((s % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches, k: int):
     for batch in batches:
         yield batch.column(0), list(shingle_sets(batch.column(1), k))
@@ -81,8 +93,9 @@ def _prefixes(pct: int, k: int):
                     pa.array(n, pa.int64()),
                     pa.array([_name(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([s[:m].view(np.int64) for s, m in zip(sets, keep)], pa.list_(pa.int64())),
+                    pa.array([_sketch(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "node", "prefix"],
+                ["doc_id", "n", "node", "prefix", "sketch"],
             )
 
     return run
@@ -220,8 +233,22 @@ class _Texts:
         return found.dropDuplicates(["node"])
 
 
-def links(pairs: DataFrame, texts: _Texts, pct: int) -> DataFrame:
-    pairs = save(pairs.where(100 * F.least("na", "nb") >= pct * F.greatest("na", "nb")).select("a", "b").distinct(), "pairs")
+def _sketched(pairs: DataFrame, sketches: DataFrame, pct: int) -> DataFrame:
+    """Pairs (a, b) whose sketches differ in no more bits than their sets may in shingles."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    known = save(sketches.join(ends, "node", "left_semi"), "sketches")
+    if known.count() <= MOST_SKETCHES:
+        known = F.broadcast(known)
+    a, b = (known.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+    differ = F.expr(" + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(SKETCH)))
+    return pairs.join(b, "b").join(a, "a").where((100 + pct) * differ <= (100 - pct) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def links(pairs: DataFrame, texts: _Texts, sketches: DataFrame, pct: int) -> DataFrame:
+    """The pairs (a, b) of `pairs` (a, b, na, nb), each there once, that link."""
+    every = save(pairs.where(100 * F.least("na", "nb") >= pct * F.greatest("na", "nb")).select("a", "b", "na", "nb"), "candidates")
+    pairs = save(_sketched(every, sketches, pct), "pairs")
+    drop(every)
     if pairs.isEmpty():
         return pairs
     sets = save(texts.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), "sets")
@@ -248,9 +275,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    full = save(docs.mapInArrow(_prefixes(pct, k), "doc_id long, n long, node long, prefix array<long>"), "shingled")
+    full = save(docs.mapInArrow(_prefixes(pct, k), "doc_id long, n long, node long, prefix array<long>, sketch array<long>"), "shingled")
     rows = full.select("doc_id", "n", "node")
-    nodes = save(full.where("node is not null").select("node", "n", "prefix").dropDuplicates(["node"]), "nodes")
+    nodes = save(full.where("node is not null").select("node", "n", "prefix", "sketch").dropDuplicates(["node"]), "nodes")
+    sketches = nodes.select("node", "sketch")
 
     counts = save(nodes.select(F.explode("prefix").alias("tok")).groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= WARM_DF), "df")
     warm, bar = WARM_DF, HOT_DF
@@ -259,7 +287,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     bar = max(bar, warm)
     told = told.orderBy("tok").toArrow()
     known = [told.column(c).to_numpy() for c in ("tok", "df")] if len(told) else [np.zeros(1, np.int64), np.zeros(1, np.int64)]
-    keyed = nodes.mapInArrow(_keys(pct, spark.sparkContext.broadcast(known), bar), "tok long, node long, n int, lvl int, l int, h int")
+    keyed = nodes.select("node", "n", "prefix").mapInArrow(_keys(pct, spark.sparkContext.broadcast(known), bar), "tok long, node long, n int, lvl int, l int, h int")
     # a cheap shingle has fewer than `bar` holders, so its bucket is small; keys of hot documents are counted by aggregation
     cheap = keyed.where("lvl > 0").withColumn("m", F.count("*").over(Window.partitionBy("tok"))).where("m > 1").drop("m")
     texts = _Texts(docs, rows, k)
@@ -280,7 +308,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
         # near copies share many keys: rarer pairs are left to the exact round below
         pairs = pairs.groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(F.max("n").alias("na"), F.max("p.n").alias("nb"), F.count_if(F.col("lvl") > 0).alias("m"), F.count_if(F.col("lvl") == 0).alias("dense"))
         pairs = pairs.where((F.col("dense") > 0) | (F.col("m") * 300 >= F.least("na", "nb") * (100 - pct)))
-        more = links(pairs, texts, pct)
+        more = links(pairs, texts, sketches, pct)
         if more.isEmpty():
             break
         found = more if found is None else save(found.unionByName(more), "links")
@@ -299,7 +327,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
         F.max(F.expr("case when lx > nx and ly > ny then 1 when lx <= ly then lx - hx else ly - hy end")).alias("asked"),
     )
     pairs = pairs.where("m >= asked or dense > 0")
-    more = links(pairs, texts, pct)
+    more = links(pairs, texts, sketches, pct)
     if not more.isEmpty():
         found = more if found is None else save(found.unionByName(more), "links")
         comp = components(found)

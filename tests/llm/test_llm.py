@@ -207,3 +207,14 @@ def test_pipeline(spark):
         out = stage(spark, docs, d)
         assert out.columns == docs.columns, name
     assert corpus_pipeline.run(spark, d).where(F.size("ids") != F.col("n_tokens")).count() == 0
+
+
+def test_sketches_differ_less_than_sets():
+    """The bits in which two sketches differ never exceed the elements that only one of the sets has."""
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 3, 100, 2000):
+        for m in (0, 1, 7, 700):
+            x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            y = np.union1d(x[: n // 2], rng.integers(0, 2**63, m, dtype=np.uint64))
+            bits = sum(bin(int(a) & (2**64 - 1)).count("1") for a in ngram_join._sketch(x) ^ ngram_join._sketch(y))
+            assert bits <= len(np.setxor1d(x, y)) and (len(x) > 0 or not ngram_join._sketch(x).any())
