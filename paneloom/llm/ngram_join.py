@@ -10,7 +10,8 @@ split by hash into one part more than the sets of a link can have differences, s
 
 Within a bucket of documents that share a join key, documents are first verified against one pivot each round. Only pairs
 that are then still in different components are formed in full, counted against the required number of matches and verified,
-so a group of copies costs about its size and no link between components is lost.
+so a group of copies costs about its size and no link between components is lost. The first round does so for all keys, the
+next ones for the parts of hot documents only: the bucket of a cheap shingle is small.
 
 Before the sets of a candidate are fetched, small parity sketches of both are compared: every shingle flips one bit, so the
 bits in which two sketches differ are at most as many as the shingles that only one of the sets has. A pair with more such bits
@@ -239,14 +240,16 @@ def _sketched(pairs: DataFrame, sketches: DataFrame, pct: int) -> DataFrame:
     known = save(sketches.join(ends, "node", "left_semi"), "sketches")
     if known.count() <= MOST_SKETCHES:
         known = F.broadcast(known)
-    a, b = (known.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
+    a, b = (known.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
     differ = F.expr(" + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(SKETCH)))
     return pairs.join(b, "b").join(a, "a").where((100 + pct) * differ <= (100 - pct) * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def links(pairs: DataFrame, texts: _Texts, sketches: DataFrame, pct: int) -> DataFrame:
-    """The pairs (a, b) of `pairs` (a, b, na, nb), each there once, that link."""
-    every = save(pairs.where(100 * F.least("na", "nb") >= pct * F.greatest("na", "nb")).select("a", "b", "na", "nb"), "candidates")
+    """The pairs of `pairs` (a, b), each there once, that link."""
+    every = save(pairs.select("a", "b"), "candidates")
+    if every.isEmpty():
+        return every
     pairs = save(_sketched(every, sketches, pct), "pairs")
     drop(every)
     if pairs.isEmpty():
@@ -264,6 +267,58 @@ def links(pairs: DataFrame, texts: _Texts, sketches: DataFrame, pct: int) -> Dat
     return found
 
 
+def _alike(pct: int, x: str, y: str):
+    """Sizes x and y allow the similarity."""
+    return 100 * F.least(x, y) >= pct * F.greatest(x, y)
+
+
+def _labelled(keys: DataFrame, comp: DataFrame | None, node: str, out: str) -> DataFrame:
+    """keys with the component of the node as a column: the node itself where it has no link yet."""
+    if comp is None:
+        return keys.withColumn(out, F.col(node))
+    known = comp.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
+    known = F.broadcast(known) if comp.count() <= MOST_IDS else known
+    return keys.join(known, F.col(node) == F.col("_node"), "left").withColumn(out, F.coalesce("_comp", node)).drop("_node", "_comp")
+
+
+def _pivot_pairs(cheap: DataFrame, pct: int) -> DataFrame:
+    """(a, b): documents with the least node of a bucket, where they share buckets enough for near copies."""
+    pairs = cheap.select(F.col("held")[0].alias("p"), F.explode(F.expr("slice(held, 2, size(held))")).alias("q")).where(_alike(pct, "p.n", "q.n"))
+    pairs = pairs.where("not (p.l > p.n and q.l > q.n)").groupBy(F.col("q.node").alias("a"), F.col("p.node").alias("b"))
+    # near copies share many keys: rarer pairs are left to the exact round
+    return pairs.agg(F.count("*").alias("m"), F.max(F.least("p.n", "q.n")).alias("n")).where(F.col("m") * 300 >= F.col("n") * (100 - pct)).select("a", "b")
+
+
+def _matched_pairs(cheap: DataFrame, comp: DataFrame | None, pct: int) -> DataFrame:
+    """(a, b): every pair across components that shares as many cheap shingles of its prefixes as a link must. Two documents that
+    are hot throughout are left out: the parts of their sets join them."""
+    x = _labelled(cheap.select("held", F.posexplode("held").alias("i", "x")).withColumn("nodex", F.col("x.node")), comp, "nodex", "compx")
+    pairs = x.select("x", "nodex", "compx", F.explode(F.expr("slice(held, i + 2, size(held))")).alias("y")).withColumn("nodey", F.col("y.node"))
+    pairs = pairs.where("x.lvl <= least(x.l, y.l) and y.lvl <= least(x.l, y.l) and not (x.l > x.n and y.l > y.n)").where(_alike(pct, "x.n", "y.n"))
+    pairs = _labelled(pairs, comp, "nodey", "compy").where("compx <> compy")
+    asked = F.expr("case when x.l <= y.l then x.l - x.h else y.l - y.h end")
+    return pairs.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b")).agg(F.count("*").alias("m"), F.max(asked).alias("asked")).where("m >= asked").select("a", "b")
+
+
+def _dense_pivot_pairs(dense: DataFrame, comp: DataFrame | None, pct: int) -> DataFrame:
+    """(a, b): documents with one pivot of each part that is not yet within one component."""
+    here = _labelled(dense.select("tok", "node", "n"), comp, "node", "comp")
+    pivot = here.groupBy("tok").agg(F.max(F.struct("comp", "node", "n")).alias("p"), F.min("comp").alias("low")).where("low < p.comp")
+    pairs = here.join(pivot, "tok").where("comp <> p.comp").where(_alike(pct, "n", "p.n"))
+    return pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct()
+
+
+def _dense_pairs(dense: DataFrame, comp: DataFrame | None, pct: int) -> DataFrame:
+    """(a, b): every pair across components with an equal part, once: at the first such part of the lower of their size classes."""
+    here = _labelled(dense, comp, "node", "comp")
+    split = here.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
+    here = save(here.join(split, "tok"), "open")
+    x, y = (here.select("tok", *[F.col(c).alias(c + s) for c in ("node", "n", "comp", "grp", "own", "at", "sig")]) for s in ("x", "y"))
+    pairs = x.join(y, "tok").where("nodex < nodey and compx <> compy and grpx = least(ownx, owny)").where(_alike(pct, "nx", "ny"))
+    pairs = pairs.where("not exists(slice(arrays_zip(sigx, sigy), 1, cast(atx as int)), z -> z.sigx = z.sigy)")
+    return pairs.select(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, n_verified.
 
@@ -276,9 +331,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     full = save(docs.mapInArrow(_prefixes(pct, k), "doc_id long, n long, node long, prefix array<long>, sketch array<long>"), "shingled")
-    rows = full.select("doc_id", "n", "node")
-    nodes = save(full.where("node is not null").select("node", "n", "prefix", "sketch").dropDuplicates(["node"]), "nodes")
-    sketches = nodes.select("node", "sketch")
+    rows = save(full.select("doc_id", "n", "node"), "rows")
+    # only nodes of several rows need be made distinct: the others keep where they are
+    again = save(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("m")).where("m > 1").select("node"), "copies")
+    hint = F.broadcast(again) if again.count() <= MOST_IDS else again
+    once = full.where("node is not null").select("node", "n", "prefix", "sketch")
+    nodes = save(once.join(hint, "node", "left_anti").unionByName(once.join(hint, "node", "left_semi").dropDuplicates(["node"])), "nodes")
+    drop(full, again)
+    sketches = nodes.select("node", "n", "sketch")
 
     counts = save(nodes.select(F.explode("prefix").alias("tok")).groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= WARM_DF), "df")
     warm, bar = WARM_DF, HOT_DF
@@ -288,49 +348,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     told = told.orderBy("tok").toArrow()
     known = [told.column(c).to_numpy() for c in ("tok", "df")] if len(told) else [np.zeros(1, np.int64), np.zeros(1, np.int64)]
     keyed = nodes.select("node", "n", "prefix").mapInArrow(_keys(pct, spark.sparkContext.broadcast(known), bar), "tok long, node long, n int, lvl int, l int, h int")
-    # a cheap shingle has fewer than `bar` holders, so its bucket is small; keys of hot documents are counted by aggregation
-    cheap = keyed.where("lvl > 0").withColumn("m", F.count("*").over(Window.partitionBy("tok"))).where("m > 1").drop("m")
+    # a cheap shingle has fewer than `bar` holders: its bucket is one small row, and every later round reads it without a shuffle
+    held = keyed.where("lvl > 0").repartition("tok").groupBy("tok").agg(F.array_sort(F.collect_list(F.struct("node", "n", "lvl", "l", "h"))).alias("held"))
+    cheap = save(held.where("size(held) > 1").select("held"), "buckets")
     texts = _Texts(docs, rows, k)
-    dense = texts.of(keyed.where("lvl = 0").select("node")).mapInArrow(_parts(pct), "tok long, node long, n long, grp long, own long, at long, sig array<long>")
-    dense = save(dense.withColumn("n", F.col("n").cast("int")).select("*", *[F.lit(0).alias(c) for c in ("lvl", "l", "h")]), "dense")
-    dense = dense.join(dense.groupBy("tok").agg(F.count("*").alias("m")).where("m > 1").select("tok"), "tok")
-    keys = save(cheap.unionByName(dense, allowMissingColumns=True), "keys")
+    dense = save(texts.of(keyed.where("lvl = 0").select("node")).mapInArrow(_parts(pct), "tok long, node long, n long, grp long, own long, at long, sig array<long>"), "parts")
+    shared = save(dense.join(dense.groupBy("tok").agg(F.count("*").alias("m")).where("m > 1").select("tok"), "tok"), "dense")
+    drop(dense)
+    dense = shared
 
     comp, found = None, None
-    for turn in range(PIVOT_ROUNDS):
-        here = keys if comp is None else keys.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        if comp is None:
-            pivot = here.groupBy("tok").agg(F.min(F.struct("node", "n")).alias("p"))
-            pairs = here.join(pivot, "tok").where("node <> p.node")
-        else:
-            pivot = here.groupBy("tok").agg(F.max(F.struct("comp", "node", "n")).alias("p"), F.min("comp").alias("low")).where("low < p.comp")
-            pairs = here.join(pivot, "tok").where("comp <> p.comp")
-        # near copies share many keys: rarer pairs are left to the exact round below
-        pairs = pairs.groupBy(F.col("node").alias("a"), F.col("p.node").alias("b")).agg(F.max("n").alias("na"), F.max("p.n").alias("nb"), F.count_if(F.col("lvl") > 0).alias("m"), F.count_if(F.col("lvl") == 0).alias("dense"))
-        pairs = pairs.where((F.col("dense") > 0) | (F.col("m") * 300 >= F.least("na", "nb") * (100 - pct)))
+
+    def add(pairs: DataFrame) -> bool:
+        nonlocal comp, found
         more = links(pairs, texts, sketches, pct)
         if more.isEmpty():
-            break
+            return False
         found = more if found is None else save(found.unionByName(more), "links")
         comp = components(found)
+        return True
 
-    here = (keys if comp is None else keys.join(comp, "node", "left")).withColumn("comp", F.coalesce("comp", "node") if comp is not None else F.col("node"))
-    split = here.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
-    here = save(here.join(split, "tok"), "open")
-    x, y = (here.select("tok", *[F.col(c).alias(c + s) for c in ("node", "n", "lvl", "l", "h", "comp", "grp", "own", "at", "sig")]) for s in ("x", "y"))
-    pairs = x.join(y, "tok").where("nodex < nodey and compx <> compy").where(100 * F.least("nx", "ny") >= pct * F.greatest("nx", "ny"))
-    # parts of hot documents: once a pair, at the first equal part of the lower of their size classes
-    first = "grpx = least(ownx, owny) and not exists(slice(arrays_zip(sigx, sigy), 1, cast(atx as int)), z -> z.sigx = z.sigy)"
-    pairs = pairs.where(f"case when lvlx = 0 then {first} else lvlx <= least(lx, ly) and lvly <= least(lx, ly) end")
-    pairs = pairs.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b")).agg(
-        F.max("nx").alias("na"), F.max("ny").alias("nb"), F.count_if(F.col("lvlx") == 0).alias("dense"), F.count_if(F.col("lvlx") > 0).alias("m"),
-        F.max(F.expr("case when lx > nx and ly > ny then 1 when lx <= ly then lx - hx else ly - hy end")).alias("asked"),
-    )
-    pairs = pairs.where("m >= asked or dense > 0")
-    more = links(pairs, texts, sketches, pct)
-    if not more.isEmpty():
-        found = more if found is None else save(found.unionByName(more), "links")
-        comp = components(found)
+    add(_pivot_pairs(cheap, pct).unionByName(_dense_pivot_pairs(dense, None, pct)))
+    for _ in range(PIVOT_ROUNDS - 1):
+        if not add(_dense_pivot_pairs(dense, comp, pct)):
+            break
+    add(_matched_pairs(cheap, comp, pct).unionByName(_dense_pairs(dense, comp, pct)))
 
     ids = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"))
     if comp is None:
