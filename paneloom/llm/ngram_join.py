@@ -142,11 +142,11 @@ def _keys(pct: int, known, bar: int):
 
 
 def _parts(pct: int):
-    """Rows like those of _keys, of level 0: the parts of a hot document's set, for its size class and the one below."""
+    """Rows for the parts of a hot document's set, for its size class and the one below; sig: the parts before this one."""
 
     def run(batches):
         for batch in batches:
-            toks, nodes, sizes, groups, owns, sigs, ats = [], [], [], [], [], [], []
+            toks, nodes, sizes, groups, owns, sigs = [], [], [], [], [], []
             for node, raw in zip(batch.column("node").to_pylist(), batch.column("set")):
                 s = np.frombuffer(raw.as_buffer(), np.uint64)
                 bounds = _classes(len(s), pct)
@@ -158,11 +158,11 @@ def _parts(pct: int):
                     np.add.at(sums, at, mix(s + np.uint64(3)))
                     sig = mix(sums + np.uint64(g * 1_000_003 + 1) * (np.arange(parts, dtype=np.uint64) * np.uint64(2) + np.uint64(1))).view(np.int64)
                     toks.append(sig)
-                    sigs += [sig] * parts
-                    for c, v in zip((nodes, sizes, groups, owns, ats), (node, len(s), g, own, np.arange(parts))):
+                    sigs += [sig[:i] for i in range(parts)]
+                    for c, v in zip((nodes, sizes, groups, owns), (node, len(s), g, own)):
                         c.append(np.broadcast_to(np.asarray(v, np.int64), parts))
-            cols = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in (toks, nodes, sizes, groups, owns, ats)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(sigs, pa.list_(pa.int64()))], ["tok", "node", "n", "grp", "own", "at", "sig"])
+            cols = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in (toks, nodes, sizes, groups, owns)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(sigs, pa.list_(pa.int64()))], ["tok", "node", "n", "grp", "own", "sig"])
 
     return run
 
@@ -313,9 +313,9 @@ def _dense_pairs(dense: DataFrame, comp: DataFrame | None, pct: int) -> DataFram
     here = _labelled(dense, comp, "node", "comp")
     split = here.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
     here = save(here.join(split, "tok"), "open")
-    x, y = (here.select("tok", *[F.col(c).alias(c + s) for c in ("node", "n", "comp", "grp", "own", "at", "sig")]) for s in ("x", "y"))
+    x, y = (here.select("tok", *[F.col(c).alias(c + s) for c in ("node", "n", "comp", "grp", "own", "sig")]) for s in ("x", "y"))
     pairs = x.join(y, "tok").where("nodex < nodey and compx <> compy and grpx = least(ownx, owny)").where(_alike(pct, "nx", "ny"))
-    pairs = pairs.where("not exists(slice(arrays_zip(sigx, sigy), 1, cast(atx as int)), z -> z.sigx = z.sigy)")
+    pairs = pairs.where("not exists(arrays_zip(sigx, sigy), z -> z.sigx = z.sigy)")
     return pairs.select(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
 
 
@@ -352,7 +352,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     held = keyed.where("lvl > 0").repartition("tok").groupBy("tok").agg(F.array_sort(F.collect_list(F.struct("node", "n", "lvl", "l", "h"))).alias("held"))
     cheap = save(held.where("size(held) > 1").select("held"), "buckets")
     texts = _Texts(docs, rows, k)
-    dense = save(texts.of(keyed.where("lvl = 0").select("node")).mapInArrow(_parts(pct), "tok long, node long, n long, grp long, own long, at long, sig array<long>"), "parts")
+    dense = save(texts.of(keyed.where("lvl = 0").select("node")).mapInArrow(_parts(pct), "tok long, node long, n long, grp long, own long, sig array<long>"), "parts")
     shared = save(dense.join(dense.groupBy("tok").agg(F.count("*").alias("m")).where("m > 1").select("tok"), "tok"), "dense")
     drop(dense)
     dense = shared
