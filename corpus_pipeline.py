@@ -16,8 +16,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that spread over many sites go; n_chars follows the text."""
-    clean = line_dedup.dedup_lines(docs).select(*docs.columns)
+    """Lines that spread over many sites go, however short they are; n_chars follows the text."""
+    clean = line_dedup.dedup_lines(docs, min_chars=1).select(*docs.columns)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 

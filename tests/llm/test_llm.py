@@ -133,6 +133,13 @@ def test_line_dedup(docs, empty, spark):
     assert line_dedup.dedup_lines(docs).count() == docs.count() and line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_stage_removes_short_lines(spark):
+    rows = [(i, f"Les. \n \n\nown{i}\nOk", f"s{i}" if i < 5 else "s0") for i in range(8)] + [(9, "Ok", "s1"), (10, "rare", "s1")]
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
+    assert got[0] == "Les. \n \n\nown0\nOk" and all(got[i] == f" \n\nown{i}" for i in range(1, 8))
+    assert got[9] == "" and got[10] == "rare"
+
+
 def test_ann(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 16)) + rng.integers(0, 6, (3000, 1)) * 3.0
