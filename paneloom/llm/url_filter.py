@@ -2,7 +2,7 @@
 
 Urls that a rule allows or blocks train one smoothed variable-order Markov model each: counts of every character after its
 contexts of 0 to ORDER characters, interpolated from short to long contexts by the share of new continuations
-(Witten and Bell's estimate). A url is scored by the difference of log-likelihoods for each character; on urls that were held
+(Witten and Bell's estimate). Contexts are kept by all their bytes, and counts are tables that grow with the urls. A url is scored by the difference of log-likelihoods for each character; on urls that were held
 out, the score is calibrated as the logarithm of the odds that the url is one to accept.
 """
 
@@ -12,19 +12,21 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import share
-
-
+from .store import save
 
 #: (verdict, host and path), as the contract of the query gives them.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 ORDER = 5
-#: Contexts are hashed to so many values; with 128 characters this bounds a model to 2^22 counts, whatever the input.
-CONTEXTS = 1 << 15
+#: A gram is a number of ORDER + 1 characters of BITS bits: the 256 bytes, the end of a url, and what stands before its start.
+BITS, END, START = 9, 256, 257
+#: Characters that may come next.
+CHARS = 257
+USES = ("n0", "n1", "m0", "m1")
+#: Values of grams are broadcast up to this count (16 MB), and joined by a shuffle beyond it.
+MOST_GRAMS = 1 << 20
 #: Scores are calibrated on a histogram of this many bins of width BIN around 0, at the ends open.
 BINS, BIN = 801, 0.01
 HELD_OUT = 5
@@ -48,76 +50,65 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _grams(urls: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For each character of all urls (7 bits of each byte, and an end): keys context * 128 + character for each order; url of each."""
-    raw = [u.encode() + b"\x03" for u in urls.to_pylist()]
-    own = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
-    chars = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) & np.uint64(127)
-    first = np.zeros(len(chars), np.int64)
-    starts = np.flatnonzero(np.diff(own, prepend=-1))
-    first[starts] = starts
-    at = np.arange(len(chars)) - np.maximum.accumulate(first)
-    keys = np.empty((ORDER + 1, len(chars)), np.int64)
-    context = np.zeros(len(chars), np.uint64)
-    for k in range(ORDER + 1):
-        if k:
-            back = np.zeros(len(chars), np.uint64)
-            back[k:] = chars[:-k]
-            context = context * np.uint64(131) + np.where(at >= k, back, np.uint64(2)) + np.uint64(1)
-        spread = (context * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)) >> np.uint64(49)
-        keys[k] = (spread % np.uint64(CONTEXTS - ORDER - 1)).astype(np.int64) * 128 + chars.astype(np.int64) if k else (CONTEXTS - 1) * 128 + chars.astype(np.int64)
-    return keys, own
+def _grams(urls: list) -> tuple[np.ndarray, np.ndarray]:
+    """For each character (byte, or the end) of all urls, the gram of its ORDER characters before and itself; url of each."""
+    raw = [u.encode() for u in urls]
+    sizes = np.array([len(r) + 1 for r in raw])
+    own, ends = np.repeat(np.arange(len(raw)), sizes), np.cumsum(sizes)
+    chars = np.full(int(ends[-1]), END, np.int64)
+    inner = np.ones(len(chars), bool)
+    inner[ends - 1] = False
+    chars[inner] = np.frombuffer(b"".join(raw), np.uint8)
+    at = np.arange(len(chars)) - np.repeat(ends - sizes, sizes)
+    grams = chars.copy()
+    for k in range(1, ORDER + 1):
+        back = np.full(len(chars), START, np.int64)
+        back[k:] = chars[:-k]
+        grams |= np.where(at >= k, back, START) << (BITS * k)
+    return grams, own
 
 
 def _counts(batches):
+    """Rows (g, n0, n1, m0, m1): uses of each gram in urls of side 0 and 1, in all that train and in those not held; zeros in others."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        grams, own = _grams(batch.column("url").fill_null("").to_pylist())
+        side, held = batch.column("side").fill_null(2).to_numpy(zero_copy_only=False)[own], batch.column("held").to_numpy(zero_copy_only=False)[own]
+        keys, at = np.unique(grams, return_inverse=True)
+        uses = [np.bincount(at[use], minlength=len(keys)) for use in (side == 0, side == 1, (side == 0) & ~held, (side == 1) & ~held)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (keys, *uses)], ["g", *USES])
+
+
+def _placed(batches):
     for batch in batches:
-        for side in (0, 1):
-            urls = batch.column("url").filter(pc.equal(batch.column("side"), side))
-            if len(urls):
-                keys, n = np.unique(_grams(urls)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), side, np.int32)), pa.array(keys), pa.array(n)], ["side", "key", "n"])
-
-
-class Models:
-    """Sorted counts of both sides; the probability of a character is interpolated along its contexts."""
-
-    def __init__(self, rows: pa.Table):
-        side, key, n = (rows.column(c).to_numpy() for c in ("side", "key", "n"))
-        self.sides = []
-        for s in (0, 1):
-            k, v = key[side == s], n[side == s].astype(float)
-            sort = np.argsort(k)
-            k, v = k[sort], v[sort]
-            context, at = np.unique(k >> 7, return_index=True)
-            self.sides.append((k, v, context, np.add.reduceat(v, at) if len(at) else v, np.diff(np.append(at, len(k))).astype(float)))
-        self.trained = all(len(s[0]) for s in self.sides)
-
-    @staticmethod
-    def _at(keys, table, values):
-        i = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return np.where(table[i] == keys, values[i], 0.0)
-
-    def scores(self, urls: pa.Array) -> np.ndarray:
-        if not len(urls) or not self.trained:
-            return np.zeros(len(urls))
-        keys, own = _grams(urls)
-        logs = []
-        for k, v, context, total, kinds in self.sides:
-            p = np.full(keys.shape[1], 1 / 128)
-            for row in keys:
-                n, new = self._at(row >> 7, context, total), self._at(row >> 7, context, kinds)
-                p = np.where(n > 0, (self._at(row, k, v) + new * p) / np.maximum(n + new, 1), p)
-            logs.append(np.log(p))
-        return np.bincount(own, logs[0] - logs[1], len(urls)) / np.bincount(own, minlength=len(urls))
-
-
-def _scored(models):
-    def run(batches):
-        own = models()
-        for batch in batches:
-            yield batch.append_column("score", pa.array(own.scores(batch.column("url").fill_null(""))))
-
-    return run
+        if batch.num_rows:
+            grams, own = _grams(batch.column("url").fill_null("").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("h").take(pa.array(own)), batch.column("held").take(pa.array(own)), pa.array(grams)], ["h", "held", "g"])
+
+
+def gram_values(counts: DataFrame) -> DataFrame:
+    """(g, all, taught) of each gram of counts: difference of the log-likelihoods of its last character on both sides.
+
+    A context is looked up by all its characters. Level k has the grams of k characters and the one after them; its counts are sums of
+    the level above, a context has no more rows than there are characters, and its probabilities lean on those of the level below.
+    """
+    levels = [counts]
+    for k in range(ORDER, 0, -1):
+        shorter = levels[0].groupBy(F.col("g").bitwiseAND((1 << BITS * k) - 1).alias("g")).agg(*[F.sum(c).alias(c) for c in USES])
+        levels.insert(0, save(shorter, "level"))
+    known = None
+    for k, level in enumerate(levels):
+        each = Window.partitionBy(F.shiftright("g", BITS))
+        parts = level.select("g", *USES, *[F.sum(c).over(each).alias("t" + c) for c in USES], *[F.sum((F.col(c) > 0).cast("long")).over(each).alias("k" + c) for c in USES])
+        if known is None:
+            parts = parts.select("*", *[F.lit(1 / CHARS).alias("p" + c) for c in USES])
+        else:
+            parts = parts.withColumn("short", F.col("g").bitwiseAND(known[1])).join(known[0], "short")
+        now = [F.when(F.col("t" + c) > 0, (F.col(c) + F.col("k" + c) * F.col("p" + c)) / (F.col("t" + c) + F.col("k" + c))).otherwise(F.col("p" + c)).alias("p" + c) for c in USES]
+        out = save(parts.select("g", *now), "chances")
+        known = (out.withColumnRenamed("g", "short"), (1 << BITS * (k + 1)) - 1)
+    return out.select("g", (F.log("pn0") - F.log("pn1")).alias("all"), (F.log("pm0") - F.log("pm1")).alias("taught"))
 
 
 def calibrate(bins: dict[tuple[int, int], int]) -> tuple[float, float]:
@@ -147,22 +138,32 @@ def filter_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
 
     accept_odds is the calibrated logarithm of odds; a url without a rule is allowed from 0 on. A null url, or one without "://",
     has an empty host and path and is judged by its characters (a null url as an empty text). If no url is allowed or none is
-    blocked by rules there is nothing to compare: score and odds are 0 and the rest is allowed. All urls with a rule train, one in
-    five of their distinct hashes calibrates. Repeated rows get equal results and count as often as they stand; null ids are
+    blocked by rules there is nothing to compare: score and odds are 0 and the rest is allowed. The score is
+    calibrated on one in five of the distinct hashes of urls with a rule, by models of the others; then all urls with a rule train. Repeated rows get equal results and count as often as they stand; null ids are
     kept. Other columns are ignored; an empty table gives an empty result.
     """
-    spark = pages.sparkSession
     host, path = host_and_path(F.col(url_col))
-    known = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), path.alias("path"))
+    known = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    known = known.withColumn("rule", rule).withColumn("by_rule", verdict)
-    taught = known.where("by_rule is not null").select("url", F.when(F.col("by_rule") == "allow", 0).otherwise(1).alias("side"), (F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0).alias("held"))
-    counts = taught.where("not held").select("url", "side").mapInArrow(_counts, "side int, key long, n long").groupBy("side", "key").agg(F.sum("n").alias("n"))
-    models = share(spark, Models(counts.toArrow()))
+    known = known.withColumn("rule", rule).withColumn("by_rule", verdict).withColumn("h", F.xxhash64("url"))
+    side = F.when(F.col("by_rule") == "allow", 0).when(F.col("by_rule") == "block", 1)
+    used = known.select("h", "url", side.alias("side"), (F.col("by_rule").isNotNull() & (F.pmod("h", F.lit(HELD_OUT)) == 0)).alias("held"))
+    counts = used.select("url", "side", "held").mapInArrow(_counts, "g long, n0 long, n1 long, m0 long, m1 long")
+    counts = save(counts.groupBy("g").agg(*[F.sum(c).alias(c) for c in USES]), "grams")
+    total = counts.agg(F.count("*").alias("grams"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in USES]).first()
+    values = gram_values(counts)
+    if total.grams <= MOST_GRAMS:
+        values = F.broadcast(values)
+    value = F.when(F.col("held"), F.col("taught") if total.m0 and total.m1 else F.lit(0.0)).otherwise(F.col("all") if total.n0 and total.n1 else F.lit(0.0))
+    each = used.where("held or side is null").select("h", "url", "held").dropDuplicates(["h"]).mapInArrow(_placed, "h long, held boolean, g long")
+    # rounded, as the order of a sum is not fixed
+    scores = save(each.join(values, "g").groupBy("h", "held").agg(F.round(F.avg(value), 12).alias("score")), "scores")
     bin_of = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.round(F.col("score") / BIN).cast("int") + BINS // 2))
-    held = taught.where("held").select("url", "side").mapInArrow(_scored(models), "url string, side int, score double")
+    held = used.where("held").select("h", "side").join(scores.where("held").select("h", "score"), "h")
     bins = {(r.side, r.bin): r.n for r in held.groupBy("side", bin_of.alias("bin")).agg(F.count("*").alias("n")).collect()}
     slope, offset = calibrate(bins) if len({s for s, _ in bins}) == 2 else (1.0, 0.0)
-    out = known.mapInArrow(_scored(models), "page_id long, url string, host string, path string, rule string, by_rule string, score double")
-    free, odds = F.col("by_rule").isNull(), F.round(F.col("score") * slope + offset, 9)
-    return out.select("page_id", "host", "path", "rule", F.when(free, F.when(odds >= 0, "allow").otherwise("block")).otherwise(F.col("by_rule")).alias("verdict"), F.when(free, F.col("score")).alias("score"), F.when(free, odds).alias("accept_odds"))
+    free = known.where("by_rule is null").join(scores.where("not held").select("h", "score"), "h")
+    odds = F.round(F.col("score") * slope + offset, 9)
+    free = free.select("page_id", "host", "path", "rule", F.when(odds >= 0, "allow").otherwise("block").alias("verdict"), "score", odds.alias("accept_odds"))
+    none = F.lit(None).cast("double")
+    return known.where("by_rule is not null").select("page_id", "host", "path", "rule", F.col("by_rule").alias("verdict"), none.alias("score"), none.alias("accept_odds")).unionByName(free)

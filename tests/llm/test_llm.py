@@ -125,6 +125,39 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_model_keeps_contexts_apart(spark, monkeypatch):
+    """Scores against counts by whole byte contexts, with letters beyond 7 bits; broadcast and joined values are the same."""
+    rng = np.random.default_rng(7)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789éß"), 12))
+    taught = [(f"http://{word()}.{end}", side) for end, side in (("com/" + word(), 0), ("net/es/" + word(), 1)) for _ in range(400)]
+    free = [f"http://{word()}.org/{word()}" for _ in range(20)] + ["http://é.org/é", "http://C).org/C)", None]
+    rows = [(i, u) for i, u in enumerate([u for u, _ in taught] + free)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    counts = [{}, {}]
+    grams = lambda u: [tuple(([-1] * 5 + [*u.encode(), 256])[i : i + 6]) for i in range(len(u.encode()) + 1)]
+    for u, side in taught:
+        for g in grams(u):
+            for k in range(6):
+                at = counts[side].setdefault(g[5 - k : 5], {})
+                at[g[5]] = at.get(g[5], 0) + 1
+
+    def score(u):
+        out = []
+        for g in grams(u):
+            p = [1 / 257, 1 / 257]
+            for s in (0, 1):
+                for k in range(6):
+                    if at := counts[s].get(g[5 - k : 5]):
+                        p[s] = (at.get(g[5], 0) + len(at) * p[s]) / (sum(at.values()) + len(at))
+            out.append(np.log(p[0]) - np.log(p[1]))
+        return np.mean(out)
+
+    first = {r.page_id: r for r in url_filter.filter_urls(df).collect()}
+    assert len(first) == len(rows) and [first[800 + i].score for i in range(len(free))] == pytest.approx([score(u or "") for u in free], abs=1e-9)
+    monkeypatch.setattr(url_filter, "MOST_GRAMS", 0)
+    assert {r.page_id: r for r in url_filter.filter_urls(df).collect()} == first
+
+
 def test_line_dedup(docs, empty, spark):
     rows = [(i, "shared boilerplate line of text\nkept", f"s{i}") for i in range(6)] + [(9, None, None), (10, "", "s1")]
     got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
