@@ -23,7 +23,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one whose id names the group."""
-    groups = ngram_join.near_duplicates(docs, k=5, pct=80)
+    groups = ngram_join.near_duplicates(docs, k=5, pct=80, all_links=False)
     gone = save(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     if gone.count() <= ngram_join.MOST_IDS:
         gone = F.broadcast(gone)

@@ -8,9 +8,10 @@ the one with the least estimated candidate cost is taken. Documents whose shingl
 of near copies, texts made of common lines) have no such length. They are joined with each other another way: their sets are
 split by hash into one part more than the sets of a link can have differences, so that one part at least is equal.
 
-Within a bucket of documents that share a join key, documents are first verified against one pivot each round. Only pairs
+Every pair in a bucket of documents that share a join key is formed, counted against the required number of matches and verified,
+so that all links are found. Where components are enough, documents are first verified against one pivot each round. Only pairs
 that are then still in different components are formed in full, counted against the required number of matches and verified,
-so a group of copies costs about its size and no link between components is lost. The first round does so for all keys, the
+so a group of copies costs about its size then, and no link between components is lost. The first round does so for all keys, the
 next ones for the parts of hot documents only: the bucket of a cheap shingle is small.
 
 Before the sets of a candidate are fetched, small parity sketches of both are compared: every shingle flips one bit, so the
@@ -44,6 +45,8 @@ MOST_IDS = 1 << 21
 #: Bytes of the sets of candidate pairs up to which they are broadcast rather than joined.
 MOST_SETS = 32 << 20
 PIVOT_ROUNDS = 3
+#: Holders of a part of hot documents' sets are paired in blocks of about so many.
+BLOCK = 256
 #: 64-bit words of a parity sketch. Sketches of so many nodes (16 MB) are broadcast; more are joined by a shuffle.
 SKETCH, MOST_SKETCHES = 8, 1 << 17
 
@@ -313,18 +316,24 @@ def _dense_pairs(dense: DataFrame, comp: DataFrame | None, pct: int) -> DataFram
     here = _labelled(dense, comp, "node", "comp")
     split = here.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
     here = save(here.join(split, "tok"), "open")
-    x, y = (here.select("tok", *[F.col(c).alias(c + s) for c in ("node", "n", "comp", "grp", "own", "sig")]) for s in ("x", "y"))
-    pairs = x.join(y, "tok").where("nodex < nodey and compx <> compy and grpx = least(ownx, owny)").where(_alike(pct, "nx", "ny"))
+    # holders of a part are dealt by node to blocks of about BLOCK; each pair of blocks is a join key of its own
+    sizes = here.groupBy("tok").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    here = here.join(sizes, "tok").withColumn("own_block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    x, y = (here.select("tok", "own_block", other.alias("block"), *[F.col(c).alias(c + s) for c in ("node", "n", "comp", "grp", "own", "sig")]) for s in ("x", "y"))
+    x, y = x.withColumnsRenamed({"own_block": "bx", "block": "by"}), y.withColumnsRenamed({"own_block": "by", "block": "bx"})
+    pairs = x.join(y, ["tok", "bx", "by"]).where("nodex < nodey and compx <> compy and grpx = least(ownx, owny)").where(_alike(pct, "nx", "ny"))
     pairs = pairs.where("not exists(arrays_zip(sigx, sigy), z -> z.sigx = z.sigy)")
     return pairs.select(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text", all_links: bool = True) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, n_verified.
 
     Two texts link when ``100 * intersection >= pct * union`` of their sets of k-word shingles. component_id is the smallest id
-    that is reachable by links; n_verified counts those links of the row's text to different texts that were verified
-    on the way to the components (0: none); links inside a component that is already found need no verification. Null or blank texts have no shingles and link with nothing: component_id is their own id.
+    that is reachable by links; n_verified counts all links of the row's text to different texts (0: none). A group of m texts that
+    all link has m(m-1)/2 links, and each is verified. Without all_links only components are sought: links inside a component that is
+    already found are not verified, and n_verified counts those that were. Null or blank texts have no shingles and link with nothing: component_id is their own id.
     Repeated rows and equal texts are one node and keep a row each. A null id never names a component unless all its ids are
     null. Other columns are ignored. An empty table gives an empty result.
     """
@@ -368,10 +377,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
         comp = components(found)
         return True
 
-    add(_pivot_pairs(cheap, pct).unionByName(_dense_pivot_pairs(dense, None, pct)))
-    for _ in range(PIVOT_ROUNDS - 1):
-        if not add(_dense_pivot_pairs(dense, comp, pct)):
-            break
+    if not all_links:
+        add(_pivot_pairs(cheap, pct).unionByName(_dense_pivot_pairs(dense, None, pct)))
+        for _ in range(PIVOT_ROUNDS - 1):
+            if not add(_dense_pivot_pairs(dense, comp, pct)):
+                break
     add(_matched_pairs(cheap, comp, pct).unionByName(_dense_pairs(dense, comp, pct)))
 
     ids = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"))

@@ -102,6 +102,22 @@ def test_near_duplicates_of_hot_texts(spark):
     assert [got[i] for i in range(len(texts))] == comp
 
 
+def test_near_duplicates_counts_all_links(spark, monkeypatch):
+    """Each text's links within a group of hot and a group of cheap near copies, with blocks smaller than the groups."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    texts = [" ".join([f"{g}{i}" for i in range(120)] + [f"{g}x{j}_{i}" for i in range(j % 9)]) for g, m in (("a", 60), ("b", 12)) for j in range(m)]
+    texts += ["a lone text of words", texts[1], None]
+    sets = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} if t else set() for t in texts]
+    linked = lambda x, y: x != y and bool(x & y) and 100 * len(x & y) >= 90 * len(x | y)
+    different = {frozenset(s) for s in sets}
+    want = [sum(linked(s, o) for o in different) for s in sets]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in ngram_join.near_duplicates(df, 3, 90).collect()}
+    assert [got[i].n_verified for i in range(len(texts))] == want
+    fast = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df, 3, 90, all_links=False).collect()}
+    assert fast == {i: r.component_id for i, r in got.items()}
+
+
 def test_sharding(docs, empty):
     got = pandas(sharding.shard(docs, shards=4))
     assert len(got) == docs.count() and got.grown_shard.isna().all()
