@@ -22,12 +22,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one whose id names the group."""
-    groups = ngram_join.near_duplicates(docs, k=5, pct=80, all_links=False)
-    gone = save(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    if gone.count() <= ngram_join.MOST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays: of the smallest id (null ids last), then of the smallest hash of id and text.
+
+    A row is told by its id and text: an id that stands on two texts goes only where its text does. Of repeated rows that of the
+    smallest other columns stays. Rows without words are no copies, and all stay.
+    """
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    groups = ngram_join.near_duplicates(keyed, k=5, pct=80, id_col="_row", all_links=False).where("n_shingles > 0")
+    groups = groups.groupBy(F.col("doc_id").alias("_row"), "component_id").agg(F.count("*").alias("n"))
+    groups = save(groups.join(keyed.select("_row", "doc_id").distinct(), "_row"), "groups")
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"), F.count("*").alias("rows"))
+    gone = save(groups.join(first.where("rows > 1"), "component_id").where("_row <> first._row").select("_row"), "gone")
+    again = save(groups.where("n > 1").select("_row"), "again")
+    gone, again = (F.broadcast(x) if x.count() <= ngram_join.MOST_IDS else x for x in (gone, again))
+    left = keyed.join(gone, "_row", "left_anti")
+    one = left.join(again, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*")
+    return left.join(again, "_row", "left_anti").select(*docs.columns).unionByName(one)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,6 +265,14 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, d).where(F.size("ids") != F.col("n_tokens")).count() == 0
 
 
+def test_near_stage_removes_rows_not_ids(spark):
+    """Repeated rows, null ids and an id on two texts: one row of each group stays, and no other text goes."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a, "s2"), (1, a, "s1"), (1, a, "s1"), (None, a, "s0"), (2, a, "s0"), (2, b, "s0"), (None, c, "s1"), (None, c, "s0"), (4, "", "s0"), (None, None, "s0"), (None, None, "s0")]
+    out = corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, [(1, a, "s1"), (2, b, "s0"), (None, c, "s0"), (4, "", "s0"), (None, None, "s0"), (None, None, "s0")]))
+
+
 def test_sketches_differ_less_than_sets():
     """The bits in which two sketches differ never exceed the elements that only one of the sets has."""
     rng = np.random.default_rng(5)
