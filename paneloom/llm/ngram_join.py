@@ -4,15 +4,21 @@ Method. All shingles are ordered by a hash. If two sets reach the similarity, th
 shingles among their first ``n - ceil(t n) + l`` each. A shingle that many documents hold ("hot") makes a costly join key,
 so each document lengthens its prefix until the number of matches then required exceeds the number of hot shingles in it:
 some of the required matches must then be on cheap shingles, and only those are joined. Among the lengths that allow this,
-the one with the least estimated candidate cost is taken. Documents whose shingles are hot nearly throughout (large groups
-of near copies, texts made of common lines) have no such length. They are joined with each other another way: their sets are
-split by hash into one part more than the sets of a link can have differences, so that one part at least is equal.
+the one with the least estimated candidate cost is taken. Every pair in a bucket of a cheap shingle, which has few holders, is
+formed, counted against the required number of matches and verified.
 
-Every pair in a bucket of documents that share a join key is formed, counted against the required number of matches and verified,
-so that all links are found. Where components are enough, documents are first verified against one pivot each round. Only pairs
-that are then still in different components are formed in full, counted against the required number of matches and verified,
-so a group of copies costs about its size then, and no link between components is lost. The first round does so for all keys, the
-next ones for the parts of hot documents only: the bucket of a cheap shingle is small.
+Documents whose shingles are hot nearly throughout (large groups of near copies, texts made of common passages) have no such
+length. They are grouped by a hot shingle, and each is told by its difference from a centre, the shingles that most of the group
+have. With p the centre's size, d and e the shingles that a document lacks and has besides, and o the differences that two
+documents share, their sets have p - d1 - d2 + o shingles in common of p + e1 + e2 - o. So they link exactly when
+
+    (100 + pct) o >= c1 + c2 - (100 - pct) p        with  c = 100 d + pct e
+
+Pairs with c1 + c2 <= (100 - pct) p link whatever they share: they are counted by rank, and an edge of each to the document of the
+least c joins them, without forming pairs. All other pairs must share differences: they are found by prefixes of the differences,
+rarest first, again with the number of matches that a document's c asks for, and are paired in blocks of bounded size, which give
+counts and a spanning forest instead of pairs. What is in no group or in different ones is joined by equal parts of the sets: a
+set is split by hash into one part more than a link may have differences, so that one part at least is equal.
 
 Before the sets of a candidate are fetched, small parity sketches of both are compared: every shingle flips one bit, so the
 bits in which two sketches differ are at most as many as the shingles that only one of the sets has. A pair with more such bits
@@ -44,9 +50,11 @@ VERIFY = 400
 MOST_IDS = 1 << 21
 #: Bytes of the sets of candidate pairs up to which they are broadcast rather than joined.
 MOST_SETS = 32 << 20
-PIVOT_ROUNDS = 3
-#: Holders of a part of hot documents' sets are paired in blocks of about so many.
+#: Holders of a part of hot documents' sets, or of a difference, are paired in blocks of about so many.
 BLOCK = 256
+#: A centre is taken from about so many documents of its group; a document is told by its difference from it where that has at
+#: most this share of the centre's size.
+VOTERS, APART = 64, 0.5
 #: 64-bit words of a parity sketch. Sketches of so many nodes (16 MB) are broadcast; more are joined by a shuffle.
 SKETCH, MOST_SKETCHES = 8, 1 << 17
 
@@ -107,7 +115,7 @@ def _prefixes(pct: int, k: int):
 
 def _keys(pct: int, known, bar: int):
     """Rows (tok, node, n, lvl, l, h): the join keys of each node. l: matches asked for, of which h can be hot. A row of level 0
-    tells that the node is hot throughout."""
+    tells that the node is hot throughout; its tok is the first hot shingle of the count, in powers of two, that most of them have."""
 
     def run(batches):
         hots, dfs = known.value
@@ -133,7 +141,9 @@ def _keys(pct: int, known, bar: int):
                     rows = toks[use], lvl[use]
                 else:
                     l, h = int(n) + 1, 0
-                    rows = np.append(toks[~is_hot], node), np.append(lvl[~is_hot], 0)
+                    powers = np.log2(df[is_hot]).astype(np.int64)
+                    group = toks[is_hot][powers == np.bincount(powers).argmax()][0]
+                    rows = np.append(toks[~is_hot], group), np.append(lvl[~is_hot], 0)
                 m = len(rows[0])
                 for c, v in zip(out, (rows[0], np.full(m, node), np.full(m, n), rows[1], np.full(m, l), np.full(m, h))):
                     c.append(v)
@@ -145,13 +155,13 @@ def _keys(pct: int, known, bar: int):
 
 
 def _parts(pct: int):
-    """Rows for the parts of a hot document's set, for its size class and the one below; sig: the parts before this one."""
+    """Rows for the parts of a hot document's set, for its size class and the one below."""
 
     def run(batches):
         for batch in batches:
-            toks, nodes, sizes, groups, owns, sigs = [], [], [], [], [], []
-            for node, raw in zip(batch.column("node").to_pylist(), batch.column("set")):
-                s = np.frombuffer(raw.as_buffer(), np.uint64)
+            toks, nodes, sizes, groups, owns = [], [], [], [], []
+            for node, toks_of in zip(batch.column("node").to_pylist(), batch.column("toks")):
+                s = toks_of.values.to_numpy().view(np.uint64)
                 bounds = _classes(len(s), pct)
                 own = len(bounds) - 3 - (bounds[-3] > len(s))
                 for g in range(max(0, own - 1), own + 1):
@@ -159,13 +169,11 @@ def _parts(pct: int):
                     at = ((s >> np.uint64(13)) % np.uint64(parts)).astype(np.int64)
                     sums = np.zeros(parts, np.uint64)
                     np.add.at(sums, at, mix(s + np.uint64(3)))
-                    sig = mix(sums + np.uint64(g * 1_000_003 + 1) * (np.arange(parts, dtype=np.uint64) * np.uint64(2) + np.uint64(1))).view(np.int64)
-                    toks.append(sig)
-                    sigs += [sig[:i] for i in range(parts)]
+                    toks.append(mix(sums + np.uint64(g * 1_000_003 + 1) * (np.arange(parts, dtype=np.uint64) * np.uint64(2) + np.uint64(1))).view(np.int64))
                     for c, v in zip((nodes, sizes, groups, owns), (node, len(s), g, own)):
                         c.append(np.broadcast_to(np.asarray(v, np.int64), parts))
             cols = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in (toks, nodes, sizes, groups, owns)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(sigs, pa.list_(pa.int64()))], ["tok", "node", "n", "grp", "own", "sig"])
+            yield pa.RecordBatch.from_arrays(cols, ["tok", "node", "n", "part_class", "own_class"])
 
     return run
 
@@ -179,6 +187,12 @@ def _set_rows(k: int):
     return run
 
 
+def _as_longs(batches):
+    for batch in batches:
+        sets = [np.frombuffer(raw.as_buffer(), np.int64) for raw in batch.column("set")]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "toks"])
+
+
 def _linked(x: bytes, y: bytes, pct: int) -> bool:
     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     z = np.concatenate([x, y])
@@ -208,8 +222,9 @@ def components(edges: DataFrame) -> DataFrame:
     both = save(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     comp = save(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("comp")), "comp")
     while True:
-        near = both.join(comp.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m"))
-        hop = comp.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
+        # the label tables are small unless billions of rows link: broadcast, a node with many edges is no key of a shuffle
+        near = both.join(_if_small(comp.withColumnRenamed("node", "b")), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m"))
+        hop = _if_small(comp.select(F.col("node").alias("comp"), F.col("comp").alias("far")))
         new = comp.join(near, "node").join(hop, "comp").select("node", F.least("comp", "m", "far").alias("new"), F.col("comp").alias("old"))
         new = save(new, "comp")
         done = new.where("new < old").isEmpty()
@@ -275,67 +290,231 @@ def _alike(pct: int, x: str, y: str):
     return 100 * F.least(x, y) >= pct * F.greatest(x, y)
 
 
-def _labelled(keys: DataFrame, comp: DataFrame | None, node: str, out: str) -> DataFrame:
-    """keys with the component of the node as a column: the node itself where it has no link yet."""
-    if comp is None:
-        return keys.withColumn(out, F.col(node))
-    known = comp.select(F.col("node").alias("_node"), F.col("comp").alias("_comp"))
-    known = F.broadcast(known) if comp.count() <= MOST_IDS else known
-    return keys.join(known, F.col(node) == F.col("_node"), "left").withColumn(out, F.coalesce("_comp", node)).drop("_node", "_comp")
+def _matched_pairs(cheap: DataFrame, pct: int) -> DataFrame:
+    """(a, b): every pair that shares as many cheap shingles of its prefixes as a link must. Two documents that are hot throughout
+    are left out: they are joined another way."""
+    pairs = cheap.select(F.posexplode("held").alias("i", "x"), "held").select("x", F.explode(F.expr("slice(held, i + 2, size(held))")).alias("y"))
+    pairs = pairs.where("x.lvl <= least(x.l, y.l) and y.lvl <= least(x.l, y.l) and not (x.l > x.n and y.l > y.n)").where(_alike(pct, "x.n", "y.n"))
+    asked = F.expr("case when x.l <= y.l then x.l - x.h else y.l - y.h end")
+    return pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("m"), F.max(asked).alias("asked")).where("m >= asked").select("a", "b")
 
 
-def _pivot_pairs(cheap: DataFrame, pct: int) -> DataFrame:
-    """(a, b): documents with the least node of a bucket, where they share buckets enough for near copies."""
-    pairs = cheap.select(F.col("held")[0].alias("p"), F.explode(F.expr("slice(held, 2, size(held))")).alias("q")).where(_alike(pct, "p.n", "q.n"))
-    pairs = pairs.where("not (p.l > p.n and q.l > q.n)").groupBy(F.col("q.node").alias("a"), F.col("p.node").alias("b"))
-    # near copies share many keys: rarer pairs are left to the exact round
-    return pairs.agg(F.count("*").alias("m"), F.max(F.least("p.n", "q.n")).alias("n")).where(F.col("m") * 300 >= F.col("n") * (100 - pct)).select("a", "b")
+def _if_small(df: DataFrame) -> DataFrame:
+    """df to be broadcast, if its rows, of a few numbers each, are at most MOST_IDS."""
+    return F.broadcast(df) if df.count() <= MOST_IDS else df
 
 
-def _matched_pairs(cheap: DataFrame, comp: DataFrame | None, pct: int) -> DataFrame:
-    """(a, b): every pair across components that shares as many cheap shingles of its prefixes as a link must. Two documents that
-    are hot throughout are left out: the parts of their sets join them."""
-    x = _labelled(cheap.select("held", F.posexplode("held").alias("i", "x")).withColumn("nodex", F.col("x.node")), comp, "nodex", "compx")
-    pairs = x.select("x", "nodex", "compx", F.explode(F.expr("slice(held, i + 2, size(held))")).alias("y")).withColumn("nodey", F.col("y.node"))
-    pairs = pairs.where("x.lvl <= least(x.l, y.l) and y.lvl <= least(x.l, y.l) and not (x.l > x.n and y.l > y.n)").where(_alike(pct, "x.n", "y.n"))
-    pairs = _labelled(pairs, comp, "nodey", "compy").where("compx <> compy")
-    asked = F.expr("case when x.l <= y.l then x.l - x.h else y.l - y.h end")
-    return pairs.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b")).agg(F.count("*").alias("m"), F.max(asked).alias("asked")).where("m >= asked").select("a", "b")
+def _centres(sets: DataFrame) -> DataFrame:
+    """(grp, centre, centre_set, salts): the shingles that most of a group's voters have, and a name that equal centres share."""
+    size = sets.groupBy("grp").agg(F.count("*").alias("size")).where("size > 1")
+    voters = sets.join(_if_small(size), "grp").where(F.pmod(F.xxhash64("node"), F.col("size")) < VOTERS)
+    votes = voters.select("grp", "size", F.explode("toks").alias("tok")).groupBy("grp", "size", "tok").agg(F.count("*").alias("n"))
+    most = voters.groupBy("grp").agg(F.count("*").alias("m"))
+    held = votes.join(_if_small(most), "grp").where("2 * n > m").groupBy("grp", "size").agg(F.array_sort(F.collect_list("tok")).alias("centre_set"))
+    return held.select("grp", F.xxhash64("centre_set").alias("centre"), "centre_set", F.ceil(F.col("size") / 4096).cast("int").alias("salts"))
 
 
-def _dense_pivot_pairs(dense: DataFrame, comp: DataFrame | None, pct: int) -> DataFrame:
-    """(a, b): documents with one pivot of each part that is not yet within one component."""
-    here = _labelled(dense.select("tok", "node", "n"), comp, "node", "comp")
-    pivot = here.groupBy("tok").agg(F.max(F.struct("comp", "node", "n")).alias("p"), F.min("comp").alias("low")).where("low < p.comp")
-    pairs = here.join(pivot, "tok").where("comp <> p.comp").where(_alike(pct, "n", "p.n"))
-    return pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct()
+def _differences(pct: int):
+    """Rows (node, n, centre, p, c, diff); centre is null where the difference is too large to be of use."""
 
+    def run(batches):
+        for batch in batches:
+            cs, ps, diffs, names = [], [], [], []
+            for toks, core, name in zip(batch.column("toks"), batch.column("centre_set"), batch.column("centre").to_pylist()):
+                s, m = toks.values.to_numpy(), core.values.to_numpy() if core.is_valid else np.zeros(0, np.int64)
+                extra, lacks = np.setdiff1d(s, m, assume_unique=True), np.setdiff1d(m, s, assume_unique=True)
+                near = len(extra) + len(lacks) <= APART * len(m)
+                cs.append(pct * len(extra) + 100 * len(lacks))
+                ps.append(len(m))
+                diffs.append(np.concatenate([extra, lacks]) if near else np.zeros(0, np.int64))
+                names.append(name if near else None)
+            cols = [batch.column("node"), batch.column("n"), pa.array(names, pa.int64()), pa.array(ps, pa.int64()), pa.array(cs, pa.int64()), pa.array(diffs, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, ["node", "n", "centre", "p", "c", "diff"])
+
+    return run
+
+
+def _ranked(near: DataFrame, pct: int) -> DataFrame:
+    """(a, b, m): links of pairs with c1 + c2 <= (100 - pct) p: their number m for each document, and an edge to the least c."""
+    budget = (100 - pct) * F.col("p")
+    many = near.where(F.col("c") <= budget).groupBy("centre", "p", "c").agg(F.count("*").alias("n"))
+    many = save(many, "ranks")
+    told = many.select("centre", F.col("c").alias("at"), "n", F.lit(None).cast("long").alias("c"))
+    asks = many.select("centre", (budget - F.col("c")).alias("at"), F.lit(0).cast("long").alias("n"), "c")
+    upto = F.sum("n").over(Window.partitionBy("centre").orderBy("at").rangeBetween(Window.unboundedPreceding, 0))
+    upto = told.unionByName(asks).withColumn("m", upto).where("c is not null").select("centre", "c", "m")
+    first = near.groupBy("centre").agg(F.min(F.struct("c", "node")).alias("first"))
+    out = near.join(_if_small(save(upto, "upto")), ["centre", "c"]).join(_if_small(save(first, "first")), "centre")
+    out = out.select(F.col("node").alias("a"), F.col("first.node").alias("b"), (F.col("m") - (2 * F.col("c") <= budget).cast("long")).alias("m"))
+    return out.where("m > 0")
+
+
+def _difference_keys(pct: int, known, warm: int):
+    """Rows (centre, tok, node, p, c, diff): the prefix of each document's difference, rarest first. Shingles that are in no other
+    difference of the centre are left out of both where all counts from 2 on are known."""
+
+    def run(batches):
+        names, dfs = known.value
+        for batch in batches:
+            out = [[] for _ in range(6)]
+            for centre, node, p, c, diff in zip(*(batch.column(x).to_pylist() for x in ("centre", "node", "p", "c")), batch.column("diff")):
+                toks = diff.values.to_numpy()
+                name = mix(toks.view(np.uint64) ^ np.uint64(centre % 2**64)).view(np.int64)
+                at = np.minimum(np.searchsorted(names, name), len(names) - 1)
+                df = np.where(names[at] == name, dfs[at], 1)
+                order = np.lexsort((toks, df))
+                asked = max(1, -(-(c - (100 - pct) * p) // 100))
+                shared = np.flatnonzero(df[order] >= warm) if warm == 2 else np.arange(len(toks))
+                prefix = shared[shared < len(toks) - asked + 1]
+                rest = toks[order[shared]]
+                for col, v in zip(out, (centre, toks[order[prefix]], node, p, c, rest)):
+                    col += v.tolist() if col is out[1] else [v] * len(prefix)
+            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], ["centre", "tok", "node", "p", "c", "diff"])
 
-def _dense_pairs(dense: DataFrame, comp: DataFrame | None, pct: int) -> DataFrame:
-    """(a, b): every pair across components with an equal part, once: at the first such part of the lower of their size classes."""
-    here = _labelled(dense, comp, "node", "comp")
-    split = here.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
-    here = save(here.join(split, "tok"), "open")
+    return run
+
+
+def _forest(link: np.ndarray, x: np.ndarray, y: np.ndarray):
+    """(a, b, m) of the rows x and columns y that link: the number of links and the least node of what they are connected with."""
+    keep_x, keep_y = link.any(1), link.any(0)
+    link, x, y = link[keep_x][:, keep_y], x[keep_x], y[keep_y]
+    if not len(x):
+        return []
+    top = np.iinfo(np.int64).max
+    at_x, at_y = x.copy(), y.copy()
+    while True:
+        new_y = np.minimum(at_y, np.where(link, at_x[:, None], top).min(0))
+        new_x = np.minimum(at_x, np.where(link, new_y[None, :], top).min(1))
+        if (new_x == at_x).all() and (new_y == at_y).all():
+            return [(x, at_x, link.sum(1)), (y, at_y, link.sum(0))]
+        at_x, at_y = new_x, new_y
+
+
+def _block_links(tok: int, rows: list, pct: int):
+    """Links of one block of holders of a difference: rows (side, node, p, c, diff)."""
+    x, y = ([r for r in rows if r[0] == side] for side in (0, 1))
+    if not x or not y:
+        return []
+    tokens = np.intersect1d(np.concatenate([r[4] for r in x]), np.concatenate([r[4] for r in y]))
+    every, before = [], []
+    for side in (x, y):
+        full, early = np.zeros((2, len(side), len(tokens)), np.float32)
+        for i, r in enumerate(side):
+            place = np.searchsorted(tokens, r[4])
+            place[place == len(tokens)] = 0
+            here = tokens[place] == r[4]
+            full[i, place[here]] = 1
+            early[i, place[here & (np.arange(len(r[4])) < np.flatnonzero(r[4] == tok)[0])]] = 1
+        every.append(full)
+        before.append(early)
+    (nx, cx), (ny, cy) = ((np.array([r[1] for r in side]), np.array([r[3] for r in side])) for side in (x, y))
+    p = x[0][2]
+    over = cx[:, None] + cy[None, :] - (100 - pct) * p
+    far_x = 2 * cx > (100 - pct) * p  # two far ones meet twice
+    link = (over > 0) & ((100 + pct) * (every[0] @ every[1].T) >= over) & (before[0] @ before[1].T == 0) & (nx[:, None] != ny[None, :])
+    return _forest(link & (~far_x[:, None] | (nx[:, None] < ny[None, :])), nx, ny)
+
+
+def _blocks(pct: int):
+    """Rows (a, b, m) of blocks, each of which stands in consecutive rows."""
+
+    def run(batches):
+        key, rows = None, []
+
+        def told():
+            found = _block_links(key[1], rows, pct) if rows else []
+            a, b, m = (np.concatenate(c) for c in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, m)], ["a", "b", "m"])
+
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("centre", "tok", "bx", "by", "side", "node", "p", "c")]
+            for *now, side, node, p, c, diff in zip(*cols, batch.column("diff")):
+                if now != key:
+                    if rows:
+                        yield told()
+                    key, rows = now, []
+                rows.append((side, node, p, c, diff.values.to_numpy()))
+        yield told()
+
+    return run
+
+
+def _sharing(near: DataFrame, pct: int) -> DataFrame:
+    """(a, b, m): links of pairs of one centre that need shared differences, as counts and spanning forests of blocks."""
+    spark = near.sparkSession
+    counts = near.select("centre", F.explode("diff").alias("tok")).groupBy("centre", "tok").agg(F.count("*").alias("df")).where("df > 1")
+    counts = save(counts, "difference_counts")
+    warm = 2
+    while (told := counts.where(F.col("df") >= warm)).count() > MOST_HOT:
+        warm *= 2
+    told = told.toArrow()
+    name = mix(told.column("tok").to_numpy().view(np.uint64) ^ told.column("centre").to_numpy().view(np.uint64)).view(np.int64)
+    order = np.argsort(name)
+    known = [name[order], told.column("df").to_numpy()[order]] if len(told) else [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+    keys = near.mapInArrow(_difference_keys(pct, spark.sparkContext.broadcast(known), warm), "centre long, tok long, node long, p long, c long, diff array<long>")
+    keys = save(keys.withColumn("far", 2 * F.col("c") > (100 - pct) * F.col("p")), "difference_keys")
+    # two documents that are both near the centre never need shared differences: each pair has a far one as its second
+    size = keys.groupBy("centre", "tok").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nx"), F.ceil(F.count_if("far") / BLOCK).cast("int").alias("ny"), F.count("*").alias("n"))
+    size = save(size.where("ny > 0 and n > 1").drop("n"), "difference_sizes")
+    keys = keys.join(_if_small(size), ["centre", "tok"])
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = keys.withColumn("bx", deal("nx")).withColumn("by", each("ny")).withColumn("side", F.lit(0))
+    y = keys.where("far").withColumn("by", deal("ny")).withColumn("bx", each("nx")).withColumn("side", F.lit(1))
+    both = x.unionByName(y).select("centre", "tok", "bx", "by", "side", "node", "p", "c", "diff")
+    block = ["centre", "tok", "bx", "by"]
+    found = both.repartition(*block).sortWithinPartitions(*block).mapInArrow(_blocks(pct), "a long, b long, m long")
+    found = save(found, "sharing")
+    drop(counts)
+    return found
+
+
+def _part_pairs(parts: DataFrame, sketches: DataFrame, pct: int) -> DataFrame:
+    """(a, b): every pair with an equal part, of the lower of their size classes, that is not of one centre and whose sketches allow
+    a link."""
+    apart = F.max(F.col("centre").isNull()) | (F.min("centre") < F.max("centre"))
+    sizes = parts.groupBy("tok").agg(F.count("*").alias("m"), apart.alias("apart")).where("m > 1 and apart").select("tok", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    here = parts.join(_if_small(save(sizes, "open")), "tok")
+    here = save(here.join(sketches.select("node", "sketch"), "node"), "open_parts")
     # holders of a part are dealt by node to blocks of about BLOCK; each pair of blocks is a join key of its own
-    sizes = here.groupBy("tok").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    here = here.join(sizes, "tok").withColumn("own_block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    here = here.withColumn("own_block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    x, y = (here.select("tok", "own_block", other.alias("block"), *[F.col(c).alias(c + s) for c in ("node", "n", "comp", "grp", "own", "sig")]) for s in ("x", "y"))
+    x, y = (here.select("tok", "own_block", other.alias("block"), *[F.col(c).alias(c + s) for c in ("node", "n", "centre", "part_class", "own_class", "sketch")]) for s in "xy")
     x, y = x.withColumnsRenamed({"own_block": "bx", "block": "by"}), y.withColumnsRenamed({"own_block": "by", "block": "bx"})
-    pairs = x.join(y, ["tok", "bx", "by"]).where("nodex < nodey and compx <> compy and grpx = least(ownx, owny)").where(_alike(pct, "nx", "ny"))
-    pairs = pairs.where("not exists(arrays_zip(sigx, sigy), z -> z.sigx = z.sigy)")
-    return pairs.select(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
-
-
-def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text", all_links: bool = True) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, n_verified.
+    differ = " + ".join(f"bit_count(sketchx[{i}] ^ sketchy[{i}])" for i in range(SKETCH))
+    allowed = F.expr(f"{100 + pct} * ({differ}) <= {100 - pct} * (nx + ny)") & F.expr("nodex < nodey and part_classx = least(own_classx, own_classy) and coalesce(centrex <> centrey, true)")
+    return x.join(y, ["tok", "bx", "by"]).where(allowed & _alike(pct, "nx", "ny")).select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()
+
+
+def _dense_links(dense: DataFrame, texts: _Texts, sketches: DataFrame, pct: int) -> tuple[DataFrame, DataFrame]:
+    """Of documents that are hot throughout (node, n, grp): pairs (a, b) to be verified, and links told as (a, b, m)."""
+    sets = texts.of(dense.select("node"))
+    longs = sets.mapInArrow(_as_longs, "node long, toks array<long>")
+    longs = save(longs.join(dense, "node"), "dense_sets")
+    centres = save(_centres(longs), "centres")
+    salted = longs.join(_if_small(save(centres.select("grp", "salts"), "salts")), "grp", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    centres = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    told = salted.join(centres, ["grp", "salt"], "left").select("node", "n", "toks", "centre", "centre_set")
+    told = save(told.mapInArrow(_differences(pct), "node long, n long, centre long, p long, c long, diff array<long>"), "differences")
+    near = told.where("centre is not null").select("centre", "node", "p", "c", "diff")
+    found = _ranked(near, pct).unionByName(_sharing(near, pct))
+    parts = longs.select("node", F.col("toks")).mapInArrow(_parts(pct), "tok long, node long, n long, part_class long, own_class long")
+    parts = save(parts.join(told.select("node", "centre"), "node"), "parts")
+    pairs = save(_part_pairs(parts, sketches, pct), "part_pairs")
+    found = save(found, "told")
+    drop(longs, parts, told)
+    return pairs, found
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id, n_links.
 
     Two texts link when ``100 * intersection >= pct * union`` of their sets of k-word shingles. component_id is the smallest id
-    that is reachable by links; n_verified counts all links of the row's text to different texts (0: none). A group of m texts that
-    all link has m(m-1)/2 links, and each is verified. Without all_links only components are sought: links inside a component that is
-    already found are not verified, and n_verified counts those that were. Null or blank texts have no shingles and link with nothing: component_id is their own id.
-    Repeated rows and equal texts are one node and keep a row each. A null id never names a component unless all its ids are
-    null. Other columns are ignored. An empty table gives an empty result.
+    that is reachable by links; n_links counts the different sets that the row's set links to (0: none). Null or blank texts have
+    no shingles and link with nothing: component_id is their own id. Repeated rows and equal texts are one node and keep a row
+    each. A null id never names a component unless all its ids are null. A very long text is a longer set and nothing else. Other
+    columns are ignored, whatever their names. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -343,7 +522,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     rows = save(full.select("doc_id", "n", "node"), "rows")
     # only nodes of several rows need be made distinct: the others keep where they are
     again = save(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("m")).where("m > 1").select("node"), "copies")
-    hint = F.broadcast(again) if again.count() <= MOST_IDS else again
+    hint = _if_small(again)
     once = full.where("node is not null").select("node", "n", "prefix", "sketch")
     nodes = save(once.join(hint, "node", "left_anti").unionByName(once.join(hint, "node", "left_semi").dropDuplicates(["node"])), "nodes")
     drop(full, again)
@@ -357,42 +536,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     told = told.orderBy("tok").toArrow()
     known = [told.column(c).to_numpy() for c in ("tok", "df")] if len(told) else [np.zeros(1, np.int64), np.zeros(1, np.int64)]
     keyed = nodes.select("node", "n", "prefix").mapInArrow(_keys(pct, spark.sparkContext.broadcast(known), bar), "tok long, node long, n int, lvl int, l int, h int")
-    # a cheap shingle has fewer than `bar` holders: its bucket is one small row, and every later round reads it without a shuffle
+    # a cheap shingle has fewer than `bar` holders: its bucket is one small row
     held = keyed.where("lvl > 0").repartition("tok").groupBy("tok").agg(F.array_sort(F.collect_list(F.struct("node", "n", "lvl", "l", "h"))).alias("held"))
     cheap = save(held.where("size(held) > 1").select("held"), "buckets")
     texts = _Texts(docs, rows, k)
-    dense = save(texts.of(keyed.where("lvl = 0").select("node")).mapInArrow(_parts(pct), "tok long, node long, n long, grp long, own long, sig array<long>"), "parts")
-    shared = save(dense.join(dense.groupBy("tok").agg(F.count("*").alias("m")).where("m > 1").select("tok"), "tok"), "dense")
-    drop(dense)
-    dense = shared
-
-    comp, found = None, None
-
-    def add(pairs: DataFrame) -> bool:
-        nonlocal comp, found
-        more = links(pairs, texts, sketches, pct)
-        if more.isEmpty():
-            return False
-        found = more if found is None else save(found.unionByName(more), "links")
-        comp = components(found)
-        return True
-
-    if not all_links:
-        add(_pivot_pairs(cheap, pct).unionByName(_dense_pivot_pairs(dense, None, pct)))
-        for _ in range(PIVOT_ROUNDS - 1):
-            if not add(_dense_pivot_pairs(dense, comp, pct)):
-                break
-    add(_matched_pairs(cheap, comp, pct).unionByName(_dense_pairs(dense, comp, pct)))
+    dense = save(keyed.where("lvl = 0").select("node", F.col("n").cast("long"), F.col("tok").alias("grp")), "dense")
+    pairs, found = _dense_links(dense, texts, sketches, pct)
+    # a pair with an equal part has a document that is hot throughout at both ends, a pair with cheap matches has not
+    pairs = save(_matched_pairs(cheap, pct).unionByName(pairs), "candidates")
+    drop(counts, cheap)
+    verified = links(pairs, texts, sketches, pct)
+    found = save(found.unionByName(verified.select("a", "b", F.lit(1).cast("long").alias("m"))).unionByName(verified.select(F.col("b").alias("a"), F.col("a").alias("b"), F.lit(1).cast("long").alias("m"))), "found")
+    comp = components(found.where("a <> b"))
 
     ids = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"))
-    if comp is None:
-        named = ids.select("node", F.col("least_id").alias("component_id"), F.lit(0).cast("long").alias("n_verified"))
-    else:
-        degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_verified"))
-        member = comp.join(ids, "node").join(degree, "node", "left")
-        least = member.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-        linked = member.join(least, "comp").select("node", "component_id", F.coalesce("n_verified", F.lit(0)).alias("n_verified"))
-        named = ids.join(linked, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"), F.coalesce("n_verified", F.lit(0)).alias("n_verified"))
+    degree = found.groupBy(F.col("a").alias("node")).agg(F.sum("m").alias("n_links"))
+    member = comp.join(ids, "node")
+    least = member.groupBy("comp").agg(F.min("least_id").alias("component_id"))
+    linked = member.join(least, "comp").select("node", "component_id")
+    named = ids.join(linked, "node", "left").join(degree, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"), "n_links")
     return rows.join(named, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
     )

@@ -113,9 +113,60 @@ def test_near_duplicates_counts_all_links(spark, monkeypatch):
     want = [sum(linked(s, o) for o in different) for s in sets]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in ngram_join.near_duplicates(df, 3, 90).collect()}
-    assert [got[i].n_verified for i in range(len(texts))] == want
-    fast = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df, 3, 90, all_links=False).collect()}
-    assert fast == {i: r.component_id for i, r in got.items()}
+    assert [got[i].n_links for i in range(len(texts))] == want
+
+
+@pytest.mark.parametrize("k,pct,seed", [(3, 90, 1), (5, 80, 2)])
+def test_near_duplicates_of_families(spark, monkeypatch, k, pct, seed):
+    """Families of hot texts: copies with up to a dozen edits, copies of copies, one passage with tails of their own, two families that
+    share most of their text, and repeated edits. Links and components as by brute force, with small blocks and few voters."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "VOTERS", 12)
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(130)]
+    cousin = base[:118] + [f"c{i}" for i in range(12)]
+    texts = []
+    for root, m in ((base, 70), (cousin, 50)):
+        for i in range(m):
+            w = list(root)
+            for at in rng.choice(len(w), rng.integers(0, 9), replace=False):
+                w[at] = f"x{i}" if rng.random() < 0.6 else "same"
+            texts.append(" ".join(w))
+    texts += [" ".join(base[:90] + [f"t{i}_{j}" for j in range(rng.integers(5, 30))]) for i in range(60)]
+    texts += [" ".join(texts[0].split()[: -rng.integers(1, 12)]) for _ in range(40)] + [texts[5], "", None]
+    sets = [{tuple(t.split()[i : i + k]) for i in range(len(t.split()) - k + 1)} if t else set() for t in texts]
+    linked = lambda x, y: x != y and bool(x & y) and 100 * len(x & y) >= pct * len(x | y)
+    different = {frozenset(s) for s in sets}
+    comp = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if linked(sets[i], sets[j]) or (sets[i] and sets[i] == sets[j]):
+                lo, hi = sorted((comp[i], comp[j]))
+                comp = [lo if c == hi else c for c in comp]
+    got = {r.doc_id: r for r in ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k, pct).collect()}
+    assert [got[i].n_links for i in range(len(texts))] == [sum(linked(s, o) for o in different) for s in sets]
+    assert [got[i].component_id for i in range(len(texts))] == comp
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_block_links(seed):
+    """Counts of the pairs that need shared differences, over all buckets of one centre, against sets compared in full."""
+    rng = np.random.default_rng(seed)
+    centre = np.arange(1000, 1060)
+    docs = []
+    for _ in range(40):
+        lacks = rng.choice(centre, rng.integers(0, 8), replace=False)
+        docs.append(set(centre.tolist()) - set(lacks.tolist()) | set(rng.integers(0, 12, rng.integers(0, 5)).tolist()))
+    pct, p, budget = 80, 60, 20 * 60
+    diff = [np.array(sorted(d ^ set(centre.tolist()))) for d in docs]
+    c = [100 * len(set(centre.tolist()) - d) + pct * len(d - set(centre.tolist())) for d in docs]
+    got = np.zeros(40, int)
+    for tok in set(np.concatenate(diff).tolist()):
+        rows = [(0, i, p, c[i], diff[i]) for i in range(40) if tok in diff[i]] + [(1, i, p, c[i], diff[i]) for i in range(40) if tok in diff[i] and 2 * c[i] > budget]
+        for a, _, m in ngram_join._block_links(tok, rows, pct):
+            np.add.at(got, a, m)
+    want = [sum(j != i and c[i] + c[j] > budget and 100 * len(x & y) >= pct * len(x | y) for j, y in enumerate(docs)) for i, x in enumerate(docs)]
+    assert got.tolist() == want
 
 
 def test_sharding(docs, empty):
