@@ -28,7 +28,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     smallest other columns stays. Rows without words are no copies, and all stay.
     """
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    groups = ngram_join.near_duplicates(keyed, k=5, pct=80, id_col="_row", all_links=False).where("n_shingles > 0")
+    groups = ngram_join.near_duplicates(keyed, k=5, pct=80, id_col="_row").where("n_shingles > 0")
     groups = groups.groupBy(F.col("doc_id").alias("_row"), "component_id").agg(F.count("*").alias("n"))
     groups = save(groups.join(keyed.select("_row", "doc_id").distinct(), "_row"), "groups")
     first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"), F.count("*").alias("rows"))
