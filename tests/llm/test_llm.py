@@ -190,6 +190,10 @@ def test_url_filter(spark):
     assert [got[i].verdict for i in (3, 4, 5, 7)] == ["allow", "block", "allow", "block"]
     assert got[8].score is not None and got[8].verdict in ("allow", "block")
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+    for kind in ("int", "string"):
+        named = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").withColumn("page_id", F.col("page_id").cast(kind))
+        other = {int(r.page_id): r.verdict for r in url_filter.filter_urls(named).collect()}
+        assert other == {i: r.verdict for i, r in got.items()}
 
 
 def test_url_model_keeps_contexts_apart(spark, monkeypatch):
@@ -233,6 +237,39 @@ def test_line_dedup(docs, empty, spark):
     assert line_dedup.dedup_lines(docs).count() == docs.count() and line_dedup.dedup_lines(empty).count() == 0
 
 
+def brute_lines(rows, min_sites, min_chars):
+    """rows: (id, text, site). Texts without lines that stand at min_sites sites, but where their owner has them."""
+    has: dict = {}
+    for i, t, s in rows:
+        for x in (t or "").split("\n") if t is not None else []:
+            if len(x.strip(" ")) >= min_chars:
+                has.setdefault(x.strip(" "), []).append((i, s))
+    first = {x: min((i for i, _ in at if i is not None), default=None) for x, at in has.items() if len({s for _, s in at}) >= min_sites}
+    return [None if t is None else "\n".join(x for x in t.split("\n") if x.strip(" ") not in first or first[x.strip(" ")] == i) for i, t, s in rows]
+
+
+@pytest.mark.parametrize("most", [1 << 21, 0])
+def test_line_dedup_against_brute_force(spark, monkeypatch, most):
+    """Random lines, near and above the threshold of sites, with null sites and texts, repeated rows and columns named like helpers;
+    texts cleaned where they are read and by a join."""
+    monkeypatch.setattr(line_dedup, "MOST_LINES", most)
+    rng = np.random.default_rng(4)
+    rows = [(i, "\n".join(f" line {rng.integers(0, 60)} " for _ in range(rng.integers(0, 9))) if i % 11 else None, None if i % 13 == 0 else f"s{rng.integers(0, 8)}") for i in range(200)]
+    rows += [rows[7], rows[8], (900, ("line 3\n" * 5000)[:-1], "s1")]
+    names = ["row", "id", "own_id", "own_row", "site", "gone", "lines", "h", "_rid", "_text", "n_lines"]
+    df = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    out = line_dedup.dedup_lines(df, 6, 3)
+    got = out.collect()
+    assert sorted((r.doc_id, str(r.text)) for r in got) == sorted((r[0], str(t)) for r, t in zip(rows, brute_lines(rows, 6, 3)))
+    assert out.columns == ["doc_id", "text", "source", *names[:-1], "n_lines", "n_removed"] and all(r[n] == i for r in got for i, n in enumerate(names[:-1]))
+
+
+def test_line_dedup_keeps_a_line_of_rows_without_ids(spark):
+    rows = [(None, f"one shared line of many rows\nown {i}", f"s{i}") for i in range(7)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sum(r.n_removed for r in got) == 6 and sum("one shared line" in r.text for r in got) == 1
+
+
 def test_line_stage_removes_short_lines(spark):
     rows = [(i, f"Les. \n \n\nown{i}\nOk", f"s{i}" if i < 5 else "s0") for i in range(8)] + [(9, "Ok", "s1"), (10, "rare", "s1")]
     got = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
@@ -258,12 +295,45 @@ def test_ann(spark):
     assert ann.search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
-def test_pieces(spark, docs, empty):
+def test_ann_of_repeated_query_rows(spark):
+    """A repeated query row asks once, and of different vectors under one id the smallest asks."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100, x[100].tolist()), (200, [9.0] * 8), (7, x[7].tolist())]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), want=1.0, probes=64).toPandas()
+    full = np.array([v for _, v in rows])
+    ids = np.array([i for i, _ in rows])
+    for q in (0, 100, 200, 300):
+        d = np.sqrt(((full - x[q]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        assert got[got.query_id == q].sort_values("rank").vec_id.tolist() == ids[np.lexsort((ids, d))[:10]].tolist()
+
+
+def test_ann_recall_on_the_given_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    known = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where("embedding is not null").toPandas()
+    known = known[[v is not None and len(v) > 0 and bool(np.isfinite(np.array(v, float)).all()) and bool(np.any(v)) for v in known.v]]
+    x, ids = np.array(known.v.tolist(), float), known.vec_id.to_numpy()
+    got = ann.search(rows).toPandas()
+    hits = total = 0
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        want = set(ids[np.lexsort((ids, d))[:10]])
+        hits += len(want & set(got[got.query_id == q].vec_id))
+        total += len(want)
+    assert hits >= 0.9 * total
+
+
+def test_pieces(spark, docs, empty, monkeypatch):
     import sentencepiece
 
     path = registry.model_path()
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    odd = ["a ", " a", "  a  b ", "▁a", "▁", " ", "   ", "x\n\ny\t z", "日本 語", "a\x00b", "▁ ▁a ▁"]
+    rng = np.random.default_rng(8)
+    letters = [" ", " ", "  ", "\u2581", "a", "b", "the", "é", "e\u0301", "\u3000", "\x00", "\x07", "\n", "\t", "😀", "ﬁ", "Ⅳ", "日本", "1", ".", "<s>", "\u00a0", "\u200b"]
+    odd = ["".join(rng.choice(letters, rng.integers(1, 25))) for _ in range(3000)] + ["word " * 300_000, "x" * 200_000]
+    odd += ["a ", " a", "  a  b ", "▁a", "▁", " ", "   ", "x\n\ny\t z", "日本 語", "a\x00b", "▁ ▁a ▁"]
     both = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + i, t) for i, t in enumerate(odd)], "doc_id long, text string"))
     want = []
     for r in both.collect():
@@ -272,6 +342,9 @@ def test_pieces(spark, docs, empty):
     got = pieces.encode(both, path, keep_ids=True).collect()
     assert sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == sorted(want) and all(len(r.ids) == r.n_tokens for r in got)
     assert pieces.encode(empty, path).count() == 0
+    monkeypatch.setattr(pieces, "RUN_CHARS", 300)
+    again = pieces.encode(both.repartition(3), path).collect()
+    assert sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in again) == sorted(want)
 
 
 def test_mixing(docs, empty, spark):
@@ -282,6 +355,9 @@ def test_mixing(docs, empty, spark):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
     copies = mixing.mixed_documents(docs)
     assert copies.columns == docs.columns and copies.where("text is null or text = ''").count() == 0
+    clash = docs.select("*", *[F.lit(n).alias(n) for n in ("row", "skey", "own", "cut", "passes", "key", "col", "_skey", "_copy")])
+    more = mixing.mixed_documents(clash)
+    assert more.columns == clash.columns and more.count() == copies.count() and more.where("row <> 'row' or cut <> 'cut' or _copy <> '_copy' or col <> 'col'").count() == 0
 
 
 def test_media(docs, empty):
