@@ -33,7 +33,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+    return line_dedup.dedup_lines(documents(spark, sf_dir), min_chars=1).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ ORACLE_SQL = {
 WITH lines AS (
   SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents
 ), spread AS (
-  SELECT trim(line) AS line, min(doc_id) AS first_id FROM lines WHERE length(trim(line)) >= 20
+  SELECT trim(line) AS line, min(doc_id) AS first_id FROM lines WHERE length(trim(line)) >= 1
   GROUP BY trim(line) HAVING count(DISTINCT coalesce(source, chr(1))) >= 5
 ), marked AS (
   SELECT l.doc_id, l.pos, l.line, s.line IS NOT NULL AND l.doc_id <> s.first_id AS gone FROM lines l LEFT JOIN spread s ON trim(l.line) = s.line
