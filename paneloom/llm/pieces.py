@@ -1,28 +1,34 @@
 """SentencePiece encoding and decoding by a table of distinct chunks.
 
 No piece of the model has a whitespace marker after another character (checked when the model is loaded), so merges never
-cross from a word to the marker of the next: a marked word has the same ids wherever it stands. Distinct marked words are
-counted over all texts by Spark; the most frequent ones, a table of bounded size, are segmented once and broadcast. The other
-distinct words of a batch of texts are segmented once for the batch. Ids are then joined back by position.
+cross from a word to the marker of the next: a marked word has the same ids wherever it stands. Texts are taken in runs of bounded
+size. A run becomes the places of its words as numbers into its own list of distinct words, and that list, cut by hash into parts.
+All lists of a part meet in one task, where each distinct word of the corpus is segmented once; its ids go back to every
+run that has it, and are joined to the places there. What moves is each run's distinct words and numbers, never texts.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import save
+
 MARK = "▁"
-#: Words of the broadcast table, and the longest one in characters: it stays under 16 MB.
-TABLE, LONGEST = 1 << 16, 64
-#: Characters of texts whose rare words are looked up together.
-BATCH_CHARS = 2_000_000
+#: Characters of a run; a longer text is a run of its own.
+RUN_CHARS = 4_000_000
+#: Parts of the table of distinct words: so many, and more by the root of the corpus' size in units of so many bytes, so that a
+#: part and a run's share of it both stay moderate.
+PARTS, PARTS_BYTES = 64, 1 << 26
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
+_STEP = "run string, part int, doc_ids array<long>, blob binary"
 
 
 def keys_of(text: str) -> list[str]:
@@ -34,6 +40,40 @@ def keys_of(text: str) -> list[str]:
     return [c[1:] for c in _RUNS.findall(MARK + text.replace(" ", MARK))]
 
 
+def _squeezed(*arrays: np.ndarray) -> bytes:
+    """Whole numbers below 2^32, least bytes together: lengths of the arrays first."""
+    import zstandard
+
+    flat = np.concatenate([[len(arrays)], [len(x) for x in arrays], *arrays]).astype(np.uint32)
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _numbers(blob: bytes) -> list[np.ndarray]:
+    import zstandard
+
+    flat = np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1).T).view(np.uint32).ravel().astype(np.int64)
+    n = flat[1 : 1 + flat[0]]
+    return np.split(flat[1 + len(n) :], np.cumsum(n)[:-1])
+
+
+def _packed(strings: list[str]) -> bytes:
+    import zstandard
+
+    column = pa.array(strings, pa.large_string())
+    offsets, data = column.buffers()[1:]
+    sizes = np.diff(np.frombuffer(offsets, np.int64)[: len(strings) + 1]).astype(np.uint32)
+    return zstandard.ZstdCompressor(level=3).compress(np.uint32(len(strings)).tobytes() + sizes.tobytes() + (data.to_pybytes() if data else b""))
+
+
+def _strings(blob: bytes) -> list[str]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n = int(np.frombuffer(raw, np.uint32, 1)[0])
+    offsets = np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint32, n, 4).astype(np.int64))])
+    return pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw[4 + 4 * n :])]).to_pylist()
+
+
 class Segmenter:
     """What the library makes of a marked word: its ids as text, and the text they decode to."""
 
@@ -53,51 +93,102 @@ class Segmenter:
         return {k: ",".join(map(str, x)) for k, x in zip(keys, ids)}, {k: t[1:] for k, t in zip(keys, texts)}
 
 
-def _counted(batches):
+def _runs(batches):
+    """(ids, texts) of consecutive rows of about RUN_CHARS characters."""
+    ids, texts, size = [], [], 0
     for batch in batches:
-        for part in _parts(batch.column(0)):
-            found: Counter = Counter()
-            for text in part:
-                found.update(keys_of(text))
-            words = [w for w in found if len(w) <= LONGEST]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([found[w] for w in words], pa.int64())], ["word", "n"])
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            text = text.as_py() or ""
+            ids.append(doc_id)
+            texts.append(text)
+            size += len(text)
+            if size >= RUN_CHARS:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
 
+def _cut(parts: int):
+    """For each run a row of its places (part -1) and a row for each part of its words."""
 
-def _encoded(table, model_path: str, keep_ids: bool):
     def run(batches):
-        segment = Segmenter(model_path)
-        ids, texts = table.value
+        for ids, texts in _runs(batches):
+            index: dict[str, int] = {}
+            codes, sizes = [], []
+            for text in texts:
+                words = keys_of(text)
+                sizes.append(len(words))
+                codes.append(np.array([index.setdefault(w, len(index)) for w in words], np.int64))
+            codes = np.concatenate(codes)
+            often = np.argsort(-np.bincount(codes, minlength=len(index)), kind="stable")
+            rank = np.empty(len(index), np.int64)
+            rank[often] = np.arange(len(index))
+            words = np.array(list(index) + [""], object)[:-1][often]
+            part = np.array([zlib.crc32(w.encode()) % parts for w in words], np.int64)
+            order = np.argsort(part, kind="stable")
+            name = uuid.uuid4().hex
+            used, first = np.unique(part[order], return_index=True)
+            blobs = [_packed(x.tolist()) for x in np.split(words[order], first[1:])] if len(used) else []
+            cols = [[name] * (1 + len(used)), [-1, *used.tolist()], [ids] + [None] * len(used), [_squeezed(np.array(sizes), rank[codes], order), *blobs]]
+            kinds = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["run", "part", "doc_ids", "blob"])
 
-        def rows(part):
-            split = [keys_of(t) for t in part]
-            rare_ids, rare_texts = segment(list(set().union(*split).difference(ids)))
-            out = []
-            for words in split:
-                joined = ",".join([ids[w] if w in ids else rare_ids[w] for w in words])
-                plain = "".join([texts[w] if w in texts else rare_texts[w] for w in words])[1:]
-                out.append((joined, plain))
-            return out
+    return run
+
+
+def _segmented(model_path: str):
+    """The lists of words of a part, in consecutive rows, become lists of ids and of decoded texts; each word is segmented once."""
 
+    def run(batches):
+        segment, part, ids, texts = Segmenter(model_path), None, {}, {}
         for batch in batches:
-            at = 0
-            for part in _parts(batch.column("text")):
-                yield _digests(batch.column("doc_id").slice(at, len(part)), rows(part), keep_ids)
-                at += len(part)
+            out = []
+            for now, blob in zip(batch.column("part").to_pylist(), batch.column("blob")):
+                if now != part:
+                    part, ids, texts = now, {}, {}
+                words = _strings(blob.as_py())
+                more_ids, more_texts = segment([w for w in words if w not in ids])
+                ids |= more_ids
+                texts |= more_texts
+                out.append(_packed([ids[w] for w in words] + [texts[w] for w in words]))
+            cols = [batch.column("run"), batch.column("part"), pa.nulls(len(out), pa.list_(pa.int64())), pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["run", "part", "doc_ids", "blob"])
 
     return run
 
 
-def _parts(column: pa.Array):
-    """Runs of texts of about BATCH_CHARS characters, so that what is held at once does not depend on the batch."""
-    part, size = [], 0
-    for text in column:
-        part.append(text.as_py() or "")
-        size += len(part[-1])
-        if size >= BATCH_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def _joined(keep_ids: bool):
+    """The rows of a run, consecutive and by part, become a row for each of its documents."""
+
+    def run(batches):
+        name, doc_ids, places, ids, texts = None, None, None, [], []
+
+        def told():
+            sizes, codes, order = places
+            of_ids, of_texts = np.empty((2, len(order)), object)
+            of_ids[order], of_texts[order] = ids, texts
+            split = np.split(codes, np.cumsum(sizes)[:-1])
+            for at in range(0, len(doc_ids), 2000):
+                rows = [(",".join(of_ids[c].tolist()), "".join(of_texts[c].tolist())[1:]) for c in split[at : at + 2000]]
+                yield _digests(pa.array(doc_ids[at : at + 2000], pa.int64()), rows, keep_ids)
+
+        for batch in batches:
+            for now, part, own, blob in zip(batch.column("run").to_pylist(), batch.column("part").to_pylist(), batch.column("doc_ids"), batch.column("blob")):
+                if now != name:
+                    if name is not None:
+                        yield from told()
+                    name, ids, texts = now, [], []
+                if part < 0:
+                    doc_ids, places = own.as_py(), _numbers(blob.as_py())
+                else:
+                    both = _strings(blob.as_py())
+                    ids += both[: len(both) // 2]
+                    texts += both[len(both) // 2 :]
+        if name is not None:
+            yield from told()
+
+    return run
 
 
 def _digests(doc_ids: pa.Array, rows: list[tuple[str, str]], keep_ids: bool) -> pa.RecordBatch:
@@ -114,11 +205,14 @@ def encode(docs: DataFrame, model_path: str, keep_ids: bool = False, id_col: str
     """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array<int>).
 
     Ids are those of the library for the whole text, without begin and end; decoded is what it decodes them to. A null or empty
-    text has no ids and decodes to nothing. Repeated rows and null ids each give a row; other columns are ignored.
+    text has no ids and decodes to nothing; a very long one is a run of its own. Repeated rows and null ids each give a row; other
+    columns are ignored, whatever their names. An empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    counts = docs.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    common = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(TABLE).collect()]
-    table = docs.sparkSession.sparkContext.broadcast(Segmenter(model_path)(common))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = int(PARTS * max(1.0, (size / PARTS_BYTES) ** 0.5))
+    cut = save(docs.mapInArrow(_cut(parts), _STEP), "runs")
+    words = cut.where("part >= 0").repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(_segmented(model_path), _STEP)
+    both = cut.where("part < 0").unionByName(words).repartition(F.col("run")).sortWithinPartitions("run", "part")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    return docs.mapInArrow(_encoded(table, model_path, keep_ids), schema)
+    return both.mapInArrow(_joined(keep_ids), schema)
