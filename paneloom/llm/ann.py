@@ -196,8 +196,9 @@ def search(rows: DataFrame, k: int = 10, every: int = 100, probes: int = 4, want
     double precision, nearest first, ties to the smaller id. `want`: recall at which the number of parts is set on held-out rows.
 
     Rows with the query's own id are not its neighbours. Vectors that are null, zero, of another length than most or with null or
-    non-finite parts take no part, nor do null ids. Repeated rows are rows: they may both be found. A query gets fewer than k
-    only if there are fewer candidates. Other columns are ignored; an empty table gives an empty result.
+    non-finite parts take no part, nor do null ids. Repeated rows are rows: they may both be found. An id asks once: if its rows
+    are repeated, or differ, the smallest of its vectors (by their parts in order) asks. A query gets fewer than k only if there
+    are fewer candidates. Other columns are ignored; an empty table gives an empty result.
     """
     spark = rows.sparkSession
     good, dim, n = valid_vectors(rows, id_col, vec_col)
@@ -206,7 +207,9 @@ def search(rows: DataFrame, k: int = 10, every: int = 100, probes: int = 4, want
         return spark.createDataFrame([], schema)
     good = good.select("vec_id", "vec")
     parts = int(min(256, max(1, 2 ** round(np.log2(max(1.0, (n**0.5) / 8))))))
-    fitted = good.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(sample).toArrow()
+    # a threshold on the hash leaves each partition little to send: about four samples in all
+    some = good if n <= 4 * sample else good.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40)) < int((1 << 40) * 4 * sample / n))
+    fitted = some.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(sample).toArrow()
     x = _matrix(fitted.column("vec").combine_chunks(), dim)
     parts = min(parts, max(1, len(x) // 16))
     fitted, mass = fit(x, parts, want)
@@ -215,7 +218,7 @@ def search(rows: DataFrame, k: int = 10, every: int = 100, probes: int = 4, want
     sizes = np.zeros(parts, np.int64)
     for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect():
         sizes[r.part] = r.n
-    asked = good.where(F.col("vec_id") % every == 0).mapInArrow(_routed(router, dim, sizes, probes, mass, 20 * k), "vec_id long, vec array<double>, part int")
+    asked = good.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec")).mapInArrow(_routed(router, dim, sizes, probes, mass, 20 * k), "vec_id long, vec array<double>, part int")
     asked = save(asked, "asked")
     n_asked = np.zeros(parts, np.int64)
     for r in asked.groupBy("part").agg(F.count("*").alias("n")).collect():
