@@ -139,11 +139,12 @@ def filter_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     accept_odds is the calibrated logarithm of odds; a url without a rule is allowed from 0 on. A null url, or one without "://",
     has an empty host and path and is judged by its characters (a null url as an empty text). If no url is allowed or none is
     blocked by rules there is nothing to compare: score and odds are 0 and the rest is allowed. The score is
-    calibrated on one in five of the distinct hashes of urls with a rule, by models of the others; then all urls with a rule train. Repeated rows get equal results and count as often as they stand; null ids are
-    kept. Other columns are ignored; an empty table gives an empty result.
+    calibrated on one in five of the distinct hashes of urls with a rule, by models of the others; then all urls with a rule train.
+    Repeated rows get equal results and count as often as they stand; ids of any type, null ones too, are kept. A very long url is
+    judged whole. Other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     host, path = host_and_path(F.col(url_col))
-    known = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), path.alias("path"))
+    known = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     known = known.withColumn("rule", rule).withColumn("by_rule", verdict).withColumn("h", F.xxhash64("url"))
     side = F.when(F.col("by_rule") == "allow", 0).when(F.col("by_rule") == "block", 1)
