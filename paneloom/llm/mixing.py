@@ -81,12 +81,14 @@ def mix(docs: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int,
 def mixed_documents(docs: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 0) -> DataFrame:
     """The rows that the mix takes, each as often as it is taken, with all columns of docs.
 
-    Each source's cut is told by the last key it takes; the row at the cut is kept whole. Rows without words are not taken.
+    Each source's cut is told by the last key it takes; the row at the cut is kept whole. Rows without words, nulls among them, are
+    not taken. Repeated rows are taken alike. Other columns stay, whatever their names; an empty table stays empty.
     """
     plan = mix(docs, share, most, weights, seed)
-    cut = plan.groupBy("skey").agg(F.first("passes").alias("_passes"), F.max(F.when(F.col("taken") > F.col("passes") * F.col("size"), F.struct("key", "doc_id", "size"))).alias("_cut"))
+    cut = plan.groupBy("skey").agg(F.first("passes").alias("passes"), F.max(F.when(F.col("taken") > F.col("passes") * F.col("size"), F.struct("key", "doc_id", "size"))).alias("cut"))
     cut = save(cut, "cuts")
+    # the columns of docs travel as one, so that their names clash with nothing
     own = F.struct(random_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id"), n_words(F.col("text")).alias("size"))
-    marked = docs.withColumn("_skey", _source_key(F.col("source"))).withColumn("_own", own).join(cut.withColumnRenamed("skey", "_skey"), "_skey")
-    copies = F.when(F.col("_own.size") == 0, 0).otherwise(F.col("_passes") + F.when(F.col("_own") <= F.col("_cut"), 1).otherwise(0)).cast("int")
-    return marked.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    marked = docs.select(F.struct("*").alias("row"), _source_key(F.col("source")).alias("skey"), own.alias("own")).join(F.broadcast(cut), "skey")
+    copies = F.when(F.col("own.size") == 0, 0).otherwise(F.col("passes") + F.when(F.col("own") <= F.col("cut"), 1).otherwise(0)).cast("int")
+    return marked.select("row", F.explode(F.array_repeat(F.lit(0), copies))).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
