@@ -48,8 +48,6 @@ EXTRA = 24
 VERIFY = 400
 #: A filter on node ids is broadcast up to this count (16 MB), and joined by a shuffle beyond it.
 MOST_IDS = 1 << 21
-#: Bytes of the sets of candidate pairs up to which they are broadcast rather than joined.
-MOST_SETS = 32 << 20
 #: Holders of a part of hot documents' sets, or of a difference, are paired in blocks of about so many.
 BLOCK = 256
 #: A centre is taken from about so many documents of its group; a document is told by its difference from it where that has at
@@ -201,17 +199,12 @@ def _linked(x: bytes, y: bytes, pct: int) -> bool:
     return 100 * both >= pct * (len(x) + len(y) - both)
 
 
-def _verified(pct: int, sets=None):
-    """Pairs that link; their sets are columns of the rows, or broadcast."""
+def _verified(pct: int):
+    """Pairs that link, of rows (a, b, set_a, set_b)."""
 
     def run(batches):
-        known = sets.value if sets else None
         for batch in batches:
-            if known:
-                both = ((known[a], known[b]) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
-            else:
-                both = ((x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("set_a"), batch.column("set_b")))
-            keep = [i for i, (x, y) in enumerate(both) if _linked(x, y, pct)]
+            keep = [i for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))) if _linked(x.as_buffer(), y.as_buffer(), pct)]
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return run
@@ -273,13 +266,9 @@ def links(pairs: DataFrame, texts: _Texts, sketches: DataFrame, pct: int) -> Dat
     if pairs.isEmpty():
         return pairs
     sets = save(texts.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), "sets")
-    size = sets.agg(F.coalesce(F.sum(F.octet_length("set") + 100), F.lit(0))).first()[0]
-    if size <= MOST_SETS:
-        known = pairs.sparkSession.sparkContext.broadcast({r.node: bytes(r.set) for r in sets.toLocalIterator()})
-        found = pairs.repartition("a", "b").mapInArrow(_verified(pct, known), "a long, b long")
-    else:  # pairs are the streamed side of both joins: the engine splits the partition of a pivot with many pairs
-        a, b = (sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
-        found = pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(pct), "a long, b long")
+    # pairs are the streamed side of both joins: the engine splits the partition of a document with many pairs
+    a, b = (sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
+    found = pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(pct), "a long, b long")
     found = save(found, "links")
     drop(pairs, sets)
     return found
