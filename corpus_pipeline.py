@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.llm import line_dedup, mixing, ngram_join, pieces, quality, registry
-from paneloom.llm.store import documents, save
+from paneloom.llm.store import documents, drop, save
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The rows of the last stage; each stage's table is deleted once the next one is written."""
+    docs, before = documents(spark, sf_dir), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        docs = save(docs, name) if i < len(STAGES) - 1 else docs
+        if i < len(STAGES) - 1:
+            docs = save(docs, name)
+            drop(*([before] if before else []))
+            before = docs
     return docs
