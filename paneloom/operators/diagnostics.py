@@ -114,6 +114,12 @@ def date_index(frame: DataFrame) -> DataFrame:
     return frame.select("date").distinct().withColumn("i", F.row_number().over(Window.orderBy("date")))
 
 
+def date_grid(frame: DataFrame) -> DataFrame:
+    """(date, asset): every date with every asset. One row, the list of dates (some thousands), is sent to the distinct assets."""
+    days = frame.agg(F.array_sort(F.collect_set("date")).alias("days"))
+    return frame.select("asset").distinct().join(F.broadcast(days)).select(F.explode("days").alias("date"), "asset")
+
+
 def top_n_turnover(frame: DataFrame, signal: str, n: int) -> DataFrame:
     """(date, turnover): share of the top n that was not in it on the date before; 1 on the first date."""
     dates = date_index(frame.where(C(signal).isNotNull()))

@@ -84,14 +84,14 @@ def signed_candidates(features: DataFrame, columns: dict[str, tuple[str, int]])
     return long.select("signal_name", "date", "asset", avg_rank(C("raw"), "signal_name", "date", pct=True).alias("value"))
 
 
-def risk_exposures(features: DataFrame, clip: bool = False) -> DataFrame:
-    """Standardised volatility, liquidity and size; a date without spread is NULL."""
+def risk_exposures(features: DataFrame, clip: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Standardised volatility, liquidity and size, and the columns to keep; a date without spread is NULL."""
     log = lambda c: F.when(C(c) > 0, F.log(C(c)))
-    base = features.select("date", "asset", C("vol_20d").alias("vol_20d_z"), log("amount_20d").alias("liquidity_z"), log("market_cap").alias("size_z"))
+    base = features.select("date", "asset", *keep, C("vol_20d").alias("vol_20d_z"), log("amount_20d").alias("liquidity_z"), log("market_cap").alias("size_z"))
     names = ("vol_20d_z", "liquidity_z", "size_z")
     if clip:
-        base = base.select("date", "asset", *[winsorize(C(n)).alias(n) for n in names])
-    return base.select("date", "asset", *[zscore(C(n), flat=None).alias(n) for n in names])
+        base = base.select("date", "asset", *keep, *[winsorize(C(n)).alias(n) for n in names])
+    return base.select("date", "asset", *keep, *[zscore(C(n), flat=None).alias(n) for n in names])
 
 
 def condition_buckets(exposures: DataFrame, columns: list[str], n: int = 3) -> DataFrame:

@@ -53,16 +53,23 @@ def pit_mask(frame: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 
 def group_asof(frame: DataFrame, history: DataFrame) -> DataFrame:
-    """frame with the group whose start_date is the latest on or before the row's date, for each asset; history: asset, start_date, grp."""
-    spans = history.withColumn("_to", F.lead("start_date").over(Window.partitionBy("asset").orderBy("start_date")))
-    on = (frame["asset"] == spans["asset"]) & (spans["start_date"] <= frame["date"]) & (spans["_to"].isNull() | (frame["date"] < spans["_to"]))
-    return frame.join(spans, on, "left").select(*[frame[c] for c in frame.columns], spans["grp"].alias("asof_grp"))
+    """frame with the group whose start_date is the latest on or before the row's date, for each asset; history: asset, start_date, grp.
+
+    Both are put in one order for each asset, and each row takes the last group before it: no join of ranges."""
+    starts = history.select("asset", C("start_date").alias("date"), F.lit(0).alias("_k"), F.struct("grp").alias("_g"))
+    both = frame.withColumn("_k", F.lit(1)).unionByName(starts, allowMissingColumns=True)
+    last = F.last("_g", ignorenulls=True).over(Window.partitionBy("asset").orderBy("date", "_k").rowsBetween(Window.unboundedPreceding, 0))
+    return both.withColumn("_g", last).where("_k = 1").select(*frame.columns, C("_g.grp").alias("asof_grp"))
 
 
 def event_window(panel: DataFrame, events: DataFrame, before: int, after: int) -> DataFrame:
-    """(asset, event_date, date, offset): the asset's rows from `before` rows before the first row on or after the event to `after` behind."""
-    w = Window.partitionBy("asset").orderBy("date")
-    rows = panel.select("asset", "date", F.row_number().over(w).alias("i"), F.lag("date").over(w).alias("_p"))
-    at = events.join(rows, (events["asset"] == rows["asset"]) & (rows["date"] >= events["event_date"]) & (rows["_p"].isNull() | (rows["_p"] < events["event_date"]))).select(events["asset"], "event_date", C("i").alias("at"))
+    """(asset, event_date, date, offset): the asset's rows from `before` rows before the first row on or after the event to `after` behind.
+
+    The first row's number is one more than the rows before the event in the order of the asset; the rest is joined by number."""
+    w = Window.partitionBy("asset").orderBy("date", "_k")
+    rows = panel.select("asset", "date", F.lit(1).alias("_k"))
+    both = rows.unionByName(events.select("asset", C("event_date").alias("date"), F.lit(0).alias("_k")))
+    counted = both.withColumn("i", F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("_k").over(Window.partitionBy("asset")))
+    at = counted.where("_k = 0 and i < n").select("asset", C("date").alias("event_date"), (C("i") + 1).alias("at"))
     reach = at.select("asset", "event_date", "at", F.explode(F.sequence(C("at") - before, C("at") + after)).alias("i"))
-    return reach.join(rows, ["asset", "i"]).select("asset", "event_date", "date", (C("i") - C("at")).alias("offset"))
+    return reach.join(counted.where("_k = 1").select("asset", "i", "date"), ["asset", "i"]).select("asset", "event_date", "date", (C("i") - C("at")).cast("int").alias("offset"))

@@ -209,9 +209,9 @@ register("d7_factor_ic_summary", lambda s, d: rnd(diagnostics.summarize_ic(_fic(
 
 def _cond(s, d):
     f = _feat(s, d)
-    e = signals.risk_exposures(f).withColumn("vol_20d_z", F.round("vol_20d_z", 9))
-    b = signals.condition_buckets(e.select("date", "asset", "vol_20d_z"), ["vol_20d_z"]).select("date", "asset", C("vol_20d_z_bucket").alias("bucket"))
-    return diagnostics.conditioned_ic(f.join(b, ["date", "asset"]), "bucket", "ret_20d", "fwd_ret_5d")
+    e = signals.risk_exposures(f, keep=("ret_20d", "fwd_ret_5d")).withColumn("vol_20d_z", F.round("vol_20d_z", 9))
+    b = signals.condition_buckets(e, ["vol_20d_z"]).withColumnRenamed("vol_20d_z_bucket", "bucket")
+    return diagnostics.conditioned_ic(b, "bucket", "ret_20d", "fwd_ret_5d")
 
 
 register("d8_conditioned_rank_ic", lambda s, d: rnd(_cond(s, d), ["bucket", "n_dates"], _SC | {"avg_n_assets": 6}),
@@ -289,7 +289,22 @@ register("b1_long_short", lambda s, d: rnd(portfolio.build_top_n(_sig(s, d), 10,
 register("b2_size_aware", lambda s, d: rnd(portfolio.build_top_n(_sig(s, d), 10, size_aware=True), ["date", "asset"], {"weight": 6}),
          f"""WITH {_SIG}, {_WTS}, z AS (SELECT w.date, w.asset, w.weight, ln(greatest(s.market_cap, 1e-12)) AS lg FROM wts w JOIN sig s USING (date, asset)), y AS (SELECT date, asset, weight * (1 + 0.5 * lg / max(abs(lg)) OVER (PARTITION BY date)) AS v FROM z)
          SELECT date, asset, round(v / sum(v) OVER (PARTITION BY date), 6) AS weight FROM y""")
-register("b4_group_cap", lambda s, d: portfolio.build_top_n(_sig(s, d), 10, max_weight=0.2, group_cap=0.3))
+
+
+def _liquid(s, d):
+    return _sig(s, d).withColumn("liquidity", C("amount_20d"))
+
+
+_LQ = "lq AS (SELECT *, coalesce(amount_20d >= 60000, false) AS fits FROM sig WHERE signal IS NOT NULL), lt AS (SELECT *, fits AND row_number() OVER (PARTITION BY date ORDER BY fits DESC, signal DESC, asset) <= 10 AS top FROM lq)"
+register("p4_liquidity", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=60000.0), ["date", "asset"], {"weight": 6}),
+         f"WITH {_SIG}, {_LQ} SELECT date, asset, round(CASE WHEN top THEN 1.0 / sum(top::INTEGER) OVER (PARTITION BY date) ELSE 0.0 END, 6) AS weight FROM lt")
+_CAP = """z0 AS (SELECT date, asset, grp, CASE WHEN top THEN 1.0::DOUBLE / sum(top::INTEGER) OVER (PARTITION BY date) ELSE 0.0 END AS w, ln(greatest(market_cap, 1e-12)) AS lg FROM lt),
+  z1 AS (SELECT date, asset, grp, least(0.102, greatest(-0.102, w * (1 + 0.5 * coalesce(lg / nullif(max(abs(lg)) OVER (PARTITION BY date), 0), 0)))) AS w FROM z0), z2 AS (SELECT date, asset, grp, coalesce(w / nullif(sum(w) OVER (PARTITION BY date), 0), 0) AS w FROM z1)"""
+register("b3_capped_size_aware", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=60000.0, size_aware=True, max_weight=0.102), ["date", "asset"], {"weight": 6}),
+         f"WITH {_SIG}, {_LQ}, {_CAP} SELECT date, asset, round(w, 6) + 0.0 AS weight FROM z2")
+_round_sql = lambda i: f"g{i} AS (SELECT date, grp, m * (CASE WHEN t > 0.3 THEN 0.3 / t ELSE 1 END) / nullif(sum(least(t, 0.3)) OVER (PARTITION BY date), 0) AS m, least(t, 0.3) / nullif(sum(least(t, 0.3)) OVER (PARTITION BY date), 0) AS t FROM g{i - 1})"
+register("b4_group_cap", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=60000.0, size_aware=True, max_weight=0.102, group_cap=0.3), ["date", "asset"], {"weight": 6}),
+         f"WITH {_SIG}, {_LQ}, {_CAP}, g0 AS (SELECT date, grp, 1.0::DOUBLE AS m, sum(w) AS t FROM z2 GROUP BY 1, 2), {', '.join(_round_sql(i) for i in range(1, 9))}, y AS (SELECT z2.date, asset, w * coalesce(m, 0) AS w FROM z2 JOIN g8 ON z2.date = g8.date AND z2.grp IS NOT DISTINCT FROM g8.grp) SELECT date, asset, round(coalesce(w / nullif(sum(w) OVER (PARTITION BY date), 0), 0), 6) + 0.0 AS weight FROM y")
 _HELD = f"""{_SIG}, {_WTS}, rb AS (SELECT max(date) AS date FROM (SELECT DISTINCT date FROM wts) GROUP BY date_trunc('month', date)), grid AS (SELECT d.date, a.asset FROM (SELECT DISTINCT date FROM wts) d, (SELECT DISTINCT asset FROM wts) a),
   gw AS (SELECT g.date, g.asset, k.weight AS kw FROM grid g LEFT JOIN (SELECT w.* FROM wts w JOIN rb USING (date)) k ON g.date = k.date AND g.asset = k.asset),
   held AS (SELECT date, asset, coalesce(last_value(kw IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS weight FROM gw)"""
@@ -302,7 +317,8 @@ _BT = f"""nx AS (SELECT date, asset, lead(ret_1d) OVER ({W}) AS nr FROM feat), g
 
 def _bt(s, d):
     sig = _sig(s, d)
-    return portfolio.run_backtest(portfolio.hold_between(portfolio.build_top_n(sig, 10), "M"), sig.select("date", "asset", "ret_1d"))
+    marked = portfolio.build_top_n(portfolio.on_rebalance_dates(sig, "M"), 10)
+    return portfolio.held_backtest(marked, sig.select("date", "asset", "ret_1d"), sig.where("signal is not null"))
 
 
 _BC = {"gross": 6, "turnover": 6, "cost": 8, "net": 6}
@@ -322,12 +338,103 @@ def _ranked(s, d):
     return f.withColumn("score", F.round("ret_20d", 9)).select("date", "asset", "score", "is_tradable").withColumn("rank", place)
 
 
-_POL = {"strict": rebalance.BufferedConfig(10, 10, 10, 10, 10), "buffered": rebalance.BufferedConfig(10, 8, 20, 5, 12, max_weight=0.2, min_trade_weight=0.01)}
-register("r2_buffered_weights", lambda s, d: rebalance.buffered_weights(_ranked(s, d), _POL, "M"))
-register("r11_policy_comparison", lambda s, d: portfolio.performance(rebalance.buffered_daily(rebalance.buffered_weights(_ranked(s, d), _POL, "M"), _feat(s, d).select("date", "asset", "ret_1d")), "net", "portfolio_id"))
+_POL = {"strict": rebalance.BufferedConfig(10, 10, 10, 10, 10, max_weight=None, min_trade_weight=0.0, freq="M"), "buffered": rebalance.BufferedConfig(10, 8, 20, 5, 12, max_weight=0.2, min_trade_weight=0.01, freq="M")}
+_RK = "rk AS (SELECT date, asset, score, is_tradable, row_number() OVER (PARTITION BY date ORDER BY score DESC, asset) AS rank FROM (SELECT date, asset, round(ret_20d, 9) AS score, is_tradable FROM feat WHERE ret_20d IS NOT NULL))"
+# the recursion over holdings: a rank is the place in the date's list of names; every name of the given tables is tradable
+_BOOKS = f"""{FEAT}, {_RK}, md AS (SELECT max(date) AS date FROM (SELECT DISTINCT date FROM rk) GROUP BY date_trunc('month', date)), m AS (SELECT rk.* FROM rk JOIN md USING (date)),
+  dd AS (SELECT date, row_number() OVER (ORDER BY date)::INTEGER AS i, list(asset ORDER BY rank) AS names FROM m GROUP BY date),
+  pol AS ({" UNION ALL ".join(f"SELECT '{k}' AS portfolio_id, {c.target_n} AS tn, {c.buy_rank} AS br, {c.sell_rank} AS sr, {c.min_holding_n} AS mn, {c.min_trade_weight}::DOUBLE AS mt" for k, c in _POL.items())}),
+  st AS (SELECT portfolio_id, 0 AS i, NULL::DATE AS date, []::STRUCT(a VARCHAR, w DOUBLE)[] AS prev, []::STRUCT(a VARCHAR, w DOUBLE)[] AS book, []::VARCHAR[] AS gone, []::VARCHAR[] AS small FROM pol UNION ALL
+    SELECT portfolio_id, i, date, old, list_transform(nb, lambda b: {{'a': b.a, 'w': b.w / list_sum(list_transform(nb, lambda z: z.w))}})::STRUCT(a VARCHAR, w DOUBLE)[], gone, small FROM (
+      SELECT *, list_filter(list_transform(moves, lambda v: {{'a': v.a, 'w': CASE WHEN abs(v.g - v.p) < mt THEN v.p ELSE v.g END}}), lambda b: b.w > 0) AS nb, list_transform(list_filter(moves, lambda v: abs(v.g - v.p) < mt), lambda v: v.a) AS small FROM (
+        SELECT *, list_transform(list_distinct(sel || list_transform(old, lambda b: b.a)), lambda a: {{'a': a, 'g': CASE WHEN list_contains(sel, a) THEN 1.0::DOUBLE / len(sel) ELSE 0.0 END, 'p': coalesce(list_filter(old, lambda b: b.a = a)[1].w, 0.0)}}) AS moves FROM (
+          SELECT *, CASE WHEN len(old) = 0 OR len(kept) < mn THEN kept || list_filter(names[1:br], lambda a: NOT list_contains(kept, a))[1:tn - len(kept)] ELSE kept END AS sel FROM (
+            SELECT pol.*, dd.i, dd.date, dd.names, st.book AS old, list_filter(list_transform(st.book, lambda b: b.a), lambda a: NOT list_contains(dd.names, a) OR list_position(dd.names, a) <= sr) AS kept,
+                   list_filter(list_transform(st.book, lambda b: b.a), lambda a: coalesce(list_position(dd.names, a), 0) > sr) AS gone FROM st JOIN dd ON dd.i = st.i + 1 JOIN pol USING (portfolio_id)))))),
+  bk AS (SELECT portfolio_id, date, b.a AS asset, b.w AS weight FROM (SELECT portfolio_id, date, unnest(book) AS b FROM st)), pv AS (SELECT portfolio_id, date, b.a AS asset, b.w AS prev_weight FROM (SELECT portfolio_id, date, unnest(prev) AS b FROM st)),
+  sm AS (SELECT portfolio_id, date, unnest(small) AS asset FROM st), gn AS (SELECT portfolio_id, date, unnest(gone) AS asset FROM st),
+  ky AS (SELECT portfolio_id, date, asset FROM m, (SELECT portfolio_id FROM pol) UNION SELECT portfolio_id, date, asset FROM bk UNION SELECT portfolio_id, date, asset FROM pv),
+  lg AS (SELECT k.*, coalesce(prev_weight, 0) AS prev_weight, coalesce(weight, 0) AS weight, m.rank::INTEGER AS rank,
+    CASE WHEN sm.asset IS NOT NULL THEN 'min_trade_filter' WHEN prev_weight IS NULL THEN '' WHEN m.rank IS NULL THEN 'missing_signal' WHEN gn.asset IS NOT NULL THEN 'sell_rank_exceeded' WHEN m.rank <= br THEN 'still_in_buy_zone' ELSE 'in_buffer_zone' END AS reason
+    FROM ky k JOIN pol USING (portfolio_id) LEFT JOIN m USING (date, asset) LEFT JOIN pv USING (portfolio_id, date, asset) LEFT JOIN bk USING (portfolio_id, date, asset) LEFT JOIN sm USING (portfolio_id, date, asset) LEFT JOIN gn USING (portfolio_id, date, asset)),
+  lo AS (SELECT *, CASE WHEN prev_weight = 0 AND weight > 0 THEN 'buy' WHEN prev_weight > 0 AND weight = 0 THEN 'sell' WHEN prev_weight > 0 AND abs(weight - prev_weight) >= 1e-12 THEN CASE WHEN weight > prev_weight THEN 'add' ELSE 'trim' END ELSE 'keep' END AS action FROM lg)"""
+_LW = {"prev_weight": 6, "weight": 6}
+
+
+def _log(s, d):
+    return rebalance.buffered_weights(_ranked(s, d), _POL)
+
+
+def _named_action():
+    """Weights that differ by rounding alone are kept: an action is told by weights of 9 digits."""
+    before, now = F.round("prev_weight", 9), F.round("weight", 9)
+    return F.when((before == 0) & (now > 0), "buy").when((before > 0) & (now == 0), "sell").when(now > before, "add").when(now < before, "trim").otherwise("keep")
+
+
+register("r2_buffered_weights", lambda s, d: rnd(_log(s, d).withColumn("action", _named_action()), ["portfolio_id", "date", "asset", "rank", "reason", "action"], _LW),
+         f"""WITH RECURSIVE {_BOOKS} SELECT portfolio_id, date, asset, rank, reason, CASE WHEN round(prev_weight, 9) = 0 AND round(weight, 9) > 0 THEN 'buy' WHEN round(prev_weight, 9) > 0 AND round(weight, 9) = 0 THEN 'sell' WHEN round(weight, 9) > round(prev_weight, 9) THEN 'add'
+         WHEN round(weight, 9) < round(prev_weight, 9) THEN 'trim' ELSE 'keep' END AS action, round(prev_weight, 6) + 0.0 AS prev_weight, round(weight, 6) + 0.0 AS weight FROM lg""")
+
+
+def _policy_daily(s, d):
+    return rebalance.buffered_daily(_log(s, d), _feat(s, d).select("date", "asset", "ret_1d"))
+
+
+_PD = {"gross": 6, "turnover": 6, "cost": 8, "net": 6}
+_BD = f"""{_BOOKS}, sp AS (SELECT portfolio_id, i, date AS f, lead(date) OVER (PARTITION BY portfolio_id ORDER BY i) AS t FROM st WHERE i > 0), er AS (SELECT b.portfolio_id, f.date, sum(b.weight * f.ret_1d) AS gross FROM bk b JOIN sp ON sp.portfolio_id = b.portfolio_id AND sp.f = b.date JOIN feat f ON f.asset = b.asset AND f.date > sp.f AND (sp.t IS NULL OR f.date <= sp.t) GROUP BY 1, 2),
+  tu AS (SELECT portfolio_id, date, sum(abs(weight - prev_weight)) AS turnover FROM lg GROUP BY 1, 2),
+  pd AS (SELECT portfolio_id, date, coalesce(gross, 0) AS gross, coalesce(turnover, 0) AS turnover, coalesce(turnover, 0) * 5.0 / 1e4 AS cost, coalesce(gross, 0) - coalesce(turnover, 0) * 5.0 / 1e4 AS net FROM (SELECT date, portfolio_id FROM (SELECT DISTINCT date FROM feat), pol) LEFT JOIN er USING (portfolio_id, date) LEFT JOIN tu USING (portfolio_id, date)),
+  cv AS (SELECT portfolio_id, date, net, turnover, cost, product(1 + net) OVER (PARTITION BY portfolio_id ORDER BY date) AS c FROM pd), dw AS (SELECT *, c / max(c) OVER (PARTITION BY portfolio_id ORDER BY date) - 1 AS dd FROM cv),
+  pf AS (SELECT portfolio_id, product(1 + net) - 1 AS total_return, CASE WHEN product(1 + net) > 0 THEN pow(product(1 + net), 252.0 / count(*)) - 1 ELSE -1 END AS annual_return, stddev_pop(net) * sqrt(252.0) AS annual_vol, min(dd) AS max_drawdown, count(*) AS n_days, avg(turnover) AS average_turnover, sum(cost) AS total_cost FROM dw GROUP BY 1),
+  tr AS (SELECT portfolio_id, count(*) FILTER (WHERE action = 'buy') AS n_buy, count(*) FILTER (WHERE action = 'sell') AS n_sell FROM lo GROUP BY 1),
+  cmp AS (SELECT *, CASE WHEN annual_vol > 0 THEN annual_return / annual_vol ELSE 0 END AS sharpe FROM pf JOIN tr USING (portfolio_id))"""
+register("r5_policy_daily", lambda s, d: rnd(_policy_daily(s, d), ["portfolio_id", "date"], _PD), f"WITH RECURSIVE {_BD} SELECT {rounded(_PD, 'portfolio_id, date')} FROM pd")
+
+
+def _comparison(s, d):
+    log = _log(s, d).persist()
+    return rebalance.compare_policies(log, rebalance.buffered_daily(log, _feat(s, d).select("date", "asset", "ret_1d")))
+
+
+_CM = {"total_return": 4, "annual_return": 4, "annual_vol": 4, "max_drawdown": 5, "sharpe": 4, "average_turnover": 6, "total_cost": 6}
+_squash = lambda c: F.signum(c) * F.log1p(F.abs(c))
+_squash_sql = lambda c, n: f"round(sign({c}) * ln(1 + abs({c})), {n}) + 0.0"
+register("r11_policy_comparison", lambda s, d: _comparison(s, d).select("portfolio_id", "n_days", "n_buy", "n_sell", *[F.round(_squash(C(c)), n).alias(c) for c, n in _CM.items()]),
+         f"WITH RECURSIVE {_BD} SELECT portfolio_id, n_days, n_buy, n_sell, {', '.join(f'{_squash_sql(c, n)} AS {c}' for c, n in _CM.items())} FROM cmp")
+register("r12_summary_metrics", lambda s, d: rebalance.summary_metrics(_comparison(s, d), list(_POL)).select("metric", *[F.round(_squash(C(p)), 4).alias(p) for p in _POL]),
+         f"WITH RECURSIVE {_BD}, ul AS (UNPIVOT (SELECT portfolio_id, {', '.join(f'{m}::DOUBLE AS {m}' for m in rebalance.METRICS)} FROM cmp) ON {', '.join(rebalance.METRICS)} INTO NAME metric VALUE value) SELECT metric, "
+         + ", ".join(f"{_squash_sql(chr(109) + 'ax(value) FILTER (WHERE portfolio_id = ' + repr(p) + ')', 4)} AS {p}" for p in _POL) + " FROM ul GROUP BY metric")
+_df = lambda m: f"(max({m}) FILTER (WHERE portfolio_id = 'buffered') - max({m}) FILTER (WHERE portfolio_id = 'strict'))"
+_rd = lambda m: f"((max({m}) FILTER (WHERE portfolio_id = 'strict') - max({m}) FILTER (WHERE portfolio_id = 'buffered')) / nullif(max({m}) FILTER (WHERE portfolio_id = 'strict'), 0))"
+register("r12_policy_differences", lambda s, d: rebalance.policy_differences(_comparison(s, d), "buffered", "strict").select("metric", F.round(_squash(C("value")), 4).alias("value")),
+         f"WITH RECURSIVE {_BD} " + " UNION ALL ".join(f"SELECT 'buffered_vs_strict_{n}' AS metric, {_squash_sql(q, 4)} AS value FROM cmp" for n, q in [(f"{m}_diff", _df(m)) for m in ("total_return", "sharpe", "max_drawdown")] + [(f"{n}_reduction", _rd(m)) for n, m in (("turnover", "average_turnover"), ("cost", "total_cost"), ("buy", "n_buy"), ("sell", "n_sell"))]))
+
+
+def _index_curves(s, d):
+    return rebalance.index_curve(src.index_panel(s, d).select(C("index_id").cast("string").alias("portfolio_id"), "date", "close"), "portfolio_id")
+
+
+_IC = f"ix AS (SELECT index_id::VARCHAR AS portfolio_id, date, coalesce(close / nullif(lag(close) OVER (PARTITION BY index_id ORDER BY date), 0) - 1, 0) AS net FROM idx)"
+register("r6_index_curve", lambda s, d: rnd(_index_curves(s, d), ["portfolio_id", "date"], {"gross": 6, "net": 6, "cumulative_net": 5}),
+         f"WITH {INDEX}, {_IC} SELECT portfolio_id, date, round(net, 6) + 0.0 AS gross, round(net, 6) + 0.0 AS net, round(product(1 + net) OVER (PARTITION BY portfolio_id ORDER BY date) - 1, 5) + 0.0 AS cumulative_net FROM ix")
+
+
+def _excess(s, d):
+    curves = _policy_daily(s, d).where("portfolio_id = 'buffered'").select("portfolio_id", "date", "net").unionByName(_index_curves(s, d).select("portfolio_id", "date", "net"))
+    return rebalance.excess_returns(portfolio.performance(curves, "net", "portfolio_id"), "buffered")
+
+
+register("r13_excess_returns", lambda s, d: _excess(s, d).select("benchmark", "outperformed", *[F.round(_squash(C(c)), 4).alias(c) for c in ("policy_return", "benchmark_return", "excess_return")]),
+         f"WITH RECURSIVE {_BD}, {INDEX}, {_IC}, bt AS (SELECT portfolio_id AS benchmark, product(1 + net) - 1 AS b FROM ix GROUP BY 1), ow AS (SELECT total_return AS p FROM pf WHERE portfolio_id = 'buffered') SELECT benchmark, p > b AS outperformed, {_squash_sql('p', 4)} AS policy_return, {_squash_sql('b', 4)} AS benchmark_return, {_squash_sql('(p - b)', 4)} AS excess_return FROM bt, ow")
+_RS = {"total_return": 4, "annual_return": 4, "annual_vol": 4, "sharpe": 4}
+register("b12_return_summary", lambda s, d: portfolio.return_summary(_index_curves(s, d), "net", "portfolio_id").select("portfolio_id", "n_days", *[F.round(_squash(C(c)), n).alias(c) for c, n in _RS.items()]),
+         f"WITH {INDEX}, {_IC}, z AS (SELECT portfolio_id, count(*) AS n_days, product(1 + net) - 1 AS total_return, CASE WHEN product(1 + net) > 0 THEN pow(product(1 + net), 252.0 / count(*)) - 1 ELSE -1 END AS annual_return, stddev_pop(net) * sqrt(252.0) AS annual_vol FROM ix GROUP BY 1), y AS (SELECT *, CASE WHEN annual_vol > 0 THEN annual_return / annual_vol END AS sharpe FROM z) SELECT portfolio_id, n_days, {', '.join(f'{_squash_sql(c, n)} AS {c}' for c, n in _RS.items())} FROM y")
 register("r8_holding_periods", lambda s, d: rebalance.holding_periods(portfolio.build_top_n(_sig(s, d), 10)),
          f"WITH {_SIG}, {_WTS}, di AS (SELECT date, row_number() OVER (ORDER BY date) AS i FROM (SELECT DISTINCT date FROM wts)), h AS (SELECT asset, date, i - row_number() OVER (PARTITION BY asset ORDER BY i) AS g FROM wts JOIN di USING (date) WHERE weight <> 0) SELECT asset, min(date) AS start, count(*) AS n_dates FROM h GROUP BY asset, g")
-register("r9_rank_migration", lambda s, d: rebalance.rank_migration(portfolio.build_top_n(_sig(s, d), 60), _ranked(s, d).select("date", "asset", "rank"), (10, 20, 40)))
+_BIN = "CASE WHEN rank <= 10 THEN '1-10' WHEN rank <= 20 THEN '11-20' WHEN rank <= 40 THEN '21-40' ELSE '>40' END"
+register("r9_rank_migration", lambda s, d: rebalance.rank_migration(portfolio.build_top_n(_sig(s, d), 60), _ranked(s, d).select("date", "asset", "rank"), (10, 20, 40)),
+         f"""WITH {_SIG}, {_RK}, w0 AS (SELECT date, asset, row_number() OVER (PARTITION BY date ORDER BY signal DESC, asset) <= 60 AS top FROM sig WHERE signal IS NOT NULL), h AS (SELECT date, asset, {_BIN} AS b FROM w0 JOIN rk USING (date, asset) WHERE top),
+         l AS (SELECT b AS to_bin, lag(b) OVER ({W}) AS from_bin FROM h), n AS (SELECT unnest(['1-10', '11-20', '21-40', '>40']) AS b) SELECT f.b AS from_bin, t.b AS to_bin, count(l.to_bin) AS n FROM n f CROSS JOIN n t LEFT JOIN l ON l.from_bin = f.b AND l.to_bin = t.b GROUP BY 1, 2""")
 
 
 def _trades(s, d):
@@ -379,8 +486,7 @@ register("l4_incremental_window", lambda s, d: lake.incremental_window(src.table
 
 def _gaps(s, d):
     landed = src.daily_panel(s, d).select("date", "asset")
-    grid = landed.select("date").distinct().join(F.broadcast(landed.select("asset").distinct()))
-    return lake.coverage_gaps(grid, landed, ["date", "asset"])
+    return lake.coverage_gaps(diagnostics.date_grid(landed), landed, ["date", "asset"])
 
 
 register("j15_coverage_gaps", _gaps, f"WITH {PANEL} SELECT d.date, a.asset FROM (SELECT DISTINCT date FROM panel) d, (SELECT DISTINCT asset FROM panel) a WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p.date = d.date AND p.asset = a.asset)")

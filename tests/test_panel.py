@@ -2,12 +2,13 @@
 
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from paneloom.operators import checks, diagnostics, features, lake, portfolio, rebalance, signals, universe
 
-D = [date(2024, 1, 1) + timedelta(days=i) for i in range(30)]
+D = [date(2024, 1, 1) + timedelta(days=i) for i in range(40)]
 
 
 def rows(df, *cols):
@@ -52,17 +53,45 @@ def test_portfolio(spark):
 
 
 def test_buffered_policy(spark):
-    c = rebalance.BufferedConfig(2, 2, 3, 1, 2)
+    c = rebalance.BufferedConfig(2, 2, 3, 1, 2, max_weight=None, min_trade_weight=0.0)
     day1 = [(D[0], a, -float(r), r, True) for r, a in enumerate("abcd", 1)]
     day2 = [(D[7], "c", -1.0, 1, True), (D[7], "d", -2.0, 2, True), (D[7], "a", -3.0, 3, True), (D[7], "b", -4.0, 4, True)]
     day3 = [(D[14], "c", -1.0, 1, True), (D[14], "a", -4.0, 4, False)]
     sig = spark.createDataFrame(day1 + day2 + day3, "date date, asset string, score double, rank int, is_tradable boolean")
-    out = {(r.date, r.asset): (r.weight, r.reason) for r in rebalance.buffered_weights(sig, {"p": c}, "W").collect()}
-    assert out[D[0], "a"] == (0.5, "buy") and out[D[0], "b"] == (0.5, "buy")
-    assert out[D[7], "a"] == (1.0, "in_buffer_zone") and out[D[7], "b"] == (0.0, "rank_beyond_sell")
-    assert out[D[14], "a"] == (1.0, "not_tradable")
-    with pytest.raises(ValueError):
-        rebalance.BufferedConfig(2, 5, 3, 1, 2)
+    out = {(r.date, r.asset): (r.weight, r.reason, r.action) for r in rebalance.buffered_weights(sig, {"p": c}).collect()}
+    assert out[D[0], "a"] == (0.5, "", "buy") and out[D[0], "b"] == (0.5, "", "buy") and out[D[0], "d"] == (0.0, "", "keep")
+    assert out[D[7], "a"] == (1.0, "in_buffer_zone", "add") and out[D[7], "b"] == (0.0, "sell_rank_exceeded", "sell")
+    assert out[D[14], "a"] == (1.0, "not_tradable", "keep") and len(out) == 10
+    for bad in ({"buy_rank": 5, "sell_rank": 3}, {"freq": "Q"}, {"max_weight": 0.0}, {"cost_bps": -1.0}):
+        with pytest.raises(ValueError):
+            rebalance.BufferedConfig(**{"target_n": 2, "buy_rank": 2, "sell_rank": 3, "min_holding_n": 1, "max_holding_n": 2} | bad)
+
+
+@pytest.mark.parametrize("change", [{}, {"min_trade_weight": 0.08}, {"require_tradable_for_sell": False}, {"require_tradable_for_buy": False, "max_weight": 0.2}])
+def test_buffered_policy_sees_all_it_can_use(spark, change):
+    """Random signals with gaps and untradable names: the pruned recursion gives what a recursion over every row gives."""
+    rng = np.random.default_rng(2)
+    c = rebalance.BufferedConfig(**{"target_n": 6, "buy_rank": 5, "sell_rank": 9, "min_holding_n": 4, "max_holding_n": 7, "max_weight": None, "min_trade_weight": 0.01, "freq": "D"} | change)
+    rows = []
+    for d in D[:25]:
+        names = [a for a in range(30) if rng.random() < 0.8]
+        rows += [(d, f"a{a}", -float(i), i, bool(rng.random() < 0.7)) for i, a in enumerate(rng.permutation(names), 1)]
+    book, want = {}, {}
+    for d in D[:25]:
+        book, _ = rebalance._next_book({r[1]: (r[3], r[2], r[4]) for r in rows if r[0] == d}, book, c)
+        want |= {(d, a): w for a, w in book.items()}
+    got = rebalance.buffered_weights(spark.createDataFrame(rows, "date date, asset string, score double, rank int, is_tradable boolean"), {"p": c}).collect()
+    assert {(r.date, r.asset): r.weight for r in got if r.weight} == pytest.approx(want) and len(got) >= len(rows)
+    signals = spark.createDataFrame(rows, "date date, asset string, score double, rank int, is_tradable boolean")
+    assert rebalance._reachable(signals.withColumn("portfolio_id", F.lit("p")), c).count() < len(rows)
+
+
+def test_illiquid_rows_keep_a_weight_of_zero(spark):
+    rows = [(D[0], "a", 3.0, 5.0), (D[0], "b", 2.0, 5.0), (D[31], "a", 3.0, 0.0), (D[31], "b", 2.0, 5.0)]
+    frame = spark.createDataFrame(rows, "date date, asset string, signal double, liquidity double")
+    weights = portfolio.build_top_n(frame, 1, min_liquidity=1.0)
+    assert {(r.date, r.asset): r.weight for r in weights.collect()} == {(D[0], "a"): 1.0, (D[0], "b"): 0.0, (D[31], "a"): 0.0, (D[31], "b"): 1.0}
+    assert {(r.date, r.asset): r.weight for r in portfolio.hold_between(weights, "M").where("date = '%s'" % D[31]).collect()} == {(D[31], "a"): 0.0, (D[31], "b"): 1.0}
 
 
 def test_trades_and_holdings(spark):
