@@ -5,25 +5,25 @@ cross from a word to the marker of the next: a marked word has the same ids wher
 size. A run becomes the places of its words as numbers into its own list of distinct words, and that list, cut by hash into parts.
 All lists of a part meet in one task, where each distinct word of the corpus is segmented once; its ids go back to every
 run that has it, and are joined to the places there. What moves is each run's distinct words and numbers, never texts.
+Lists and places are made in two passes over the texts, which costs less than a table of both. Runs are named by their content, so
+that a table that reads differently the second time fails the job instead of giving wrong ids.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import save
-
 MARK = "▁"
 #: Characters of a run; a longer text is a run of its own.
-RUN_CHARS = 4_000_000
+RUN_CHARS = 12_000_000
 #: Parts of the table of distinct words: so many, and more by the root of the corpus' size in units of so many bytes, so that a
 #: part and a run's share of it both stay moderate.
 PARTS, PARTS_BYTES = 64, 1 << 26
@@ -86,11 +86,12 @@ class Segmenter:
         self.lone = self.sp.piece_to_id(MARK)
         self.lead = self.sp.encode("a")
 
-    def __call__(self, keys: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+    def ids(self, keys: list[str]) -> list[list[int]]:
         ids = self.sp.encode([k.replace(MARK, " ") for k in keys], num_threads=1) if keys else []
-        ids = [x if k else [self.lone] for k, x in zip(keys, ids)]
-        texts = self.sp.decode([self.lead + x for x in ids], num_threads=1) if keys else []
-        return {k: ",".join(map(str, x)) for k, x in zip(keys, ids)}, {k: t[1:] for k, t in zip(keys, texts)}
+        return [x if k else [self.lone] for k, x in zip(keys, ids)]
+
+    def texts(self, ids: list[list[int]]) -> list[str]:
+        return [t[1:] for t in self.sp.decode([self.lead + x for x in ids], num_threads=1)] if ids else []
 
 
 def _runs(batches):
@@ -109,11 +110,11 @@ def _runs(batches):
         yield ids, texts
 
 
-def _cut(parts: int):
-    """For each run a row of its places (part -1) and a row for each part of its words."""
+def _cut(parts: int, words_of: bool):
+    """For each run a row for each part of its words, or else a row of its places (part -1)."""
 
     def run(batches):
-        for ids, texts in _runs(batches):
+        for i, (ids, texts) in enumerate(_runs(batches)):
             index: dict[str, int] = {}
             codes, sizes = [], []
             for text in texts:
@@ -122,52 +123,59 @@ def _cut(parts: int):
                 codes.append(np.array([index.setdefault(w, len(index)) for w in words], np.int64))
             codes = np.concatenate(codes)
             often = np.argsort(-np.bincount(codes, minlength=len(index)), kind="stable")
-            rank = np.empty(len(index), np.int64)
-            rank[often] = np.arange(len(index))
-            words = np.array(list(index) + [""], object)[:-1][often]
+            words = np.array([*index, ""], object)[:-1][often]
             part = np.array([zlib.crc32(w.encode()) % parts for w in words], np.int64)
             order = np.argsort(part, kind="stable")
-            name = uuid.uuid4().hex
-            used, first = np.unique(part[order], return_index=True)
-            blobs = [_packed(x.tolist()) for x in np.split(words[order], first[1:])] if len(used) else []
-            cols = [[name] * (1 + len(used)), [-1, *used.tolist()], [ids] + [None] * len(used), [_squeezed(np.array(sizes), rank[codes], order), *blobs]]
+            told = hashlib.sha256("\n".join(index).encode() + codes.tobytes() + str((ids, sizes)).encode()).hexdigest()[:24]
+            name = f"{TaskContext.get().partitionId()}-{i}-{told}"
+            if words_of:
+                used, first = np.unique(part[order], return_index=True)
+                used, blobs = used.tolist(), [_packed(x.tolist()) for x in np.split(words[order], first[1:])] if len(used) else []
+                doc_ids = [None] * len(used)
+            else:
+                rank = np.empty(len(index), np.int64)
+                rank[often] = np.arange(len(index))
+                used, blobs, doc_ids = [-1], [_squeezed(np.array(sizes), rank[codes], order)], [ids]
             kinds = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["run", "part", "doc_ids", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([name] * len(used), used, doc_ids, blobs), kinds)], ["run", "part", "doc_ids", "blob"])
 
     return run
 
 
 def _segmented(model_path: str):
-    """The lists of words of a part, in consecutive rows, become lists of ids and of decoded texts; each word is segmented once."""
+    """The lists of words of a part, in consecutive rows, become lists of ids; each word is segmented once."""
 
     def run(batches):
-        segment, part, ids, texts = Segmenter(model_path), None, {}, {}
+        segment, part, known = Segmenter(model_path), None, {}
         for batch in batches:
             out = []
             for now, blob in zip(batch.column("part").to_pylist(), batch.column("blob")):
                 if now != part:
-                    part, ids, texts = now, {}, {}
+                    part, known = now, {}
                 words = _strings(blob.as_py())
-                more_ids, more_texts = segment([w for w in words if w not in ids])
-                ids |= more_ids
-                texts |= more_texts
-                out.append(_packed([ids[w] for w in words] + [texts[w] for w in words]))
+                fresh = [w for w in words if w not in known]
+                known |= zip(fresh, segment.ids(fresh))
+                ids = [known[w] for w in words]
+                out.append(_squeezed(np.array([len(x) for x in ids]), np.array([y for x in ids for y in x])))
             cols = [batch.column("run"), batch.column("part"), pa.nulls(len(out), pa.list_(pa.int64())), pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, ["run", "part", "doc_ids", "blob"])
 
     return run
 
 
-def _joined(keep_ids: bool):
+def _joined(model_path: str, keep_ids: bool):
     """The rows of a run, consecutive and by part, become a row for each of its documents."""
 
     def run(batches):
-        name, doc_ids, places, ids, texts = None, None, None, [], []
+        segment = Segmenter(model_path)
+        name, doc_ids, places, ids = None, None, None, []
 
         def told():
-            sizes, codes, order = places
+            sizes, codes, order = places or [[]] * 3
+            if places is None or len(ids) != len(order):
+                raise ValueError(f"the texts of run {name} did not read alike twice")
             of_ids, of_texts = np.empty((2, len(order)), object)
-            of_ids[order], of_texts[order] = ids, texts
+            of_ids[order], of_texts[order] = [",".join(map(str, x)) for x in ids], segment.texts(ids)
             split = np.split(codes, np.cumsum(sizes)[:-1])
             for at in range(0, len(doc_ids), 2000):
                 rows = [(",".join(of_ids[c].tolist()), "".join(of_texts[c].tolist())[1:]) for c in split[at : at + 2000]]
@@ -178,13 +186,12 @@ def _joined(keep_ids: bool):
                 if now != name:
                     if name is not None:
                         yield from told()
-                    name, ids, texts = now, [], []
+                    name, places, ids = now, None, []
+                numbers = _numbers(blob.as_py())
                 if part < 0:
-                    doc_ids, places = own.as_py(), _numbers(blob.as_py())
+                    doc_ids, places = own.as_py(), numbers
                 else:
-                    both = _strings(blob.as_py())
-                    ids += both[: len(both) // 2]
-                    texts += both[len(both) // 2 :]
+                    ids += [x.tolist() for x in np.split(numbers[1], np.cumsum(numbers[0])[:-1])]
         if name is not None:
             yield from told()
 
@@ -206,13 +213,13 @@ def encode(docs: DataFrame, model_path: str, keep_ids: bool = False, id_col: str
 
     Ids are those of the library for the whole text, without begin and end; decoded is what it decodes them to. A null or empty
     text has no ids and decodes to nothing; a very long one is a run of its own. Repeated rows and null ids each give a row; other
-    columns are ignored, whatever their names. An empty table gives an empty result.
+    columns are ignored, whatever their names. An empty table gives an empty result. docs is read twice and must read alike, as
+    files do.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(PARTS * max(1.0, (size / PARTS_BYTES) ** 0.5))
-    cut = save(docs.mapInArrow(_cut(parts), _STEP), "runs")
-    words = cut.where("part >= 0").repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(_segmented(model_path), _STEP)
-    both = cut.where("part < 0").unionByName(words).repartition(F.col("run")).sortWithinPartitions("run", "part")
+    words = docs.mapInArrow(_cut(parts, True), _STEP).repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(_segmented(model_path), _STEP)
+    both = docs.mapInArrow(_cut(parts, False), _STEP).unionByName(words).repartition(F.col("run")).sortWithinPartitions("run", "part")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    return both.mapInArrow(_joined(keep_ids), schema)
+    return both.mapInArrow(_joined(model_path, keep_ids), schema)
