@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 C = F.col
@@ -52,26 +52,38 @@ def profile(df: DataFrame, keys: list[str], date: str) -> DataFrame:
     return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_keys"), F.count_if(C("_n") > 1).alias("n_duplicate_keys"), F.min("_lo").alias("min_date"), F.max("_hi").alias("max_date"), *[F.sum(c).alias(c) for c in nulls])
 
 
+def _row_rule(rule: dict) -> Column:
+    """A row breaks the rule. Kinds: required, enum, bool_like (true, false), implies (SQL predicates)."""
+    kind = rule["kind"]
+    if kind == "implies":
+        return F.coalesce(F.expr(rule["if"]), F.lit(False)) & ~F.coalesce(F.expr(rule["then"]), F.lit(False))
+    text = F.trim(C(rule["column"]).cast("string"))
+    if kind == "required":
+        return F.coalesce(text == "", F.lit(True))
+    if kind == "enum":
+        return ~F.coalesce(text.isin(*rule["values"]), F.lit(False))
+    if kind == "bool_like":
+        return ~F.coalesce(F.lower(text).isin("true", "false"), F.lit(False))
+    raise ValueError(f"unknown kind of rule: {kind}")
+
+
 def check_rules(df: DataFrame, rules: list[dict], key: str) -> DataFrame:
-    """(rule, key, message) of every violation. Kinds: required, enum, bool_like, implies (SQL predicates), unique, must_exist."""
-    out = []
-    for r in rules:
-        name, kind = r["name"], r["kind"]
-        if kind == "unique":
-            bad = df.groupBy(r["column"]).agg(F.count("*").alias("n")).where("n > 1").select(F.lit(name).alias("rule"), C(r["column"]).cast("string").alias("key"), F.lit("not unique").alias("message"))
-        elif kind == "must_exist":
-            want = df.sparkSession.createDataFrame([(v,) for v in r["values"]], "key string")
-            bad = want.join(df.select(C(r["column"]).cast("string").alias("key")), "key", "left_anti").select(F.lit(name).alias("rule"), "key", F.lit("missing").alias("message"))
-        else:
-            c = C(r["column"]).cast("string") if "column" in r else None
-            fails = {
-                "required": lambda: c.isNull() | (F.trim(c) == ""),
-                "enum": lambda: ~F.coalesce(c.isin(*r.get("values", [])), F.lit(False)),
-                "bool_like": lambda: ~F.coalesce(F.lower(c).isin("true", "false", "0", "1"), F.lit(False)),
-                "implies": lambda: F.expr(r["if"]) & ~F.coalesce(F.expr(r["then"]), F.lit(False)) if kind == "implies" else None,
-            }[kind]()
-            bad = df.where(fails).select(F.lit(name).alias("rule"), C(key).cast("string").alias("key"), F.lit(kind).alias("message"))
-        out.append(bad)
+    """(rule, key, message) of every violation. Rules on rows (see above) are told in one pass; unique groups by its column, and
+    must_exist looks for its values. A rule on columns that df lacks is broken once, with the column as its key."""
+    known, out = set(df.columns), []
+    lost = [(r["name"], r["column"]) for r in rules if "column" in r and r["column"] not in known]
+    rules = [r for r in rules if (r["name"], r.get("column")) not in lost]
+    if lost:
+        out.append(df.sparkSession.createDataFrame(lost, "rule string, key string").withColumn("message", F.lit("missing column")))
+    if plain := [r for r in rules if r["kind"] not in ("unique", "must_exist")]:
+        told = F.array_compact(F.array(*[F.when(_row_rule(r), F.struct(F.lit(r["name"]).alias("rule"), C(key).cast("string").alias("key"), F.lit(r["kind"]).alias("message"))) for r in plain]))
+        out.append(df.select(F.explode(told).alias("x")).select("x.*"))
+    for r in (r for r in rules if r["kind"] == "unique"):
+        out.append(df.groupBy(C(r["column"]).cast("string").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select(F.lit(r["name"]).alias("rule"), "key", F.lit("not unique").alias("message")))
+    for r in (r for r in rules if r["kind"] == "must_exist"):
+        want = df.sparkSession.createDataFrame([(v,) for v in r["values"]], "key string")
+        there = df.where(C(r["column"]).cast("string").isin(*r["values"])).select(C(r["column"]).cast("string").alias("key")).distinct()
+        out.append(want.join(there, "key", "left_anti").select(F.lit(r["name"]).alias("rule"), "key", F.lit("missing").alias("message")))
     return reduce(DataFrame.unionByName, out)
 
 

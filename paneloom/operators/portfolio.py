@@ -95,7 +95,10 @@ def held_backtest(marked: DataFrame, returns: DataFrame, dates: DataFrame, cost_
     return out.select("date", "gross", "turnover", "cost", (F.coalesce("gross", F.lit(0.0)) - C("cost")).alias("net"))
 
 
-def next_day_returns(returns: DataFrame, column: str = "ret_1d") -> DataFrame:
+def next_day_returns(returns: DataFrame, column: str = "ret_1d", execution: str = "next_close") -> DataFrame:
+    """(date, asset, next_ret). Execution at the next open is told by the same returns from close to close, as no others are given."""
+    if execution not in ("next_close", "next_open"):
+        raise ValueError("execution is next_close or next_open")
     return returns.select("date", "asset", F.lead(column, 1).over(Window.partitionBy("asset").orderBy("date")).alias("next_ret"))
 
 
@@ -115,9 +118,9 @@ def cost_rate(cost_bps: float, slippage_bps: float = 0.0) -> float:
     return (cost_bps + slippage_bps) / 1e4
 
 
-def run_backtest(weights: DataFrame, returns: DataFrame, cost_bps: float = 5.0, slippage_bps: float = 0.0) -> DataFrame:
+def run_backtest(weights: DataFrame, returns: DataFrame, cost_bps: float = 5.0, slippage_bps: float = 0.0, execution: str = "next_close") -> DataFrame:
     """(date, gross, turnover, cost, net): weights of a date earn each asset's next return."""
-    gross = weights.join(next_day_returns(returns), ["date", "asset"]).groupBy("date").agg(F.sum(C("weight") * C("next_ret")).alias("gross"))
+    gross = weights.join(next_day_returns(returns, execution=execution), ["date", "asset"]).groupBy("date").agg(F.sum(C("weight") * C("next_ret")).alias("gross"))
     moved = turnover(weights).withColumn("cost", C("turnover") * cost_rate(cost_bps, slippage_bps))
     return moved.join(gross, "date", "left").select("date", "gross", "turnover", "cost", (F.coalesce("gross", F.lit(0.0)) - C("cost")).alias("net"))
 

@@ -46,8 +46,8 @@ def trading_days(spark: SparkSession, d: str) -> DataFrame:
 register("n18_calendar", trading_days, """WITH o AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders), a AS (SELECT unnest(generate_series((SELECT min(day) FROM o), (SELECT max(day) FROM o), INTERVAL 1 DAY))::DATE AS day)
   SELECT a.day, o.day IS NOT NULL AS is_open, a.day = last_day(a.day) AND month(a.day) % 3 = 0 AS is_quarter_end,
   (SELECT max(x) FROM (SELECT a.day - (CASE isodow(a.day) WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END)::INTEGER - (CASE WHEN least(isodow(a.day), 5) - 1 >= 2 THEN 9 ELSE 11 END)::INTEGER AS x)) AS back_7 FROM a LEFT JOIN o ON a.day = o.day""")
-register("n20_task_keys", lambda s, d: src.table(s, d, "nation").select("n_nationkey", normalise.task_key("n_regionkey", "n_name").alias("task_key")),
-         """SELECT n_nationkey, '{"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}' AS task_key FROM nation""")
+register("n20_task_keys", lambda s, d: src.table(s, d, "orders").select("o_orderkey", normalise.task_key("o_custkey", "o_orderpriority").alias("task_key")),
+         """SELECT o_orderkey, '{"o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority || '"}' AS task_key FROM orders""")
 
 _MSG = {"1-URGENT": "Read timed out", "2-HIGH": "KeyError: x", "3-MEDIUM": "Invalid value", "5-LOW": "missing adapter"}
 
