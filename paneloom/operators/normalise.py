@@ -172,3 +172,112 @@ def health_wave(cls: Column, item: int) -> Column:
 def risk_level(text: Column) -> Column:
     """low without a text, high where it tells of later knowledge, else medium."""
     return F.when(F.coalesce(text, F.lit("")) == "", "low").when(text.contains("后") | F.lower(text).contains("post"), "high").otherwise("medium")
+
+
+# Columns that vendors use for the same thing, and labels of statement modes. ---------------------------------------------
+CODE_NAMES = ("ts_code", "证券代码", "股票代码", "标的证券代码", "code")
+DAY_NAMES = ("trade_date", "信用交易日期", "交易日期", "date", "日期")
+MARGIN_NAMES = {
+    "financing_balance": ("financing_balance", "融资余额", "融资余额(元)"),
+    "financing_buy_amount": ("financing_buy_amount", "融资买入额", "融资买入额(元)"),
+    "margin_total_balance": ("margin_total_balance", "融资融券余额", "融资融券余额(元)"),
+}
+COMPONENT_NAMES = ("品种代码", "成分券代码", "代码", "code")
+INDEX_NAMES = {"date": ("date", "日期"), "close": ("close", "收盘")}
+ACTION_DAYS = ("除权除息日", "分红实施公告日")
+ACTION_NUMBERS = {"div_cash": ("每股股息(税前)", "分红金额(税前)"), "bonus_share": ("送股比例",), "transfer_share": ("转增比例",), "rights_issue_ratio": ("配股比例",), "rights_price": ("配股价格",)}
+VISIT_TEXT = {"代码": "SECURITY_CODE", "名称": "SECURITY_NAME_ABBR", "调研机构": "RECEIVE_OBJECT", "机构类型": "ORG_TYPE", "调研人员": "INVESTIGATORS", "接待方式": "RECEIVE_WAY_EXPLAIN", "接待人员": "RECEPTIONIST", "接待地点": "RECEIVE_PLACE"}
+VISIT_NUMBERS = {"最新价": "CLOSE_PRICE", "涨跌幅": "CHANGE_RATE"}
+VISIT_DAYS = {"调研日期": "RECEIVE_START_DATE", "公告日期": "NOTICE_DATE"}
+INDICATOR_LABELS = {"按报告期": "report_period", "按单季度": "single_quarter"}
+
+
+def margin_of_symbols(raw: DataFrame, symbols: DataFrame, day: Column | str) -> DataFrame:
+    """(date, asset, three balances) of the wanted symbols, from whatever column names the vendor uses; a row without a day has the day
+    of its file. A needed column that is missing gives no rows. One row of each key stays, the largest by its numbers."""
+    at = F.lit(day) if isinstance(day, str) else day
+    have = [any(n in raw.columns for n in names) for names in (CODE_NAMES, *MARGIN_NAMES.values())]
+    out = raw.where(F.lit(all(have))).select(F.coalesce(to_day(alias_pick(raw, *DAY_NAMES)), to_day(at)).alias("date"), symbol(alias_pick(raw, *CODE_NAMES)).alias("asset"), *[alias_pick(raw, *names, kind="double").alias(c) for c, names in MARGIN_NAMES.items()])
+    out = out.where("date is not null and asset is not null").join(symbols.select(C("symbol").alias("asset")).distinct(), "asset", "left_semi")
+    w = Window.partitionBy("date", "asset").orderBy(*[C(c).desc_nulls_last() for c in MARGIN_NAMES])
+    return out.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("date", "asset", *MARGIN_NAMES)
+
+
+def rows_by_symbol(panel: DataFrame, symbols: DataFrame) -> DataFrame:
+    """(asset, n_rows, n_dates) of every wanted symbol; those without rows have 0."""
+    counts = panel.groupBy("asset").agg(F.count("*").alias("n_rows"), F.countDistinct("date").alias("n_dates"))
+    return symbols.select(C("symbol").alias("asset")).distinct().join(counts, "asset", "left").na.fill(0, ["n_rows", "n_dates"])
+
+
+def normalised_margin(frames: dict[str, DataFrame], strict: bool = True) -> DataFrame:
+    """The margin rows of all exchanges in one schema. frames: exchange to its raw rows, with the day of the file in `path_date`."""
+    return reduce(DataFrame.unionByName, [margin_frame(df, exchange, C("path_date"), strict) for exchange, df in frames.items()])
+
+
+def margin_inventory(panel: DataFrame) -> DataFrame:
+    """Rows, dates and assets by exchange."""
+    return panel.groupBy("exchange").agg(F.count("*").alias("rows"), F.countDistinct("date").alias("n_dates"), F.countDistinct("asset").alias("n_assets"))
+
+
+def corporate_actions(raw: DataFrame, code: tuple[str, ...] = CODE_NAMES) -> DataFrame:
+    """ts_code, ex_date and the numbers of dividends and issues; rows without a day go, of several rows of a key the largest stays."""
+    first = lambda names: next(((n,) for n in names if n in raw.columns), names)  # noqa: E731  the first column that there is, not the first value
+    out = raw.select(symbol(alias_pick(raw, *code)).alias("ts_code"), to_day(alias_pick(raw, *first(ACTION_DAYS))).alias("ex_date"), *[alias_pick(raw, *first(names), kind="double").alias(c) for c, names in ACTION_NUMBERS.items()])
+    w = Window.partitionBy("ts_code", "ex_date").orderBy(*[C(c).desc_nulls_last() for c in ACTION_NUMBERS])
+    return out.where("ts_code is not null and ex_date is not null").withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+
+def visit_page(raw: DataFrame) -> DataFrame:
+    """Rows of a page of institutional visits under the names that its users know; a field that the page lacks is NULL."""
+    pick = lambda names, kind: [alias_pick(raw, theirs, kind=kind).alias(ours) for ours, theirs in names.items()]
+    return raw.select(*pick(VISIT_TEXT, "string"), *pick(VISIT_NUMBERS, "double"), *[to_day(alias_pick(raw, theirs)).alias(ours) for ours, theirs in VISIT_DAYS.items()])
+
+
+def _verified_place(code: Column) -> Column:
+    """Market of a six-digit code by its first digit, of the ones that statement sources cover: 6 in SH, 0 and 3 in SZ."""
+    return F.when(code.rlike("^6[0-9]{5}$"), "SH").when(code.rlike("^[03][0-9]{5}$"), "SZ")
+
+
+def statement_symbol(c: Column) -> Column:
+    """(plain, prefixed) of a code that statement sources cover, with or without its prefix; else NULL."""
+    text = F.upper(F.trim(c.cast("string")))
+    code = F.regexp_extract(text, "^(?:SH|SZ)?([0-9]{6})$", 1)
+    full = F.concat(_verified_place(code), code)
+    return F.when((code != "") & full.isNotNull() & ((F.length(text) == 6) | (text == full)), F.struct(code.alias("plain"), full.alias("prefixed")))
+
+
+def indicator_symbol(c: Column) -> Column:
+    """A code with its suffix: given ones stay, six digits get theirs, anything else is NULL."""
+    text = F.upper(F.trim(c.cast("string")))
+    return F.when(text.endswith(".SZ") | text.endswith(".SH"), text).otherwise(F.concat(text, F.lit("."), _verified_place(text)))
+
+
+def indicator_label(c: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in INDICATOR_LABELS.items() for x in kv]), c)
+
+
+def component_codes(df: DataFrame) -> DataFrame:
+    """(symbol) of an index's components, from the first of the known columns that there is; blanks go, a missing column raises."""
+    name = next((n for n in COMPONENT_NAMES if n in df.columns), None)
+    if name is None:
+        raise ValueError("no column of security codes")
+    text = F.trim(C(f"`{name}`").cast("string"))
+    return df.where(text != "").select(symbol(text, "joined").alias("symbol"))
+
+
+def index_prices(df: DataFrame) -> DataFrame:
+    """(date, close) of an index, in no order; rows without a day or a number go, and a missing column raises."""
+    if gone := [k for k, names in INDEX_NAMES.items() if not any(n in df.columns for n in names)]:
+        raise ValueError(f"index prices miss {gone}")
+    return df.select(to_day(alias_pick(df, *INDEX_NAMES["date"])).alias("date"), alias_pick(df, *INDEX_NAMES["close"], kind="double").alias("close")).where("date is not null and close is not null and not isnan(close)")
+
+
+def universe_sample(components: DataFrame, n: int, seed: int) -> DataFrame:
+    """(sample_rank, index_symbol, symbol, requested_n, actual_n, seed): n of the distinct symbols, drawn by the hash of symbol and seed,
+    ranked by symbol. A symbol of several indices is of the first by name."""
+    if n <= 0:
+        raise ValueError("n must be positive")
+    each = components.where("symbol is not null").groupBy("symbol").agg(F.min("index_symbol").alias("index_symbol"))
+    drawn = each.orderBy(F.md5(F.concat_ws("/", C("symbol"), F.lit(str(seed)))), "symbol").limit(n)
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # over the n drawn rows alone
+    return drawn.select(F.row_number().over(Window.orderBy("symbol")).alias("sample_rank"), "index_symbol", "symbol", F.lit(n).alias("requested_n"), F.count("*").over(whole).alias("actual_n"), F.lit(seed).alias("seed"))

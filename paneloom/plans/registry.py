@@ -295,15 +295,15 @@ def _liquid(s, d):
     return _sig(s, d).withColumn("liquidity", C("amount_20d"))
 
 
-_LQ = "lq AS (SELECT *, coalesce(amount_20d >= 60000, false) AS fits FROM sig WHERE signal IS NOT NULL), lt AS (SELECT *, fits AND row_number() OVER (PARTITION BY date ORDER BY fits DESC, signal DESC, asset) <= 10 AS top FROM lq)"
-register("p4_liquidity", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=60000.0), ["date", "asset"], {"weight": 6}),
+_LQ = "lq AS (SELECT *, coalesce(amount_20d >= 110000, false) AS fits FROM sig WHERE signal IS NOT NULL), lt AS (SELECT *, fits AND row_number() OVER (PARTITION BY date ORDER BY fits DESC, signal DESC, asset) <= 10 AS top FROM lq)"
+register("p4_liquidity", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=110000.0), ["date", "asset"], {"weight": 6}),
          f"WITH {_SIG}, {_LQ} SELECT date, asset, round(CASE WHEN top THEN 1.0 / sum(top::INTEGER) OVER (PARTITION BY date) ELSE 0.0 END, 6) AS weight FROM lt")
 _CAP = """z0 AS (SELECT date, asset, grp, CASE WHEN top THEN 1.0::DOUBLE / sum(top::INTEGER) OVER (PARTITION BY date) ELSE 0.0 END AS w, ln(greatest(market_cap, 1e-12)) AS lg FROM lt),
   z1 AS (SELECT date, asset, grp, least(0.102, greatest(-0.102, w * (1 + 0.5 * coalesce(lg / nullif(max(abs(lg)) OVER (PARTITION BY date), 0), 0)))) AS w FROM z0), z2 AS (SELECT date, asset, grp, coalesce(w / nullif(sum(w) OVER (PARTITION BY date), 0), 0) AS w FROM z1)"""
-register("b3_capped_size_aware", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=60000.0, size_aware=True, max_weight=0.102), ["date", "asset"], {"weight": 6}),
+register("b3_capped_size_aware", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=110000.0, size_aware=True, max_weight=0.102), ["date", "asset"], {"weight": 6}),
          f"WITH {_SIG}, {_LQ}, {_CAP} SELECT date, asset, round(w, 6) + 0.0 AS weight FROM z2")
 _round_sql = lambda i: f"g{i} AS (SELECT date, grp, m * (CASE WHEN t > 0.3 THEN 0.3 / t ELSE 1 END) / nullif(sum(least(t, 0.3)) OVER (PARTITION BY date), 0) AS m, least(t, 0.3) / nullif(sum(least(t, 0.3)) OVER (PARTITION BY date), 0) AS t FROM g{i - 1})"
-register("b4_group_cap", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=60000.0, size_aware=True, max_weight=0.102, group_cap=0.3), ["date", "asset"], {"weight": 6}),
+register("b4_group_cap", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 10, min_liquidity=110000.0, size_aware=True, max_weight=0.102, group_cap=0.3), ["date", "asset"], {"weight": 6}),
          f"WITH {_SIG}, {_LQ}, {_CAP}, g0 AS (SELECT date, grp, 1.0::DOUBLE AS m, sum(w) AS t FROM z2 GROUP BY 1, 2), {', '.join(_round_sql(i) for i in range(1, 9))}, y AS (SELECT z2.date, asset, w * coalesce(m, 0) AS w FROM z2 JOIN g8 ON z2.date = g8.date AND z2.grp IS NOT DISTINCT FROM g8.grp) SELECT date, asset, round(coalesce(w / nullif(sum(w) OVER (PARTITION BY date), 0), 0), 6) + 0.0 AS weight FROM y")
 _HELD = f"""{_SIG}, {_WTS}, rb AS (SELECT max(date) AS date FROM (SELECT DISTINCT date FROM wts) GROUP BY date_trunc('month', date)), grid AS (SELECT d.date, a.asset FROM (SELECT DISTINCT date FROM wts) d, (SELECT DISTINCT asset FROM wts) a),
   gw AS (SELECT g.date, g.asset, k.weight AS kw FROM grid g LEFT JOIN (SELECT w.* FROM wts w JOIN rb USING (date)) k ON g.date = k.date AND g.asset = k.asset),

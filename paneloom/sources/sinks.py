@@ -11,15 +11,17 @@ C = F.col
 
 
 def write_by_date(df: DataFrame, path: str, date: str = "trade_date", order: str | None = None) -> None:
-    """One folder a day; only the days that df has are replaced. A day's rows are spread over the tasks that its size asks for."""
-    out = df.repartition(C(date)) if order is None else df.repartition(C(date)).sortWithinPartitions(date, order)
+    """One folder a day; only the days that df has are replaced. The rows of a day meet in one task, or in several if they are too many
+    for one: adaptive execution splits what the rebalance hint allows it to."""
+    out = df.hint("rebalance", date)
+    out = out if order is None else out.sortWithinPartitions(date, order)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
 
 
 def write_by_month(df: DataFrame, path: str, date: str = "date", asset: str = "asset") -> DataFrame:
     """One folder a month, and the manifest: year, month, rows, n_dates, n_assets."""
     out = df.withColumns({"year": F.year(date), "month": F.month(date)})
-    out.repartition("year", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+    out.hint("rebalance", "year", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
     return month_manifest(df, date, asset)
 
 
@@ -43,7 +45,7 @@ def append_new_partitions(df: DataFrame, path: str, keys: list[str], overwrite:
         fresh = df.join(old, keys, "left_anti")
     catalog = spark.createDataFrame(catalog.collect(), catalog.schema)  # a row for each partition folder, fixed before the write changes it
     mode = "overwrite" if overwrite else "append"
-    fresh.repartition(*keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    fresh.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
     return catalog
 
 
@@ -59,12 +61,35 @@ def write_snapshots(df: DataFrame, path: str, keys: tuple[str, ...] = ("index_na
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("index_name", "year").parquet(path)
 
 
-def upsert_table(df: DataFrame, path: str, staged: str, keys: list[str]) -> None:
-    """Keyed upsert into the table at path, by way of the folder `staged`; the new row wins."""
+def read_table(spark, path: str) -> DataFrame:
+    """The last version of a versioned table."""
+    every = spark.read.parquet(path)
+    last = every.agg(F.max("version")).first()[0]
+    return every.where(C("version") == F.lit(last)).drop("version")
+
+
+def write_table(df: DataFrame, path: str, version: int = 1) -> None:
+    """A version of a table: readers see it once it is written whole, and the one before until then."""
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+
+
+def upsert_table(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Keyed upsert into the versioned table at path: the new row wins, and the result is the next version."""
     spark = df.sparkSession
-    both = spark.read.parquet(path).withColumn("_turn", F.lit(0)).unionByName(df.withColumn("_turn", F.lit(1)))
-    keep_last(both, keys, C("_turn")).drop("_turn").write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    last = spark.read.parquet(path).agg(F.max("version")).first()[0]
+    both = read_table(spark, path).withColumn("_turn", F.lit(0)).unionByName(df.withColumn("_turn", F.lit(1)))
+    write_table(keep_last(both, keys, C("_turn")).drop("_turn"), path, last + 1)
+
+
+def compact_raw(spark, raw: str, out: str, keys: tuple[str, ...]) -> DataFrame:
+    """The files under raw, with key=value folders, as one table with few files for each of the keys. Returns (path, rows) of what was
+    read; a row count that differs from what was written raises."""
+    rows = spark.read.option("mergeSchema", True).parquet(raw).withColumn("_path", F.input_file_name())
+    rows.drop("_path").hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).parquet(out)
+    traced = rows.groupBy(C("_path").alias("path")).agg(F.count("*").alias("rows"))
+    if (a := rows.count()) != (b := spark.read.parquet(out).count()):
+        raise ValueError(f"{a} rows were read and {b} written")
+    return traced
 
 
 def append_log(df: DataFrame, path: str) -> None:

@@ -1,13 +1,13 @@
 """Normalisers, file sources and sinks on small cases."""
 
 import json
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom.operators import lake, normalise
-from paneloom.sources import files, sinks
+from paneloom.operators import catalog, checks, contracts, lake, normalise, research
+from paneloom.sources import files, sinks, store
 
 C = F.col
 
@@ -66,10 +66,13 @@ def test_files_and_sinks(spark, tmp_path):
     more = df.unionByName(spark.createDataFrame([(date(2024, 3, 1), "c", 9)], df.schema))
     assert {(r.asset, r.status) for r in sinks.append_new_partitions(more, path, ["asset"]).collect()} == {("a", "already_exists"), ("b", "already_exists"), ("c", "success")}
     assert spark.read.parquet(path).count() == 4
-    table, staged = str(tmp_path / "t"), str(tmp_path / "s")
-    df.write.parquet(table)
-    sinks.upsert_table(spark.createDataFrame([(date(2024, 1, 2), "a", 7)], df.schema), table, staged, ["trade_date", "asset"])
-    assert sorted(r.v for r in spark.read.parquet(table).collect()) == [2, 3, 7]
+    table = str(tmp_path / "t")
+    sinks.write_table(df, table)
+    sinks.upsert_table(spark.createDataFrame([(date(2024, 1, 2), "a", 7)], df.schema), table, ["trade_date", "asset"])
+    sinks.upsert_table(spark.createDataFrame([(date(2024, 1, 2), "c", 8)], df.schema), table, ["trade_date", "asset"])
+    assert sorted(r.v for r in sinks.read_table(spark, table).collect()) == [2, 3, 7, 8]
+    traced = sinks.compact_raw(spark, f"{root}/fam/api", str(tmp_path / "compact"), ("asset",))
+    assert sorted(r.rows for r in traced.collect()) == [1, 2] and spark.read.parquet(str(tmp_path / "compact")).count() == 3
     assert {(r.year, r.month, r.rows, r.n_assets) for r in sinks.write_by_month(df, str(tmp_path / "m"), "trade_date").collect()} == {(2024, 1, 2, 2), (2024, 2, 1, 1)}
     sinks.write_outputs({"x": df.select("asset", F.lit("").alias("e"))}, str(tmp_path / "csv"))
     assert {r.e for r in files.read_texts(spark, str(tmp_path / "csv" / "x"), ("asset",)).collect()} == {""}
@@ -89,3 +92,71 @@ def test_files_and_sinks(spark, tmp_path):
     sinks.write_manifest(spark, str(tmp_path / "man"), rows=3, name="x")
     assert spark.read.json(str(tmp_path / "man")).first().rows == "3"
     assert lake.collision_plan(inv.select("path", "digest"), inv.select("path", "digest")).where("action = 'skip_identical'").count() == inv.count()
+
+
+def test_store_reads_only_what_it_needs(spark, tmp_path):
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(30)]
+    raw = spark.createDataFrame([(d.strftime("%Y%m%d"), a, str(10.0 + i), "NaN" if a == "b" else "5", "100", "1000") for i, d in enumerate(days) for a in "ab"] + [("bad", "a", "1", "1", "1", "1")], "date string, code string, close string, open string, volume string, amount string")
+    root, log = str(tmp_path / "fs"), str(tmp_path / "log")
+    gone = store.build_feature_store(raw, root, spark.createDataFrame([("a",), ("b",), ("z",)], "symbol string"), "2024-01-06", "2024-01-25", log)
+    assert [r.symbol for r in gone.collect()] == ["z"]
+    got = store.read_features(spark, root, "2024-01-10", "2024-01-12", ["a"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan and got.count() == 3
+    first = got.orderBy("date").first()
+    assert first.ret_5d == pytest.approx(19 / 14 - 1) and first.is_tradable and first.asset == "a"
+    assert not store.read_features(spark, root, symbols=["b"]).where("is_tradable or open is not null").count()
+    assert store.read_features(spark, root).agg(F.min("date")).first()[0] == date(2024, 1, 6)
+    names = {r.feature_name for r in store.read_feature_log(spark, log).collect()}
+    assert {"ret_1d", "market_cap", "is_tradable"} <= names
+    with pytest.raises(ValueError):
+        store.build_feature_store(raw, root, start="2030-01-01")
+    bars = spark.createDataFrame([(days[0], "a", 1.0, 5.0), (days[0], "a", 2.0, float("nan")), (days[1], None, 3.0, 1.0), (days[1], "b", None, 1.0)], "trade_date date, ts_code string, close double, vol double")
+    sinks.write_by_date(bars, str(tmp_path / "bars"))
+    panel = {(r.date, r.asset): r for r in store.read_daily_panel(spark, str(tmp_path / "bars")).collect()}
+    assert set(panel) == {(days[0], "a"), (days[1], "b")} and panel[days[0], "a"].close == 2.0 and panel[days[0], "a"].volume is None
+    assert not panel[days[1], "b"].is_tradable and panel[days[0], "a"].open is None
+    with pytest.raises(ValueError):
+        store.read_daily_panel(spark, str(tmp_path / "bars"), columns=["nothing"])
+
+
+def test_catalog_jobs(spark):
+    kinds = "source_family string, api_name string, status string, rows long"
+    main = spark.createDataFrame([("f", "a", "success", 3), ("f", "b", "failed", 0), (None, "c", "timeout", 0)], kinds)
+    assert {tuple(r) for r in catalog.unrecovered(main, main.limit(0)).collect()} == {("f", "b"), ("", "c")}
+    with pytest.raises(ValueError):
+        catalog.effective_catalog(main, main.where("api_name = 'a'"))
+    good = spark.createDataFrame([("f", "b", "success", 4), (None, "c", "already_exists", 2), ("f", "b", "already_exists", 0)], kinds)
+    assert sorted((r.api_name, r.rows) for r in catalog.effective_catalog(main, good).collect()) == [("a", 3), ("b", 4), ("c", 2)]
+    tasks = spark.createDataFrame([("t", "success", date(2024, 1, 9), date(2024, 1, 1), date(2024, 2, 1)), ("t", "failed", date(2024, 2, 9), date(2024, 1, 1), date(2024, 2, 1)), ("u", "already_exists", None, None, None), ("", "success", None, None, None)], "task_key string, status string, month date, first_month date, last_month date")
+    assert [r.task_key for r in catalog.completed_tasks(tasks).collect()] == ["u"]
+    empty = spark.createDataFrame([], "source_family string, api_name string, status string, rows string, output_path string, metadata_path string")
+    failed = {r.check_name: r.failed for r in catalog.run_validation(empty, ("success",)).collect()}
+    assert failed["empty_catalog"] == failed["no_rows"] == 1 and failed["nan_path"] == 0
+    assert catalog.filter_cases(main, 1, status="success").count() == 1 and catalog.plan_differences(main, main, "api_name").isEmpty()
+
+
+def test_contracts(spark):
+    table = spark.createDataFrame([("technical_liquidity", "x", "", "a", "ready_for_builder", "label", "none"), ("fundamental_quality", None, "n", "", "later", "", "")], "factor_family string, current_status string, recommended_next_step string, priority string, builder_readiness string, forbidden_field_risks string, notes string")
+    got = {(r.rule, r.key) for r in checks.check_rules(table, contracts.FAMILY_READINESS, "factor_family").collect()}
+    assert got == {("current_status is empty", "fundamental_quality"), ("recommended_next_step is empty", "technical_liquidity"), ("priority is empty", "fundamental_quality"), ("builder_readiness is known", "fundamental_quality"), ("risks need a safety note", "technical_liquidity")}
+    assert {(r.rule, r.message) for r in checks.check_rules(table.drop("priority"), contracts.FAMILY_READINESS, "factor_family").where("message = 'missing column'").collect()} == {("priority is empty", "missing column")}
+    with pytest.raises(ValueError):
+        checks.check_rules(table, [{"name": "x", "kind": "odd", "column": "notes"}], "notes").collect()
+
+
+def test_research_guards(spark):
+    frame = spark.createDataFrame([(date(2024, 1, 1), "a", 1.0, 2.0), (date(2024, 1, 1), "b", None, 2.0)], "date date, asset string, s double, fwd_ret_5d double")
+    rows, stats = research.aligned(frame, "s", ["fwd_ret_5d"])
+    assert rows.count() == 1 and stats.first().coverage_ratio == 0.5
+    assert research.aligned(frame.limit(0), "s", ["fwd_ret_5d"])[1].first().coverage_ratio == 0.0
+    with pytest.raises(ValueError):
+        research.aligned(frame, "s", ["nothing"])
+    with pytest.raises(ValueError):
+        research.strictly_joined(frame.select("date", "asset", "s"), frame.where("asset = 'a'").select("date", "asset", "fwd_ret_5d"))
+    with pytest.raises(ValueError):
+        research.basic_diagnostics(frame, ["fwd_ret_5d"])
+    with pytest.raises(ValueError):
+        normalise.component_codes(frame)
+    with pytest.raises(ValueError):
+        normalise.universe_sample(frame, 0, 1)
