@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneloom.llm import line_dedup, mixing, ngram_join, pieces, quality, registry
 from paneloom.llm.store import documents, drop, save
 
 
+def _fields(docs: DataFrame, row: str) -> list[Column]:
+    """The columns of docs out of the column that holds them all, where their names clash with nothing."""
+    return [F.col(row).getField(c).alias(c) for c in docs.columns]
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
+    """Rejected documents go. A null text is judged as an empty one and repeated rows alike; without labels of two grades all stay.
+    An empty table stays empty; a very long text is judged whole; ties with the cut stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.rate(docs, labels).where("keep").select(*docs.columns)
+    rated = quality.rate(docs.select(F.struct("*").alias("row"), "doc_id", "text"), labels)
+    return rated.where("keep").select(*_fields(docs, "row"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that spread over many sites go, however short they are; n_chars follows the text."""
+    """Lines that spread over many sites go, however short they are; n_chars follows the text. Every row stays: a null text stays null,
+    a text may become empty, and of ties and repeated rows all keep a line whose smallest id is theirs."""
     clean = line_dedup.dedup_lines(docs, min_chars=1).select(*docs.columns)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
@@ -25,28 +33,32 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: of the smallest id (null ids last), then of the smallest hash of id and text.
 
     A row is told by its id and text: an id that stands on two texts goes only where its text does. Of repeated rows that of the
-    smallest other columns stays. Rows without words are no copies, and all stay.
+    smallest other columns stays. Rows without words, nulls among them, are no copies, and all stay. An empty table stays empty; a
+    very long text is a longer set of shingles and nothing else.
     """
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    groups = ngram_join.near_duplicates(keyed, k=5, pct=80, id_col="_row").where("n_shingles > 0")
-    groups = groups.groupBy(F.col("doc_id").alias("_row"), "component_id").agg(F.count("*").alias("n"))
-    groups = save(groups.join(keyed.select("_row", "doc_id").distinct(), "_row"), "groups")
-    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"), F.count("*").alias("rows"))
-    gone = save(groups.join(first.where("rows > 1"), "component_id").where("_row <> first._row").select("_row"), "gone")
-    again = save(groups.where("n > 1").select("_row"), "again")
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("name"), "doc_id", "text")
+    groups = ngram_join.near_duplicates(keyed, k=5, pct=80, id_col="name").where("n_shingles > 0")
+    groups = groups.groupBy(F.col("doc_id").alias("name"), "component_id").agg(F.count("*").alias("n"))
+    groups = save(groups.join(keyed.select("name", "doc_id").distinct(), "name"), "groups")
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "name")).alias("first"), F.count("*").alias("rows"))
+    gone = save(groups.join(first.where("rows > 1"), "component_id").where("name <> first.name").select("name"), "gone")
+    again = save(groups.where("n > 1").select("name"), "again")
+    drop(groups)
     gone, again = (F.broadcast(x) if x.count() <= ngram_join.MOST_IDS else x for x in (gone, again))
-    left = keyed.join(gone, "_row", "left_anti")
-    one = left.join(again, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*")
-    return left.join(again, "_row", "left_anti").select(*docs.columns).unionByName(one)
+    left = keyed.join(gone, "name", "left_anti").select("row", "name")
+    one = left.join(again, "name", "left_semi").groupBy("name").agg(F.min("row").alias("row"))
+    return left.join(again, "name", "left_anti").select(*_fields(docs, "row")).unionByName(one.select(*_fields(docs, "row")))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them: equal ids by size, repeated rows alike; rows without words, nulls among them, go. An
+    empty table stays empty; a very long text is a row like any other, and the one at its source's cut is kept whole."""
     return mixing.mixed_documents(docs)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, checked by what they decode to."""
+    """Ids of every text, checked by what they decode to: one row for each row, repeated ones too. A null or empty text has no ids; a
+    very long one is encoded whole; an empty table stays empty."""
     return pieces.encode(docs, registry.model_path(), keep_ids=True)
 
 
