@@ -27,6 +27,13 @@ def summarize_ic(ic: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def ic_summary(frame: DataFrame, signal: str, label: str) -> DataFrame:
+    """One row: mean and (population) deviation of the daily correlation and rank correlation, and the days that have one."""
+    plain, ranked = daily_ic(frame, signal, label), daily_ic(frame, signal, label, "spearman")
+    two = plain.select("date", "ic").join(ranked.select("date", C("ic").alias("rank_ic")), "date")
+    return two.agg(F.avg("ic").alias("ic_mean"), F.stddev_pop("ic").alias("ic_std"), F.avg("rank_ic").alias("rank_ic_mean"), F.stddev_pop("rank_ic").alias("rank_ic_std"), F.count("ic").alias("n_days"))
+
+
 def long_form(frame: DataFrame, columns: list[str], keys: tuple[str, ...] = ("date", "asset"), name: str = "factor") -> DataFrame:
     return frame.select(*keys, *[C(c).cast("double").alias(c) for c in columns]).unpivot(list(keys), columns, name, "value")
 

@@ -80,8 +80,26 @@ def partition_bucket(parts: str = "partition"):
     )
 
 
-def month_complete(catalog: DataFrame, expected: DataFrame) -> DataFrame:
-    """(task, complete): every expected month has landed."""
-    got = catalog.where(C("status") == "success").groupBy("task").agg(F.collect_set("month").alias("got"))
-    want = expected.groupBy("task").agg(F.collect_set("month").alias("want"))
-    return want.join(got, "task", "left").select("task", (F.size(F.array_except("want", F.coalesce("got", F.array().cast("array<string>")))) == 0).alias("complete"))
+def merge_catalog(prior: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row for each key: the last by order, new ones after prior ones; but a prior row that landed (success, empty) stays where
+    all that is new is that it already exists."""
+    both = prior.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    landed = C("status").isin("success", "empty")
+    key = Window.partitionBy(*keys)
+    stays = F.max(~C("_new") & landed).over(key) & F.max(C("_new") & (C("status") == "already_exists")).over(key) & ~F.max(C("_new") & landed).over(key)
+    first = F.when(F.coalesce(stays, F.lit(False)), ~C("_new") & landed).otherwise(F.lit(False))
+    place = F.row_number().over(key.orderBy(C("_first").desc(), C("_new").desc(), C(order).desc()))
+    return both.withColumn("_first", first).withColumn("_place", place).where("_place = 1").select(*prior.columns)
+
+
+def partition_states(data: DataFrame, metadata: DataFrame, key: str = "partition") -> DataFrame:
+    """(partition, state): complete with data and metadata, partial with one of them; what is in neither is absent."""
+    a, b = data.select(key).distinct().withColumn("_a", F.lit(True)), metadata.select(key).distinct().withColumn("_b", F.lit(True))
+    return a.join(b, key, "full_outer").select(key, F.when(C("_a") & C("_b"), "complete").otherwise("partial").alias("state"))
+
+
+def append_since_last(old: DataFrame, new: DataFrame, asset: str = "asset", date: str = "date") -> DataFrame:
+    """The old rows and the new rows of days after an asset's last one; a key stands once, with the new row."""
+    last = old.groupBy(asset).agg(F.max(date).alias("_last"))
+    fresh = new.join(last, asset, "left").where(C("_last").isNull() | (C(date) > C("_last"))).select(*old.columns)
+    return upsert(old, fresh, [asset, date])

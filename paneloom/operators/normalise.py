@@ -28,6 +28,11 @@ HEALTH = {
     "parameter_value_review": ("review_valid_parameter_values", "Wave 3"),
     "manual_review_needed": ("manual_review", "Wave 3"),
 }
+HEALTH_REASON = {
+    "ready": "success_rows_gt_zero", "empty_check_later": "empty_or_zero_rows", "pending_adapter": "adapter_not_registered", "unstable_retry_needed": "network_or_timeout_instability",
+    "adapter_defensive_fix_needed": "adapter_defensive_issue", "parameter_value_review": "parameter_value_issue", "manual_review_needed": "unclassified_failure",
+}
+WAVE_SCOPE = {"Wave 1": "small_historical_wave_first", "Wave 2": "retry_or_broaden_window", "Wave 3": "fix_before_backfill"}
 NO_ADAPTER = "missing adapter|missing function|not implemented"
 UNSTABLE = "Response ended prematurely|RemoteDisconnected|Connection aborted|Read timed out|Max retries exceeded|(?i:timeout)"
 DEFENSIVE = "'NoneType' object is not subscriptable|KeyError|IndexError|AttributeError|JSONDecodeError|Expecting value"
@@ -169,6 +174,27 @@ def health_wave(cls: Column, item: int) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for k, v in HEALTH.items() for x in (k, v[item])]), cls)
 
 
+def _of(names: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), key)
+
+
+def health_matrix(catalog: DataFrame) -> DataFrame:
+    """The catalog with health_class, recommended_action, backfill_wave and reason of each row."""
+    cls = C("health_class")
+    return catalog.withColumn("health_class", health()).withColumns({"recommended_action": health_wave(cls, 0), "backfill_wave": health_wave(cls, 1), "reason": _of(HEALTH_REASON, cls)})
+
+
+def wave_plan(matrix: DataFrame) -> DataFrame:
+    """Rows of a health matrix, one for each source, in the order in which to fetch them: by wave, family, api and falling rows."""
+    place = F.row_number().over(Window.orderBy("backfill_wave", "source_family", "api_name", C("rows").desc()))
+    return matrix.select("backfill_wave", "source_family", "api_name", place.alias("priority_rank"), "status", "rows", "recommended_action", "reason", F.coalesce(_of(WAVE_SCOPE, C("backfill_wave")), F.lit("manual_scope")).alias("suggested_backfill_scope"))
+
+
+def parse_task_key(key: Column, *parts: str) -> Column:
+    """The named parts of a canonical task key, as texts; NULL where the key is no JSON."""
+    return F.from_json(key, ", ".join(f"`{p}` string" for p in parts))
+
+
 def risk_level(text: Column) -> Column:
     """low without a text, high where it tells of later knowledge, else medium."""
     return F.when(F.coalesce(text, F.lit("")) == "", "low").when(text.contains("后") | F.lower(text).contains("post"), "high").otherwise("medium")

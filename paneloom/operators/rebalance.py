@@ -177,8 +177,10 @@ def index_curve(prices: DataFrame, *by: str) -> DataFrame:
 
 
 def summarize_trades(trades: DataFrame) -> DataFrame:
-    n = lambda a: F.count_if(C("action") == a)
-    return trades.groupBy("date").agg(n("buy").alias("n_buy"), n("sell").alias("n_sell"), F.sum(F.abs("trade_weight")).alias("gross_turnover"), F.avg(F.when(C("action") == "buy", C("rank"))).alias("mean_buy_rank"), F.avg(F.when(C("action") == "sell", C("rank"))).alias("mean_sell_rank"))
+    """Counts by action, gross turnover and mean ranks of what was bought and sold, for each date."""
+    n = lambda a: F.count_if(C("action") == a).alias(f"n_{a}")
+    rank = lambda a: F.avg(F.when(C("action") == a, C("rank"))).alias(f"average_{a}_rank")
+    return trades.groupBy("date").agg(*[n(a) for a in ACTIONS], F.count("*").alias("n_total"), F.coalesce(F.sum(F.abs("trade_weight")), F.lit(0.0)).alias("gross_turnover"), rank("buy"), rank("sell"))
 
 
 def holding_periods(weights: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import catalog as jobs
-from ..operators import checks, contracts
+from ..operators import checks, contracts, lake, normalise
 from ..sources import panel as src
-from .registry import register, rnd
+from .registry import PANEL, register, rnd
 
 C = F.col
 _STATUS = ("failed", "timeout", "empty", "skipped", "pending_adapter", "already_exists")
@@ -208,3 +208,39 @@ _contract("v11_builder_coverage", [r for r in contracts.BUILDER_COVERAGE if r.ge
 _contract("v12_industry_contract", contracts.INDUSTRY_CONTRACT, [_viol("date_field is empty", "k % 59 = 0", "required"), _viol("usable_for_historical_backtest is empty", "k % 61 = 0", "required")])
 _contract("v12_event_contract", contracts.EVENT_CONTRACT, [_viol("event_type is empty", "k % 53 = 0", "required"), _viol("outcomes are forbidden", "(k = 32 OR k % 6 = 0) AND k % 12 = 0", "implies"), _viol("stock_lhb_detail_em lists its outcomes", "k = 32", "implies"), _viol("stock_restricted_release_detail_em lists its outcomes", "k = 33", "implies"),
                                                              "SELECT 'events exist' AS rule, v AS key, 'missing' AS message FROM (SELECT unnest(['stock_lhb_detail_em', 'stock_restricted_release_detail_em']) AS v, unnest([32, 33]) AS i) WHERE i NOT IN (SELECT k FROM con)"])
+
+
+# catalogs over time ----------------------------------------------------------------------------------------------------------------------
+
+
+def _waves(spark: SparkSession, d: str) -> DataFrame:
+    return normalise.health_matrix(tasks(spark, d).select("task_id", "source_family", "api_name", "status", "rows", F.when(C("error_type") == "E1", "Read timed out").when(C("error_type") == "E2", "KeyError: x").otherwise(C("error_type")).alias("error_message")))
+
+
+_HM = """hm AS (SELECT task_id, source_family, api_name, status, rows, CASE WHEN status = 'success' AND rows > 0 THEN 'ready' WHEN status = 'empty' OR (status = 'success' AND rows = 0) THEN 'empty_check_later' WHEN error_type = 'E1' THEN 'unstable_retry_needed' WHEN error_type = 'E2' THEN 'adapter_defensive_fix_needed' ELSE 'manual_review_needed' END AS health_class FROM tasks)"""
+_pick = lambda names: "CASE health_class " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items()) + " END"
+_HW = f"hw AS (SELECT *, {_pick({k: v[0] for k, v in normalise.HEALTH.items()})} AS recommended_action, {_pick({k: v[1] for k, v in normalise.HEALTH.items()})} AS backfill_wave, {_pick(normalise.HEALTH_REASON)} AS reason FROM hm)"
+register("n21_health_matrix", lambda s, d: _waves(s, d).drop("error_message"), f"WITH {TASKS}, {_HM}, {_HW} SELECT * FROM hw")
+register("v13_wave_plan", lambda s, d: normalise.wave_plan(_waves(s, d).groupBy("source_family", "api_name").agg(*[F.max_by(c, "task_id").alias(c) for c in ("status", "rows", "recommended_action", "backfill_wave", "reason")])),
+         f"WITH {TASKS}, {_HM}, {_HW}, l AS (SELECT * FROM hw QUALIFY row_number() OVER (PARTITION BY source_family, api_name ORDER BY task_id DESC) = 1) SELECT backfill_wave, source_family, api_name, row_number() OVER (ORDER BY backfill_wave, source_family, api_name, rows DESC)::INTEGER AS priority_rank, status, rows, recommended_action, reason, CASE backfill_wave WHEN 'Wave 1' THEN 'small_historical_wave_first' WHEN 'Wave 2' THEN 'retry_or_broaden_window' ELSE 'fix_before_backfill' END AS suggested_backfill_scope FROM l")
+register("n20_parse_task_keys", lambda s, d: src.table(s, d, "orders").select("o_orderkey", normalise.parse_task_key(normalise.task_key("o_custkey", "o_orderpriority"), "o_custkey", "o_orderpriority").alias("k")).select("o_orderkey", "k.*"), "SELECT o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderpriority FROM orders")
+
+
+def _catalog_part(s: SparkSession, d: str, new: bool) -> DataFrame:
+    rows = tasks(s, d).where("day >= date '1998-01-01'" if new else "day < date '1998-01-01'")
+    return rows.select(C("symbol").alias("task_key"), "task_id", "status")
+
+
+register("l6_merge_catalog", lambda s, d: lake.merge_catalog(_catalog_part(s, d, False), _catalog_part(s, d, True), ["task_key"], "task_id"),
+         f"""WITH {TASKS}, b AS (SELECT symbol AS task_key, task_id, status, day >= DATE '1998-01-01' AS new, status IN ('success', 'empty') AS landed FROM tasks), f AS (SELECT task_key, coalesce(bool_or(NOT new AND landed) AND bool_or(new AND status = 'already_exists') AND NOT bool_or(new AND landed), false) AS stays FROM b GROUP BY 1)
+         SELECT task_key, task_id, status FROM b JOIN f USING (task_key) QUALIFY row_number() OVER (PARTITION BY task_key ORDER BY (stays AND NOT new AND landed) DESC, new DESC, task_id DESC) = 1""")
+register("l8_partition_states", lambda s, d: lake.partition_states(tasks(s, d).where("status = 'failed'").select(C("symbol").alias("partition")), tasks(s, d).where("status = 'timeout'").select(C("symbol").alias("partition"))),
+         f"WITH {TASKS} SELECT symbol AS partition, CASE WHEN count(DISTINCT status) = 2 THEN 'complete' ELSE 'partial' END AS state FROM tasks WHERE status IN ('failed', 'timeout') GROUP BY 1")
+
+
+def _bars_until(s: SparkSession, d: str, day: str, shift: float) -> DataFrame:
+    return src.daily_panel(s, d).where(C("date") < F.lit(day).cast("date")).select("date", "asset", F.round(C("close") + shift + 1e-7, 4).alias("close"))
+
+
+register("l11_append_since_last", lambda s, d: lake.append_since_last(_bars_until(s, d, "1998-01-01", 0.0), _bars_until(s, d, "1999-01-01", 1000.0)),
+         f"WITH {PANEL}, l AS (SELECT asset, max(date) AS last FROM panel WHERE date < DATE '1998-01-01' GROUP BY 1) SELECT p.date, p.asset, CASE WHEN date < DATE '1998-01-01' THEN round(close + 1e-7, 4) ELSE round(close + 1000 + 1e-7, 4) END AS close FROM panel p LEFT JOIN l USING (asset) WHERE date < DATE '1998-01-01' OR (date < DATE '1999-01-01' AND (last IS NULL OR date > last))")

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..core.scratch import scratch
-from ..operators import checks, diagnostics, features, normalise, portfolio, research
+from ..operators import checks, diagnostics, features, normalise, portfolio, rebalance, research, signals, universe
 from ..sources import panel as src
 from ..sources import sinks, store
-from .registry import _CAND, _CAP, _EXP, _FLONG, _LQ, _NAMES, _QR, _SC, _SIG, _SUMM, _TSQL, FEAT, INDEX, MARGIN, PANEL, W, _feat, _liquid, _own, _sig, _squash, _squash_sql, _tech, corr, even, even_sql, qcut, register, rnd, rnk, rounded
+from .registry import _BOOKS, _CAND, _CAP, _EXP, _FLONG, _IC, _LQ, _NAMES, _QR, _RIC, _SC, _SIG, _SUMM, _TSQL, FEAT, INDEX, MARGIN, PANEL, W, _feat, _index_curves, _liquid, _log, _named_action, _own, _sig, _squash, _squash_sql, _tech, _win, _z, chg, corr, even, even_sql, qcut, register, rnd, rnk, rounded
 
 C = F.col
 
@@ -244,3 +244,40 @@ def _universe(s: SparkSession, d: str) -> DataFrame:
 register("x15_universe_sample", _universe, """WITH u AS (SELECT 'sh' || (c_custkey % 400 + 600000)::VARCHAR AS symbol, min('idx' || (c_custkey % 3)::VARCHAR) AS index_symbol FROM customer WHERE c_custkey % 9 <> 0 GROUP BY 1), p AS (SELECT * FROM u ORDER BY md5(symbol || '/7'), symbol LIMIT 50)
   SELECT row_number() OVER (ORDER BY symbol)::INTEGER AS sample_rank, index_symbol, symbol, 50 AS requested_n, count(*) OVER () AS actual_n, 7 AS seed FROM p""")
 register("n12_index_prices", lambda s, d: normalise.index_prices(src.index_panel(s, d).where("index_id = 2").select(F.date_format("date", "yyyy-MM-dd").alias("日期"), F.when(F.dayofmonth("date") == 6, "-").otherwise(F.round("close", 4).cast("string")).alias("收盘"))), f"WITH {INDEX} SELECT date, round(close, 4) AS close FROM idx WHERE index_id = 2 AND day(date) <> 6")
+
+# small ones -----------------------------------------------------------------------------------------------------------------------------
+
+_IS = {"ic_mean": 6, "ic_std": 6, "rank_ic_mean": 6, "rank_ic_std": 6}
+register("d3_ic_summary", lambda s, d: rnd(diagnostics.ic_summary(_feat(s, d), "ret_20d", "fwd_ret_5d"), ["n_days"], _IS),
+         f"WITH {FEAT}, {_RIC}, k AS (SELECT date, {corr('ret_20d', 'fwd_ret_5d')} AS ic FROM feat GROUP BY date), j AS (SELECT k.ic, ric.ic AS r FROM k JOIN ric USING (date)) SELECT round(avg(ic), 6) + 0.0 AS ic_mean, round(stddev_pop(ic), 6) AS ic_std, round(avg(r), 6) + 0.0 AS rank_ic_mean, round(stddev_pop(r), 6) AS rank_ic_std, count(ic) AS n_days FROM j")
+register("j2_factor_ic", lambda s, d: rnd(diagnostics.factor_ic(_feat(s, d).select("date", "asset", *_NAMES), _NAMES, _feat(s, d).where("asset <> '1'").select("date", "asset", "fwd_ret_20d"), "fwd_ret_20d"), ["factor", "date", "n"], {"ic": 6}),
+         f"""WITH {FEAT}, l AS ({_FLONG.replace('fwd_ret_5d', 'fwd_ret_20d')}), p AS (SELECT factor, date, CASE WHEN fwd_ret_20d IS NOT NULL THEN value END AS x, CASE WHEN value IS NOT NULL THEN fwd_ret_20d END AS y FROM l WHERE asset <> '1'),
+         r AS (SELECT factor, date, {rnk('x', 'factor, date', False)} AS x, {rnk('y', 'factor, date', False)} AS y FROM p) SELECT factor, date, count(x) AS n, round(CASE WHEN count(x) >= 10 THEN {corr('x', 'y')} END, 6) + 0.0 AS ic FROM r GROUP BY 1, 2""")
+_EL = "ret_20d IS NOT NULL AND market_cap >= 22000 AND is_tradable"
+register("p2_apply_mask", lambda s, d: rnd(universe.apply_mask(_feat(s, d), (f := _feat(s, d)).select("date", "asset", universe.eligibility(f, ["ret_20d"], floors={"market_cap": 22000.0}).alias("eligible"))), ["date", "asset"], {"ret_20d": 6}), f"WITH {FEAT} SELECT date, asset, round(ret_20d, 6) + 0.0 AS ret_20d FROM feat WHERE {_EL}")
+register("r7_trade_summary", lambda s, d: rnd(rebalance.summarize_trades(_log(s, d).where("portfolio_id = 'buffered'").withColumn("action", _named_action())), ["date", *[f"n_{a}" for a in rebalance.ACTIONS], "n_total"], {"gross_turnover": 6, "average_buy_rank": 6, "average_sell_rank": 6}),
+         f"WITH RECURSIVE {_BOOKS}, t AS (SELECT *, CASE WHEN round(prev_weight, 9) = 0 AND round(weight, 9) > 0 THEN 'buy' WHEN round(prev_weight, 9) > 0 AND round(weight, 9) = 0 THEN 'sell' WHEN round(weight, 9) > round(prev_weight, 9) THEN 'add' WHEN round(weight, 9) < round(prev_weight, 9) THEN 'trim' ELSE 'keep' END AS act FROM lg WHERE portfolio_id = 'buffered') SELECT date, "
+         + ", ".join(f"count(*) FILTER (WHERE act = '{a}') AS n_{a}" for a in rebalance.ACTIONS) + ", count(*) AS n_total, round(sum(abs(weight - prev_weight)), 6) + 0.0 AS gross_turnover, round(avg(rank) FILTER (WHERE act = 'buy'), 6) AS average_buy_rank, round(avg(rank) FILTER (WHERE act = 'sell'), 6) AS average_sell_rank FROM t GROUP BY date")
+
+
+def _relative(s: SparkSession, d: str) -> DataFrame:
+    curves = _index_curves(s, d)
+    pick = lambda i, c: curves.where(C("portfolio_id") == i).select("date", C("net").alias(c))
+    return portfolio.benchmark_relative(pick("2", "net"), pick("3", "bench_ret"))
+
+
+_BR = {"excess_return": 5, "corr": 6, "active_vol": 6}
+register("j12_benchmark_relative", lambda s, d: rnd(_relative(s, d), [], _BR), f"WITH {INDEX}, {_IC}, b AS (SELECT a.net AS x, b.net AS y FROM ix a JOIN ix b USING (date) WHERE a.portfolio_id = '2' AND b.portfolio_id = '3') SELECT round(product(1 + x) - product(1 + y), 5) + 0.0 AS excess_return, round({corr('x', 'y')}, 6) + 0.0 AS corr, round(stddev_pop(x - y) * sqrt(252.0), 6) AS active_vol FROM b")
+_ML = {"short_balance_chg_5d": 6, "short_balance_chg_20d": 6}
+
+
+def _optional_margin(s: SparkSession, d: str) -> DataFrame:
+    p = src.margin_panel(s, d).withColumns({"short_balance": C("financing_balance") * 2, "margin_eligibility": F.when(C("asset").cast("int") % 3 == 0, 1).when(C("asset").cast("int") % 3 == 1, 0)})
+    return features.margin_leverage(p)
+
+
+register("m6_optional_margin", lambda s, d: even(_optional_margin(s, d), ["date", "asset", "margin_eligibility_dummy"], _ML),
+         f"WITH {MARGIN}, x AS (SELECT date, asset, {chg('financing_balance', 5)} AS short_balance_chg_5d, {chg('financing_balance', 20)} AS short_balance_chg_20d FROM margin) SELECT date, asset, CASE WHEN asset::INTEGER % 3 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS margin_eligibility_dummy, {even_sql(_own(_ML))} FROM x")
+register("x7_recipe", lambda s, d: rnd(signals.run_recipe(_feat(s, d), {"a": {"column": "ret_20d", "steps": [("rank", {})]}, "b": {"column": "vol_20d", "steps": [("zscore", {})]}}, {"a": 2.0, "b": 1.0}), ["date", "asset"], {"a": 6, "b": 6}), f"WITH {FEAT} SELECT date, asset, round({rnk('ret_20d')}, 6) AS a, round({_z('vol_20d')}, 6) + 0.0 AS b FROM feat")
+_WZ = f"wx AS (SELECT date, asset, {_win('v')} AS v, {_win('l')} AS l, {_win('c')} AS c FROM e0), wz AS (SELECT date, asset, {_z('v', flat='NULL')} AS vol_20d_z, {_z('l', flat='NULL')} AS liquidity_z, {_z('c', flat='NULL')} AS size_z FROM wx)"
+register("x12_clipped_exposures", lambda s, d: rnd(signals.risk_exposures(_feat(s, d), clip=True), ["date", "asset"], {n: 6 for n in _ZN}), f"WITH {_EXP}, {_WZ} SELECT {rounded({n: 6 for n in _ZN}, 'date, asset')} FROM wz")

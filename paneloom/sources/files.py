@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,3 +84,77 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
     """(symbol): the distinct six-digit codes of a text or CSV list."""
     code = F.regexp_extract("value", "([0-9]{1,6})", 1)
     return spark.read.text(path).where(code != "").select(digits6(code).alias("symbol")).distinct()
+
+
+# Date columns in the order in which they are looked for, quarter ends, and columns of membership snapshots. ----------------
+DATE_COLUMNS = ("trade_date", "ann_date", "end_date", "report_date", "date")
+QUARTER_ENDS = ("0331", "0630", "0930", "1231")
+SNAPSHOT_COLUMNS = ("index_name", "index_code", "snapshot_date", "asset", "asset_name", "is_member", "source", "ingested_at")
+
+
+def drive_inventory(spark: SparkSession, root: str, schema_root: str | None = None) -> DataFrame:
+    """The bucketed inventory with rows, and the first and last day of each file: by the first of DATE_COLUMNS that the files have,
+    else by what their folders say (year, window, snapshot)."""
+    inv = bucketed(inventory(spark, root))
+    names = spark.read.option("recursiveFileLookup", "true").parquet(schema_root or root).columns
+    found = row_counts(spark, schema_root or root, next((c for c in DATE_COLUMNS if c in names), None))
+    below = F.regexp_replace(C("path"), "^.*?" + root.removeprefix("file:").strip("/").replace(".", r"\.") + "/", "")
+    p = C("partition")
+    year = F.coalesce(p["year"], F.substring(p["snapshot"], 1, 4))
+    first = F.coalesce("min_date", to_day(F.coalesce(p["start_date"], p["trade_date"])), F.make_date(year.try_cast("int"), F.lit(1), F.lit(1)))
+    last = F.coalesce("max_date", to_day(F.coalesce(p["end_date"], p["trade_date"])), F.make_date(year.try_cast("int"), F.lit(12), F.lit(31)))
+    return inv.join(found.withColumn("path", below), "path", "left").withColumn("min_date", first).withColumn("max_date", last)
+
+
+def read_partition_metadata(spark: SparkSession, root: str, **keys: str) -> DataFrame:
+    """The JSON sidecars of one partition's folder."""
+    folder = "/".join(f"{k}={v}" for k, v in keys.items())
+    return spark.read.json(f"{root}/{folder}/metadata.json", multiLine=True)
+
+
+def read_snapshots(spark: SparkSession, root: str, index_name: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Membership snapshots of one index, with all of SNAPSHOT_COLUMNS; only its folder is read, and a missing one raises."""
+    rows = spark.read.parquet(f"{root}/index_name={index_name}").withColumn("index_name", F.lit(index_name))
+    day = C("snapshot_date").cast("date")
+    rows = rows if start is None else rows.where(day >= F.lit(start).cast("date"))
+    rows = rows if end is None else rows.where(day <= F.lit(end).cast("date"))
+    return rows.select(*[C(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in SNAPSHOT_COLUMNS])
+
+
+def read_outputs(spark: SparkSession, path: str, required: tuple[str, ...], optional: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The named result tables of a run, one CSV folder each; a required one that is missing raises, an optional one is left out."""
+    out = {name: spark.read.csv(f"{path}/{name}", header=True, inferSchema=True) for name in required}
+    for name in optional:
+        try:
+            out[name] = spark.read.csv(f"{path}/{name}", header=True, inferSchema=True)
+        except AnalysisException:
+            continue
+    return out
+
+
+def read_list(spark: SparkSession, path: str, column: str, override: list[str] | None = None) -> DataFrame:
+    """(place, value) of a CSV list in the order of the file, blanks left out; an override wins. An empty list raises."""
+    if wanted := [v.strip() for v in override or () if v and v.strip()]:
+        return spark.createDataFrame(list(enumerate(wanted)), "place long, value string")
+    rows = read_texts(spark, path, (column,)).select(F.monotonically_increasing_id().alias("place"), F.trim(column).alias("value")).where("value <> ''")
+    if rows.isEmpty():
+        raise ValueError(f"{path} has no values of {column}")
+    return rows
+
+
+def read_days(spark: SparkSession, path: str, start: str, end: str, override: list[str] | None = None) -> DataFrame:
+    """(place, value): trading days (yyyymmdd) of a calendar file within a range."""
+    days = read_list(spark, path, "trade_date", override)
+    return days if override else days.where(C("value").between(start, end))
+
+
+def report_days(start: str, end: str) -> list[str]:
+    """Quarter ends (yyyymmdd) within a range."""
+    return [day for year in range(int(start[:4]), int(end[:4]) + 1) for q in QUARTER_ENDS if start <= (day := f"{year}{q}") <= end]
+
+
+def read_ordered_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """(place, symbol): the distinct six-digit codes of a text or CSV list, each at its first place."""
+    code = F.regexp_extract("value", "([0-9]{1,6})", 1)
+    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("place"), code.alias("code")).where("code <> ''")
+    return rows.groupBy(digits6(C("code")).alias("symbol")).agg(F.min("place").alias("place")).select("place", "symbol")

@@ -106,3 +106,34 @@ def write_outputs(frames: dict[str, DataFrame], path: str) -> None:
 def write_manifest(spark, path: str, **fields) -> None:
     """One row of JSON about a run."""
     spark.createDataFrame([{k: str(v) for k, v in fields.items()}]).coalesce(1).write.mode("overwrite").json(path)
+
+
+#: Fixed names of a run manifest's fields; those that are not given are null.
+MANIFEST_FIELDS = ("run_id", "created_at", "code_commit", "feature_root", "data_range", "universe", "signal_recipe", "portfolio_rule", "rebalance_rule", "execution_assumption", "cost_model", "benchmark", "diagnostics_requested", "known_limitations", "warnings")
+
+
+def write_run_manifest(spark, path: str, **fields) -> None:
+    """One row of JSON with all of MANIFEST_FIELDS, and others that are given."""
+    row = {f: None for f in MANIFEST_FIELDS} | {k: None if v is None else str(v) for k, v in fields.items()}
+    schema = ", ".join(f"`{k}` string" for k in row)
+    spark.createDataFrame([tuple(row.values())], schema).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_warnings(spark, path: str, warnings: list[str]) -> None:
+    """A text of a run's warnings, one in a line."""
+    lines = ["# Run Warnings", "", *([f"- {w}" for w in warnings] or ["No warnings recorded."])]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_factors(factors: DataFrame, summary: DataFrame, path: str, name: str, **meta) -> None:
+    """A family's factors by date, their summary as CSV and what is known of them as JSON, under one folder of its name."""
+    write_by_date(factors.withColumnRenamed("date", "trade_date"), f"{path}/{name}/factors")
+    write_csv(summary, f"{path}/{name}/summary")
+    write_manifest(factors.sparkSession, f"{path}/{name}/metadata", name=name, columns=",".join(factors.columns), **meta)
+
+
+def write_raw_partition(df: DataFrame, path: str, keys: list[str], log: str, overwrite: bool = False, **meta) -> DataFrame:
+    """append_new_partitions, whose catalog is also appended to the table of metadata."""
+    catalog = append_new_partitions(df, path, keys, overwrite)
+    append_log(catalog.withColumns({k: F.lit(str(v)) for k, v in meta.items()}), log)
+    return catalog

@@ -160,3 +160,42 @@ def test_research_guards(spark):
         normalise.component_codes(frame)
     with pytest.raises(ValueError):
         normalise.universe_sample(frame, 0, 1)
+
+
+def test_lists_outputs_and_manifests(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("name,trade_date\n b ,20240102\n,20240103\na,20240201\n")
+    at = str(tmp_path / "u.csv")
+    assert [r.value for r in files.read_list(spark, at, "name").orderBy("place").collect()] == ["b", "a"]
+    assert [r.value for r in files.read_list(spark, at, "name", [" z ", ""]).collect()] == ["z"]
+    assert [r.value for r in files.read_days(spark, at, "20240101", "20240131").orderBy("place").collect()] == ["20240102", "20240103"]
+    assert files.report_days("20230701", "20240401") == ["20230930", "20231231", "20240331"]
+    with pytest.raises(ValueError):
+        files.read_list(spark, at, "nothing")
+    (tmp_path / "s.txt").write_text("2\n600000.SH\n2\n1\n")
+    assert [r.symbol for r in files.read_ordered_symbols(spark, str(tmp_path / "s.txt")).orderBy("place").collect()] == ["000002", "600000", "000001"]
+    sinks.write_outputs({"x": spark.range(3)}, str(tmp_path / "out"))
+    assert set(files.read_outputs(spark, str(tmp_path / "out"), ("x",), ("y",))) == {"x"}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_outputs(spark, str(tmp_path / "out"), ("y",))
+    sinks.write_run_manifest(spark, str(tmp_path / "man"), run_id="r", extra=3)
+    row = spark.read.json(str(tmp_path / "man")).first()
+    assert row.run_id == "r" and row.extra == "3" and row.universe is None and len(row) == 16
+    sinks.write_warnings(spark, str(tmp_path / "warn"), ["few names"])
+    assert [r.value for r in spark.read.text(str(tmp_path / "warn")).collect()] == ["# Run Warnings", "", "- few names"]
+    factors = spark.createDataFrame([(date(2024, 1, 2), "a", 1.0)], "date date, asset string, f double")
+    sinks.write_factors(factors, checks.summarize_factors(factors, ["f"]), str(tmp_path / "fac"), "fam", phase="x")
+    assert spark.read.parquet(str(tmp_path / "fac/fam/factors")).count() == 1 and spark.read.json(str(tmp_path / "fac/fam/metadata")).first().phase == "x"
+    sinks.write_raw_partition(factors, str(tmp_path / "raw"), ["asset"], str(tmp_path / "meta"), api="q")
+    assert spark.read.parquet(str(tmp_path / "meta")).first().api == "q"
+    (tmp_path / "lake/a/b/k=1").mkdir(parents=True)
+    (tmp_path / "lake/a/b/k=1/metadata.json").write_text('{"rows": 3}')
+    assert files.read_partition_metadata(spark, str(tmp_path / "lake/a/b"), k="1").first().rows == 3
+    snaps = spark.createDataFrame([("i", date(2024, 1, 31), "a"), ("i", date(2024, 3, 31), "b"), ("j", date(2024, 1, 31), "c")], "index_name string, snapshot_date date, asset string")
+    sinks.write_snapshots(snaps, str(tmp_path / "snap"))
+    got = files.read_snapshots(spark, str(tmp_path / "snap"), "i", end="2024-02-28")
+    assert got.columns == list(files.SNAPSHOT_COLUMNS) and [r.asset for r in got.collect()] == ["a"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_snapshots(spark, str(tmp_path / "snap"), "gone")
+    sinks.write_by_date(factors.withColumnRenamed("date", "trade_date").withColumn("report_date", F.lit("20231231")), str(tmp_path / "d/fam/api"))
+    inv = files.drive_inventory(spark, str(tmp_path / "d")).first()
+    assert (inv.rows, inv.min_date, inv.max_date, inv.bucket) == (1, date(2023, 12, 31), date(2023, 12, 31), "year=2024")
