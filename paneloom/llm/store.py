@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests), a temporary one of this session."""
+    """The folder named by spark.checkpoint.dir. Where that is unset, a temporary one of this session, in local mode only: on a cluster
+    executors would write what nobody else can read."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir") or spark.conf.get("paneloom.shared.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("paneloom.shared.dir", path)
     return path.rstrip("/")
