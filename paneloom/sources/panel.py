@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..core.expr import no_nan
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; NaN is missing."""
+    return no_nan(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _bars(lines: DataFrame, *keys: str) -> DataFrame:

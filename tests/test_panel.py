@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paneloom.operators import checks, diagnostics, features, lake, portfolio, rebalance, signals, universe
+from paneloom.sources import panel
 
 D = [date(2024, 1, 1) + timedelta(days=i) for i in range(40)]
 
@@ -121,3 +122,11 @@ def test_lake_and_checks(spark):
     assert [x.b for x in parts.select(lake.partition_bucket().alias("b")).collect()] == ["year=2024", "snapshot=20240105", "window=20230101_20240101", "scope=all"]
     with pytest.raises(ValueError):
         checks.check_factor_columns(spark.createDataFrame([(1.0,)], "fwd_ret_5d double"))
+
+
+def test_nan_is_missing_at_scans(spark, tmp_path):
+    lines = [(1, 1, 1, date(2024, 1, 2), 2.0, 10.0), (2, 1, 1, date(2024, 1, 3), float("nan"), 30.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber long, l_suppkey long, l_shipdate date, l_quantity double, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 5.0, 2)], "s_suppkey long, s_acctbal double, s_nationkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    row = panel.daily_panel(spark, str(tmp_path)).first()
+    assert (row.volume, row.high, row.low) == (2.0, 5.0, 5.0) and row.amount == 40.0
