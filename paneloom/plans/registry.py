@@ -187,7 +187,7 @@ register("x14_quantiles", lambda s, d: _feat(s, d).select("date", "asset", expr.
 
 _RIC = f"""pairs AS (SELECT date, {rnk('x', pct=False)} AS x, {rnk('y', pct=False)} AS y FROM (SELECT date, CASE WHEN ret_20d IS NOT NULL AND fwd_ret_5d IS NOT NULL THEN ret_20d END AS x, CASE WHEN ret_20d IS NOT NULL AND fwd_ret_5d IS NOT NULL THEN fwd_ret_5d END AS y FROM feat)),
   ric AS (SELECT date, {corr('x', 'y')} AS ic, count(x) AS n FROM pairs GROUP BY date)"""
-_SUMM = "avg(ic) AS mean_ic, median(ic) AS median_ic, stddev_samp(ic) AS std_ic, avg(ic) / nullif(stddev_samp(ic), 0) AS icir, avg(ic) / nullif(stddev_samp(ic) / sqrt(count(ic)), 0) AS t_stat, avg(CASE WHEN ic IS NOT NULL THEN (ic > 0)::INTEGER END) AS positive_rate, count(ic) AS n_dates"
+_SUMM = "avg(ic) AS mean_ic, median(ic) AS median_ic, stddev_samp(ic) AS std_ic, avg(ic) / nullif(stddev_samp(ic), 0) AS icir, avg(ic) / nullif(stddev_samp(ic) / sqrt(count(ic)), 0) AS t_stat, avg(CASE WHEN ic IS NOT NULL THEN (round(ic, 12) > 0)::INTEGER END) AS positive_rate, count(ic) AS n_dates"
 _SC = {"mean_ic": 6, "median_ic": 6, "std_ic": 6, "icir": 6, "t_stat": 5, "positive_rate": 6}
 register("d1_daily_ic", lambda s, d: rnd(diagnostics.daily_ic(_feat(s, d), "ret_20d", "fwd_ret_5d"), ["date", "n"], {"ic": 6}), f"WITH {FEAT} SELECT date, count(*) FILTER (WHERE ret_20d IS NOT NULL AND fwd_ret_5d IS NOT NULL) AS n, round({corr('ret_20d', 'fwd_ret_5d')}, 6) + 0.0 AS ic FROM feat GROUP BY date")
 register("d2_daily_rank_ic", lambda s, d: rnd(diagnostics.daily_ic(_feat(s, d), "ret_20d", "fwd_ret_5d", "spearman"), ["date", "n"], {"ic": 6}), f"WITH {FEAT}, {_RIC} SELECT date, n, round(ic, 6) + 0.0 AS ic FROM ric")
