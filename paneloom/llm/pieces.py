@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Characters of a run; a longer text is a run of its own.
-RUN_CHARS = 12_000_000
+RUN_CHARS = 6_000_000
 #: Parts of the table of distinct words: so many, and more by the root of the corpus' size in units of so many bytes, so that a
 #: part and a run's share of it both stay moderate.
 PARTS, PARTS_BYTES = 64, 1 << 26
@@ -168,14 +168,14 @@ def _joined(model_path: str, keep_ids: bool):
 
     def run(batches):
         segment = Segmenter(model_path)
-        name, doc_ids, places, ids = None, None, None, []
+        name, doc_ids, places, ids, texts = None, None, None, [], []
 
         def told():
             sizes, codes, order = places or [[]] * 3
             if places is None or len(ids) != len(order):
                 raise ValueError(f"the texts of run {name} did not read alike twice")
             of_ids, of_texts = np.empty((2, len(order)), object)
-            of_ids[order], of_texts[order] = [",".join(map(str, x)) for x in ids], segment.texts(ids)
+            of_ids[order], of_texts[order] = ids, texts
             split = np.split(codes, np.cumsum(sizes)[:-1])
             for at in range(0, len(doc_ids), 2000):
                 rows = [(",".join(of_ids[c].tolist()), "".join(of_texts[c].tolist())[1:]) for c in split[at : at + 2000]]
@@ -186,12 +186,14 @@ def _joined(model_path: str, keep_ids: bool):
                 if now != name:
                     if name is not None:
                         yield from told()
-                    name, places, ids = now, None, []
+                    name, places, ids, texts = now, None, [], []
                 numbers = _numbers(blob.as_py())
                 if part < 0:
                     doc_ids, places = own.as_py(), numbers
                 else:
-                    ids += [x.tolist() for x in np.split(numbers[1], np.cumsum(numbers[0])[:-1])]
+                    lists = [x.tolist() for x in np.split(numbers[1], np.cumsum(numbers[0])[:-1])]
+                    ids += [",".join(map(str, x)) for x in lists]
+                    texts += segment.texts(lists)
         if name is not None:
             yield from told()
 
