@@ -17,9 +17,11 @@ def by_asset(*keys: str) -> WindowSpec:
 
 
 def rolling(agg, x: Column, n: int, w: WindowSpec | None = None) -> Column:
-    """agg of the last n rows, NULL unless all n are present."""
-    frame = (w or by_asset()).rowsBetween(-(n - 1), 0)
-    return F.when(F.count(x).over(frame) == n, agg(x).over(frame))
+    """agg of the last n rows, NULL unless all n are present. Present rows are counted by two running frames, which cost one step a row
+    where a sliding one costs n."""
+    w = w or by_asset()
+    upto = lambda end: F.count(x).over(w.rowsBetween(Window.unboundedPreceding, end))
+    return F.when(upto(0) - upto(-n) == n, agg(x).over(w.rowsBetween(-(n - 1), 0)))
 
 
 def change(x: Column, k: int, w: WindowSpec | None = None) -> Column:
