@@ -53,6 +53,8 @@ BLOCK = 256
 #: A centre is taken from about so many documents of its group; a document is told by its difference from it where that has at
 #: most this share of the centre's size.
 VOTERS, APART = 64, 0.5
+#: Texts or sets, which may be long, go to Python by so many at once.
+ROWS = 1000
 #: 64-bit words of a parity sketch. Sketches of so many nodes (16 MB) are broadcast; more are joined by a shuffle.
 SKETCH, MOST_SKETCHES = 8, 1 << 17
 
@@ -265,11 +267,11 @@ def links(pairs: DataFrame, texts: _Texts, sketches: DataFrame, pct: int) -> Dat
     drop(every)
     if pairs.isEmpty():
         return pairs
-    sets = save(texts.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), "sets")
+    sets = save(texts.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), "sets", ROWS)
     # pairs are the streamed side of both joins: the engine splits the partition of a document with many pairs
     a, b = (sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
     found = pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").select("a", "b", "set_a", "set_b").mapInArrow(_verified(pct), "a long, b long")
-    found = save(found, "links")
+    found = save(found, "links", ROWS)
     drop(pairs, sets)
     return found
 
@@ -480,12 +482,12 @@ def _dense_links(dense: DataFrame, texts: _Texts, sketches: DataFrame, pct: int)
     """Of documents that are hot throughout (node, n, grp): pairs (a, b) to be verified, and links told as (a, b, m)."""
     sets = texts.of(dense.select("node"))
     longs = sets.mapInArrow(_as_longs, "node long, toks array<long>")
-    longs = save(longs.join(dense, "node"), "dense_sets")
+    longs = save(longs.join(dense, "node"), "dense_sets", ROWS)
     centres = save(_centres(longs), "centres")
     salted = longs.join(_if_small(save(centres.select("grp", "salts"), "salts")), "grp", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
     centres = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     told = salted.join(centres, ["grp", "salt"], "left").select("node", "n", "toks", "centre", "centre_set")
-    told = save(told.mapInArrow(_differences(pct), "node long, n long, centre long, p long, c long, diff array<long>"), "differences")
+    told = save(told.mapInArrow(_differences(pct), "node long, n long, centre long, p long, c long, diff array<long>"), "differences", ROWS)
     near = told.where("centre is not null").select("centre", "node", "p", "c", "diff")
     found = _ranked(near, pct).unionByName(_sharing(near, pct))
     parts = longs.select("node", F.col("toks")).mapInArrow(_parts(pct), "tok long, node long, n long, part_class long, own_class long")
@@ -507,7 +509,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    full = save(docs.mapInArrow(_prefixes(pct, k), "doc_id long, n long, node long, prefix array<long>, sketch array<long>"), "shingled")
+    full = save(docs.mapInArrow(_prefixes(pct, k), "doc_id long, n long, node long, prefix array<long>, sketch array<long>"), "shingled", ROWS)
     rows = save(full.select("doc_id", "n", "node"), "rows")
     # only nodes of several rows need be made distinct: the others keep where they are
     again = save(rows.where("node is not null").groupBy("node").agg(F.count("*").alias("m")).where("m > 1").select("node"), "copies")

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir. Where that is unset, a temporary one of this session, in local mode only: on a cluster
     executors would write what nobody else can read."""
@@ -21,11 +24,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage ends here, and a lost executor costs nothing."""
+def save(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back: lineage ends here, and a lost executor costs nothing. batch: most
+    rows that go to a Python function at once in this write, where rows are large."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH)
+    if batch:
+        spark.conf.set(BATCH, str(batch))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out

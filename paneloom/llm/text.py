@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _RNG = np.random.default_rng(20240501)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _SLOT = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
