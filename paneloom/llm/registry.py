@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, media, mixing, ngram_join, pieces, pii, quality, sharding, url_filter
+from . import ann, line_dedup, media, merkle, mixing, ngram_join, pieces, pii, quality, sharding, url_filter
 from .store import documents
 
 
@@ -57,7 +57,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(documents(spark, sf_dir), labels).select("doc_id", "expected_grade", "tail_prob", "keep")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_sharding, op4_url_filter, op5_line_dedup, op6_ann, op7_pieces, op8_mixing, op9_media, op10_quality)}
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    changed = merkle.leaf_digest(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.unhex(changed))
+    out = merkle.fold(merkle.manifest(docs, also={"tampered": tampered}), F.col("tampered"))
+    return out.select("doc_id", *[F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")], "proof_sha256", F.lower(F.hex("folded_root")).alias("folded_root"), "verified")
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_sharding, op4_url_filter, op5_line_dedup, op6_ann, op7_pieces, op8_mixing, op9_media, op10_quality, op13_merkle)}
 
 ORACLE_SQL = {
     "op5_line_dedup": """
@@ -95,4 +103,42 @@ SELECT s.doc_id, s.size, b.source_size, b.target,
        (b.passes * s.size + greatest(0, least(s.size, b.budget - b.passes * b.source_size - coalesce(sum(s.size) OVER (
           PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))))::BIGINT AS taken
 FROM sized s JOIN budget b ON s.source IS NOT DISTINCT FROM b.source""",
+    "op13_merkle": r"""
+WITH RECURSIVE told AS (
+  SELECT doc_id, lang, n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) AS crc
+  FROM documents
+), hashed AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+         CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS tampered
+  FROM told
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed
+), nodes(g, l, pos, n, d) AS (
+  SELECT g, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT g, l + 1, pos // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY g, l, pos // 2, n
+), tops(l, pos, n, d) AS (
+  SELECT 0, g, count(*) OVER (), d FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT l + 1, pos // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY l, pos // 2, n
+), every AS (
+  SELECT g, l, pos, n, d FROM nodes UNION ALL SELECT -1, l, pos, n, d FROM tops
+), way(doc_id, leaf, own, g, l, pos, n, folded, sibs) AS (
+  SELECT doc_id, leaf, g, g, 0, pos, n, coalesce(tampered, leaf), '' FROM placed
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.own, CASE WHEN w.n = 1 THEN -1 ELSE w.g END, CASE WHEN w.n = 1 THEN 0 ELSE w.l + 1 END,
+         CASE WHEN w.n = 1 THEN w.g ELSE w.pos // 2 END, CASE WHEN w.n = 1 THEN (SELECT count(DISTINCT g) FROM placed) ELSE (w.n + 1) // 2 END,
+         CASE WHEN w.n = 1 THEN w.folded WHEN w.pos % 2 = 1 THEN sha256(s.d || w.folded) ELSE sha256(w.folded || coalesce(s.d, '')) END,
+         w.sibs || coalesce(s.d, '')
+  FROM way w LEFT JOIN every s ON w.n > 1 AND s.g = w.g AND s.l = w.l AND s.pos = xor(w.pos, 1)
+  WHERE w.n > 1 OR w.g >= 0
+), root AS (SELECT d FROM tops WHERE n = 1), sub AS (SELECT g, d FROM nodes WHERE n = 1)
+SELECT w.doc_id, w.leaf, s.d AS subroot, r.d AS root, sha256(w.sibs) AS proof_sha256, w.folded AS folded_root, w.folded = r.d AS verified
+FROM way w JOIN sub s ON s.g = w.own, root r WHERE w.n = 1 AND w.g = -1""",
 }
