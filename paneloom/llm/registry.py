@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, media, merkle, mixing, ngram_join, pieces, pii, quality, sharding, url_filter
+from . import ann, line_dedup, media, merkle, mixing, ngram_join, pieces, pii, quality, sharding, simhash, url_filter
 from .store import documents
 
 
@@ -57,6 +57,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(documents(spark, sf_dir), labels).select("doc_id", "expected_grade", "tail_prob", "keep")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     changed = merkle.leaf_digest(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
@@ -65,7 +70,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")], "proof_sha256", F.lower(F.hex("folded_root")).alias("folded_root"), "verified")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_sharding, op4_url_filter, op5_line_dedup, op6_ann, op7_pieces, op8_mixing, op9_media, op10_quality, op13_merkle)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_sharding, op4_url_filter, op5_line_dedup, op6_ann, op7_pieces, op8_mixing, op9_media, op10_quality, op11_simhash, op13_merkle)}
 
 ORACLE_SQL = {
     "op5_line_dedup": """
