@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, media, merkle, mixing, ngram_join, pieces, pii, quality, sharding, simhash, url_filter
+from . import alignment, ann, line_dedup, media, merkle, mixing, ngram_join, pieces, pii, quality, sharding, simhash, url_filter
 from .store import documents
 
 
-def model_path() -> str:
-    """The public model; it is read where the driver and the executors have it installed."""
+def model_path(name: str = "piece_bpe_32k.model") -> str:
+    """A public tokenizer; it is read where the driver and the executors have it installed."""
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = alignment.align(documents(spark, sf_dir), model_path("byte_bpe_50k.json"), model_path(), keep_groups=False)
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     changed = merkle.leaf_digest(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
@@ -70,7 +75,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")], "proof_sha256", F.lower(F.hex("folded_root")).alias("folded_root"), "verified")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_sharding, op4_url_filter, op5_line_dedup, op6_ann, op7_pieces, op8_mixing, op9_media, op10_quality, op11_simhash, op13_merkle)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_ngram_jaccard, op3_sharding, op4_url_filter, op5_line_dedup, op6_ann, op7_pieces, op8_mixing, op9_media, op10_quality, op11_simhash, op12_alignment, op13_merkle)}
 
 ORACLE_SQL = {
     "op5_line_dedup": """
