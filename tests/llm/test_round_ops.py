@@ -36,7 +36,7 @@ def plain_tree(leaves):
         for way, i in zip(ways, at):
             way.append((i % 2, nodes[i ^ 1]) if i ^ 1 < len(nodes) else None)
         nodes, at = [digest(*nodes[i : i + 2]) for i in range(0, len(nodes), 2)], [i // 2 for i in at]
-    return nodes[0], ways
+    return nodes[0] if nodes else None, ways
 
 
 def plain_manifest(rows):
