@@ -15,8 +15,10 @@ back to the runs that have the pair, and are added up by document there.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,16 @@ from pyspark.sql import types as T
 from .store import save
 
 #: Characters of a run; a longer text is a run of its own.
-RUN_CHARS = 1_500_000
+RUN_CHARS = 400_000
 #: Texts, or runs of numbers, that go to Python at once.
 ROWS, RUNS = 200, 4
-#: Distinct words whose tokens a task remembers between runs.
-KNOWN = 150_000
+#: Distinct words whose tokens a task remembers between runs, and characters that go to a tokenizer as one text.
+KNOWN, JOINED = 250_000, 2_000
 #: Pairs with their counts are broadcast up to this number (32 MB), and joined by a shuffle beyond it.
 MOST_PAIRS = 1 << 20
 _SHIFT = 32
 _MARK = "▁"
+_BORDER, _ODD = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s(?= |\Z)")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -69,44 +72,80 @@ class Tokenizers:
             raise ValueError("pieces of this model cross whitespace markers")
         self.lone = self.b.piece_to_id(_MARK)
 
-    def words(self, words: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of A and B of each marked word, None where their bytes are not the word's."""
-        if not words:
-            return []
-        a = [x.ids for x in self.a.encode_batch(words, add_special_tokens=False)]
-        b = self.b.encode([w[1:] for w in words], num_threads=1)
-        out = []
-        for w, x, y in zip(words, a, b):
-            y = y if w != " " else [self.lone]
-            raw = w.encode()
-            same = b"".join([self.a_bytes[i] for i in x]) == raw and b"".join([self.b_bytes[i] for i in y]) == raw
-            out.append((x, y) if same else None)
-        return out
+    def _whole(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of A and B of one text that begins with a space."""
+        return self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:], num_threads=1) if text != " " else [self.lone]
+
+    def words(self, words: list[str]) -> tuple["Lists", "Lists", np.ndarray]:
+        """Ids of A and of B of each marked word, and whether both sides give its bytes back. Words that a space may follow are put together
+        to texts of about JOINED characters, and their ids are cut at the words' ends."""
+        own, texts, at = [], [], 0
+        while at < len(words):
+            to, size = at, 0
+            while to < len(words) and size < JOINED and not words[to][-1].isspace():
+                size += len(words[to])
+                to += 1
+            own.append(words[at : max(to, at + 1)])
+            texts.append("".join(own[-1]))
+            at += len(own[-1])
+        sizes = np.fromiter((len(w.encode()) for w in words), np.int64, len(words))
+        sides = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)
+        lists_a, lists_b, good, first = [], [], np.ones(len(words), bool), 0
+        for part, text, a, b in zip(own, texts, *sides):
+            b = b if text != " " else [self.lone]
+            ends = np.cumsum(sizes[first : first + len(part)])
+            cuts = [self._cuts(ids, raw, text, ends) for ids, raw in ((a, self.a_bytes), (b, self.b_bytes))]
+            if any(c is None for c in cuts):  # some word has other bytes: each on its own
+                for i, w in enumerate(part):
+                    told = self._whole(w)
+                    good[first + i] = all(b"".join([raw[x] for x in ids]) == w.encode() for ids, raw in zip(told, (self.a_bytes, self.b_bytes)))
+                    lists_a.append((told[0] if good[first + i] else [], [len(told[0]) if good[first + i] else 0]))
+                    lists_b.append((told[1] if good[first + i] else [], [len(told[1]) if good[first + i] else 0]))
+            else:
+                lists_a.append((a, cuts[0]))
+                lists_b.append((b, cuts[1]))
+            first += len(part)
+        return Lists.of(lists_a), Lists.of(lists_b), good
+
+    @staticmethod
+    def _cuts(ids: list[int], raw: list[bytes], text: str, ends: np.ndarray) -> np.ndarray | None:
+        """How many of the ids each word has, None unless they are the text's bytes and cut at all ends."""
+        parts = [raw[i] for i in ids]
+        if b"".join(parts) != text.encode():
+            return None
+        at = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        place = np.searchsorted(at, ends)
+        return np.diff(place, prepend=-1) if (at[place] == ends).all() else None
+
+
+class Lists:
+    """Lists of numbers, put together."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes = flat, sizes
+
+    @classmethod
+    def of(cls, parts: list[tuple]) -> "Lists":
+        join = lambda i, kind: np.concatenate([np.zeros(0, kind), *[np.asarray(x[i], kind) for x in parts]])
+        return cls(join(0, np.int32), join(1, np.int64))
+
+    def more(self, other: "Lists") -> "Lists":
+        return Lists(np.concatenate([self.flat, other.flat]), np.concatenate([self.sizes, other.sizes]))
+
+    def gathered(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the lists that codes name, one list after the other, and the length of each."""
+        starts, n = (np.cumsum(self.sizes) - self.sizes)[codes], self.sizes[codes]
+        ends = np.cumsum(n)
+        place = np.arange(int(n.sum())) + np.repeat(starts - (ends - n), n)
+        return self.flat[place].astype(np.int64), n
 
 
 def marked_words(text: str) -> list[str]:
     """A space and the text, cut before each space that follows a character other than white space."""
-    words = [" " + w for w in text.split(" ")]
-    if not any(w == " " or w[-1].isspace() for w in words):
-        return words
-    out, open_ = [], ""
-    for w in words:
-        open_ += w
-        if not w[-1].isspace():
-            out.append(open_)
-            open_ = ""
-    return out + [open_] if open_ else out
-
-
-def _gathered(lists: list[list[int]], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of the lists that codes name, put together, and the length of each."""
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter((x for own in lists for x in own), np.int64, int(sizes.sum()))
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[codes]
-    ends = np.cumsum(n)
-    place = np.arange(int(n.sum())) + np.repeat(starts[codes] - (ends - n), n)
-    return flat[place], n
+    text = " " + text
+    if _ODD.search(text):
+        return _BORDER.split(text)
+    return [" " + w for w in text[1:].split(" ")]
 
 
 def linked(starts_a: np.ndarray, doc_a: np.ndarray, starts_b: np.ndarray, doc_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,29 +212,28 @@ def _aligned(byte_path: str, piece_path: str, keep_groups: bool, schema: pa.Sche
     """A row for each run of texts: numbers of its documents, distinct id pairs with counts, and the pair of every link."""
 
     def run(batches):
-        both, known = Tokenizers(byte_path, piece_path), {}
+        both = Tokenizers(byte_path, piece_path)
         size_a, size_b = (np.array([len(x) for x in side], np.int64) for side in (both.a_bytes, both.b_bytes))
         n = max(len(size_a), len(size_b))
         tables = [np.array([f"{i}{end}" for i in range(n)], object) for end in ",|;"]
         id_type = schema.field("doc_ids").type.value_type
         for at, (doc_ids, texts) in enumerate(_runs(batches, id_type)):
-            index, codes, sizes = {}, [], []
+            if at == 0 or len(known) > KNOWN:
+                known, lists_a, lists_b, good = defaultdict(itertools.count().__next__), Lists.of([]), Lists.of([]), np.zeros(0, bool)
+            had, codes, sizes = len(known), [], []
             for text in texts:
                 words = marked_words(text) if text else []
                 sizes.append(len(words))
-                codes.append(np.array([index.setdefault(w, len(index)) for w in words], np.int64))
+                codes.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
             codes, doc_of = np.concatenate(codes), np.repeat(np.arange(len(texts)), sizes)
-            if len(known) > KNOWN:
-                known = {}
-            fresh = [w for w in index if w not in known]
-            known |= zip(fresh, both.words(fresh))
-            told = [known[w] for w in index]
-            bad = np.array([x is None for x in told], bool)
-            if bad.any():  # documents with such a word have no tokens
-                keep = ~np.isin(doc_of, doc_of[bad[codes]])
+            fresh_a, fresh_b, fresh_good = both.words(list(itertools.islice(known, had, None)))
+            lists_a, lists_b, good = lists_a.more(fresh_a), lists_b.more(fresh_b), np.concatenate([good, fresh_good])
+            bad = doc_of[~good[codes]]
+            if len(bad):  # documents with such a word have no tokens
+                keep = ~np.isin(doc_of, bad)
                 codes, doc_of = codes[keep], doc_of[keep]
-            ids_a, n_a = _gathered([x[0] if x else [] for x in told], codes)
-            ids_b, n_b = _gathered([x[1] if x else [] for x in told], codes)
+            ids_a, n_a = lists_a.gathered(codes)
+            ids_b, n_b = lists_b.gathered(codes)
             doc_a, doc_b = np.repeat(doc_of, n_a), np.repeat(doc_of, n_b)
             ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
             i, j = linked(ends_a - size_a[ids_a], doc_a, ends_b - size_b[ids_b], doc_b)
