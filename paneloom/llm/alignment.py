@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import os
 import re
 from collections import defaultdict
 
@@ -34,7 +35,9 @@ RUN_CHARS = 400_000
 #: Texts, or runs of numbers, that go to Python at once.
 ROWS, RUNS = 200, 4
 #: Distinct words whose tokens a task remembers between runs, and characters that go to a tokenizer as one text.
-KNOWN, JOINED = 250_000, 2_000
+KNOWN, JOINED = 150_000, 2_000
+#: Words that are segmented, or aligned, at once; a longer text is taken piece by piece.
+WORDS = 40_000
 #: Pairs with their counts are broadcast up to this number (32 MB), and joined by a shuffle beyond it.
 MOST_PAIRS = 1 << 20
 _SHIFT = 32
@@ -53,6 +56,7 @@ class Tokenizers:
     """Ids and bytes of both sides. A: byte-level BPE of the tokenizers library; B: pieces of the sentencepiece library."""
 
     def __init__(self, byte_path: str, piece_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; each thread of the library would keep memory of its own
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -226,26 +230,38 @@ def _aligned(byte_path: str, piece_path: str, keep_groups: bool, schema: pa.Sche
                 sizes.append(len(words))
                 codes.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
             codes, doc_of = np.concatenate(codes), np.repeat(np.arange(len(texts)), sizes)
-            fresh_a, fresh_b, fresh_good = both.words(list(itertools.islice(known, had, None)))
-            lists_a, lists_b, good = lists_a.more(fresh_a), lists_b.more(fresh_b), np.concatenate([good, fresh_good])
+            fresh = itertools.islice(known, had, None)
+            while some := list(itertools.islice(fresh, WORDS)):
+                fresh_a, fresh_b, fresh_good = both.words(some)
+                lists_a, lists_b, good = lists_a.more(fresh_a), lists_b.more(fresh_b), np.concatenate([good, fresh_good])
             bad = doc_of[~good[codes]]
             if len(bad):  # documents with such a word have no tokens
                 keep = ~np.isin(doc_of, bad)
                 codes, doc_of = codes[keep], doc_of[keep]
-            ids_a, n_a = lists_a.gathered(codes)
-            ids_b, n_b = lists_b.gathered(codes)
-            doc_a, doc_b = np.repeat(doc_of, n_a), np.repeat(doc_of, n_b)
-            ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
-            i, j = linked(ends_a - size_a[ids_a], doc_a, ends_b - size_b[ids_b], doc_b)
-            order = np.argsort(doc_a[i], kind="stable")
-            code = (ids_a[i] << _SHIFT | ids_b[j])[order]
-            pairs, places, counts = np.unique(code, return_inverse=True, return_counts=True)
-            count = lambda doc: np.bincount(doc, minlength=len(texts))
-            n_groups, groups = _grouped(ids_a, ends_a, doc_a, ids_b, ends_b, doc_b, len(texts), tables)
-            if not keep_groups:
-                groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+            counts_of, links, groups = np.zeros((4, len(texts)), np.int64), [np.zeros(0, np.int64)], [[] for _ in texts]
+            shas = [hashlib.sha256() for _ in texts]
+            for lo in range(0, len(codes), WORDS):  # borders of words are borders of groups
+                part, docs = codes[lo : lo + WORDS], doc_of[lo : lo + WORDS]
+                ids_a, n_a = lists_a.gathered(part)
+                ids_b, n_b = lists_b.gathered(part)
+                base, n_docs = docs[0], docs[-1] - docs[0] + 1
+                doc_a, doc_b = np.repeat(docs - base, n_a), np.repeat(docs - base, n_b)
+                ends_a, ends_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
+                i, j = linked(ends_a - size_a[ids_a], doc_a, ends_b - size_b[ids_b], doc_b)
+                links.append((ids_a[i] << _SHIFT | ids_b[j])[np.argsort(doc_a[i], kind="stable")])
+                n_groups, told = _grouped(ids_a, ends_a, doc_a, ids_b, ends_b, doc_b, n_docs, tables)
+                for row, x in zip(counts_of, (*(np.bincount(d, minlength=n_docs) for d in (doc_a, doc_b)), n_groups, np.bincount(doc_a[i], minlength=n_docs))):
+                    row[base : base + n_docs] += x
+                for d, text in enumerate(told, base):
+                    if text and keep_groups:
+                        groups[d].append(text)
+                    elif text:
+                        shas[d].update((b";" if groups[d] else b"") + text.encode())
+                        groups[d] = True
+            groups = [";".join(g) if keep_groups else sha.hexdigest() if g else "" for g, sha in zip(groups, shas)]
+            pairs, places, counts = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
             name = f"{TaskContext.get().partitionId()}-{at}"
-            values = [name, doc_ids.to_pylist(), count(doc_a), count(doc_b), n_groups, count(doc_a[i]), groups, pairs, counts, _squeezed(places)]
+            values = [name, doc_ids.to_pylist(), *counts_of, groups, pairs, counts, _squeezed(places)]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
     return run
