@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import drop, save
+from .store import drop, quoted, save
 
 LG_K = 12
 ERROR = 3 * 1.04 / 2 ** (LG_K / 2)
@@ -77,7 +77,7 @@ def dedup_lines(docs: DataFrame, min_sites: int = 5, min_chars: int = 20, id_col
     text, doc_id = F.col(text_col).cast("string"), F.col(id_col)
     own_row = F.xxhash64(doc_id, text, F.lit("row"))
     own_id = F.when(doc_id.isNotNull(), F.xxhash64(doc_id, F.lit("id"))).otherwise(own_row)
-    keyed = docs.select(F.struct(*own).alias("row"), doc_id.alias("id"), own_id.alias("own_id"), own_row.alias("own_row"), F.xxhash64(F.col(site_col)).alias("site"), text.alias("text"))
+    keyed = docs.select(F.struct(*[F.col(quoted(c)) for c in own]).alias("row"), doc_id.alias("id"), own_id.alias("own_id"), own_row.alias("own_row"), F.xxhash64(F.col(site_col)).alias("site"), text.alias("text"))
     lines = _lines(keyed, min_chars)
     often = lines.groupBy("h").agg(F.count("*").alias("n"), F.min_by("own_id", F.struct(F.col("id").isNull(), "id", "own_row")).alias("owner")).where(F.col("n") >= min_sites)
     often = save(often.select("h", "owner"), "often")

@@ -94,8 +94,8 @@ class Segmenter:
         return [t[1:] for t in self.sp.decode([self.lead + x for x in ids], num_threads=1)] if ids else []
 
 
-def _runs(batches):
-    """(ids, texts) of consecutive rows of about RUN_CHARS characters."""
+def _runs(batches, run_chars: int):
+    """(ids, texts) of consecutive rows of about run_chars characters."""
     ids, texts, size = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -103,18 +103,18 @@ def _runs(batches):
             ids.append(doc_id)
             texts.append(text)
             size += len(text)
-            if size >= RUN_CHARS:
+            if size >= run_chars:
                 yield ids, texts
                 ids, texts, size = [], [], 0
     if ids:
         yield ids, texts
 
 
-def _cut(parts: int, words_of: bool):
+def _cut(parts: int, words_of: bool, run_chars: int):
     """For each run a row for each part of its words, or else a row of its places (part -1)."""
 
     def run(batches):
-        for i, (ids, texts) in enumerate(_runs(batches)):
+        for i, (ids, texts) in enumerate(_runs(batches, run_chars)):
             index: dict[str, int] = {}
             codes, sizes = [], []
             for text in texts:
@@ -210,18 +210,20 @@ def _digests(doc_ids: pa.Array, rows: list[tuple[str, str]], keep_ids: bool) ->
     return pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + keep_ids])
 
 
-def encode(docs: DataFrame, model_path: str, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, model_path: str, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text", run_chars: int = RUN_CHARS
+) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids (array<int>).
 
     Ids are those of the library for the whole text, without begin and end; decoded is what it decodes them to. A null or empty
     text has no ids and decodes to nothing; a very long one is a run of its own. Repeated rows and null ids each give a row; other
     columns are ignored, whatever their names. An empty table gives an empty result. docs is read twice and must read alike, as
-    files do.
+    files do. run_chars: characters that a task holds as one run; shorter ones take less memory and more time.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(PARTS * max(1.0, (size / PARTS_BYTES) ** 0.5))
-    words = docs.mapInArrow(_cut(parts, True), _STEP).repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(_segmented(model_path), _STEP)
-    both = docs.mapInArrow(_cut(parts, False), _STEP).unionByName(words).repartition(F.col("run")).sortWithinPartitions("run", "part")
+    words = docs.mapInArrow(_cut(parts, True, run_chars), _STEP).repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(_segmented(model_path), _STEP)
+    both = docs.mapInArrow(_cut(parts, False, run_chars), _STEP).unionByName(words).repartition(F.col("run")).sortWithinPartitions("run", "part")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     return both.mapInArrow(_joined(model_path, keep_ids), schema)

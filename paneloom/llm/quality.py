@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .store import share
+from .store import quoted, share
 from .text import hashed, mix, utf8_pieces, word_spans
 
 #: Most labelled rows that the model is fitted on: those whose ids hash lowest.
@@ -165,9 +166,9 @@ def rate(docs: DataFrame, labels: DataFrame, least: float | None = None, sample:
     null and every row is kept.
     """
     own = [c for c in docs.columns if c not in ("expected_grade", "tail_prob", "keep")]
-    docs = docs.select(*own)
+    docs = docs.select(*[F.col(quoted(c)) for c in own])
     model = fit(docs, labels, sample)
     if model is None:
         return docs.select("*", F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_prob"), F.lit(True).alias("keep"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", expected_grade double, tail_prob double"
+    schema = T.StructType([*docs.schema.fields, T.StructField("expected_grade", T.DoubleType()), T.StructField("tail_prob", T.DoubleType())])
     return docs.mapInArrow(_judged(share(docs.sparkSession, model)), schema).withColumn("keep", F.col("tail_prob") >= (round(model.cut, 6) if least is None else least))

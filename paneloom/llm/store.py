@@ -48,6 +48,11 @@ def drop(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def quoted(name: str) -> str:
+    """A column's name, so that dots in it are no paths."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

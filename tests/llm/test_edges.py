@@ -105,6 +105,7 @@ def test_stages_take_any_row(spark, tmp_path, name, stage):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     docs = spark.createDataFrame(ROWS, "doc_id long, text string, source string").withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long")).withColumns({k: F.lit(v) for k, v in EXTRA.items()})
+    docs = docs.withColumns({"a.b": F.lit(1), "map": F.create_map(F.lit("x"), F.lit(1))})
     out = stage(spark, docs, str(tmp_path))
     got = out.collect()
     if name != "pieces":
