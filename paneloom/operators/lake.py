@@ -7,29 +7,32 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-C = F.col
-
+from . import merge
 
-def _joined(old: DataFrame, new: DataFrame, keys: list[str]):
-    a, b = old.withColumn("_o", F.lit(True)).alias("a"), new.withColumn("_n", F.lit(True)).alias("b")
-    on = reduce(lambda x, y: x & y, [C(f"a.{k}").eqNullSafe(C(f"b.{k}")) for k in keys])
-    return a.join(b, on, "full_outer")
+C = F.col
 
 
 def merge_report(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: old_only, new_only, identical, conflict, duplicate_keys, schema_equal, status. NULL equals NULL."""
-    same_schema = set(old.columns) == set(new.columns)
-    values = [c for c in old.columns if c not in keys and c in new.columns]
-    same = reduce(lambda x, y: x & y, [C(f"a.{c}").eqNullSafe(C(f"b.{c}")) for c in values], F.lit(True))
-    both = C("_o").isNotNull() & C("_n").isNotNull()
-    counts = _joined(old, new, keys).agg(F.count_if(C("_n").isNull()).alias("old_only"), F.count_if(C("_o").isNull()).alias("new_only"), F.count_if(both & same).alias("identical"), F.count_if(both & ~same).alias("conflict"))
-    again = reduce(DataFrame.unionByName, [d.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("d")) for d in (old, new)]).agg(F.sum("d").alias("duplicate_keys"))
-    out = counts.join(F.broadcast(again)).withColumn("schema_equal", F.lit(same_schema))
+    """One row: old_only, new_only, identical, conflict (keys), duplicate_keys (rows of repeated keys on either side), schema_equal, status.
+    NULL equals NULL. A key column that either side lacks is BLOCKED, with no counts. `merge.merge_report` tells the same by bucket."""
+    if any(k not in old.columns or k not in new.columns for k in keys):
+        counts = old.limit(0).agg(*[F.count("*").alias(c) for c in ("old_only", "new_only", "identical", "conflict", "duplicate_keys")])
+        return counts.withColumns({"schema_equal": F.lit(False), "status": F.lit("BLOCKED")})
+    both = merge.compared(old, new, keys, [])
+    one = (C("n_old") > 0) & (C("n_new") > 0)
+    again = lambda c: F.coalesce(F.sum(F.when(C(c) > 1, C(c)).otherwise(0)), F.lit(0))
+    out = both.agg(
+        F.count_if(C("n_new") == 0).alias("old_only"), F.count_if(C("n_old") == 0).alias("new_only"), F.count_if(one & C("same")).alias("identical"),
+        F.count_if(one & ~C("same")).alias("conflict"), (again("n_old") + again("n_new")).alias("duplicate_keys"),
+    )
+    out = out.withColumn("schema_equal", F.lit(set(old.columns) == set(new.columns)))
     return out.withColumn("status", F.when(C("schema_equal") & (C("conflict") == 0) & (C("duplicate_keys") == 0), "READY").otherwise("BLOCKED"))
 
 
-def keyed_merge(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Old rows and the new rows whose key is new; what merge_report does not call READY must not be merged."""
+def keyed_merge(old: DataFrame, new: DataFrame, keys: list[str], checked: bool = False) -> DataFrame:
+    """Old rows and the new rows whose key is new; checked: raises what merge_report does not call READY."""
+    if checked and (told := merge_report(old, new, keys).first())["status"] != "READY":
+        raise ValueError(f"merge is blocked: {told.asDict()}")
     on = reduce(lambda x, y: x & y, [new[k].eqNullSafe(old[k]) for k in keys])
     return old.unionByName(new.join(old.select(*keys), on, "left_anti"))
 
@@ -59,25 +62,39 @@ def collision_plan(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.join(t, "path", "left").select("path", F.when(C("_d").isNull(), "copy_new").when(C("_d") == C("digest"), "skip_identical").otherwise("block_non_identical").alias("action"))
 
 
-def incremental_window(inventory: DataFrame, overlap_days: int = 7) -> DataFrame:
-    """(api, fetch_from): the last date less the overlap, not before the start of its year."""
-    last = F.max("date")
-    return inventory.groupBy("api").agg(last.alias("max_date"), F.greatest(F.date_sub(last, overlap_days), F.to_date(F.date_trunc("year", last))).alias("fetch_from"))
+# Partition keys that hold a day, in the order in which they are looked for. ---------------------------------------------
+LANDED_DAYS = ("trade_date", "ann_date", "end_date", "report_date", "date")
+DAY_KEYS = ("trade_date", "suspend_date", "cal_date", "ann_date", "report_date", "date")
 
 
-def partition_bucket(parts: str = "partition"):
-    """Bucket of a partition map, by precedence: snapshot, year, a dated key's year, start and end of one year, else the scope."""
+def partition_bucket(parts: str = "partition", start: str = "", end: str = ""):
+    """'kind=value' of a partition map: a snapshot, a year, the year of the first of DAY_KEYS, start and end of one year, else their window,
+    a since_date, else the scope of the run from start to end (all, without a run). Empty values are as good as none. A day without a year, and a
+    since_date other than yyyymmdd, raise."""
+    m = C(parts)
+    has = lambda k: F.coalesce(m[k] != "", F.lit(False))
+    digits = lambda k: F.regexp_replace(m[k], "[^0-9]", "")
+    fails = lambda k, what: F.raise_error(F.concat(F.lit(f"partition {k} {what}: "), m[k]))
+    year = lambda k: F.when(F.length(digits(k)) >= 4, F.substring(digits(k), 1, 4)).otherwise(fails(k, "does not contain a year"))
+    named = lambda kind, value: F.concat(F.lit(f"{kind}="), value)
+    out = F.when(has("snapshot"), named("snapshot", m["snapshot"])).when(has("year"), named("year", F.substring(digits("year"), 1, 4)))
+    for k in DAY_KEYS:
+        out = out.when(has(k), named("year", year(k)))
+    window = F.when(year("start_date") == year("end_date"), named("year", year("start_date")))
+    out = out.when(has("start_date") & has("end_date"), window.otherwise(named("window", F.concat(digits("start_date"), F.lit("_"), digits("end_date")))))
+    since = F.when(F.length(digits("since_date")) == 8, digits("since_date")).otherwise(fails("since_date", "must be YYYYMMDD"))
+    return out.when(has("since_date"), named("since", since)).otherwise(F.lit(f"scope=run_{start}_{end}" if start or end else "scope=all"))
+
+
+def landed_bucket(parts: str = "partition"):
+    """'kind=value' of a partition map of a compacted store: what it names itself, else its window, else the year of its day, else unknown."""
     m = C(parts)
-    year = lambda c: F.substring(c, 1, 4)
-    dated = F.coalesce(m["trade_date"], m["ann_date"], m["end_date"])
-    return (
-        F.when(m["snapshot"].isNotNull(), F.concat(F.lit("snapshot="), m["snapshot"]))
-        .when(m["year"].isNotNull(), F.concat(F.lit("year="), m["year"]))
-        .when(m["trade_date"].isNotNull() | m["ann_date"].isNotNull(), F.concat(F.lit("year="), year(dated)))
-        .when(m["start_date"].isNotNull() & m["end_date"].isNotNull(), F.when(year(m["start_date"]) == year(m["end_date"]), F.concat(F.lit("year="), year(m["start_date"]))).otherwise(F.concat(F.lit("window="), m["start_date"], F.lit("_"), m["end_date"])))
-        .when(m["since"].isNotNull(), F.concat(F.lit("since="), m["since"]))
-        .otherwise(F.lit("scope=all"))
-    )
+    has = lambda k: F.coalesce(m[k] != "", F.lit(False))
+    own = [F.when(has(k), F.concat(F.lit(f"{k}="), m[k])) for k in ("year", "window", "snapshot", "scope", "since")]
+    window = F.when(has("start_date") & has("end_date"), F.concat(F.lit("window="), m["start_date"], F.lit("_"), m["end_date"]))
+    digits = lambda k: F.regexp_replace(m[k], "[^0-9]", "")
+    days = [F.when(F.length(digits(k)) >= 4, F.concat(F.lit("year="), F.substring(digits(k), 1, 4))) for k in LANDED_DAYS]
+    return F.coalesce(*own, window, *days, F.lit("unknown=unknown"))
 
 
 def merge_catalog(prior: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:

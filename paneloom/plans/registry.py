@@ -481,7 +481,6 @@ register("l3_merge_report", lambda s, d: lake.merge_report(*_slices(s, d), ["o_o
 register("l3_keyed_merge", lambda s, d: lake.keyed_merge(*_slices(s, d), ["o_orderkey"]), f"WITH {_SL} SELECT * FROM o UNION ALL SELECT * FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM o)")
 register("k9_upsert", lambda s, d: lake.upsert(*_slices(s, d), ["o_orderkey"]), f"WITH {_SL} SELECT * FROM n UNION ALL SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)")
 register("l6_keep_last", lambda s, d: lake.keep_last(src.table(s, d, "events").select("user_id", "event_type", "ts", "event_id", "value"), ["user_id", "event_type"], C("ts"), C("event_id")), "SELECT user_id, event_type, ts, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
-register("l4_incremental_window", lambda s, d: lake.incremental_window(src.table(s, d, "orders").select(C("o_orderpriority").alias("api"), F.to_date("o_orderdate").alias("date"))), "SELECT o_orderpriority AS api, max(o_orderdate::DATE) AS max_date, greatest(max(o_orderdate::DATE) - 7, date_trunc('year', max(o_orderdate::DATE))::DATE) AS fetch_from FROM orders GROUP BY 1")
 
 
 def _gaps(s, d):

@@ -117,6 +117,11 @@ def test_lake_and_checks(spark):
     new = spark.createDataFrame([("x", 21.0), ("y", None), ("w", 2.0)], "k string, v double")
     r = lake.merge_report(old, new, ["k"]).first()
     assert (r.old_only, r.new_only, r.identical, r.conflict, r.status) == (1, 1, 1, 1, "BLOCKED")
+    twice = lake.merge_report(old, new.where("k = 'w'").unionByName(new.where("k = 'w'")), ["k"]).first()
+    assert (twice.new_only, twice.duplicate_keys, twice.status) == (1, 2, "BLOCKED")
+    assert lake.merge_report(old, new, ["gone"]).first().status == "BLOCKED"
+    with pytest.raises(ValueError, match="blocked"):
+        lake.keyed_merge(old, new, ["k"], checked=True)
     assert rows(lake.keyed_merge(old, new, ["k"]), "k") == [("w",), ("x",), ("y",), ("z",)]
     parts = spark.createDataFrame([({"trade_date": "20240105"},), ({"snapshot": "20240105", "year": "2023"},), ({"start_date": "20230101", "end_date": "20240101"},), ({"a": "b"},)], "partition map<string,string>")
     assert [x.b for x in parts.select(lake.partition_bucket().alias("b")).collect()] == ["year=2024", "snapshot=20240105", "window=20230101_20240101", "scope=all"]
