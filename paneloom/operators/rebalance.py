@@ -76,8 +76,8 @@ def _next_book(day: dict, book: dict[str, float], c: BufferedConfig) -> tuple[di
 
 
 def _reachable(marked: DataFrame, c: BufferedConfig) -> DataFrame:
-    """Rows that a step can use: ranks down to sell_rank, and below it names that may still be held, as they were in the buying zone
-    after the last date on which they would have been sold."""
+    """Rows that a step can use: ranks down to sell_rank, and below it names that may still be held, as they were held at the start (opened)
+    or in the buying zone after the last date on which they would have been sold."""
     rank, tradable = C("rank"), C("is_tradable")
     bought = (rank <= c.buy_rank) & (tradable if c.require_tradable_for_buy else F.lit(True))
     sold = (rank > c.sell_rank) & (tradable if c.require_tradable_for_sell else F.lit(True))
@@ -86,26 +86,49 @@ def _reachable(marked: DataFrame, c: BufferedConfig) -> DataFrame:
     least, k = c.min_trade_weight, c.max_holding_n
     certain = least <= (1 / k - least) / (1 + k * least)
     last = F.last(F.when(bought, True).when(sold, False) if certain else F.when(bought, True), ignorenulls=True).over(before)
-    return marked.withColumn("_open", F.coalesce(last, F.lit(False))).where((rank <= c.sell_rank) | C("_open")).drop("_open")
+    return marked.withColumn("_open", F.coalesce(last, C("opened"))).where((rank <= c.sell_rank) | C("_open")).drop("_open", "opened")
 
 
-def buffered_weights(signal: DataFrame, configs: dict[str, BufferedConfig]) -> DataFrame:
+def holdings(log: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """(portfolio_id, date, asset, weight): what each portfolio of a log holds after its last date, at most max_holding_n rows each. A
+    portfolio that the log does not have keeps its opening holdings. Saved as a table, it is where a later run goes on."""
+    last = log.groupBy("portfolio_id").agg(F.max("date").alias("date"))
+    now = log.join(F.broadcast(last), ["portfolio_id", "date"], "left_semi").where("weight > 0").select("portfolio_id", "date", "asset", "weight")
+    if opening is None:
+        return now
+    return now.unionByName(opening.select("portfolio_id", "date", "asset", "weight").join(F.broadcast(last), "portfolio_id", "left_anti"))
+
+
+def buffered_weights(signal: DataFrame, configs: dict[str, BufferedConfig], opening: DataFrame | None = None, after: str | None = None) -> DataFrame:
     """The trade log (portfolio_id, date, asset, prev_weight, weight, trade_weight, action, reason, rank, score, is_tradable) of the
     rebalance dates: every asset with a signal, and held ones without.
 
     Only the holdings pass from one date to the next. The recursion over them is one group for each portfolio, of the rows that a
     step can use: about sell_rank for each rebalance date, however many assets there are. All other rows are filled in by a join.
+
+    opening: holdings (portfolio_id, asset, weight) to go on from, as `holdings` gives them; after: only dates after this one. A run after the
+    last date of a period that starts from the holdings of that date gives the same rows as one run over all dates.
     """
-    spark, steps, full = signal.sparkSession, None, None
+    steps, full = None, None
     for name, c in configs.items():
-        marked = signal.join(F.broadcast(rebalance_dates(signal, c.freq)), "date", "left_semi").select(F.lit(name).alias("portfolio_id"), "date", "asset", "rank", "score", "is_tradable")
-        steps = _reachable(marked, c) if steps is None else steps.unionByName(_reachable(marked, c))
+        dates = rebalance_dates(signal, c.freq)
+        dates = dates if after is None else dates.where(C("date") > F.lit(after).cast("date"))
+        marked = signal.join(F.broadcast(dates), "date", "left_semi").select(F.lit(name).alias("portfolio_id"), "date", "asset", "rank", "score", "is_tradable")
+        own = None if opening is None else opening.where(C("portfolio_id") == name)
+        opened = marked.withColumn("opened", F.lit(False)) if own is None else marked.join(F.broadcast(own.select("asset", F.lit(True).alias("opened"))), "asset", "left")
+        mine = _reachable(opened.withColumn("opened", F.coalesce("opened", F.lit(False))), c)
+        if own is not None:  # a row without a date for each holding, which comes first
+            start = own.select(F.lit(name).alias("portfolio_id"), F.lit(None).cast("date").alias("date"), "asset", F.lit(None).cast("int").alias("rank"), C("weight").alias("score"), F.lit(None).cast("boolean").alias("is_tradable"))
+            mine = mine.select("portfolio_id", "date", "asset", C("rank").cast("int").alias("rank"), C("score").cast("double").alias("score"), "is_tradable").unionByName(start)
+        steps = mine if steps is None else steps.unionByName(mine)
         full = marked if full is None else full.unionByName(marked)
     plain = {k: asdict(c) for k, c in configs.items()}
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         name = part["portfolio_id"].iloc[0]
-        c, book, out = BufferedConfig(**plain[name]), {}, []
+        c, out = BufferedConfig(**plain[name]), []
+        start = part[part["date"].isna()]
+        book, part = dict(zip(start["asset"], start["score"])), part[part["date"].notna()]
         for date, day in part.sort_values("date", kind="stable").groupby("date", sort=True):
             told = dict(zip(day["asset"], zip(day["rank"], day["score"], day["is_tradable"])))
             now, why = _next_book(told, book, c)
@@ -120,12 +143,13 @@ def buffered_weights(signal: DataFrame, configs: dict[str, BufferedConfig]) -> D
     return log.select("portfolio_id", "date", "asset", "prev_weight", "weight", (now - before).alias("trade_weight"), action.alias("action"), "reason", "rank", "score", "is_tradable")
 
 
-def buffered_daily(log: DataFrame, returns: DataFrame, cost_bps: float = 5.0) -> DataFrame:
+def buffered_daily(log: DataFrame, returns: DataFrame, cost_bps: float = 5.0, portfolios: list[str] | None = None) -> DataFrame:
     """(portfolio_id, date, gross, turnover, cost, net): weights of a rebalance date earn the returns of the dates after it up to and
     including the next one; turnover costs on its own date. The log is read once: its changes of weight meet the returns in one
-    order for each portfolio and asset."""
+    order for each portfolio and asset. portfolios: their names, which are looked up in the log if not given."""
     moves = log.where("weight <> 0 or prev_weight <> 0").select("portfolio_id", "asset", "date", F.lit(1).alias("_k"), "weight", F.abs(C("weight") - C("prev_weight")).alias("moved"))
-    books = F.broadcast(log.select("portfolio_id").distinct())
+    names = log.select("portfolio_id").distinct() if portfolios is None else log.sparkSession.createDataFrame([(n,) for n in portfolios], "portfolio_id string")
+    books = F.broadcast(names)
     rows = returns.select("asset", "date", F.lit(0).alias("_k"), "ret_1d").join(books).unionByName(moves, allowMissingColumns=True)
     held = F.last("weight", ignorenulls=True).over(Window.partitionBy("portfolio_id", "asset").orderBy("date", "_k").rowsBetween(Window.unboundedPreceding, -1))
     daily = rows.withColumn("held", held).groupBy("portfolio_id", "date").agg(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..core.scratch import scratch
-from ..operators import increments, lake, merge
+from ..operators import grids, increments, lake, merge
 from ..sources import compaction, footers
 from ..sources import panel as src
 from .registry import register
@@ -284,3 +284,44 @@ register(
     """SELECT api, m AS max_date, greatest((SELECT list_sort(list(dd), 'DESC')[7] FROM (SELECT (m - i::INTEGER)::DATE AS dd FROM range(1, 30) r(i)) WHERE isodow(dd) < 6), date_trunc('year', m)::DATE) AS fetch_from
        FROM (SELECT o_orderpriority AS api, max(o_orderdate)::DATE AS m FROM orders GROUP BY 1)""",
 )
+
+
+# --- expected partitions of specifications
+
+
+def _specs(s: SparkSession, d: str) -> DataFrame:
+    """Customers as sources of all modes; every third has two dimensions. Those by symbol, which take all suppliers, are one in 500."""
+    k = C("c_custkey")
+    mode = F.element_at(F.array(*[F.lit(m) for m in grids.MODES[:-1]]), (k % 7 + 1).cast("int"))
+    start = F.date_add(F.lit("1998-01-15").cast("date"), (k % 400).cast("int"))
+    both = F.when(k % 3 == 0, F.array(F.lit("SSE"), F.lit("SZSE"))).otherwise(F.array().cast("array<string>"))
+    return src.table(s, d, "customer").select(
+        k.cast("string").alias("api_name"), F.when(k % 500 == 1, "symbol").otherwise(mode).alias("mode"), start.alias("start"),
+        F.date_add(start, (k % 120).cast("int") - 5).alias("end"), both.alias("dimensions"),
+    )
+
+
+def _expected(s: SparkSession, d: str) -> DataFrame:
+    return grids.expected_partitions(_specs(s, d), src.table(s, d, "supplier").select(C("s_suppkey").cast("string").alias("symbol")))
+
+
+_GRID = f"""spec AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 500 = 1 THEN 'symbol' ELSE {list(grids.MODES[:-1])}[(c_custkey % 7 + 1)::INTEGER] END AS mode, DATE '1998-01-15' + (c_custkey % 400)::INTEGER AS a FROM customer),
+  r AS (SELECT *, a + ((k % 120)::INTEGER - 5) AS b FROM spec),
+  x AS (SELECT r.*, t.dimension FROM r, (SELECT 'SSE' AS dimension UNION ALL SELECT 'SZSE' UNION ALL SELECT NULL) t WHERE a <= b AND (t.dimension IS NOT NULL) = (k % 3 = 0)),
+  cal AS (SELECT (DATE '1997-12-01' + i::INTEGER)::DATE AS dd FROM range(0, 900) q(i)),
+  e AS (SELECT k, dimension, NULL::VARCHAR AS symbol, strftime(dd, '%Y%m%d') AS partition, dd AS start_date, dd AS end_date FROM x JOIN cal ON dd BETWEEN a AND b
+      WHERE mode = 'day' OR (mode = 'weekday' AND isodow(dd) < 6) OR (mode = 'quarter_end' AND day(dd + 1) = 1 AND month(dd) % 3 = 0)
+    UNION ALL SELECT k, dimension, NULL, strftime(dd, '%Y%m'), min(dd), max(dd) FROM x JOIN cal ON dd BETWEEN a AND b WHERE mode = 'month' GROUP BY ALL
+    UNION ALL SELECT k, dimension, NULL, strftime(dd, '%Y'), min(dd), max(dd) FROM x JOIN cal ON dd BETWEEN a AND b WHERE mode = 'year' GROUP BY ALL
+    UNION ALL SELECT k, dimension, NULL, CASE mode WHEN 'range' THEN strftime(a, '%Y%m%d') || '_' || strftime(b, '%Y%m%d') ELSE 'latest' END, CASE mode WHEN 'range' THEN a ELSE b END, b FROM x WHERE mode IN ('range', 'snapshot')
+    UNION ALL SELECT k, dimension, lpad(s_suppkey::VARCHAR, 6, '0'), strftime(a, '%Y%m%d') || '_' || strftime(b, '%Y%m%d'), a, b FROM x, supplier WHERE mode = 'symbol')"""
+register("j15_expected_partitions", _expected, f"WITH {_GRID} SELECT k::VARCHAR AS api_name, dimension, symbol, partition, start_date, end_date FROM e")
+
+
+def _missing(s: SparkSession, d: str) -> DataFrame:
+    """What has landed is every partition of a month's first half, and one symbol in two."""
+    expected = _expected(s, d)
+    return grids.missing_partitions(expected, expected.where("dayofmonth(end_date) < 16 and (symbol is null or cast(symbol as int) % 2 = 0)"))
+
+
+register("l12_missing_partitions", _missing, f"WITH {_GRID} SELECT k::VARCHAR AS api_name, dimension, symbol, partition, start_date, end_date FROM e WHERE day(end_date) >= 16 OR coalesce(symbol::INTEGER % 2 = 1, false)")

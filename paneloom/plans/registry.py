@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..core import expr
+from ..core.scratch import scratch
 from ..operators import checks, diagnostics, features, lake, portfolio, rebalance, signals, universe
 from ..sources import panel as src
 
@@ -376,8 +377,15 @@ register("r2_buffered_weights", lambda s, d: rnd(_log(s, d).withColumn("action",
          WHEN round(weight, 9) < round(prev_weight, 9) THEN 'trim' ELSE 'keep' END AS action, round(prev_weight, 6) + 0.0 AS prev_weight, round(weight, 6) + 0.0 AS weight FROM lg""")
 
 
-def _policy_daily(s, d):
-    return rebalance.buffered_daily(_log(s, d), _feat(s, d).select("date", "asset", "ret_1d"))
+def _saved_log(s, d):
+    """The log, written once for all that reads it: its recursion runs once."""
+    path = scratch(s, "log")
+    _log(s, d).write.parquet(path)
+    return s.read.parquet(path)
+
+
+def _policy_daily(s, d, log=None):
+    return rebalance.buffered_daily(log or _saved_log(s, d), _feat(s, d).select("date", "asset", "ret_1d"), portfolios=list(_POL))
 
 
 _PD = {"gross": 6, "turnover": 6, "cost": 8, "net": 6}
@@ -392,8 +400,22 @@ register("r5_policy_daily", lambda s, d: rnd(_policy_daily(s, d), ["portfolio_id
 
 
 def _comparison(s, d):
-    log = _log(s, d).persist()
-    return rebalance.compare_policies(log, rebalance.buffered_daily(log, _feat(s, d).select("date", "asset", "ret_1d")))
+    log = _saved_log(s, d)
+    return rebalance.compare_policies(log, _policy_daily(s, d, log))
+
+
+def _resumed_log(s, d):
+    """The log in two runs, the second of which goes on from the saved holdings of the first."""
+    ranked, first, state = _ranked(s, d), scratch(s, "first"), scratch(s, "state")
+    rebalance.buffered_weights(ranked.where(C("date") <= F.lit(_SPLIT).cast("date")), _POL).write.parquet(first)
+    rebalance.holdings(s.read.parquet(first)).write.parquet(state)
+    rest = rebalance.buffered_weights(ranked.where(C("date") > F.lit(_SPLIT).cast("date")), _POL, s.read.parquet(state), _SPLIT)
+    return s.read.parquet(first).unionByName(rest)
+
+
+#: The end of a month, and so of a period.
+_SPLIT = "1998-06-30"
+register("r2_resumed_weights", lambda s, d: rnd(_resumed_log(s, d).withColumn("action", _named_action()), ["portfolio_id", "date", "asset", "rank", "reason", "action"], _LW), ORACLE_SQL["r2_buffered_weights"])
 
 
 _CM = {"total_return": 4, "annual_return": 4, "annual_vol": 4, "max_drawdown": 5, "sharpe": 4, "average_turnover": 6, "total_cost": 6}

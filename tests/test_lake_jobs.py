@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom.operators import increments, lake, merge
+from paneloom.operators import grids, increments, lake, merge
 from paneloom.sources import compaction, footers
 
 C = F.col
@@ -244,3 +244,66 @@ def test_incremental_plan(spark):
     days = spark.createDataFrame([(date(2024, 1, 1) + timedelta(days=i), i % 7 < 5 and i != 58) for i in range(90)], "day date, is_open boolean")
     plan = {r.api_name: r for r in increments.incremental_plan(apis, inv, "2024-03-06", calendar=days).collect()}
     assert plan["daily"].fetch_start_date == date(2024, 2, 27)  # the 28th is a holiday
+
+
+# --- expected partitions
+
+
+def test_expected_partitions_of_each_mode(spark):
+    row = lambda mode, a, b, dims=None: (mode, mode, a, b, dims)
+    a, b = date(2024, 1, 30), date(2024, 4, 2)
+    specs = spark.createDataFrame(
+        [row("day", a, date(2024, 2, 1), ["SSE", "SZSE"]), row("weekday", date(2024, 2, 2), date(2024, 2, 5)), row("month", a, b), row("quarter_end", a, b), row("year", date(2023, 12, 31), b),
+         row("range", a, b), row("snapshot", a, b), row("symbol", a, b), ("none", "day", b, a, None)],
+        "api_name string, mode string, start date, end date, dimensions array<string>",
+    )
+    symbols = spark.createDataFrame([("'1",), ("000001",), ("600000",), (" ",), (None,)], "symbol string")
+    got = {}
+    for r in grids.expected_partitions(specs, symbols).collect():
+        got.setdefault(r.api_name, []).append((r.dimension, r.symbol, r.partition, r.start_date, r.end_date))
+    at = lambda d: d.strftime("%Y%m%d")
+    whole = f"{at(a)}_{at(b)}"
+    days = [date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1)]
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {
+        "day": sorted([(x, None, at(d), d, d) for x in ("SSE", "SZSE") for d in days], key=str),
+        "weekday": [(None, None, at(d), d, d) for d in (date(2024, 2, 2), date(2024, 2, 5))],
+        "month": [
+            (None, None, "202401", a, date(2024, 1, 31)), (None, None, "202402", date(2024, 2, 1), date(2024, 2, 29)),
+            (None, None, "202403", date(2024, 3, 1), date(2024, 3, 31)), (None, None, "202404", date(2024, 4, 1), b),
+        ],
+        "quarter_end": [(None, None, "20240331", date(2024, 3, 31), date(2024, 3, 31))],
+        "year": [(None, None, "2023", date(2023, 12, 31), date(2023, 12, 31)), (None, None, "2024", date(2024, 1, 1), b)],
+        "range": [(None, None, whole, a, b)],
+        "snapshot": [(None, None, "latest", b, b)],
+        "symbol": [(None, "000001", whole, a, b), (None, "600000", whole, a, b)],
+    }
+    with pytest.raises(Exception, match="unknown mode"):
+        grids.expected_partitions(specs.withColumn("mode", F.lit("hourly"))).collect()
+
+
+# --- a policy in two runs
+
+
+def test_a_policy_that_goes_on_equals_one_run(spark):
+    from paneloom.operators import rebalance
+
+    rng = __import__("random").Random(4)
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(70)]
+    rows = []
+    for d in days:
+        names = [f"a{i}" for i in range(12) if rng.random() > 0.1]
+        rng.shuffle(names)
+        rows += [(d, a, i + 1, float(-i), rng.random() > 0.2) for i, a in enumerate(names)]
+    signal = spark.createDataFrame(rows, "date date, asset string, rank int, score double, is_tradable boolean").cache()
+    configs = {k: rebalance.BufferedConfig(4, 3, 6, 2, 5, max_weight=None, min_trade_weight=m, freq="W") for k, m in (("a", 0.0), ("b", 0.05))}
+    key = lambda r: (r.portfolio_id, r.date, r.asset)
+    whole = sorted(rebalance.buffered_weights(signal, configs).collect(), key=key)
+    split = "2024-02-04"  # a Sunday
+    first = rebalance.buffered_weights(signal.where(C("date") <= split), configs)
+    state = rebalance.holdings(first).cache()
+    rest = rebalance.buffered_weights(signal.where(C("date") > split), configs, state, split)
+    assert sorted(first.collect() + rest.collect(), key=key) == whole
+    assert {r.date for r in state.collect()} == {date(2024, 2, 4)} and state.count() <= 10
+    again = rebalance.buffered_weights(signal, configs, state, split)  # days before are passed over
+    assert sorted(again.collect(), key=key) == [r for r in whole if str(r.date) > split]
+    assert rebalance.holdings(rest.where("false"), state).count() == state.count()
