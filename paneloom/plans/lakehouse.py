@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..core.scratch import scratch
-from ..operators import grids, increments, lake, merge
-from ..sources import compaction, footers
+from ..operators import features, grids, increments, lake, merge
+from ..sources import compaction, footers, sinks
 from ..sources import panel as src
-from .registry import register
+from .registry import FEAT, even, even_sql, register
 
 C = F.col
 _STATUS = ("F", "O", "P")
@@ -325,3 +327,35 @@ def _missing(s: SparkSession, d: str) -> DataFrame:
 
 
 register("l12_missing_partitions", _missing, f"WITH {_GRID} SELECT k::VARCHAR AS api_name, dimension, symbol, partition, start_date, end_date FROM e WHERE day(end_date) >= 16 OR coalesce(symbol::INTEGER % 2 = 1, false)")
+
+
+# --- sinks that refuse what is there, and stores by asset
+
+
+def _symbol_months(s: SparkSession, d: str) -> DataFrame:
+    """The catalog of a second run, over all orders, after one over those before 1998."""
+    path = scratch(s, "bars")
+    o = _orders(s, d).select(C("day").alias("date"), C("o_orderstatus").alias("code"), "o_orderkey", "o_totalprice")
+    sinks.write_symbol_months(o.where("date < '1998-01-01'"), path, symbol="code")
+    catalog = sinks.write_symbol_months(o, path, symbol="code")
+    landed = s.read.parquet(path).groupBy(C("symbol").cast("string").alias("symbol"), "year", "month").agg(F.count("*").alias("landed"))
+    catalog = catalog.withColumns({"year": C("year").cast("int"), "month": C("month").cast("int")})
+    return catalog.join(landed, ["symbol", "year", "month"]).select("symbol", "adjust", "year", "month", "rows", "status", "landed")
+
+
+register(
+    "k5_symbol_months",
+    _symbol_months,
+    """SELECT o_orderstatus AS symbol, 'none' AS adjust, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, count(*) AS rows,
+         CASE WHEN year(o_orderdate) < 1998 THEN 'already_exists' ELSE 'success' END AS status, count(*) AS landed FROM orders GROUP BY ALL""",
+)
+_BF = {"ret_1d": 6, "ret_20d": 6, "vol_20d": 6, "fwd_ret_5d": 6}
+
+
+def _store_by_asset(s: SparkSession, d: str) -> DataFrame:
+    """Features over a panel that is stored by asset: no row is shuffled for their windows."""
+    panel = sinks.save_by_asset(src.daily_panel(s, d), scratch(s, "panel"), f"panel_{uuid.uuid4().hex}", 16)
+    return features.compute_features(panel, list(_BF))
+
+
+register("s2_store_by_asset", lambda s, d: even(_store_by_asset(s, d), ["date", "asset"], _BF), f"WITH {FEAT} SELECT date, asset, {even_sql({c: (c, n) for c, n in _BF.items()})} FROM feat")

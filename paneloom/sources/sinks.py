@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..core.scratch import scratch
 from ..operators.lake import keep_last
+from .footers import file_system, footer_inventory
 
 C = F.col
 
@@ -137,3 +142,73 @@ def write_raw_partition(df: DataFrame, path: str, keys: list[str], log: str, ove
     catalog = append_new_partitions(df, path, keys, overwrite)
     append_log(catalog.withColumns({k: F.lit(str(v)) for k, v in meta.items()}), log)
     return catalog
+
+
+def _moved(staging: str, path: str):
+    """Staged folders take their place, unless one is there. A task that runs again finds its folder moved, which is a success too."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, source = file_system(staging)
+        target = file_system(path)[1]
+        there = lambda at: system.get_file_info(at).type != fs.FileType.NotFound
+        for batch in batches:
+            status = []
+            for folder in batch.column("folder").to_pylist():
+                a, b = f"{source}/{folder}", f"{target}/{folder}"
+                if not there(a):
+                    status.append("success" if there(b) else "failed")
+                    continue
+                system.create_dir(b.rsplit("/", 1)[0], recursive=True)
+                try:
+                    if there(b):
+                        raise FileExistsError(b)
+                    system.move(a, b)
+                    status.append("success")
+                except OSError:  # another writer was first
+                    status.append("already_exists" if there(b) else "failed")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(status, pa.string())], [*batch.schema.names, "status"])
+
+    return run
+
+
+def append_new_folders(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Writes each partition of df that is not there yet, whole or not at all. Returns the catalog: keys (texts), folder, rows, status (success,
+    already_exists or failed).
+
+    Partitions are staged beside the table and renamed into their places by tasks; of two writers of one partition the first to rename it
+    wins, and the other's rows stay out. Rows are told by the footers of what was written. Nothing comes to the driver but the catalog's
+    path. Renames must be atomic, as on local and distributed file systems, not object stores.
+    """
+    spark, staging = df.sparkSession, f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    df.hint("rebalance", *keys).write.partitionBy(*keys).parquet(staging)
+    inv = footer_inventory(spark, staging, (), digests=False)
+    folder = F.expr("left(path, length(path) - length(substring_index(path, '/', -1)) - 1)")
+    folders = inv.groupBy(folder.alias("folder"), *[C("partition")[k].alias(k) for k in keys]).agg(F.sum("rows").alias("rows"))
+    folders = folders.select(*keys, "folder", "rows")
+    schema = ", ".join(f"`{k}` string" for k in keys) + ", folder string, rows long, status string"
+    at = scratch(spark, "catalog")
+    folders.repartition(spark.sparkContext.defaultParallelism, "folder").mapInArrow(_moved(staging, path), schema).write.parquet(at)
+    system, place = file_system(staging)
+    system.delete_dir(place)
+    return spark.read.parquet(at)
+
+
+def write_symbol_months(df: DataFrame, path: str, date: str = "date", symbol: str = "symbol", adjust: str = "none") -> DataFrame:
+    """Bars under symbol=/adjust=/year=/month= folders; those that are there stay. Returns the catalog of the folders."""
+    out = df.withColumnRenamed(symbol, "symbol").withColumns({"adjust": F.lit(adjust), "year": F.year(date), "month": F.month(date)})
+    return append_new_folders(out, path, ["symbol", "adjust", "year", "month"])
+
+
+def save_by_asset(df: DataFrame, path: str, table: str, buckets: int, asset: str = "asset", date: str = "date") -> DataFrame:
+    """df as a table bucketed by asset and sorted by asset and date, one file a bucket. What is read from it needs no shuffle for windows over
+    an asset's rows, for joins by asset with another table of as many buckets, or for groups by asset."""
+    out = df.repartition(buckets, asset).sortWithinPartitions(asset, date)
+    out.write.mode("overwrite").bucketBy(buckets, asset).sortBy(asset, date).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Forgets a saved table; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -9,8 +9,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom.operators import grids, increments, lake, merge
-from paneloom.sources import compaction, footers
+from paneloom.operators import features, grids, increments, lake, merge
+from paneloom.sources import compaction, footers, sinks
 
 C = F.col
 
@@ -307,3 +307,36 @@ def test_a_policy_that_goes_on_equals_one_run(spark):
     again = rebalance.buffered_weights(signal, configs, state, split)  # days before are passed over
     assert sorted(again.collect(), key=key) == [r for r in whole if str(r.date) > split]
     assert rebalance.holdings(rest.where("false"), state).count() == state.count()
+
+
+# --- sinks
+
+
+def test_of_two_writers_of_a_partition_one_wins(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    kind = "date date, symbol string, v int"
+    one = spark.createDataFrame([(date(2024, 1, 2), "a", 1), (date(2024, 1, 3), "a", 1), (date(2024, 2, 1), "a=b", 1)], kind)
+    two = spark.createDataFrame([(date(2024, 1, 2), "a", 2), (date(2024, 3, 1), "a", 2)], kind)
+    told = lambda df: {(r.symbol, r.month): (r.rows, r.status) for r in df.collect()}
+    assert told(sinks.write_symbol_months(one, path)) == {("a", "1"): (2, "success"), ("a=b", "2"): (1, "success")}
+    assert told(sinks.write_symbol_months(two, path)) == {("a", "1"): (1, "already_exists"), ("a", "3"): (1, "success")}
+    assert sorted((r.symbol, r.month, r.v) for r in spark.read.parquet(path).collect()) == [("a", 1, 1), ("a", 1, 1), ("a", 3, 2), ("a=b", 2, 1)]
+    assert not glob.glob(f"{path}.staging-*")
+    # a writer that staged its folder before another took the place
+    put(tmp_path, "late/symbol=a", {"v": [9]})
+    put(tmp_path, "bars/symbol=a/adjust=none/year=2024/month=1", {"v": [1]}, "kept.parquet")
+    os.makedirs(tmp_path / "late/symbol=a/adjust=none/year=2024/month=1")
+    batch = pa.RecordBatch.from_arrays([pa.array(["symbol=a/adjust=none/year=2024/month=1"])], ["folder"])
+    assert [b.column("status").to_pylist() for b in sinks._moved(str(tmp_path / "late"), path)([batch])] == [["already_exists"]]
+
+
+def test_windows_over_a_store_by_asset_need_no_exchange(spark, tmp_path):
+    rows = [(date(2024, 1, 1) + timedelta(days=i), a, float(i + 1), 1.0, 1.0) for i in range(30) for a in "abc"]
+    panel = spark.createDataFrame(rows, "date date, asset string, close double, amount double, market_cap double")
+    table = sinks.save_by_asset(panel, str(tmp_path / "t"), "panel_by_asset_test", 4)
+    made = features.compute_features(table, ["ret_1d", "ret_20d"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan
+    want = features.compute_features(panel, ["ret_1d", "ret_20d"])
+    assert sorted(map(str, made.collect())) == sorted(map(str, want.collect()))
+    sinks.drop_table(spark, "panel_by_asset_test")
