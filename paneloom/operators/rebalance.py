@@ -86,7 +86,7 @@ def _reachable(marked: DataFrame, c: BufferedConfig) -> DataFrame:
     least, k = c.min_trade_weight, c.max_holding_n
     certain = least <= (1 / k - least) / (1 + k * least)
     last = F.last(F.when(bought, True).when(sold, False) if certain else F.when(bought, True), ignorenulls=True).over(before)
-    return marked.withColumn("_open", F.coalesce(last, C("opened"))).where((rank <= c.sell_rank) | C("_open")).drop("_open", "opened")
+    return marked.withColumn("_open", F.coalesce(last, C("opened") if "opened" in marked.columns else F.lit(False))).where((rank <= c.sell_rank) | C("_open")).drop("_open", "opened")
 
 
 def holdings(log: DataFrame, opening: DataFrame | None = None) -> DataFrame:
