@@ -267,10 +267,14 @@ def _end(s: SparkSession, d: str) -> str:
     return str(_orders(s, d).agg(F.max("day")).first()[0])
 
 
+_WEEKDAYS_BACK = (
+    "CASE WHEN ov = 0 THEN last ELSE (SELECT list_sort(list(dd), 'DESC')[ov] "
+    "FROM (SELECT (last - i::INTEGER)::DATE AS dd FROM range(1, 40) r(i)) WHERE isodow(dd) < 6) END"
+)
 register(
     "l4_incremental_plan",
     lambda s, d: increments.incremental_plan(_apis(s, d), _landed(s, d), _end(s, d)),
-    _plan_sql("CASE WHEN ov = 0 THEN last ELSE (SELECT list_sort(list(dd), 'DESC')[ov] FROM (SELECT (last - i::INTEGER)::DATE AS dd FROM range(1, 40) r(i)) WHERE isodow(dd) < 6) END"),
+    _plan_sql(_WEEKDAYS_BACK),
 )
 register(
     "l4_plan_open_days",

@@ -309,7 +309,18 @@ register("b4_group_cap", lambda s, d: rnd(portfolio.build_top_n(_liquid(s, d), 1
 _HELD = f"""{_SIG}, {_WTS}, rb AS (SELECT max(date) AS date FROM (SELECT DISTINCT date FROM wts) GROUP BY date_trunc('month', date)), grid AS (SELECT d.date, a.asset FROM (SELECT DISTINCT date FROM wts) d, (SELECT DISTINCT asset FROM wts) a),
   gw AS (SELECT g.date, g.asset, k.weight AS kw FROM grid g LEFT JOIN (SELECT w.* FROM wts w JOIN rb USING (date)) k ON g.date = k.date AND g.asset = k.asset),
   held AS (SELECT date, asset, coalesce(last_value(kw IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS weight FROM gw)"""
-register("b6_hold_between", lambda s, d: rnd(portfolio.hold_between(portfolio.build_top_n(_sig(s, d), 10), "M"), ["date", "asset"], {"weight": 6}), f"WITH {_HELD} SELECT date, asset, round(weight, 6) AS weight FROM held")
+
+
+def _held(s, d):
+    sig = _sig(s, d).select("date", "asset", "signal").where("signal is not null")
+    return portfolio.hold_between(portfolio.build_top_n(portfolio.on_rebalance_dates(sig, "M"), 10), "M", sig)
+
+
+register(
+    "b6_hold_between",
+    lambda s, d: rnd(_held(s, d), ["date", "asset"], {"weight": 6}),
+    f"WITH {_HELD} SELECT date, asset, round(weight, 6) AS weight FROM held",
+)
 _BT = f"""nx AS (SELECT date, asset, lead(ret_1d) OVER ({W}) AS nr FROM feat), g AS (SELECT h.date, sum(weight * nr) AS gross FROM held h JOIN nx USING (date, asset) GROUP BY h.date),
   di AS (SELECT date, row_number() OVER (ORDER BY date) AS i FROM (SELECT DISTINCT date FROM held)), hv AS (SELECT i, asset, weight FROM held JOIN di USING (date)),
   mv AS (SELECT i, sum(abs(d)) AS turnover FROM (SELECT i, asset, sum(v) AS d FROM (SELECT i, asset, weight AS v FROM hv UNION ALL SELECT i + 1, asset, -weight FROM hv) GROUP BY 1, 2) GROUP BY 1),

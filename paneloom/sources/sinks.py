@@ -34,11 +34,17 @@ def month_manifest(df: DataFrame, date: str = "date", asset: str = "asset") -> D
     return df.groupBy(F.year(date).alias("year"), F.month(date).alias("month")).agg(F.count("*").alias("rows"), F.countDistinct(date).alias("n_dates"), F.countDistinct(asset).alias("n_assets"))
 
 
+def _holds_anything(path: str) -> bool:
+    from pyarrow import fs
+
+    system, place = file_system(path)
+    return bool(system.get_file_info(fs.FileSelector(place, allow_not_found=True)))
+
+
 def append_new_partitions(df: DataFrame, path: str, keys: list[str], overwrite: bool = False) -> DataFrame:
     """Writes the partitions that are not there yet. Returns the catalog: keys, rows, status success or already_exists."""
     spark = df.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+    there = _holds_anything(path)
     counts = df.groupBy(*keys).agg(F.count("*").alias("rows"))
     if not there or overwrite:
         catalog = counts.withColumn("status", F.lit("success"))
@@ -48,10 +54,11 @@ def append_new_partitions(df: DataFrame, path: str, keys: list[str], overwrite:
         old = spark.read.parquet(path).select(*[C(k).cast(kinds[k]).alias(k) for k in keys]).distinct().withColumn("_old", F.lit(True))
         catalog = counts.join(old, keys, "left").withColumn("status", F.when(C("_old"), "already_exists").otherwise("success")).drop("_old")
         fresh = df.join(old, keys, "left_anti")
-    catalog = spark.createDataFrame(catalog.collect(), catalog.schema)  # a row for each partition folder, fixed before the write changes it
+    at = scratch(spark, "catalog")
+    catalog.write.parquet(at)  # fixed before the write changes what is there
     mode = "overwrite" if overwrite else "append"
     fresh.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
-    return catalog
+    return spark.read.parquet(at)
 
 
 def write_csv(df: DataFrame, path: str, keys: tuple[str, ...] = ()) -> None:

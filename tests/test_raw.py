@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paneloom.operators import catalog, checks, contracts, lake, normalise, research
-from paneloom.sources import files, sinks, store
+from paneloom.sources import files, reports, sinks, store
 
 C = F.col
 
@@ -199,3 +199,21 @@ def test_lists_outputs_and_manifests(spark, tmp_path):
     sinks.write_by_date(factors.withColumnRenamed("date", "trade_date").withColumn("report_date", F.lit("20231231")), str(tmp_path / "d/fam/api"))
     inv = files.drive_inventory(spark, str(tmp_path / "d")).first()
     assert (inv.rows, inv.min_date, inv.max_date, inv.bucket) == (1, date(2023, 12, 31), date(2023, 12, 31), "year=2024")
+
+
+def test_reports_and_fetches(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "ok", {"k": "v"}, None, 1), ("b", "bad", {}, "x", 2)], "api_name string, status string, bucket map<string,string>, reason string, other int")
+    reports.write_report(rows, str(tmp_path), "stable_latest_report")
+    got = {r.api_name: r for r in reports.read_report(spark, str(tmp_path), "stable_latest_report").collect()}
+    assert tuple(got["a"].asDict()) == reports.LAYOUTS["stable_latest_report"]
+    assert (got["a"].bucket, got["a"].reason, got["a"].action, got["b"].reason) == ('{"k":"v"}', "", "", "x")
+    told = spark.read.json(str(tmp_path / "stable_latest_report_summary")).collect()
+    assert {(r.status, r.n_rows) for r in told} == {("ok", 1), ("bad", 1)}
+    (tmp_path / "stable_latest_report").rename(tmp_path / "incremental_plan")
+    with pytest.raises(ValueError):
+        reports.read_report(spark, str(tmp_path), "incremental_plan")
+    reports.write_fetch_result(rows.select("api_name", "status", "other"), str(tmp_path / "f"), "d", ("status", "api_name"), source="s")
+    data, meta = reports.read_fetch_result(spark, str(tmp_path / "f"), "d")
+    assert (tmp_path / "f" / "data" / "dataset_name=d" / "api_name=a" / "status=ok").is_dir()
+    assert {(r.api_name, r.other) for r in data.collect()} == {("a", "1"), ("b", "2")}
+    assert {(r.status, r.row_count, r.source, tuple(r.raw_columns)) for r in meta.collect()} == {(s, 1, "s", ("api_name", "status", "other")) for s in ("ok", "bad")}
