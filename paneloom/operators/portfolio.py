@@ -69,11 +69,11 @@ def on_rebalance_dates(frame: DataFrame, freq: str) -> DataFrame:
     return frame.join(F.broadcast(rebalance_dates(frame.where(C("signal").isNotNull()), freq)), "date", "left_semi")
 
 
-def hold_between(weights: DataFrame, freq: str) -> DataFrame:
+def hold_between(weights: DataFrame, freq: str, rows: DataFrame | None = None) -> DataFrame:
     """Weights of rebalance dates carried to every date and asset; 0 before the first; an asset that is absent on a rebalance date keeps
-    its old weight."""
+    its old weight. Dates and assets are those of `rows`, where weights are of rebalance dates alone, else of weights."""
     kept = weights.join(F.broadcast(rebalance_dates(weights, freq)), "date", "left_semi")
-    grid = date_grid(weights).join(kept, ["date", "asset"], "left")
+    grid = date_grid(weights if rows is None else rows).join(kept, ["date", "asset"], "left")
     held = F.last("weight", ignorenulls=True).over(Window.partitionBy("asset").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
     return grid.select("date", "asset", F.coalesce(held, F.lit(0.0)).alias("weight"))
 

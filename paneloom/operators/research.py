@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.expr import qcut_first, require, safe_corr
+from ..core.scratch import scratch
 from . import checks, diagnostics, portfolio, signals, universe
 
 C = F.col
@@ -153,13 +154,25 @@ def run_factor_family(panel: DataFrame, builder: Callable[[DataFrame], DataFrame
     return out.withColumn("warnings", F.concat_ws(";", zero, few, F.when(C("n_inf") > 0, "infinite values")))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """df as it stands in a folder that tasks share, so that it is computed once."""
+    at = scratch(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
 def constraint_impact(frame: DataFrame, n: int, label: str, freq: str = "M", cost_bps: float = 10.0, slippage_bps: float = 5.0, **constraints) -> DataFrame:
     """One row for each variant, unconstrained and constrained: total return, Sharpe ratio, mean turnover, mean IC of the weights with the
-    label, mean size exposure and mean absolute weight of a group."""
+    label, mean size exposure and mean absolute weight of a group.
+
+    The frame and each variant's weights are written once: the weights of rebalance dates are among those of all dates, as each date is
+    weighed by itself."""
+    frame = _written(frame, "impact")
+    ends = F.broadcast(portfolio.rebalance_dates(frame.where("signal is not null"), freq))
     out = None
     for name, limits in (("unconstrained", {}), ("constrained", constraints)):
-        weights = portfolio.build_top_n(frame, n, **limits)
-        marked = portfolio.build_top_n(portfolio.on_rebalance_dates(frame, freq), n, **limits)
+        weights = _written(portfolio.build_top_n(frame, n, **limits), name)
+        marked = weights.join(ends, "date", "left_semi")
         daily = portfolio.held_backtest(marked, frame.select(*KEYS, "ret_1d"), frame.where("signal is not null"), cost_bps, slippage_bps)
         result = portfolio.performance(daily, "net").select("total_return", "sharpe").join(F.broadcast(daily.agg(F.avg("turnover").alias("turnover"))))
         both = weights.join(frame.select(*KEYS, label, "market_cap", "grp"), list(KEYS))
