@@ -46,7 +46,7 @@ def test_pii_of_a_long_text(spark):
 
 
 def test_shards_are_as_even_as_plain_scheduling(spark):
-    """Groups of equal texts, a few of them large: the largest shard is at most a bundle's share above that of scheduling every group."""
+    """Groups of equal texts, a few of them large: the largest shard is that of scheduling every group."""
     rng = np.random.default_rng(3)
     rows, i = [], 0
     for g in range(1500):
@@ -59,7 +59,41 @@ def test_shards_are_as_even_as_plain_scheduling(spark):
     for n in sorted(sizes, reverse=True):
         loads[loads.argmin()] += n
     mine = got.groupby("shard")["size"].sum()
-    assert len(got) == len(rows) and mine.sum() == loads.sum() and mine.max() <= loads.max() + 2 * loads.sum() / 8 / sharding.FINE + sizes.min()
+    assert len(got) == len(rows) and mine.sum() == loads.sum() and mine.max() == loads.max()
+
+
+def test_sizes_are_scheduled_as_single_items():
+    """Counts of sizes give the loads of one heap over all items, with many items of a size, ties, and more shards than items."""
+    rng = np.random.default_rng(5)
+    for shards in (1, 3, 8):
+        for _ in range(30):
+            classes = {int(s): int(n) for s, n in zip(rng.integers(1, 60, 12), rng.choice([1, 2, 7, 40, 500], 12))}
+            items = [(size, f"{size}:{i}") for size, n in classes.items() for i in range(n)]
+            plain, mine = np.zeros(shards, int), np.zeros(shards, int)
+            for name, s in sharding.schedule(items, shards).items():
+                plain[s] += int(name.split(":")[0])
+            for size, ends, to in sharding.schedule_sizes(classes.items(), shards):
+                assert ends[-1] == classes[size]
+                mine[to] += np.diff([0, *ends]) * size
+            assert mine.tolist() == plain.tolist()
+    assert sharding.schedule_sizes([(0, 4)], 2) == [(0, [4], [0])] and sharding.schedule_sizes([], 2) == []
+
+
+def test_shard_loads_are_those_of_one_heap(spark):
+    """Equal sizes, a hot group and null texts: each shard has the very load of scheduling every group, with and without broadcasts."""
+    texts = [f"t{i:04d}" for i in range(900)] + [None] * 40 + ["hot"] * 700 + ["x" * (i % 50) + str(i) for i in range(600)] * 2
+    docs = spark.createDataFrame([(None if i % 97 == 0 else i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, shard int")
+    sizes = {}
+    for t in texts:
+        sizes[t or ""] = sizes.get(t or "", 0) + len(t or "") + 16
+    plain = np.zeros(5, int)
+    for name, s in sharding.schedule([(n, t) for t, n in sizes.items()], 5).items():
+        plain[s] += sizes[name]
+    for most in (0, 1000):
+        got = sharding.shard(docs, shards=5, most_sizes=most).toPandas()
+        assert len(got) == len(texts) and got.groupby("shard")["size"].sum().tolist() == plain.tolist()
+        assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+        assert got.groupby(["text_crc32", "size"]).shard.nunique().max() == 1
 
 
 def test_media_feature_is_of_the_stored_samples(spark):
