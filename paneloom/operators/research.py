@@ -47,23 +47,51 @@ def global_quantile_spread(returns: DataFrame) -> DataFrame:
     return returns.join(F.broadcast(ends)).groupBy("date").agg((at("_hi") - at("_lo")).alias("spread"))
 
 
-def _global_ranks(long: DataFrame, x: str, *by: str) -> DataFrame:
-    """long with the average rank of x within `by`, over the whole table: ranges of values are counted, and only their sums are added up."""
-    part = long.repartitionByRange(*by, x).withColumn("_part", F.spark_partition_id()).persist()  # read twice, in one order
-    counts = part.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*by, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*by, "_part")
-    rank = F.rank().over(inside.orderBy(x)) + (F.count("*").over(Window.partitionBy(*by, "_part", x)) - 1) / 2
-    return part.withColumn("_rank", rank).join(F.broadcast(counts), [*by, "_part"]).withColumn(x, C("_before") + C("_rank")).drop("_part", "_rank", "_before")
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """df as it stands in a folder that tasks share, so that it is computed once."""
+    at = scratch(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
+def _pair_ranks(long: DataFrame, k: int) -> DataFrame:
+    """(f, v, r) of every different value v of a factor f: r[b] is its average rank among the rows that also have factor b.
+
+    Values are counted first, so a value of very many rows is one row here; their sums in ranges of values give what stands before."""
+    counts = long.groupBy("f", "v").agg(*[F.sum(C("there")[b].cast("long")).alias(f"n{b}") for b in range(k)])
+    part = _written(counts.repartitionByRange("f", "v").withColumn("part", F.spark_partition_id()), "values")
+    before = Window.partitionBy("f").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = part.groupBy("f", "part").agg(*[F.sum(f"n{b}").alias(f"s{b}") for b in range(k)])
+    sums = sums.select("f", "part", *[F.coalesce(F.sum(f"s{b}").over(before), F.lit(0)).alias(f"s{b}") for b in range(k)])
+    inside = Window.partitionBy("f", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = part.select("f", "v", "part", *[(F.sum(f"n{b}").over(inside) - (C(f"n{b}") - 1) / 2).alias(f"r{b}") for b in range(k)])
+    # a row for each factor and range of values, of which there are as many as shuffle partitions and factors
+    ranks = F.array(*[(C(f"r{b}") + C(f"s{b}")).cast("double") for b in range(k)])
+    return upto.join(F.broadcast(sums), ["f", "part"]).select("f", "v", ranks.alias("r"))
 
 
 def rank_correlation(factors: DataFrame, columns: list[str], least: int = 20) -> DataFrame:
-    """(a, b, corr, n_obs): Spearman correlation of every pair of factors, pooled, with ranks over the rows that have both."""
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), C(a).cast("double").alias("x"), C(b).cast("double").alias("y")) for i, a in enumerate(columns) for b in columns[i + 1 :]])
-    long = factors.select(F.explode(pairs).alias("p")).select("p.*").where("x is not null and y is not null")
-    ranked = _global_ranks(_global_ranks(long, "x", "a", "b"), "y", "a", "b")
-    return ranked.groupBy("a", "b").agg(F.when(F.count("*") >= least, safe_corr(C("x"), C("y"))).alias("corr"), F.count("*").alias("n_obs"))
+    """(a, b, corr, n_obs): Spearman correlation of every pair of factors, pooled, with ranks over the rows that have both; no row for a pair
+    without such rows, and none at all for fewer than two factors.
+
+    The table is made long by factor, not by pair: each value gets its ranks beside every other factor at once, and a row's values meet
+    again by the row's number. All pairs are then one aggregation."""
+    k = len(columns)
+    if k < 2:
+        return factors.sparkSession.createDataFrame([], "a string, b string, corr double, n_obs long")
+    values = F.array(*[C(c).cast("double") for c in columns])
+    base = _written(factors.select(F.monotonically_increasing_id().alias("id"), values.alias("values")), "factors")
+    there = F.transform("values", lambda v: v.isNotNull())
+    long = base.select("id", there.alias("there"), F.posexplode("values").alias("f", "v")).where("v is not null")
+    ranked = long.select("id", "f", "v").join(_pair_ranks(long, k), ["f", "v"])
+    wide = ranked.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("f", "r"))).alias("m"))
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    xy = {p: (C("m")[p[0]][p[1]], C("m")[p[1]][p[0]]) for p in pairs}
+    both = wide.select(*[F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y"))).alias(f"p{i}_{j}") for (i, j), (x, y) in xy.items()])
+    stats = both.agg(*[F.struct(safe_corr(C(f"p{i}_{j}.x"), C(f"p{i}_{j}.y")).alias("corr"), F.count(f"p{i}_{j}").alias("n_obs")).alias(f"p{i}_{j}") for i, j in pairs])
+    rows = [F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), C(f"p{i}_{j}.corr").alias("corr"), C(f"p{i}_{j}.n_obs").alias("n_obs")) for i, j in pairs]
+    out = stats.select(F.inline(F.array(*rows))).where("n_obs > 0")
+    return out.withColumn("corr", F.when(C("n_obs") >= least, C("corr")))
 
 
 def basic_diagnostics(factors: DataFrame, columns: list[str], label: str | None = None, threshold: float = 0.9, method: str = "spearman") -> dict[str, DataFrame]:
@@ -154,13 +182,6 @@ def run_factor_family(panel: DataFrame, builder: Callable[[DataFrame], DataFrame
     return out.withColumn("warnings", F.concat_ws(";", zero, few, F.when(C("n_inf") > 0, "infinite values")))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """df as it stands in a folder that tasks share, so that it is computed once."""
-    at = scratch(df.sparkSession, name)
-    df.write.parquet(at)
-    return df.sparkSession.read.parquet(at)
-
-
 def constraint_impact(frame: DataFrame, n: int, label: str, freq: str = "M", cost_bps: float = 10.0, slippage_bps: float = 5.0, **constraints) -> DataFrame:
     """One row for each variant, unconstrained and constrained: total return, Sharpe ratio, mean turnover, mean IC of the weights with the
     label, mean size exposure and mean absolute weight of a group.

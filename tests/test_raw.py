@@ -217,3 +217,30 @@ def test_reports_and_fetches(spark, tmp_path):
     assert (tmp_path / "f" / "data" / "dataset_name=d" / "api_name=a" / "status=ok").is_dir()
     assert {(r.api_name, r.other) for r in data.collect()} == {("a", "1"), ("b", "2")}
     assert {(r.status, r.row_count, r.source, tuple(r.raw_columns)) for r in meta.collect()} == {(s, 1, "s", ("api_name", "status", "other")) for s in ("ok", "bad")}
+
+
+def test_rank_correlation_of_all_pairs(spark):
+    """Ties, nulls that differ between factors, a constant factor, and one that shares no row with another: as pair by pair in pandas."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(7)
+    table = pd.DataFrame({c: rng.integers(0, 12, 400).astype(float) + (i * rng.random(400) if i % 2 else 0) for i, c in enumerate("abcdef")})
+    table["b"] += table["a"]
+    for c, share in zip("abcd", (0.1, 0.3, 0.0, 0.5)):
+        table.loc[rng.random(400) < share, c] = None
+    table["g"] = 3.0
+    table["e"] = table["e"].where(table["d"].isna())
+    names = list(table.columns)
+    df = spark.createDataFrame([tuple(None if pd.isna(x) else x for x in r) for r in table.itertuples(index=False)], ", ".join(f"{c} double" for c in names))
+    got = {(r.a, r.b): (r.corr, r.n_obs) for r in research.rank_correlation(df, names).collect()}
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            both = table[[a, b]].dropna()
+            if both.empty:
+                assert (a, b) not in got
+                continue
+            want = both[a].rank().corr(both[b].rank()) if both[a].nunique() > 1 and both[b].nunique() > 1 else None
+            assert got[a, b][1] == len(both) and got[a, b][0] == (None if want is None else pytest.approx(want, abs=1e-9))
+    assert research.rank_correlation(df.limit(0), names).isEmpty() and research.rank_correlation(df, ["a"]).isEmpty()
+    assert {r.corr for r in research.rank_correlation(df.limit(10), names).collect()} == {None}
