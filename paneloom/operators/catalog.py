@@ -120,20 +120,36 @@ def field_presence(rows: DataFrame, fields: list[str], by: str = "partition") ->
     return counts.select(by, F.explode(facts).alias("x")).select(by, "x.*")
 
 
-def superseded(assets: DataFrame, plan: DataFrame) -> DataFrame:
-    """Assets that a plan row of the same api, version and kind of bucket replaces under another path; each once."""
-    keys = ["api_name", "dataset_version", "bucket_kind"]
+def _readable(assets: DataFrame) -> DataFrame:
+    return assets.where("status = 'ok'") if "status" in assets.columns else assets
+
+
+def _replaced(assets: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
+    """Assets for which the plan has another path under the same keys; each once. The least and greatest path of the keys tell it."""
     targets = plan.groupBy(*keys).agg(F.min("target_path").alias("_lo"), F.max("target_path").alias("_hi"))
     return assets.join(targets, keys).where((C("relative_path") != C("_lo")) | (C("relative_path") != C("_hi"))).select(*assets.columns)
 
 
-def active_manifest(assets: DataFrame, plan: DataFrame, merged: DataFrame) -> DataFrame:
-    """(relative_path, api_name, action): assets that stay, of which merged ones are replaced, and stable latest ones from the plan."""
-    gone = superseded(assets, plan).select("relative_path")
-    kept = assets.join(gone, "relative_path", "left_anti").join(merged.select("relative_path"), "relative_path", "left_anti")
-    kept = kept.join(plan.select(C("target_path").alias("relative_path")), "relative_path", "left_anti").select("relative_path", "api_name", F.lit("keep").alias("action"))
-    fresh = merged.join(plan.select(C("target_path").alias("relative_path")), "relative_path", "left_anti").select("relative_path", "api_name", F.lit("merge").alias("action"))
-    latest = plan.select(C("target_path").alias("relative_path"), "api_name", F.when(C("existing_path").isNotNull(), "replace_verified_latest").otherwise("copy_new_latest").alias("action"))
+def superseded(assets: DataFrame, plan: DataFrame) -> DataFrame:
+    """Assets that a plan row of the same api, version and kind of bucket replaces under another path; each once. Where assets have a
+    status, those that are not ok are left out."""
+    return _replaced(_readable(assets), plan, ["api_name", "dataset_version", "bucket_kind"])
+
+
+def active_manifest(assets: DataFrame, plan: DataFrame, merged: DataFrame, version: str | None = None) -> DataFrame:
+    """(relative_path, api_name, action): assets that stay, merged ones in place of those at their paths, and stable latest ones from the plan.
+
+    Of the assets only those count that are ok (where they have a status) and of the given dataset version. An asset goes where the plan
+    has another path for its api and kind of bucket, of whatever version. A path that is planned wins over one that is merged, and a plan
+    without an existing path, null or empty, is a new copy."""
+    own = _readable(assets) if version is None else _readable(assets).where(C("dataset_version") == version)
+    gone = _replaced(own, plan, ["api_name", "bucket_kind"]).select("relative_path")
+    planned = plan.select(C("target_path").alias("relative_path"))
+    kept = own.join(gone, "relative_path", "left_anti").join(merged.select("relative_path"), "relative_path", "left_anti")
+    kept = kept.join(planned, "relative_path", "left_anti").select("relative_path", "api_name", F.lit("keep").alias("action"))
+    fresh = merged.join(planned, "relative_path", "left_anti").select("relative_path", "api_name", F.lit("merge").alias("action"))
+    there = F.coalesce(C("existing_path"), F.lit("")) != ""
+    latest = plan.select(C("target_path").alias("relative_path"), "api_name", F.when(there, "replace_verified_latest").otherwise("copy_new_latest").alias("action"))
     return kept.unionByName(fresh).unionByName(latest)
 
 

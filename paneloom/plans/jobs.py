@@ -108,6 +108,29 @@ register("l5_active_manifest", lambda s, d: jobs.active_manifest(assets(s, d), p
          UNION ALL SELECT relative_path, api_name, 'merge' FROM merged WHERE relative_path NOT IN (SELECT target_path FROM plan) UNION ALL SELECT target_path, api_name, CASE WHEN bucket_kind <> 'P' THEN 'replace_verified_latest' ELSE 'copy_new_latest' END FROM plan""")
 
 
+def _versioned_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Files of March cannot be read, those of July are of another version; plans of the third api in four name no existing file but ''."""
+    month = F.substring_index("relative_path", "-", -1)
+    every = assets(spark, d).withColumns({
+        "dataset_version": F.when(month == "07", "v2").otherwise("v1"),
+        "status": F.when(month == "03", "unreadable").otherwise("ok"),
+    })
+    old = F.when(C("api_name").cast("int") % 4 == 3, "").otherwise(C("existing_path"))
+    planned = plan(spark, d).withColumn("existing_path", old).withColumn("dataset_version", F.lit("v0"))
+    return jobs.active_manifest(every, planned, assets(spark, d).where("rows = 20").select("relative_path", "api_name"), "v1")
+
+
+register(
+    "l5_versioned_manifest",
+    _versioned_manifest,
+    f"""WITH {TASKS}, {ASSETS} SELECT relative_path, api_name, 'keep' AS action FROM assets a
+          WHERE NOT {_SUP} AND relative_path NOT IN (SELECT relative_path FROM merged) AND relative_path NOT IN (SELECT target_path FROM plan)
+            AND relative_path NOT LIKE '%-03' AND relative_path NOT LIKE '%-07'
+        UNION ALL SELECT relative_path, api_name, 'merge' FROM merged WHERE relative_path NOT IN (SELECT target_path FROM plan)
+        UNION ALL SELECT target_path, api_name, CASE WHEN bucket_kind <> 'P' AND api_name::INTEGER % 4 <> 3 THEN 'replace_verified_latest' ELSE 'copy_new_latest' END FROM plan""",
+)
+
+
 def _months(spark: SparkSession, d: str) -> DataFrame:
     rows = tasks(spark, d).select(F.concat(C("source_family"), F.lit("/"), C("api_name"), F.lit("/"), F.year("day").cast("string")).alias("task_key"), C("day").alias("month"), "status", F.date_trunc("year", "day").cast("date").alias("first_month"))
     return rows.withColumn("last_month", F.add_months("first_month", 11))

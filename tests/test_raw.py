@@ -244,3 +244,16 @@ def test_rank_correlation_of_all_pairs(spark):
             assert got[a, b][1] == len(both) and got[a, b][0] == (None if want is None else pytest.approx(want, abs=1e-9))
     assert research.rank_correlation(df.limit(0), names).isEmpty() and research.rank_correlation(df, ["a"]).isEmpty()
     assert {r.corr for r in research.rank_correlation(df.limit(10), names).collect()} == {None}
+
+
+def test_active_manifest_by_version_and_status(spark):
+    kinds = "relative_path string, api_name string, dataset_version string, bucket_kind string, status string"
+    rows = [("a/1", "a", "v1", "window", "ok"), ("a/2", "a", "v1", "year", "ok"), ("a/3", "a", "v1", "year", "error"), ("a/4", "a", "v2", "year", "ok"), ("b/1", "b", "v1", "year", "ok"), ("c/1", "c", "v1", "year", "ok")]
+    plan = spark.createDataFrame([("a/new", "a", "v9", "window", ""), ("c/1", "c", "v1", "year", "c/1")], "target_path string, api_name string, dataset_version string, bucket_kind string, existing_path string")
+    merged = spark.createDataFrame([("b/1", "b"), ("c/1", "c")], "relative_path string, api_name string")
+    assets = spark.createDataFrame(rows, kinds)
+    got = {(r.relative_path, r.action) for r in catalog.active_manifest(assets, plan, merged, "v1").collect()}
+    assert got == {("a/2", "keep"), ("b/1", "merge"), ("a/new", "copy_new_latest"), ("c/1", "replace_verified_latest")}
+    assert catalog.superseded(assets, plan).isEmpty()
+    assert [r.relative_path for r in catalog.superseded(assets, plan.withColumn("dataset_version", F.lit("v1"))).collect()] == ["a/1"]
+    assert catalog.active_manifest(assets.limit(0), plan.limit(0), merged.limit(0), "v1").isEmpty()
