@@ -120,6 +120,45 @@ def test_quality_probabilities_by_hand(spark):
     assert list(model.theta) == sorted(model.theta)
 
 
+def test_quality_fit_is_near_the_optimum():
+    """The fitted loss against that of a plain dense fit of the same model, by gradient steps with halving, from the same data."""
+    rng = np.random.default_rng(2)
+    n, words = 240, 12
+    grade = rng.integers(0, 3, n)
+    start, feature, value = [0], [], []
+    for g in grade:
+        near = np.clip(g * 4 + rng.integers(-3, 7, 5), 0, words - 1)
+        own = np.unique(near)
+        feature += own.tolist()
+        value += [1 / np.sqrt(len(own))] * len(own)
+        start.append(len(feature))
+    model = quality.CumulativeLink.__new__(quality.CumulativeLink)
+    rows = np.repeat(np.arange(n), np.diff(start))
+    weights, theta = model._fitted(grade, rows, np.array(feature), np.array(value))
+    dense = np.zeros((n, words))
+    dense[rows, feature] = value
+    counts = np.bincount(grade)
+    weight = (n / (3 * counts))[grade] / n
+
+    def loss(params):
+        cuts = np.concatenate([[-np.inf], [params[words], params[words] + np.exp(params[words + 1])], [np.inf]])
+        score = dense @ params[:words]
+        tail = lambda edge: 1 / (1 + np.exp(-np.clip(edge - score, -40, 40)))
+        chance = np.maximum(tail(cuts[grade + 1]) - tail(cuts[grade]), 1e-9)
+        return -(weight * np.log(chance)).sum() + 1e-6 * (params[:words] ** 2).sum()
+
+    params, rate = np.zeros(words + 2), 1.0
+    here = loss(params)
+    for _ in range(1500):
+        slope = np.array([(loss(params + d) - loss(params - d)) / 2e-6 for d in np.eye(words + 2) * 1e-6])
+        while rate > 1e-9 and loss(params - rate * slope) > here:
+            rate /= 2
+        params, rate = params - rate * slope, rate * 1.5
+        here = min(here, loss(params))
+    mine = loss(np.concatenate([weights[:words], [theta[0], np.log(theta[1] - theta[0])]]))
+    assert not weights[words:].any() and mine <= here + 0.01 and here < 1.0
+
+
 def test_quality_on_held_out_labels(spark):
     """Fitted on two thirds of the given labels; on the rest it keeps the good rows and rejects the others."""
     d = "/root/testdata/sf0.1"
