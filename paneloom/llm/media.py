@@ -22,6 +22,8 @@ BLOCK, FILL = 192, b" "
 LEAST, MOST, CUT_BITS = 512, 16384, 11
 #: Up to so many digests of shared chunks are broadcast (under 64 MB), beyond it they are joined by a shuffle.
 MOST_SHARED = 1 << 20
+#: A text with this part of all rows or more is told to every task; there are at most so many.
+HOT = 1000
 RATE = 8000
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -141,7 +143,8 @@ def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A null text is an empty one: its payload is one block of filling. Equal texts are stored once and have equal values.
     feature: chunks, sum and sum of squares of samples, crossings of the middle value and largest sample, joined by colons.
-    Repeated rows and null ids each give a row; other columns are ignored. A file that does not read back as it was stored fails
+    Repeated rows and null ids each give a row; a text of any length is cut whole; an empty table gives an empty one; other
+    columns are ignored. A file that does not read back as it was stored fails
     the job.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -158,5 +161,11 @@ def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # range-free and even: a file's chunks meet by its digest, and each task sends a text once
     sorted_chunks = own.unionByName(back).repartition("file").sortWithinPartitions("file", "pos")
     media = sorted_chunks.mapInArrow(_rebuilt, "file binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.substring(F.sha2(text, 256), 1, 32)).alias("file"))
-    return keyed.join(media, "file").drop("file")
+    media = save(media, "media")
+    keyed = save(docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.substring(F.sha2(text, 256), 1, 32)).alias("file")), "keyed")
+    # a text of many rows, of which there are at most HOT, is told to every task; the others meet theirs by a shuffle
+    counts = keyed.groupBy("file").agg(F.count("*").alias("k"))
+    hot = save(counts.where(F.col("k") * HOT >= keyed.count()).select("file"), "hot")
+    many = F.broadcast(media.join(F.broadcast(hot), "file"))
+    few = keyed.join(F.broadcast(hot), "file", "left_anti").join(media, "file")
+    return keyed.join(many, "file").unionByName(few).drop("file")
