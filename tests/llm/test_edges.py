@@ -1,7 +1,5 @@
 """The learned and scheduled parts of the training-data operators against plain forms, and edge cases of the pipeline's stages."""
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -108,16 +106,6 @@ def test_media_feature_is_of_the_stored_samples(spark):
         assert r.feature == f"{len(media.cut_points(payload))}:{sum(payload)}:{sum(x * x for x in payload)}:{crossings}:{max(payload)}"
 
 
-def test_media_of_hot_and_rare_texts(spark):
-    """Texts of very many rows, and those below a thousandth, have one row each for every row, with the values of their text."""
-    texts = ["hot"] * 900 + [None] * 300 + [f"rare {i} " * 3 for i in range(1200)] + ["pair"] * 2
-    got = media.store_media(spark.createDataFrame([(None if i == 5 else i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, file string")).toPandas()
-    assert len(got) == len(texts) and got.doc_id.isna().sum() == 1
-    for i, sha, n in zip(got.doc_id, got.payload_sha256, got.n_bytes):
-        raw = (texts[5 if i != i else int(i)] or "").encode()
-        assert n == len(raw) and sha == hashlib.sha256(media.payload_of(raw)).hexdigest()
-
-
 def test_quality_probabilities_by_hand(spark):
     """Expected grade and tail probability of a fitted model from its weights and thresholds, one text at a time."""
     texts = ["calm plain prose about rivers", "SPAM!! WIN!!", "", "a b c d e f g"]
