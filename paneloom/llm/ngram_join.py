@@ -17,7 +17,9 @@ documents share, their sets have p - d1 - d2 + o shingles in common of p + e1 +
 Pairs with c1 + c2 <= (100 - pct) p link whatever they share: they are counted by rank, and an edge of each to the document of the
 least c joins them, without forming pairs. All other pairs must share differences: they are found by prefixes of the differences,
 rarest first, again with the number of matches that a document's c asks for, and are paired in blocks of bounded size, which give
-counts and a spanning forest instead of pairs. What is in no group or in different ones is joined by equal parts of the sets: a
+counts and a spanning forest instead of pairs. One of such a pair is far from the centre. Far documents that share a common
+difference, as those of a second wording do, are told once more by a second centre of their own: pairs of one second centre are
+settled there, mostly by rank, and stand in no block of the first. What is in no group or in different ones is joined by equal parts of the sets: a
 set is split by hash into one part more than a link may have differences, so that one part at least is equal.
 
 Before the sets of a candidate are fetched, small parity sketches of both are compared: every shingle flips one bit, so the
@@ -35,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import drop, save
+from .store import drop, save, scratch
 from .text import mix, shingle_sets
 
-#: A shingle held by so many documents is hot. Doubled until at most MOST_HOT shingles are, which bounds the broadcast to 8 MB.
+#: A shingle held by so many documents is hot. Counts of up to MOST_HOT shingles (16 MB) are broadcast, more are joined by a shuffle.
 HOT_DF, MOST_HOT = 32, 1 << 20
 #: Counts of shingles above this are told to the cost estimate (all others count as unshared), within the same bound.
 WARM_DF = 4
@@ -113,20 +115,32 @@ def _prefixes(pct: int, k: int):
     return run
 
 
+def _beside(nodes: DataFrame, counts: DataFrame) -> DataFrame:
+    """nodes with the counts of their prefixes, as dfs: the way beyond what can be broadcast. A list is as long as a prefix."""
+    toks = nodes.select("node", "n", F.posexplode("prefix").alias("at", "tok")).join(counts, "tok", "left")
+    told = F.array_sort(F.collect_list(F.struct("at", "tok", F.coalesce("df", F.lit(1).cast("long")).alias("df"))))
+    return toks.groupBy("node", "n").agg(told.alias("x")).select("node", "n", F.col("x.tok").alias("prefix"), F.col("x.df").alias("dfs"))
+
+
 def _keys(pct: int, known, bar: int):
     """Rows (tok, node, n, lvl, l, h): the join keys of each node. l: matches asked for, of which h can be hot. A row of level 0
-    tells that the node is hot throughout; its tok is the first hot shingle of the count, in powers of two, that most of them have."""
+    tells that the node is hot throughout; its tok is the first hot shingle of the count, in powers of two, that most of them have.
+    known: the broadcast counts, or None where they stand beside the prefixes."""
 
     def run(batches):
-        hots, dfs = known.value
+        hots, counts = known.value if known else (None, None)
         for batch in batches:
             out = [[] for _ in range(6)]
             nodes, sizes = batch.column("node").to_numpy(), batch.column("n").to_numpy()
-            for node, n, toks in zip(nodes, sizes, batch.column("prefix")):
+            beside = [None] * batch.num_rows if known else batch.column("dfs")
+            for node, n, toks, df in zip(nodes, sizes, batch.column("prefix"), beside):
                 toks = toks.values.to_numpy()
                 p0 = int(n - _need(n, pct) + 1)
-                at = np.minimum(np.searchsorted(hots, toks), len(hots) - 1)
-                df = np.where(hots[at] == toks, dfs[at], 1)
+                if known:
+                    at = np.minimum(np.searchsorted(hots, toks), len(hots) - 1)
+                    df = np.where(hots[at] == toks, counts[at], 1)
+                else:
+                    df = df.values.to_numpy()
                 is_hot = df >= bar
                 lvl = np.maximum(1, np.arange(1, len(toks) + 1) - p0 + 1)
                 most = min(int(_reach(n, pct, False)), len(toks) - p0 + 1)
@@ -341,14 +355,14 @@ def _ranked(near: DataFrame, pct: int) -> DataFrame:
 
 
 def _difference_keys(pct: int, known, warm: int):
-    """Rows (centre, tok, node, p, c, diff): the prefix of each document's difference, rarest first. Shingles that are in no other
+    """Rows (centre, tok, node, p, c, sub, diff): the prefix of each document's difference, rarest first. Shingles that are in no other
     difference of the centre are left out of both where all counts from 2 on are known."""
 
     def run(batches):
         names, dfs = known.value
         for batch in batches:
-            out = [[] for _ in range(6)]
-            for centre, node, p, c, diff in zip(*(batch.column(x).to_pylist() for x in ("centre", "node", "p", "c")), batch.column("diff")):
+            out = [[] for _ in range(7)]
+            for centre, node, p, c, sub, diff in zip(*(batch.column(x).to_pylist() for x in ("centre", "node", "p", "c", "sub")), batch.column("diff")):
                 toks = diff.values.to_numpy()
                 name = mix(toks.view(np.uint64) ^ np.uint64(centre % 2**64)).view(np.int64)
                 at = np.minimum(np.searchsorted(names, name), len(names) - 1)
@@ -358,10 +372,10 @@ def _difference_keys(pct: int, known, warm: int):
                 shared = np.flatnonzero(df[order] >= warm) if warm == 2 else np.arange(len(toks))
                 prefix = shared[shared < len(toks) - asked + 1]
                 rest = toks[order[shared]]
-                for col, v in zip(out, (centre, toks[order[prefix]], node, p, c, rest)):
+                for col, v in zip(out, (centre, toks[order[prefix]], node, p, c, sub, rest)):
                     col += v.tolist() if col is out[1] else [v] * len(prefix)
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], ["centre", "tok", "node", "p", "c", "diff"])
+            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], ["centre", "tok", "node", "p", "c", "sub", "diff"])
 
     return run
 
@@ -383,7 +397,8 @@ def _forest(link: np.ndarray, x: np.ndarray, y: np.ndarray):
 
 
 def _block_links(tok: int, rows: list, pct: int):
-    """Links of one block of holders of a difference: rows (side, node, p, c, diff)."""
+    """Links of one block of holders of a difference: rows (side, node, p, c, diff) and, where there is one, the second centre, whose
+    pairs are left out."""
     x, y = ([r for r in rows if r[0] == side] for side in (0, 1))
     if not x or not y:
         return []
@@ -399,14 +414,19 @@ def _block_links(tok: int, rows: list, pct: int):
             early[i, place[here & (np.arange(len(r[4])) < np.flatnonzero(r[4] == tok)[0])]] = 1
         every.append(full)
         before.append(early)
-    (nx, cx), (ny, cy) = ((np.array([r[1] for r in side]), np.array([r[3] for r in side])) for side in (x, y))
+    (nx, cx, sx), (ny, cy, sy) = ((np.array([r[1] for r in side]), np.array([r[3] for r in side]), np.array([r[5] if len(r) > 5 else 0 for r in side])) for side in (x, y))
     p = x[0][2]
     over = cx[:, None] + cy[None, :] - (100 - pct) * p
     far_x = 2 * cx > (100 - pct) * p  # two far ones meet twice
     link = (over > 0) & ((100 + pct) * (every[0] @ every[1].T) >= over) & (before[0] @ before[1].T == 0) & (nx[:, None] != ny[None, :])
+    link &= (sx[:, None] == 0) | (sx[:, None] != sy[None, :])
     return _forest(link & (~far_x[:, None] | (nx[:, None] < ny[None, :])), nx, ny)
 
 
+#: What names a block: the difference, and on both sides the second centre that fills blocks of its own (0: all others) and a number.
+BLOCK_KEY = ["centre", "tok", "ox", "bx", "oy", "by"]
+
+
 def _blocks(pct: int):
     """Rows (a, b, m) of blocks, each of which stands in consecutive rows."""
 
@@ -419,23 +439,50 @@ def _blocks(pct: int):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, m)], ["a", "b", "m"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("centre", "tok", "bx", "by", "side", "node", "p", "c")]
-            for *now, side, node, p, c, diff in zip(*cols, batch.column("diff")):
+            cols = [batch.column(c).to_pylist() for c in (*BLOCK_KEY, "side", "node", "p", "c", "sub")]
+            for *now, side, node, p, c, sub, diff in zip(*cols, batch.column("diff")):
                 if now != key:
                     if rows:
                         yield told()
                     key, rows = now, []
-                rows.append((side, node, p, c, diff.values.to_numpy()))
+                rows.append((side, node, p, c, diff.values.to_numpy(), sub))
         yield told()
 
     return run
 
 
-def _sharing(near: DataFrame, pct: int) -> DataFrame:
-    """(a, b, m): links of pairs of one centre that need shared differences, as counts and spanning forests of blocks."""
+def _difference_counts(near: DataFrame) -> DataFrame:
+    return near.select("centre", F.explode("diff").alias("tok")).groupBy("centre", "tok").agg(F.count("*").alias("df")).where("df > 1")
+
+
+def _block_rows(keys: DataFrame, pct: int) -> DataFrame:
+    """Difference keys, each once for every block in which its document meets others of the difference. A document that has too few
+    shared differences for even the least c of a block's other side is left out of that block."""
+    # documents of one second centre have met there: those that fill a block stand in blocks of their own, which do not meet each other
+    size = keys.groupBy("centre", "tok", "sub").agg(F.count("*").alias("m"), F.count_if("far").alias("f"), F.min("c").alias("cx"), F.min(F.when(F.col("far"), F.col("c"))).alias("cy"))
+    own = F.when(F.col("m") >= BLOCK, F.col("sub")).otherwise(0)
+    size = size.groupBy("centre", "tok", own.alias("own")).agg(F.sum("m").alias("m"), F.sum("f").alias("f"), F.min("cx").alias("cx"), F.min("cy").alias("cy"))
+    size = save(size.select("centre", "tok", "own", "m", "cx", "cy", F.ceil(F.col("m") / BLOCK).cast("int").alias("nx"), F.ceil(F.col("f") / BLOCK).cast("int").alias("ny")), "difference_sizes")
+    # two documents that are both near the centre never need shared differences: each pair has a far one as its second
+    x = size.select("centre", "tok", F.col("own").alias("ox"), "nx", "cx", "m")
+    y = size.where("ny > 0").select("centre", "tok", F.col("own").alias("oy"), "ny", "cy")
+    meets = x.join(y, ["centre", "tok"]).where("ox <> oy or ox = 0 and m > 1")
+    meets = save(meets.drop("m"), "difference_blocks")
+    fills = size.where("own <> 0").select("centre", "tok", F.col("own").alias("sub"), F.col("own"))
+    keys = keys.join(_if_small(fills), ["centre", "tok", "sub"], "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    meets = _if_small(meets)
+    able = lambda least: (100 + pct) * F.size("diff") >= F.col("c") + F.col(least) - (100 - pct) * F.col("p")
+    first = keys.withColumnRenamed("own", "ox").join(meets, ["centre", "tok", "ox"]).where(able("cy")).withColumn("bx", deal("nx")).withColumn("by", each("ny")).withColumn("side", F.lit(0))
+    second = keys.where("far").withColumnRenamed("own", "oy").join(meets, ["centre", "tok", "oy"]).where(able("cx")).withColumn("by", deal("ny")).withColumn("bx", each("nx")).withColumn("side", F.lit(1))
+    return first.unionByName(second).select(*BLOCK_KEY, "side", "node", "p", "c", "sub", "diff")
+
+
+def _sharing(near: DataFrame, counts: DataFrame, pct: int) -> DataFrame:
+    """(a, b, m): links of pairs of one centre, but of no second one, that need shared differences, as counts and spanning forests of
+    blocks."""
     spark = near.sparkSession
-    counts = near.select("centre", F.explode("diff").alias("tok")).groupBy("centre", "tok").agg(F.count("*").alias("df")).where("df > 1")
-    counts = save(counts, "difference_counts")
     warm = 2
     while (told := counts.where(F.col("df") >= warm)).count() > MOST_HOT:
         warm *= 2
@@ -443,21 +490,11 @@ def _sharing(near: DataFrame, pct: int) -> DataFrame:
     name = mix(told.column("tok").to_numpy().view(np.uint64) ^ told.column("centre").to_numpy().view(np.uint64)).view(np.int64)
     order = np.argsort(name)
     known = [name[order], told.column("df").to_numpy()[order]] if len(told) else [np.zeros(1, np.int64), np.zeros(1, np.int64)]
-    keys = near.mapInArrow(_difference_keys(pct, spark.sparkContext.broadcast(known), warm), "centre long, tok long, node long, p long, c long, diff array<long>")
-    keys = save(keys.withColumn("far", 2 * F.col("c") > (100 - pct) * F.col("p")), "difference_keys")
-    # two documents that are both near the centre never need shared differences: each pair has a far one as its second
-    size = keys.groupBy("centre", "tok").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nx"), F.ceil(F.count_if("far") / BLOCK).cast("int").alias("ny"), F.count("*").alias("n"))
-    size = save(size.where("ny > 0 and n > 1").drop("n"), "difference_sizes")
-    keys = keys.join(_if_small(size), ["centre", "tok"])
-    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    x = keys.withColumn("bx", deal("nx")).withColumn("by", each("ny")).withColumn("side", F.lit(0))
-    y = keys.where("far").withColumn("by", deal("ny")).withColumn("bx", each("nx")).withColumn("side", F.lit(1))
-    both = x.unionByName(y).select("centre", "tok", "bx", "by", "side", "node", "p", "c", "diff")
-    block = ["centre", "tok", "bx", "by"]
-    found = both.repartition(*block).sortWithinPartitions(*block).mapInArrow(_blocks(pct), "a long, b long, m long")
+    keys = near.mapInArrow(_difference_keys(pct, spark.sparkContext.broadcast(known), warm), "centre long, tok long, node long, p long, c long, sub long, diff array<long>")
+    keys = save(keys.withColumn("far", _far(pct)), "difference_keys")
+    found = _block_rows(keys, pct).repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).mapInArrow(_blocks(pct), "a long, b long, m long")
     found = save(found, "sharing")
-    drop(counts)
+    drop(keys)
     return found
 
 
@@ -478,23 +515,50 @@ def _part_pairs(parts: DataFrame, sketches: DataFrame, pct: int) -> DataFrame:
     return x.join(y, ["tok", "bx", "by"]).where(allowed & _alike(pct, "nx", "ny")).select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()
 
 
+def _far(pct: int):
+    """So far from the centre that no other far document links by rank."""
+    return 2 * F.col("c") > (100 - pct) * F.col("p")
+
+
+def _told(longs: DataFrame, pct: int) -> DataFrame:
+    """Documents (node, n, toks, grp) by their differences from their group's centre: (node, n, centre, p, c, diff)."""
+    centres = save(_centres(longs), "centres")
+    salts = _if_small(save(centres.select("grp", "salts"), "salts"))
+    salted = longs.join(salts, "grp", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    centres = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    told = salted.join(centres, ["grp", "salt"], "left").select("node", "n", "toks", "centre", "centre_set")
+    return save(told.mapInArrow(_differences(pct), "node long, n long, centre long, p long, c long, diff array<long>"), "differences", ROWS)
+
+
+def _second(near: DataFrame, counts: DataFrame, longs: DataFrame, pct: int) -> DataFrame:
+    """(sub, node, p, c, diff): far documents by a second centre, of those that share the difference that most documents have."""
+    held = near.where(_far(pct)).select("centre", "node", F.explode("diff").alias("tok")).join(_if_small(counts), ["centre", "tok"])
+    most = F.max_by("tok", F.struct(F.floor(F.log2("df")), F.xxhash64("tok")))
+    far = held.groupBy("centre", "node").agg(most.alias("tok")).select("centre", "node", F.xxhash64("centre", "tok").alias("grp"))
+    far = save(far, "far")
+    again = _told(longs.drop("grp").join(_if_small(far.drop("centre")), "node"), pct).where("centre is not null").withColumnRenamed("centre", "own")
+    return again.join(_if_small(far), "node").select(F.xxhash64("centre", "own").alias("sub"), "node", "p", "c", "diff")
+
+
 def _dense_links(dense: DataFrame, texts: _Texts, sketches: DataFrame, pct: int) -> tuple[DataFrame, DataFrame]:
     """Of documents that are hot throughout (node, n, grp): pairs (a, b) to be verified, and links told as (a, b, m)."""
     sets = texts.of(dense.select("node"))
     longs = sets.mapInArrow(_as_longs, "node long, toks array<long>")
     longs = save(longs.join(dense, "node"), "dense_sets", ROWS)
-    centres = save(_centres(longs), "centres")
-    salted = longs.join(_if_small(save(centres.select("grp", "salts"), "salts")), "grp", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
-    centres = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    told = salted.join(centres, ["grp", "salt"], "left").select("node", "n", "toks", "centre", "centre_set")
-    told = save(told.mapInArrow(_differences(pct), "node long, n long, centre long, p long, c long, diff array<long>"), "differences", ROWS)
+    told = _told(longs, pct)
     near = told.where("centre is not null").select("centre", "node", "p", "c", "diff")
-    found = _ranked(near, pct).unionByName(_sharing(near, pct))
+    counts = save(_difference_counts(near), "difference_counts")
+    second = save(_second(near, counts, longs, pct), "second", ROWS)
+    split = near.join(_if_small(second.select("node", "sub")), "node", "left").withColumn("sub", F.coalesce("sub", F.lit(0).cast("long")))
+    found = _ranked(near, pct).unionByName(_sharing(split, counts, pct))
+    inner = second.withColumnRenamed("sub", "centre")
+    inner_counts = save(_difference_counts(inner), "difference_counts")
+    found = found.unionByName(_ranked(inner, pct)).unionByName(_sharing(inner.withColumn("sub", F.lit(0).cast("long")), inner_counts, pct))
     parts = longs.select("node", F.col("toks")).mapInArrow(_parts(pct), "tok long, node long, n long, part_class long, own_class long")
     parts = save(parts.join(told.select("node", "centre"), "node"), "parts")
     pairs = save(_part_pairs(parts, sketches, pct), "part_pairs")
     found = save(found, "told")
-    drop(longs, parts, told)
+    drop(longs, parts, told, second, counts, inner_counts)
     return pairs, found
 
 
@@ -505,8 +569,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     that is reachable by links; n_links counts the different sets that the row's set links to (0: none). Null or blank texts have
     no shingles and link with nothing: component_id is their own id. Repeated rows and equal texts are one node and keep a row
     each. A null id never names a component unless all its ids are null. A very long text is a longer set and nothing else. Other
-    columns are ignored, whatever their names. An empty table gives an empty result.
+    columns are ignored, whatever their names. An empty table gives an empty result. The result is a saved table; the tables in between
+    are deleted.
     """
+    with scratch() as tables:
+        return tables.keep(save(_near_duplicates(docs, k, pct, id_col, text_col), "near_duplicates"))
+
+
+def _near_duplicates(docs: DataFrame, k: int, pct: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     full = save(docs.mapInArrow(_prefixes(pct, k), "doc_id long, n long, node long, prefix array<long>, sketch array<long>"), "shingled", ROWS)
@@ -520,14 +590,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, pct: int = 80, id_col: str = "d
     sketches = nodes.select("node", "n", "sketch")
 
     counts = save(nodes.select(F.explode("prefix").alias("tok")).groupBy("tok").agg(F.count("*").alias("df")).where(F.col("df") >= WARM_DF), "df")
-    warm, bar = WARM_DF, HOT_DF
-    while (told := counts.where(F.col("df") >= warm)).count() > MOST_HOT:
+    warm = WARM_DF
+    while (told := counts.where(F.col("df") >= warm)).count() > MOST_HOT and warm < HOT_DF:
         warm *= 2
-    bar = max(bar, warm)
-    told = told.orderBy("tok").toArrow()
-    known = [told.column(c).to_numpy() for c in ("tok", "df")] if len(told) else [np.zeros(1, np.int64), np.zeros(1, np.int64)]
-    keyed = nodes.select("node", "n", "prefix").mapInArrow(_keys(pct, spark.sparkContext.broadcast(known), bar), "tok long, node long, n int, lvl int, l int, h int")
-    # a cheap shingle has fewer than `bar` holders: its bucket is one small row
+    plain, known = nodes.select("node", "n", "prefix"), None
+    if told.count() > MOST_HOT:
+        plain = _beside(plain, counts)
+    else:
+        told = told.orderBy("tok").toArrow()
+        known = spark.sparkContext.broadcast([told.column(c).to_numpy() for c in ("tok", "df")] if len(told) else [np.zeros(1, np.int64), np.zeros(1, np.int64)])
+    keyed = plain.mapInArrow(_keys(pct, known, HOT_DF), "tok long, node long, n int, lvl int, l int, h int")
+    # a cheap shingle has fewer than HOT_DF holders: its bucket is one small row
     held = keyed.where("lvl > 0").repartition("tok").groupBy("tok").agg(F.array_sort(F.collect_list(F.struct("node", "n", "lvl", "l", "h"))).alias("held"))
     cheap = save(held.where("size(held) > 1").select("held"), "buckets")
     texts = _Texts(docs, rows, k)

@@ -1,0 +1,81 @@
+"""The n-gram join on hot groups: second centres, counts that are not broadcast, and the tables it leaves."""
+
+import glob
+
+import numpy as np
+import pytest
+
+from paneloom.llm import ngram_join, store
+
+
+def wordings(n, seed=4):
+    """n near copies: three in five of one wording, the others of a second one that keeps most of its words; each has an edit of its own."""
+    rng = np.random.default_rng(seed)
+    first = [f"w{i}" for i in range(150)]
+    second = [f"v{i}" if i % 10 == 0 and i < 80 else w for i, w in enumerate(first)]
+    texts = []
+    for i in range(n):
+        words = list(first if i % 5 < 3 else second)
+        words[90 + int(rng.integers(0, 60))] = f"x{i}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def plain(texts, k, pct):
+    """(component, links with different sets) of each text."""
+    sets = [frozenset(tuple(t.split()[i : i + k]) for i in range(len(t.split()) - k + 1)) for t in texts]
+    linked = np.array([[x != y and 100 * len(x & y) >= pct * len(x | y) for y in sets] for x in sets])
+    comp = np.arange(len(texts))
+    while True:
+        new = np.minimum(comp, np.where(linked, comp[None, :], len(texts)).min(1))
+        if (new == comp).all():
+            break
+        comp = new
+    different = [i for i, s in enumerate(sets) if sets.index(s) == i]
+    return comp.tolist(), linked[:, different].sum(1).tolist()
+
+
+def told(df):
+    rows = sorted(df.collect())
+    return [r.component_id for r in rows], [r.n_links for r in rows]
+
+
+def test_two_wordings_that_fill_many_blocks(spark, monkeypatch):
+    """Blocks far smaller than the second wording's documents: components and links stay exact."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    texts = wordings(160)
+    assert told(ngram_join.near_duplicates(frame(spark, texts), 3, 90)) == plain(texts, 3, 90)
+
+
+@pytest.mark.parametrize("block", [4])
+def test_second_centres_lose_no_link(spark, monkeypatch, block):
+    """Three wordings around one centre at different distances, with up to six edits: links across and within second centres."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = np.random.default_rng(7)
+    first = [f"w{i}" for i in range(140)]
+    texts = []
+    for j, m in enumerate((70, 40, 40)):
+        root = [f"v{j}_{i}" if j and 20 * j <= i < 20 * j + 3 * j else w for i, w in enumerate(first)]
+        for i in range(m):
+            words = list(root)
+            for at in rng.choice(140, rng.integers(0, 7), replace=False):
+                words[at] = "same" if rng.random() < 0.5 else f"x{j}_{i}"
+            texts.append(" ".join(words))
+    assert told(ngram_join.near_duplicates(frame(spark, texts), 3, 80)) == plain(texts, 3, 80)
+
+
+def test_counts_beside_prefixes_give_the_same(spark, monkeypatch):
+    """More hot shingles than are broadcast: the bar stays, and counts come by a shuffle."""
+    texts = wordings(90) + [f"lone text number {i} of many words that few others have {i * 7}" for i in range(30)]
+    monkeypatch.setattr(ngram_join, "MOST_HOT", 5)
+    assert told(ngram_join.near_duplicates(frame(spark, texts), 3, 90)) == plain(texts, 3, 90)
+
+
+def test_only_the_result_is_left(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "shared_dir", lambda _: f"file://{tmp_path}")
+    out = ngram_join.near_duplicates(frame(spark, wordings(60)), 3, 90)
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in glob.glob(f"{tmp_path}/*")] == ["near_duplicates"] and out.count() == 60
