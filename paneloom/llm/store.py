@@ -4,40 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
-from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_TABLES: ContextVar = ContextVar("tables", default=None)
-
-
-class _Tables(list):
-    """Saved tables that nothing outside needs."""
-
-    def __init__(self, outer: list | None):
-        super().__init__()
-        self.outer = outer
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        self[:] = [t for t in self if t is not df]
-        if self.outer is not None:
-            self.outer.append(df)
-        return df
-
-
-@contextmanager
-def scratch():
-    """Tables that are saved within are deleted at the end, failed or not, but for those that are kept."""
-    tables = _Tables(_TABLES.get())
-    token = _TABLES.set(tables)
-    try:
-        yield tables
-    finally:
-        _TABLES.reset(token)
-        drop(*tables)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -67,8 +38,6 @@ def save(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
         spark.conf.set(BATCH, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
-    if (tables := _TABLES.get()) is not None:
-        tables.append(out)
     return out
 
 
