@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.expr import avg_rank, by_asset, qcut_first, safe_corr
+from ..core.scratch import written
 
 C = F.col
 
@@ -93,9 +94,43 @@ def coverage(factors: DataFrame, columns: list[str]) -> DataFrame:
     return long.groupBy("factor").agg(F.count("*").alias("n_total"), F.count("value").alias("n_non_null"), (F.count("value") / F.count("*")).alias("coverage"), F.countDistinct(F.when(has, C("date"))).alias("n_dates"), F.countDistinct(F.when(has, C("asset"))).alias("n_assets"))
 
 
+def left_on(left: DataFrame, right: DataFrame, by: tuple[str, ...], how: str = "left") -> DataFrame:
+    """Join in which null keys are equal; the keys are those of the left side."""
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & C(c).eqNullSafe(C(f"_r_{c}"))
+    return left.join(right, same, how).drop(*[f"_r_{c}" for c in by])
+
+
+def exact_percentiles(long: DataFrame, by: tuple[str, ...], value: str, qs: dict[str, float]) -> DataFrame:
+    """(by..., a column for each of qs): interpolated percentiles of each group, exact; a group without values has no row.
+
+    Values are counted and dealt by ranges, so that no task holds a group: sums of the ranges tell which of them hold a wanted place, and
+    only these are sorted."""
+    counts = long.where(C(value).isNotNull()).groupBy(*by, C(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    part = written(counts.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()), "values")
+    up = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    sums = part.groupBy(*by, "_part").agg(F.sum("_n").alias("_s"))
+    sums = sums.select(*by, "_part", (F.sum("_s").over(up) - C("_s")).alias("_before"), F.sum("_s").over(up).alias("_end"), F.sum("_s").over(Window.partitionBy(*by)).alias("_all"))
+    at = {c: F.lit(q) * (C("_all") - 1) for c, q in qs.items()}
+    places = [f(h) for h in at.values() for f in (F.floor, F.ceil)]
+    sums = sums.where(F.exists(F.array(*places), lambda k: (k >= C("_before")) & (k < C("_end"))))
+    upto = C("_before") + F.sum("_n").over(Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    # a row for each group and range of values, of which there are as many as shuffle partitions and groups
+    placed = left_on(part, F.broadcast(sums), (*by, "_part"), "inner").select(*by, "_v", "_all", "_n", upto.alias("_upto"))
+    here = lambda k: F.max(F.when((k >= C("_upto") - C("_n")) & (k < C("_upto")), C("_v")))
+    ends = placed.groupBy(*by, "_all").agg(*[here(f(h)).alias(f"{c}_{n}") for c, h in at.items() for n, f in (("lo", F.floor), ("hi", F.ceil))])
+    mix = {c: F.when(F.floor(h) == F.ceil(h), C(f"{c}_lo")).otherwise((F.ceil(h) - h) * C(f"{c}_lo") + (h - F.floor(h)) * C(f"{c}_hi")) for c, h in at.items()}
+    return ends.select(*by, *[x.alias(c) for c, x in mix.items()])
+
+
 def distribution(factors: DataFrame, columns: list[str]) -> DataFrame:
-    p = lambda q: F.percentile("value", F.lit(q))
-    return long_form(factors, columns).groupBy("factor").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), *[p(q / 100).alias(f"p{q:02d}") for q in (1, 5, 25, 50, 75, 95, 99)], F.max("value").alias("max"))
+    """(factor, mean, std, min, p01..p99, max), with exact percentiles."""
+    long = long_form(written(factors.select(*columns), "factors"), columns, ())
+    qs = {f"p{q:02d}": q / 100 for q in (1, 5, 25, 50, 75, 95, 99)}
+    moments = long.groupBy("factor").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    return left_on(moments, exact_percentiles(long, ("factor",), "value", qs), ("factor",)).select("factor", "mean", "std", "min", *qs, "max")
 
 
 def conditioned_ic(frame: DataFrame, bucket: str, signal: str, label: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core.expr import qcut_first, require, safe_corr
-from ..core.scratch import scratch
+from ..core.scratch import written
 from . import checks, diagnostics, portfolio, signals, universe
 
 C = F.col
@@ -47,19 +47,12 @@ def global_quantile_spread(returns: DataFrame) -> DataFrame:
     return returns.join(F.broadcast(ends)).groupBy("date").agg((at("_hi") - at("_lo")).alias("spread"))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """df as it stands in a folder that tasks share, so that it is computed once."""
-    at = scratch(df.sparkSession, name)
-    df.write.parquet(at)
-    return df.sparkSession.read.parquet(at)
-
-
 def _pair_ranks(long: DataFrame, k: int) -> DataFrame:
     """(f, v, r) of every different value v of a factor f: r[b] is its average rank among the rows that also have factor b.
 
     Values are counted first, so a value of very many rows is one row here; their sums in ranges of values give what stands before."""
     counts = long.groupBy("f", "v").agg(*[F.sum(C("there")[b].cast("long")).alias(f"n{b}") for b in range(k)])
-    part = _written(counts.repartitionByRange("f", "v").withColumn("part", F.spark_partition_id()), "values")
+    part = written(counts.repartitionByRange("f", "v").withColumn("part", F.spark_partition_id()), "values")
     before = Window.partitionBy("f").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = part.groupBy("f", "part").agg(*[F.sum(f"n{b}").alias(f"s{b}") for b in range(k)])
     sums = sums.select("f", "part", *[F.coalesce(F.sum(f"s{b}").over(before), F.lit(0)).alias(f"s{b}") for b in range(k)])
@@ -80,7 +73,7 @@ def rank_correlation(factors: DataFrame, columns: list[str], least: int = 20) ->
     if k < 2:
         return factors.sparkSession.createDataFrame([], "a string, b string, corr double, n_obs long")
     values = F.array(*[C(c).cast("double") for c in columns])
-    base = _written(factors.select(F.monotonically_increasing_id().alias("id"), values.alias("values")), "factors")
+    base = written(factors.select(F.monotonically_increasing_id().alias("id"), values.alias("values")), "factors")
     there = F.transform("values", lambda v: v.isNotNull())
     long = base.select("id", there.alias("there"), F.posexplode("values").alias("f", "v")).where("v is not null")
     ranked = long.select("id", "f", "v").join(_pair_ranks(long, k), ["f", "v"])
@@ -188,11 +181,11 @@ def constraint_impact(frame: DataFrame, n: int, label: str, freq: str = "M", cos
 
     The frame and each variant's weights are written once: the weights of rebalance dates are among those of all dates, as each date is
     weighed by itself."""
-    frame = _written(frame, "impact")
+    frame = written(frame, "impact")
     ends = F.broadcast(portfolio.rebalance_dates(frame.where("signal is not null"), freq))
     out = None
     for name, limits in (("unconstrained", {}), ("constrained", constraints)):
-        weights = _written(portfolio.build_top_n(frame, n, **limits), name)
+        weights = written(portfolio.build_top_n(frame, n, **limits), name)
         marked = weights.join(ends, "date", "left_semi")
         daily = portfolio.held_backtest(marked, frame.select(*KEYS, "ret_1d"), frame.where("signal is not null"), cost_bps, slippage_bps)
         result = portfolio.performance(daily, "net").select("total_return", "sharpe").join(F.broadcast(daily.agg(F.avg("turnover").alias("turnover"))))
