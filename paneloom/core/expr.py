@@ -40,19 +40,19 @@ def ieee_div(a: Column, b: Column) -> Column:
 
 
 def avg_rank(x: Column, *part: str, pct: bool = False) -> Column:
-    """Rank with ties averaged, over present values."""
-    rank = F.rank().over(Window.partitionBy(*part).orderBy(x.asc_nulls_last()))
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*part, x))
-    out = rank + (ties - 1) / 2
+    """Rank with ties averaged, over present values: the mean of a value's first and last place, both from one sort."""
+    w = Window.partitionBy(*part).orderBy(x.asc_nulls_last())
+    out = (F.rank().over(w) + F.count(x).over(w)) / 2
     if pct:
-        out = out / F.count(x).over(Window.partitionBy(*part))
+        out = out / F.count(x).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return F.when(x.isNotNull(), out)
 
 
 def qcut_first(x: Column, q: int, *part: str, least: int = 2) -> Column:
     """Quantile bucket 1..q of ranks without ties (by value, then asset), exact in integers; NULL for fewer than `least` values."""
-    n = F.count(x).over(Window.partitionBy(*part))
-    r = F.row_number().over(Window.partitionBy(*part).orderBy(x.asc_nulls_last(), "asset"))
+    w = Window.partitionBy(*part).orderBy(x.asc_nulls_last(), "asset")
+    n = F.count(x).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))  # in the order of the places, so that one sort does
+    r = F.row_number().over(w)
     bucket = F.greatest(F.lit(1), F.ceil(F.try_divide((r - 1) * q, n - 1)))
     return F.when(x.isNotNull() & (n >= max(2, least)), bucket.cast("int"))
 

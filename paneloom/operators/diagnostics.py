@@ -11,20 +11,27 @@ from ..core.scratch import written
 C = F.col
 
 
+def _paired(frame: DataFrame, signal: str, label: str, keys: tuple[str, ...]) -> DataFrame:
+    both = C(signal).isNotNull() & C(label).isNotNull()
+    return frame.select(*keys, F.when(both, C(signal)).alias("x"), F.when(both, C(label)).alias("y"))
+
+
 def daily_ic(frame: DataFrame, signal: str, label: str, method: str = "pearson", by: tuple[str, ...] = ("date",), least: int = 2) -> DataFrame:
     """(by..., ic, n): correlation of signal and label within each group, over complete pairs; every group keeps its row."""
-    both = C(signal).isNotNull() & C(label).isNotNull()
-    pairs = frame.select(*by, F.when(both, C(signal)).alias("x"), F.when(both, C(label)).alias("y"))
+    pairs = _paired(frame, signal, label, by)
     if method == "spearman":
-        pairs = pairs.select(*by, avg_rank(C("x"), *by).alias("x"), avg_rank(C("y"), *by).alias("y"))
+        # one after the other, so that the second sort carries no value of the first
+        pairs = pairs.select(*by, avg_rank(C("x"), *by).alias("x"), "y").select(*by, "x", avg_rank(C("y"), *by).alias("y"))
     return pairs.groupBy(*by).agg(F.when(F.count("x") >= least, safe_corr(C("x"), C("y"))).alias("ic"), F.count("x").alias("n"))
 
 
-def summarize_ic(ic: DataFrame, *by: str) -> DataFrame:
+def summarize_ic(ic: DataFrame, *by: str, **more: Column) -> DataFrame:
+    """Figures of the groups' correlations, and more aggregates by name."""
     mean, sd, n = F.avg("ic"), F.stddev_samp("ic"), F.count("ic")
     return ic.groupBy(*by).agg(
         mean.alias("mean_ic"), F.median("ic").alias("median_ic"), sd.alias("std_ic"), F.try_divide(mean, sd).alias("icir"),
         F.try_divide(mean, sd / F.sqrt(n)).alias("t_stat"), F.avg(F.when(C("ic").isNotNull(), (F.round("ic", 12) > 0).cast("double"))).alias("positive_rate"), n.alias("n_dates"),
+        *[c.alias(k) for k, c in more.items()],
     )
 
 
@@ -70,10 +77,12 @@ def edge_quantile_returns(frame: DataFrame, signal: str, label: str, q: int = 5)
 
 
 def decay(frame: DataFrame, signal: str, labels: list[str]) -> DataFrame:
-    """(horizon, mean_ic, mean_rank_ic, n_dates) for several labels."""
-    long = long_form(frame, labels, ("date", "asset", signal), "horizon")
-    ics = [daily_ic(long, signal, "value", m, ("horizon", "date")).groupBy("horizon").agg(F.avg("ic").alias(n), F.count("ic").alias("n_dates")) for m, n in (("pearson", "mean_ic"), ("spearman", "mean_rank_ic"))]
-    return ics[0].join(ics[1].drop("n_dates"), "horizon").select("horizon", "mean_ic", "mean_rank_ic", "n_dates")
+    """(horizon, mean_ic, mean_rank_ic, n_dates) for several labels: values and their ranks in one pass over the long form."""
+    by = ("horizon", "date")
+    pairs = _paired(long_form(frame, labels, ("date", signal), "horizon"), signal, "value", by)
+    pairs = pairs.select(*by, "x", "y", avg_rank(C("x"), *by).alias("rx")).select("*", avg_rank(C("y"), *by).alias("ry"))
+    daily = pairs.groupBy(*by).agg(*[F.when(F.count("x") >= 2, safe_corr(C(a), C(b))).alias(c) for a, b, c in (("x", "y", "ic"), ("rx", "ry", "rank_ic"))])
+    return daily.groupBy("horizon").agg(F.avg("ic").alias("mean_ic"), F.avg("rank_ic").alias("mean_rank_ic"), F.count("ic").alias("n_dates"))
 
 
 def factor_correlation(factors: DataFrame, columns: list[str], least: int = 20) -> DataFrame:
@@ -136,8 +145,7 @@ def distribution(factors: DataFrame, columns: list[str]) -> DataFrame:
 def conditioned_ic(frame: DataFrame, bucket: str, signal: str, label: str) -> DataFrame:
     """Rank correlation inside each bucket, summarised for each bucket."""
     daily = daily_ic(frame.where(C(bucket).isNotNull()), signal, label, "spearman", ("date", bucket))
-    sizes = daily.groupBy(bucket).agg(F.avg("n").alias("avg_n_assets"))
-    return summarize_ic(daily, bucket).join(sizes, bucket)
+    return summarize_ic(daily, bucket, avg_n_assets=F.avg("n"))
 
 
 def autocorrelation(frame: DataFrame, signal: str, lag: int = 1) -> DataFrame:

@@ -113,21 +113,25 @@ def exposure_summary(frame: DataFrame, signal: str, columns: list[str], cap: str
     return each.groupBy("kind", "name").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count("v").alias("n_days"))
 
 
-def _spreads(long: DataFrame, q: int, *by: str) -> DataFrame:
-    """(by..., quantile_spread, top_minus_bottom): mean over dates of the top quantile's return less that of all and of the bottom one."""
-    placed = long.withColumn("quantile", qcut_first(C("value"), q, *by, "date", least=q)).where("quantile is not null")
-    means = placed.groupBy(*by, "date", "quantile").agg(F.avg("label").alias("mean_ret"))
-    at = lambda k: F.max(F.when(C("quantile") == k, C("mean_ret")))
-    daily = means.groupBy(*by, "date").agg((at(q) - at(1)).alias("s"), (at(q) - F.avg("mean_ret")).alias("t"))
-    return daily.groupBy(*by).agg(F.avg("t").alias("quantile_spread"), F.avg("s").alias("top_minus_bottom"))
+def _quality(long: DataFrame, q: int, *by: str) -> DataFrame:
+    """A row for each by: rank IC summary, mean names a date, and the mean over dates of the top quantile's return less that of all
+    (quantile_spread) and of the bottom one (top_minus_bottom), from the long form (by, date, asset, value, label) of complete pairs.
+    All of it from one dealing by date: quantiles and ranks of the value share one sort."""
+    p = (*by, "date")
+    placed = long.select(*p, "value", "label", qcut_first(C("value"), q, *p, least=q).alias("quantile"))
+    ranked = placed.select(*p, "label", "quantile", diagnostics.avg_rank(C("value"), *p).alias("x")).select("*", diagnostics.avg_rank(C("label"), *p).alias("y"))
+    daily = ranked.groupBy(*p).agg(safe_corr(C("x"), C("y")).alias("ic"), F.count("x").alias("n"), *[F.avg(F.when(C("quantile") == k, C("label"))).alias(f"m{k}") for k in range(1, q + 1)])
+    held = F.filter(F.array(*[C(f"m{k}") for k in range(1, q + 1)]), lambda m: m.isNotNull())
+    mean = F.try_divide(F.aggregate(held, F.lit(0.0), lambda a, m: a + m), F.size(held))
+    out = diagnostics.summarize_ic(daily, *by, avg_assets=F.avg("n"), quantile_spread=F.avg(C(f"m{q}") - mean), top_minus_bottom=F.avg(C(f"m{q}") - C("m1")), _placed=F.count(mean))
+    return out.where("_placed > 0").drop("_placed")
 
 
 def signal_quality(features: DataFrame, signal: str, labels: list[str], q: int = 5) -> DataFrame:
     """One row a horizon: rank IC summary and quantile spreads of a signal, over rows that have the signal and all labels."""
     rows, _ = aligned(features, signal, labels)
     long = rows.unpivot([*KEYS, "signal"], labels, "horizon", "label").withColumnRenamed("signal", "value")
-    ic = diagnostics.summarize_ic(diagnostics.daily_ic(long, "value", "label", "spearman", ("horizon", "date")), "horizon")
-    return ic.join(_spreads(long, q, "horizon"), "horizon")
+    return _quality(long, q, "horizon").drop("avg_assets")
 
 
 def candidate_suite(features: DataFrame, candidates: dict[str, tuple[str, int]], horizons: list[str], q: int = 5, least_dates: int = 20, least_assets: int = 20) -> DataFrame:
@@ -137,9 +141,7 @@ def candidate_suite(features: DataFrame, candidates: dict[str, tuple[str, int]],
     labels = [h for h in horizons if h in features.columns]
     wide = features.select(*KEYS, *labels, *[(C(c) * sign).cast("double").alias(n) for n, (c, sign) in have.items()])
     long = wide.unpivot([*KEYS, *labels], list(have), "signal_name", "value").unpivot([*KEYS, "signal_name", "value"], labels, "horizon", "label").where("value is not null and label is not null")
-    by = ("signal_name", "horizon")
-    daily = diagnostics.daily_ic(long, "value", "label", "spearman", (*by, "date"))
-    out = diagnostics.summarize_ic(daily, *by).join(daily.groupBy(*by).agg(F.avg("n").alias("avg_assets")), list(by)).join(_spreads(long, q, *by), list(by))
+    out = _quality(long, q, "signal_name", "horizon")
     few = F.when(C("n_dates") < least_dates, "small sample size")
     thin = F.when(C("avg_assets") < least_assets, "insufficient cross-sectional assets")
     return out.withColumn("warnings", F.concat_ws(";", few, thin))

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom.operators import diagnostics, rebalance
+from paneloom.core import expr
+from paneloom.operators import diagnostics, grids, rebalance
+from paneloom.operators import research as run
 from paneloom.plans import lakehouse, raw, research  # noqa: F401  they add to the registry
 from paneloom.plans.registry import ORACLE_SQL, QUERIES
 
@@ -61,3 +63,36 @@ def test_actions_of_customers_beyond_six_digits_stay_apart(spark, tmp_path):
     orders = [(i, k, D[i % 3], 100.0 + i) for i, k in enumerate([5, 99999, 100000, 399999, 400000, 400001, 400009, 899999, 5], 1)]
     got, want = against_sql(spark, tmp_path, "n7_corporate_actions", {"orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date, o_totalprice double")})
     assert got == want and len(got) == len(orders)
+
+
+def test_ranks_take_one_sort_and_suites_one_dealing(spark):
+    frame = spark.createDataFrame([(D[i % 2], f"a{i}", v, float(i % 7), float(-i)) for i, v in enumerate([3.0, None, -0.0, 0.0, 3.0, 1.0, 3.0, 2.0, None, 5.0, 1.0, 4.0])], "date date, asset string, v double, l1 double, l2 double")
+    ranked = frame.select("date", "v", expr.avg_rank(F.col("v"), "date").alias("r"))
+    assert plan(ranked).count("Sort [") == 1
+    for d in D[:2]:
+        here = [(r.v, r.r) for r in ranked.where(F.col("date") == d).collect()]
+        there = [v for v, _ in here if v is not None]
+        assert all(r is None if v is None else r == sum(x < v for x in there) + (sum(x == v for x in there) + 1) / 2 for v, r in here)
+    assert plan(diagnostics.daily_ic(frame, "v", "l1", "spearman")).count("Sort [") == 2
+    suite = plan(run.candidate_suite(frame, {"s": ("v", 1), "t": ("v", -1)}, ["l1", "l2"], q=2))
+    assert suite.count("hashpartitioning(signal_name") == 2 and suite.count("Sort [") == 2  # by date, then the summary
+    assert plan(diagnostics.decay(frame, "v", ["l1", "l2"])).count("hashpartitioning(horizon") == 2
+
+
+def test_returns_after_trades_take_a_running_frame(spark):
+    rets = spark.createDataFrame([(D[i], "a", 0.01 * i) for i in range(0, 12, 2)] + [(D[3], "b", None)], "date date, asset string, ret_1d double")
+    trades = spark.createDataFrame([(D[i], a, k) for i, a, k in ((0, "a", "buy"), (1, "a", "buy"), (4, "a", None), (11, "a", "buy"), (0, "b", "sell"), (3, "b", "sell"))], "date date, asset string, action string")
+    got = rebalance.trade_forward_returns(trades, rets, (1,))
+    assert "unboundedfollowing" not in plan(rebalance._next_returns(trades, rets, (1,))).lower()
+    assert {r.action: (r.n, round(r.median_ret, 9)) for r in got.collect()} == {"buy": (2, 0.02), None: (1, 0.06), "sell": (1, 0.0)}
+
+
+def test_symbol_partitions_are_dealt_over_tasks(spark):
+    """One mode is one join key; its product of specifications and symbols must not be one task's."""
+    specs = spark.createDataFrame([(f"s{i}", "symbol", D[0], D[5], ["A", "B"] if i % 2 else []) for i in range(20)], "api_name string, mode string, start date, end date, dimensions array<string>")
+    out = grids.expected_partitions(specs, spark.range(3000).select(F.col("id").cast("string").alias("symbol")))
+    sizes = [r.n for r in out.where("symbol is not null").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 30 * 3000 == out.select("api_name", "dimension", "symbol").distinct().count() and max(sizes) < 0.6 * sum(sizes)
+    landed = out.where("symbol < '001500'")
+    assert grids.missing_partitions(out, landed.unionByName(landed)).count() == 30 * 1500
+    assert plan(grids.missing_partitions(out, landed)).count("Aggregate") == 2 * plan(out).count("Aggregate")
