@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .diagnostics import date_index
+from ..core.scratch import written
+from .diagnostics import date_index, exact_percentiles, left_on
 from .portfolio import performance, rebalance_dates
 
 C = F.col
@@ -227,12 +228,21 @@ def rank_migration(weights: DataFrame, ranks: DataFrame, bins: tuple[int, ...] =
     return grid.join(rows.groupBy("from_bin", "to_bin").agg(F.count("*").alias("n")), ["from_bin", "to_bin"], "left").na.fill(0, ["n"])
 
 
-def trade_forward_returns(trades: DataFrame, returns: DataFrame, horizons: tuple[int, ...] = (5, 20)) -> DataFrame:
-    """(action, horizon, n, mean_ret, median_ret): compounded returns of the first rows after each trade."""
+def _next_returns(trades: DataFrame, returns: DataFrame, horizons: tuple[int, ...]) -> DataFrame:
+    """(action, horizon, r): a row for each trade and horizon, with the compounded return of the first rows after it."""
     w = Window.partitionBy("asset").orderBy("date")
     ahead = returns.select("asset", "date", F.lit(0).alias("_k"), F.struct(*[F.coalesce(F.product(1 + C("ret_1d")).over(w.rowsBetween(0, h - 1)), F.lit(1.0)).alias(f"f{h}") for h in horizons]).alias("_f"))
     both = trades.select("asset", "date", "action", F.lit(1).alias("_k")).unionByName(ahead, allowMissingColumns=True)
-    next_row = F.first("_f", ignorenulls=True).over(Window.partitionBy("asset").orderBy("date", "_k").rowsBetween(1, Window.unboundedFollowing))
-    hit = both.withColumn("_n", next_row).where("_k = 1")
-    long = hit.select("action", F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), (C(f"_n.f{h}") - 1).alias("r")) for h in horizons])).alias("x")).select("action", "x.*")
-    return long.groupBy("action", "horizon").agg(F.count("r").alias("n"), F.avg("r").alias("mean_ret"), F.median("r").alias("median_ret"))
+    # from the last date back, so that the frame runs and costs one step a row
+    back = Window.partitionBy("asset").orderBy(C("date").desc(), C("_k").desc())
+    hit = both.withColumn("_n", F.last("_f", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))).where("_k = 1")
+    return hit.select("action", F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), (C(f"_n.f{h}") - 1).alias("r")) for h in horizons])).alias("x")).select("action", "x.*")
+
+
+def trade_forward_returns(trades: DataFrame, returns: DataFrame, horizons: tuple[int, ...] = (5, 20)) -> DataFrame:
+    """(action, horizon, n, mean_ret, median_ret): compounded returns of the first rows after each trade."""
+    long = written(_next_returns(trades, returns, horizons), "after_trades")
+    by = ("action", "horizon")
+    means = long.groupBy(*by).agg(F.count("r").alias("n"), F.avg("r").alias("mean_ret"))
+    middle = exact_percentiles(long, by, "r", {"median_ret": 0.5})
+    return left_on(means, middle, by).select(*by, "n", "mean_ret", "median_ret")
