@@ -42,8 +42,19 @@ def expected_partitions(specs: DataFrame, symbols: DataFrame | None = None) -> D
     plain = out.where("mode <> 'symbol'").withColumn("symbol", F.lit(None).cast("string")).select(*columns)
     if symbols is None:
         return plain
-    listed = symbols.where("trim(symbol) <> ''").select(digits6(C("symbol")).alias("symbol"), F.lit("symbol").alias("mode")).distinct()
-    return plain.unionByName(out.join(listed, "mode").select(*columns))
+    listed = symbols.where("trim(symbol) <> ''").select(digits6(C("symbol")).alias("symbol")).distinct()
+    return plain.unionByName(_by_symbol(out.where("mode = 'symbol'"), listed).select(*columns))
+
+
+def _by_symbol(specs: DataFrame, listed: DataFrame) -> DataFrame:
+    """Every specification with every symbol. Both are few, their product is not: symbols are packed by hash, each specification meets each
+    pack, and the meetings are dealt over as many tasks as a shuffle has, which take as many rows each however few bytes come in."""
+    tasks = int(specs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packs = 4 * tasks
+    packed = listed.groupBy(F.pmod(F.xxhash64("symbol"), F.lit(packs)).cast("int").alias("_pack")).agg(F.collect_list("symbol").alias("_symbols"))
+    met = specs.withColumn("_pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1)))).repartition(tasks, "_pack")
+    # not by a broadcast of either, which would leave the product to the few tasks of the other
+    return met.join(packed.hint("shuffle_hash"), "_pack").withColumn("symbol", F.explode("_symbols")).drop("_pack", "_symbols")
 
 
 def missing_partitions(expected: DataFrame, landed: DataFrame) -> DataFrame:
