@@ -63,4 +63,4 @@ def missing_partitions(expected: DataFrame, landed: DataFrame) -> DataFrame:
     same = F.lit(True)
     for k in keys:
         same = same & expected[k].eqNullSafe(landed[k])
-    return expected.join(landed.select(*keys).distinct(), same, "left_anti")
+    return expected.join(landed.select(*keys).hint("merge"), same, "left_anti")
