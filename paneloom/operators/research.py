@@ -87,12 +87,14 @@ def rank_correlation(factors: DataFrame, columns: list[str], least: int = 20) ->
     return out.withColumn("corr", F.when(C("n_obs") >= least, C("corr")))
 
 
-def basic_diagnostics(factors: DataFrame, columns: list[str], label: str | None = None, threshold: float = 0.9, method: str = "spearman") -> dict[str, DataFrame]:
+def basic_diagnostics(factors: DataFrame, columns: list[str], label: str | None = None, threshold: float = 0.9, method: str = "spearman", spread: bool = True) -> dict[str, DataFrame]:
     """Coverage, distribution, correlation, pairs of high correlation and, with a label among the columns, IC by date and its summary.
-    Outcomes among the factors raise."""
+    Outcomes among the factors raise. Without `spread` there is no distribution, whose values are counted and written as it is made."""
     checks.check_factor_columns(factors.select(*columns))
     corr = rank_correlation(factors, columns) if method == "spearman" else diagnostics.factor_correlation(factors, columns)
-    out = {"coverage": diagnostics.coverage(factors, columns), "distribution": diagnostics.distribution(factors, columns), "correlation": corr, "high_correlation_pairs": diagnostics.highly_correlated(corr, threshold)}
+    out = {"coverage": diagnostics.coverage(factors, columns), "correlation": corr, "high_correlation_pairs": diagnostics.highly_correlated(corr, threshold)}
+    if spread:
+        out["distribution"] = diagnostics.distribution(factors, columns)
     if label:
         ic = diagnostics.factor_ic(factors.drop(label), columns, factors, label, method)
         out |= {"ic_by_date": ic, "ic_summary": diagnostics.summarize_ic(ic, "factor")}
