@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,20 +50,58 @@ def global_quantile_spread(returns: DataFrame) -> DataFrame:
     return returns.join(F.broadcast(ends)).groupBy("date").agg((at("_hi") - at("_lo")).alias("spread"))
 
 
-def _pair_ranks(long: DataFrame, k: int) -> DataFrame:
-    """(f, v, r) of every different value v of a factor f: r[b] is its average rank among the rows that also have factor b.
+#: Numbers that one task ranks or pairs: SOME while that takes at most FEW tasks, which a shuffle writes without holding rows, and never more than MOST.
+SOME, FEW, MOST = 1 << 21, 200, 1 << 24
 
-    Values are counted first, so a value of very many rows is one row here; their sums in ranges of values give what stands before."""
-    counts = long.groupBy("f", "v").agg(*[F.sum(C("there")[b].cast("long")).alias(f"n{b}") for b in range(k)])
-    part = written(counts.repartitionByRange("f", "v").withColumn("part", F.spark_partition_id()), "values")
-    before = Window.partitionBy("f").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = part.groupBy("f", "part").agg(*[F.sum(f"n{b}").alias(f"s{b}") for b in range(k)])
-    sums = sums.select("f", "part", *[F.coalesce(F.sum(f"s{b}").over(before), F.lit(0)).alias(f"s{b}") for b in range(k)])
-    inside = Window.partitionBy("f", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    upto = part.select("f", "v", "part", *[(F.sum(f"n{b}").over(inside) - (C(f"n{b}") - 1) / 2).alias(f"r{b}") for b in range(k)])
-    # a row for each factor and range of values, of which there are as many as shuffle partitions and factors
-    ranks = F.array(*[(C(f"r{b}") + C(f"s{b}")).cast("double") for b in range(k)])
-    return upto.join(F.broadcast(sums), ["f", "part"]).select("f", "v", ranks.alias("r"))
+
+def _tasks(numbers: int) -> int:
+    return max(min(FEW, -(-numbers // SOME)), -(-numbers // MOST), 1)
+
+
+def _ranks_in_range(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (id, f, v, there) of one range of values, in order of f and v: r{b} is v's average rank within the range among its rows that
+    have b too, n{b} is whether the row is one of them; edge: 1 for a factor's first value in the range, 2 for its last, else 0."""
+
+    def run(batches):
+        if not (batches := list(batches)):
+            return
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        f, v = rows["f"].to_numpy(), rows["v"].to_numpy()
+        there = rows["there"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(f), k)
+        factor = np.append(True, f[1:] != f[:-1])
+        fresh = factor | np.append(True, (v[1:] != v[:-1]) & ~(np.isnan(v[1:]) & np.isnan(v[:-1])))
+        starts, value = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        own = np.maximum.accumulate(np.where(factor[starts], np.arange(len(starts)), 0))
+        edge = np.where(factor[starts], 1, np.where(np.append(factor[starts[1:]], True), 2, 0)).astype(np.int32)[value]
+        out = {"id": rows["id"], "f": rows["f"], "v": rows["v"], "part": pa.array(np.full(len(f), TaskContext.get().partitionId(), np.int32)), "edge": pa.array(edge)}
+        for b in range(k):
+            upto = np.append(0, np.cumsum(there[:, b]))
+            less, same = upto[starts] - upto[starts[own]], np.diff(upto[np.append(starts, len(f))])
+            out[f"n{b}"] = pa.array(there[:, b])
+            out[f"r{b}"] = pa.array((less + (same + 1) / 2)[value], mask=~there[:, b] | (f == b))
+        yield from pa.table(out).to_batches(max_chunksize=1 << 14)
+
+    return run
+
+
+def _pair_ranks(base: DataFrame, k: int, tasks: int) -> DataFrame:
+    """(id, f, r0...) of every value of a factor f: r{b} is its average rank among the rows that also have factor b.
+
+    Ranges are cut by value and id, so that a value of very many rows is several tasks'. What stands before a range is added to its ranks;
+    a value at its edge may go on in others, and takes its rank from the counts of all of them."""
+    there = F.transform("values", lambda v: v.isNotNull())
+    long = base.select("id", there.alias("there"), F.posexplode("values").alias("f", "v")).where("v is not null").select("id", "f", "v", "there")
+    kind = "id long, f int, v double, part int, edge int, " + ", ".join(f"n{b} boolean, r{b} double" for b in range(k))
+    placed = written(long.repartitionByRange(tasks, "f", "v", "id").sortWithinPartitions("f", "v").mapInArrow(_ranks_in_range(k), kind), "ranks")
+    # at most three rows for each factor and range
+    ends = placed.groupBy("f", "part", "edge").agg(F.max(F.when(C("edge") > 0, C("v"))).alias("v"), *[F.count_if(f"n{b}").alias(f"n{b}") for b in range(k)])
+    before, here, one = Window.partitionBy("f").orderBy("part").rangeBetween(Window.unboundedPreceding, -1), Window.partitionBy("f", "part"), Window.partitionBy("f", "v")
+    past = [F.coalesce(F.sum(f"n{b}").over(before), F.lit(0)).alias(f"p{b}") for b in range(k)]
+    less = [F.when(C("edge") == 2, F.sum(f"n{b}").over(here) - C(f"n{b}")).otherwise(0).alias(f"l{b}") for b in range(k)]
+    ends = ends.select("*", *past, *less)
+    whole = [F.min(C(f"p{b}") + C(f"l{b}")).over(one) - C(f"l{b}") + (F.sum(f"n{b}").over(one) - C(f"n{b}")) / 2 for b in range(k)]
+    add = ends.select("f", "part", "edge", *[F.when(C("edge") > 0, whole[b]).otherwise(C(f"p{b}")).alias(f"a{b}") for b in range(k)])
+    return placed.join(F.broadcast(add), ["f", "part", "edge"]).select("id", "f", *[(C(f"r{b}") + C(f"a{b}")).alias(f"r{b}") for b in range(k)])
 
 
 def rank_correlation(factors: DataFrame, columns: list[str], least: int = 20) -> DataFrame:
@@ -68,20 +109,19 @@ def rank_correlation(factors: DataFrame, columns: list[str], least: int = 20) ->
     without such rows, and none at all for fewer than two factors.
 
     The table is made long by factor, not by pair: each value gets its ranks beside every other factor at once, and a row's values meet
-    again by the row's number. All pairs are then one aggregation."""
+    again by the row's number. All pairs are then one aggregation. Both dealings take tasks by the number of ranks."""
     k = len(columns)
     if k < 2:
         return factors.sparkSession.createDataFrame([], "a string, b string, corr double, n_obs long")
     values = F.array(*[C(c).cast("double") for c in columns])
     base = written(factors.select(F.monotonically_increasing_id().alias("id"), values.alias("values")), "factors")
-    there = F.transform("values", lambda v: v.isNotNull())
-    long = base.select("id", there.alias("there"), F.posexplode("values").alias("f", "v")).where("v is not null")
-    ranked = long.select("id", "f", "v").join(_pair_ranks(long, k), ["f", "v"])
-    wide = ranked.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("f", "r"))).alias("m"))
+    tasks = _tasks(base.count() * k * k)
     pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    xy = {p: (C("m")[p[0]][p[1]], C("m")[p[1]][p[0]]) for p in pairs}
-    both = wide.select(*[F.when(x.isNotNull() & y.isNotNull(), F.struct(x.alias("x"), y.alias("y"))).alias(f"p{i}_{j}") for (i, j), (x, y) in xy.items()])
-    stats = both.agg(*[F.struct(safe_corr(C(f"p{i}_{j}.x"), C(f"p{i}_{j}.y")).alias("corr"), F.count(f"p{i}_{j}").alias("n_obs")).alias(f"p{i}_{j}") for i, j in pairs])
+    of = lambda i, j: F.max(F.when(C("f") == i, C(f"r{j}")))
+    sides = [x for i, j in pairs for x in (of(i, j).alias(f"x{i}_{j}"), of(j, i).alias(f"y{i}_{j}"))]
+    wide = _pair_ranks(base, k, tasks).repartition(tasks, "id").groupBy("id").agg(*sides)
+    both = lambda i, j: F.count_if(C(f"x{i}_{j}").isNotNull() & C(f"y{i}_{j}").isNotNull())
+    stats = wide.agg(*[F.struct(safe_corr(C(f"x{i}_{j}"), C(f"y{i}_{j}")).alias("corr"), both(i, j).alias("n_obs")).alias(f"p{i}_{j}") for i, j in pairs])
     rows = [F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), C(f"p{i}_{j}.corr").alias("corr"), C(f"p{i}_{j}.n_obs").alias("n_obs")) for i, j in pairs]
     out = stats.select(F.inline(F.array(*rows))).where("n_obs > 0")
     return out.withColumn("corr", F.when(C("n_obs") >= least, C("corr")))

@@ -96,3 +96,34 @@ def test_symbol_partitions_are_dealt_over_tasks(spark):
     landed = out.where("symbol < '001500'")
     assert grids.missing_partitions(out, landed.unionByName(landed)).count() == 30 * 1500
     assert plan(grids.missing_partitions(out, landed)).count("Aggregate") == 2 * plan(out).count("Aggregate")
+
+
+@pytest.mark.parametrize("some", [300, 1 << 21])
+def test_values_of_very_many_rows_are_ranked_by_several_tasks(spark, monkeypatch, some):
+    """Constant and heavily tied factors, missing values, infinities and both zeros, over many small ranges and over one."""
+    pd = pytest.importorskip("pandas")
+    monkeypatch.setattr(run, "SOME", some)
+    rng = np.random.default_rng(3)
+    n = 900
+    table = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 3, n) * 1.0, "c": np.full(n, 5.0), "d": rng.choice([0.0, -0.0, 1.0, -np.inf, np.inf], n)})
+    table["e"] = table["a"].where(rng.random(n) < 0.05) * rng.choice([1.0, -0.5], n)
+    table.loc[rng.random(n) < 0.4, "b"] = None
+    table.loc[(table["b"] == 1.0) | (rng.random(n) < 0.1), "d"] = None
+    names = list(table.columns)
+    frame = spark.createDataFrame([tuple(None if pd.isna(x) else float(x) for x in r) for r in table.itertuples(index=False)], ", ".join(f"{c} double" for c in names)).repartition(4)
+    base = frame.select(F.monotonically_increasing_id().alias("id"), F.array(*names).alias("values")).localCheckpoint()
+    tasks = run._tasks(n * 25)
+    sizes = [r.n for r in run._pair_ranks(base, 5, tasks).where("f = 2").groupBy("r0").agg(F.count("*").alias("n")).collect()]
+    assert sizes == [n] and tasks == (75 if some == 300 else 1)  # one rank for all of the constant factor, whatever ranges it is cut into
+    got = {(r.a, r.b): (r.corr, r.n_obs) for r in run.rank_correlation(frame, names).collect()}
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            both = table[[a, b]].dropna()
+            flat = both[a].nunique() < 2 or both[b].nunique() < 2
+            assert got[a, b][1] == len(both) and got[a, b][0] == (None if flat else pytest.approx(both[a].rank().corr(both[b].rank()), abs=1e-9))
+
+
+def test_tasks_of_ranks_grow_with_the_table():
+    """Tasks hold no more numbers as the table grows, up to the number that a shuffle writes without holding rows, and a bounded number beyond."""
+    assert [run._tasks(x) for x in (0, 1, 1 << 21, 10 << 21, 100 << 21, 1 << 30)] == [1, 1, 1, 10, 100, 200]
+    assert all(x / run._tasks(x) <= run.MOST for x in (1 << 30, 1 << 34, 1 << 38))
