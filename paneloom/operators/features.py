@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,23 +53,65 @@ def moving_averages(panel: DataFrame) -> DataFrame:
     return base.select("date", "asset", rolling(F.avg, C("close"), 5).alias("ma_5"), ma20.alias("ma_20"), F.try_divide(C("close"), ma20).alias("ma_ratio_20"), rolling(F.stddev_samp, C("_r"), 20).alias("volatility_20d"))
 
 
+#: How values of equal windows that follow one another give the value of all of them, where each has one.
+_UNITED: dict[str, Callable[[list[Column]], Column]] = {"sum": lambda x: reduce(Column.__add__, x), "max": lambda x: F.greatest(*x), "min": lambda x: F.least(*x)}
+
+
+def _windows(df: DataFrame, short: int, sums: tuple[str, ...] = (), tops: tuple[str, ...] = (), lows: tuple[str, ...] = (), devs: tuple[str, ...] = (), keep: tuple[Column, ...] = ()) -> DataFrame:
+    """df with keep and, of the last `short` rows, {c}_sum, {c}_max, {c}_min, and {c}_mean with {c}_squares (about that mean), named with the
+    number of rows, like close_max_5; NULL unless all rows have c."""
+    w = by_asset().rowsBetween(-(short - 1), 0)
+    whole = lambda c, x: F.when(F.count(c).over(w) == short, x)
+    out = [whole(c, f(c).over(w)).alias(f"{c}_{n}_{short}") for n, f, cs in (("sum", F.sum, sums), ("max", F.max, tops), ("min", F.min, lows), ("mean", F.avg, devs)) for c in cs]
+    return df.select("*", *keep, *out, *[whole(c, F.var_pop(c).over(w) * short).alias(f"{c}_squares_{short}") for c in devs])
+
+
+def _longer(df: DataFrame, short: int, times: int) -> DataFrame:
+    """df with the windows of short * times rows made of those of `short` rows: a few steps a row, where a sliding frame takes one for each
+    row that it spans. Only windows that do not overlap are united and nothing is subtracted that was once added, so that one huge value leaves
+    no error behind; squares about the common mean are those about each window's and those of the means."""
+    names = [c.removesuffix(f"_{short}") for c in df.columns if c.endswith(f"_{short}")]
+    part = lambda n, i: f"_{n}_at_{i}"
+    at = df.select("*", *[(F.lag(f"{n}_{short}", i * short).over(by_asset()) if i else C(f"{n}_{short}")).alias(part(n, i)) for n in names for i in range(times)])
+    of = lambda n: [C(part(n, i)) for i in range(times)]
+    there = lambda n: reduce(Column.__and__, [x.isNotNull() for x in of(n)])
+    mean = lambda x: x[0] + reduce(Column.__add__, [y - x[0] for y in x[1:]]) / times
+    out = {}
+    for n in names:
+        c, kind = n.rsplit("_", 1)
+        if kind == "squares":
+            means = of(f"{c}_mean")
+            out[n] = reduce(Column.__add__, of(n)) + short * reduce(Column.__add__, [(x - mean(means)) * (x - mean(means)) for x in means])
+        else:
+            out[n] = mean(of(n)) if kind == "mean" else F.when(there(n), _UNITED[kind](of(n)))
+    return at.select(*df.columns, *[x.alias(f"{n}_{short * times}") for n, x in out.items()])
+
+
+def _of_windows(k: int) -> dict[str, Column]:
+    """Factors of the last k rows, from their windows."""
+    mean, deviation = lambda c: C(f"{c}_sum_{k}") / k, lambda c: F.sqrt(C(f"{c}_squares_{k}") / (k - 1))
+    top, low = C(f"high_max_{k}"), C(f"low_min_{k}")
+    return {
+        f"realized_vol_{k}d": deviation("r"), f"downside_vol_{k}d": deviation("neg"), f"max_drawdown_{k}d": F.try_divide(C("close"), C(f"close_max_{k}")) - 1,
+        f"amount_mean_{k}d": mean("amount"), f"turnover_mean_{k}d": mean("turnover"), f"amihud_illiquidity_{k}d": mean("illiq"),
+        f"high_low_range_{k}d": F.try_divide(top, low) - 1, f"close_to_high_{k}d": F.try_divide(C("close"), top) - 1,
+    }
+
+
 def technical_liquidity(panel: DataFrame) -> DataFrame:
     """Returns, volatility, drawdown, liquidity and range factors. downside_vol needs every return of its window to be negative."""
-    base = panel.withColumn("_r", change(C("close"), 1)).withColumn("_neg", F.when(C("_r") < 0, C("_r")))
-    base = base.withColumn("_illiq", F.abs(C("_r")) / F.when(C("amount") > 0, C("amount")))
-    out: dict[str, Column] = {f"ret_{k}d": change(C("close"), k) for k in (5, 20, 60)}
-    out |= {f"momentum_{k}d": change(C("close"), k) for k in (20, 60)} | {f"reversal_{k}d": -change(C("close"), k) for k in (5, 20)}
-    for k in (20, 60):
-        top, low = rolling(F.max, C("high"), k), rolling(F.min, C("low"), k)
-        out |= {
-            f"realized_vol_{k}d": rolling(F.stddev_samp, C("_r"), k), f"downside_vol_{k}d": rolling(F.stddev_samp, C("_neg"), k),
-            f"max_drawdown_{k}d": F.try_divide(C("close"), rolling(F.max, C("close"), k)) - 1, f"amount_mean_{k}d": rolling(F.avg, C("amount"), k),
-            f"turnover_mean_{k}d": rolling(F.avg, C("turnover"), k), f"amihud_illiquidity_{k}d": rolling(F.avg, C("_illiq"), k),
-            f"high_low_range_{k}d": F.try_divide(top, low) - 1, f"close_to_high_{k}d": F.try_divide(C("close"), top) - 1,
-        }
-    for x in ("amount", "turnover"):
-        out[f"{x}_shock_5d_vs_20d"] = ieee_div(rolling(F.avg, C(x), 5), rolling(F.avg, C(x), 20))
-    return base.select("date", "asset", *[v.alias(k) for k, v in out.items()])
+    base = panel.select("date", "asset", "close", "high", "low", "amount", "turnover", change(C("close"), 1).alias("r")).withColumn("neg", F.when(C("r") < 0, C("r")))
+    base = base.withColumn("illiq", F.abs(C("r")) / F.when(C("amount") > 0, C("amount")))
+    moves = tuple(change(C("close"), k).alias(f"ret_{k}d") for k in (5, 20, 60))
+    base = _windows(base, 5, ("amount", "turnover", "illiq"), ("close", "high"), ("low",), ("r", "neg"), moves)
+    # what a length gives is finished before the windows of the next one, so that no single step computes all columns: the JVM does not compile very long methods
+    shocks = {f"{x}_shock_5d_vs_20d": ieee_div(C(f"{x}_sum_5") / 5, C(f"{x}_sum_20") / 20) for x in ("amount", "turnover")}
+    base = _longer(base, 5, 4).withColumns(_of_windows(20) | shocks)
+    out = _of_windows(60)
+    base = _longer(base, 20, 3).withColumns(out)
+    done = [f"ret_{k}d" for k in (5, 20, 60)], [f"{c.removesuffix('_60d')}_{k}d" for k in (20, 60) for c in out]
+    moves = [C(f"ret_{k}d").alias(f"momentum_{k}d") for k in (20, 60)] + [(-C(f"ret_{k}d")).alias(f"reversal_{k}d") for k in (5, 20)]
+    return base.select("date", "asset", *done[0], *moves, *done[1], *shocks)
 
 
 def _guarded(a: Column, b: Column) -> Column:

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from paneloom.core import expr
-from paneloom.operators import diagnostics, grids, rebalance
+from paneloom.operators import diagnostics, features, grids, rebalance
 from paneloom.operators import research as run
-from paneloom.plans import lakehouse, raw, research  # noqa: F401  they add to the registry
+from paneloom.plans import lakehouse, raw, registry, research  # noqa: F401  they add to the registry
 from paneloom.plans.registry import ORACLE_SQL, QUERIES
 
 duckdb = pytest.importorskip("duckdb")
@@ -127,3 +127,65 @@ def test_tasks_of_ranks_grow_with_the_table():
     """Tasks hold no more numbers as the table grows, up to the number that a shuffle writes without holding rows, and a bounded number beyond."""
     assert [run._tasks(x) for x in (0, 1, 1 << 21, 10 << 21, 100 << 21, 1 << 30)] == [1, 1, 1, 10, 100, 200]
     assert all(x / run._tasks(x) <= run.MOST for x in (1 << 30, 1 << 34, 1 << 38))
+
+
+def test_long_windows_are_made_of_short_ones(spark):
+    """As by pandas over every window, with missing values, huge and constant ones, zeros and short assets; no frame slides over more than five rows."""
+    pd = pytest.importorskip("pandas")
+    rng = np.random.default_rng(11)
+    rows = []
+    for a, n in (("a", 200), ("b", 150), ("c", 90), ("d", 30), ("e", 3)):
+        close = 50 * np.exp(np.cumsum(rng.normal(0, 0.05, n))) if a != "c" else 100.0 * 0.99 ** np.arange(n)
+        for i in range(n):
+            x, missing = float(close[i]), rng.random(4) < 0.01 if a == "b" else [False] * 4
+            x *= 1e9 if a == "a" and i == 70 else 1
+            amount = 0.0 if a == "d" and i < 25 else 7.3 if a == "e" else float(rng.random() * 1e5)
+            rows.append((date(2020, 1, 1) + timedelta(days=i), a, *[None if m else v for m, v in zip(missing, (x, x * 1.1, x * 0.9, amount))], float(rng.random())))
+    names = ["date", "asset", "close", "high", "low", "amount", "turnover"]
+    frame = spark.createDataFrame(rows, "date date, asset string, close double, high double, low double, amount double, turnover double").repartition(3)
+    out = features.technical_liquidity(frame)
+    text = plan(out)
+    assert text.count("Sort [") == 1 and "RowFrame, -4, currentrow" in text and "RowFrame, -19, currentrow" not in text and "RowFrame, -59, currentrow" not in text
+    want = []
+    for _, g in pd.DataFrame(rows, columns=names).sort_values(["asset", "date"]).groupby("asset"):
+        g = g.astype({c: float for c in names[2:]}).reset_index(drop=True)
+        g["r"] = g["close"] / g["close"].shift(1) - 1
+        g["neg"], g["illiq"] = g["r"].where(g["r"] < 0), g["r"].abs() / g["amount"].where(g["amount"] > 0)
+        # each window by itself, since a sliding sum keeps the error of a huge value
+        at = lambda c, k, f: pd.Series([f(g[c].iloc[i - k + 1 : i + 1].to_numpy()) if i >= k - 1 else np.nan for i in range(len(g))])
+        o = g[["date", "asset"]].copy()
+        for k in (5, 20, 60):
+            o[f"ret_{k}d"] = g["close"] / g["close"].shift(k) - 1
+        for k in (20, 60):
+            o[f"momentum_{k}d"] = o[f"ret_{k}d"]
+            o[f"realized_vol_{k}d"], o[f"downside_vol_{k}d"] = at("r", k, lambda x: x.std(ddof=1)), at("neg", k, lambda x: x.std(ddof=1))
+            o[f"max_drawdown_{k}d"], o[f"amount_mean_{k}d"] = g["close"] / at("close", k, np.max) - 1, at("amount", k, np.mean)
+            o[f"turnover_mean_{k}d"], o[f"amihud_illiquidity_{k}d"] = at("turnover", k, np.mean), at("illiq", k, np.mean)
+            o[f"high_low_range_{k}d"], o[f"close_to_high_{k}d"] = at("high", k, np.max) / at("low", k, np.min) - 1, g["close"] / at("high", k, np.max) - 1
+        for k in (5, 20):
+            o[f"reversal_{k}d"] = -o[f"ret_{k}d"]
+        for x in ("amount", "turnover"):
+            with np.errstate(all="ignore"):
+                o[f"{x}_shock_5d_vs_20d"] = at(x, 5, np.mean) / at(x, 20, np.mean)
+        want.append(o)
+    want = pd.concat(want).reset_index(drop=True)
+    got = pd.DataFrame([r.asDict() for r in out.orderBy("asset", "date").collect()])
+    assert set(got.columns) == set(want.columns) and len(got) == len(want) and (got["asset"] == want["asset"]).all()
+    for c in want.columns[2:]:
+        x, y = got[c].astype(float).to_numpy(), want[c].to_numpy()
+        assert (np.isnan(x) == np.isnan(y)).all() and np.allclose(x, y, rtol=1e-9, atol=1e-12, equal_nan=True), c
+        assert np.isfinite(y).any()
+    assert {r.realized_vol_20d for r in features.technical_liquidity(frame.withColumn("close", F.lit(0.1))).where("realized_vol_20d is not null").collect()} == {0.0}
+
+
+def test_factors_are_compiled_methods(spark):
+    """The JVM interprets methods of over 8,000 bytes, several times as slowly; no generated one of the query is that long."""
+    frame = spark.createDataFrame([(D[0], "a", 1.0, 1.0, 1.0, 1.0, 1.0)], "date date, asset string, close double, high double, low double, amount double, turnover double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = registry.even(features.technical_liquidity(frame), ["date", "asset"], registry._TC)
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        code = debug.codegenStringSeq(out._jdf.queryExecution().executedPlan())
+        assert code.size() > 2 and max(code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
